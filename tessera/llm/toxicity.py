@@ -44,11 +44,11 @@ def fold(text: str | None) -> str:
 
 
 def stems(text: str | None) -> set[str]:
-    """Whole folded words and their first 4 to 7 letters, each after a space; whole words end with a space too."""
+    """Whole folded words and their first 4 to 9 letters, each after a space; whole words end with a space too."""
     out = set()
     for w in set(fold(text).split()):
         out.add(f" {w} ")
-        out.update(f" {w[:k]}" for k in range(4, min(7, len(w)) + 1))
+        out.update(f" {w[:k]}" for k in range(4, min(9, len(w)) + 1))
     return out
 
 
@@ -84,20 +84,21 @@ class Lexicon:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int, text: str, key: str) -> DataFrame:
-    """(text, y) of at most sample_rows labelled rows, half of each label as far as there are so many.
+    """(text, y) of at most sample_rows labelled rows, a quarter of them of label 1 as far as there are so many.
 
     Ids come first: those with the least hash of each label; then one scan of the documents against these few ids.
     Ids with several labels count as 1 if any is; null ids and labels are left out.
     """
-    y = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max(label).alias("y"))
-    ids = [y.filter(F.col("y") == v).orderBy(F.xxhash64(key), key).limit(sample_rows // 2) for v in (0, 1)]
+    y = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(key).agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
+    ids = [y.filter(F.col("y") == v).orderBy(F.xxhash64(key), key).limit(n) for v, n in ((0, sample_rows - sample_rows // 4), (1, sample_rows // 4))]
     return docs.select(key, text).join(F.broadcast(ids[0].union(ids[1])), key).select(text, "y")  # sample_rows rows at most
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id", sample_rows: int = 4000, max_stems: int = 3000, min_docs: int = 3, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id", sample_rows: int = 8000, max_stems: int = 3000, evidence: float = 30.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Learn a lexicon from the labelled rows given (hold out rows before the call).
 
-    The sample has sample_rows rows at most. Counts are gathered on the executors; the driver gets the max_stems stems of
+    A stem counts if the log-likelihood ratio of its label counts against chance is above evidence. The sample has
+    sample_rows rows at most. Counts are gathered on the executors; the driver gets the max_stems stems of
     highest weight and one raw figure for each row of the sample.
     """
     sample = materialise(labelled_sample(docs, labels, label, sample_rows, text, key), "toxic-sample")
@@ -117,7 +118,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     counts = materialise(counts, "toxic-stems")
     total = counts.filter("stem = ''").first()
     n_pos, n_neg = (total.pos, total.neg) if total else (0, 0)
-    got = counts.filter("stem != ''").withColumns({"np": F.lit(n_pos), "nn": F.lit(n_neg)}).filter(F.col("pos") >= min_docs).withColumn("w", weight).filter("w > 2")
+    share = max(n_pos, 0.5) / max(n_pos + n_neg, 1)  # of label 1
+
+    def side(n: str, expected: float):
+        of = F.col(n) / (F.col("pos") + F.col("neg"))
+        return F.when(F.col(n) > 0, F.col(n) * F.log(of / expected)).otherwise(0.0)
+
+    got = counts.filter("stem != ''").withColumns({"np": F.lit(n_pos), "nn": F.lit(n_neg)}).withColumns({"w": weight, "g": 2 * (side("pos", share) + side("neg", 1 - share))}).filter((F.col("w") > 2) & (F.col("g") > evidence))
     weights: dict[str, float] = {}
     for r in sorted(got.orderBy(F.desc("w"), F.length("stem"), "stem").limit(max_stems).collect(), key=lambda r: (len(r.stem), r.stem)):
         if not any(weights.get(r.stem[:k], 0) >= r.w - 1 for k in range(4, len(r.stem))):  # a shorter stem says as much
