@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import langid, quality, sharding, toxicity
-from tessera.llm.common import materialise, table
+from tessera.llm import codec, langid, planes, quality, sharding, toxicity
+from tessera.llm.common import materialise, new_path, table
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -73,3 +73,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(part_of("doc_id", 4) != 2))
     got = langid.identify(docs.select("doc_id", "text"), model)
     return got.select("doc_id", (part_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file; public_tokenizers is part of the installation, not of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register
+def op1_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = planes.write(table(spark, sf_dir, "documents"), new_path(spark, "ids"), vocabulary("word_bpe_49k.json"), end_id=1)
+    return planes.read(spark, files)
+
+
+@register
+def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codec.encode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), ids=False, digests=True)
