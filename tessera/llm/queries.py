@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import codec, langid, planes, quality, sharding, toxicity
+from tessera.llm import codec, langid, packing, planes, quality, sharding, toxicity
 from tessera.llm.common import materialise, new_path, table
 
 QUERIES: dict = {}
@@ -91,3 +91,10 @@ def op1_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.encode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), ids=False, digests=True)
+
+
+@register
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = materialise(packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 2, 1024), "op9")
+    got = packing.pack(pieces, 1024, order=("doc_id", "piece", "ids_crc32"))
+    return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
