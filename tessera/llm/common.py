@@ -7,7 +7,9 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A word: a longest run without space, tab, line feed, vertical tab, form feed or carriage return.
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -52,3 +54,64 @@ def fmix64(h: np.ndarray) -> np.ndarray:
 def odd_multipliers(n: int, seed: int) -> np.ndarray:
     """n odd 64-bit multipliers."""
     return fmix64(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(2 * seed + 0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of steps whose result has been written."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+class WordHashes(dict):
+    """Words (bytes) to 64-bit hashes; emptied at `most` entries."""
+
+    most = 500_000
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= self.most:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_HASHES = WordHashes()
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([_HASHES[w] for w in words], np.uint64)
+
+
+def linear_hash(x: np.ndarray, width: int, seed: int) -> np.ndarray:
+    """A hash of each run of `width` values of x: their sum under fixed odd factors, mixed; empty if x is shorter."""
+    n = len(x) - width + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    h = np.zeros(n, np.uint64)
+    for j, m in enumerate(odd_multipliers(width, seed)):
+        h += x[j : j + n] * m
+    return fmix64(h)
+
+
+def zipped(df: DataFrame, keys: list[str], text: str, name: str = "z") -> DataFrame:
+    """keys and the text compressed with zstandard: what a shuffle of texts should carry. A null text is empty."""
+
+    def run(batches):
+        import zstandard
+
+        c = zstandard.ZstdCompressor(level=1)
+        for b in batches:
+            z = pa.array([c.compress((t.as_py() or "").encode()) for t in b.column(len(keys))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], z], names=[*keys, name])
+
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    return df.select(*keys, F.col(text)).mapInArrow(run, f"{kinds}, {name} binary")
+
+
+def unzip(z: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(z) if z else b""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import codec, langid, packing, planes, quality, sharding, toxicity
+from tessera.llm import codec, embeddings, langid, minhash, packing, planes, quality, sharding, toxicity
 from tessera.llm.common import materialise, new_path, table
 
 QUERIES: dict = {}
@@ -98,3 +98,13 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = materialise(packing.token_pieces(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), 2, 1024), "op9")
     got = packing.pack(pieces, 1024, order=("doc_id", "piece", "ids_crc32"))
     return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register
+def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@register
+def op7_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)

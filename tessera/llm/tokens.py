@@ -16,6 +16,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: White space other than single spaces and line feeds: such texts are encoded whole where white space makes tokens.
 _ODD = re.compile("[ \n]{2}|[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _L = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[{_L}]+")
 _SAFE = re.compile(f"[ \n]?[!-~{_L}]+")
 #: The split rules of the two public vocabularies, for such chunks.
 _WORD_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -52,14 +53,23 @@ class Encoder:
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """The ids of new pieces, which are words or runs of signs after normalisation."""
-        model, letters = self.library.model, self.letters
-        return [array("I", [t.id for t in model.tokenize("".join([letters[b] for b in p.encode()]))]).tobytes() for p in pieces]
+        tokenize, letters, space = self.library.model.tokenize, self.letters, self.letters[32]
+        out = []
+        for p in pieces:
+            if p.isascii() and (p := p.replace(" ", space, 1)).isprintable():
+                m = p
+            else:
+                m = "".join([letters[b] for b in p.replace(space, " ").encode()])
+            out.append(array("I", [t.id for t in tokenize(m)]).tobytes())
+        return out
 
     def _learn(self, chunks: dict[str, None], lead: str, into: dict[str, bytes]) -> None:
         split: list[tuple[str, list[str]]] = []
         for c in chunks:
             chunk = lead + c if c[:1] != "\n" else c
-            if chunk == " " or _SAFE.fullmatch(chunk) and not any(s in chunk for s in self.specials):
+            if _PLAIN.fullmatch(c):
+                split.append((c, [chunk if self.spaced else c.lower()]))
+            elif chunk == " " or _SAFE.fullmatch(chunk) and not any(s in chunk for s in self.specials):
                 split.append((c, _BYTE_PIECES.findall(chunk) if self.spaced else _WORD_PIECES.findall(chunk.lower())))
             else:
                 into[c] = self._whole(chunk)
