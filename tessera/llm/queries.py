@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import codec, embeddings, langid, minhash, packing, planes, quality, sharding, toxicity
+from tessera.llm import codec, embeddings, langid, minhash, packing, planes, quality, sharding, substring, toxicity
 from tessera.llm.common import materialise, new_path, table
 
 QUERIES: dict = {}
@@ -108,3 +108,20 @@ def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
+
+
+@register
+def op5_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = substring.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), 20, keep=False)
+    return got.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE["op5_seed_extend"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT doc_id, unnest(range(1, len(ws) - 18)) AS p, ws FROM w WHERE len(ws) >= 20),
+g AS (SELECT doc_id, p, row_number() OVER (PARTITION BY list_aggregate(ws[p:p + 19], 'string_agg', ' ') ORDER BY doc_id, p) AS k FROM s),
+c AS (SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(p, p + 20)) AS j FROM g WHERE k > 1) GROUP BY doc_id),
+f AS (SELECT w.doc_id, len(ws) AS n, coalesce(gone, []) AS gone, ws FROM w LEFT JOIN c USING (doc_id)),
+x AS (SELECT doc_id, n, len(gone) AS gone_n, CASE WHEN len(gone) = 0 THEN ws ELSE list_transform(list_filter(list_zip(ws, range(1, n + 1)), lambda z: NOT list_contains(gone, z[2])), lambda z: z[1]) END AS k FROM f)
+SELECT doc_id, n::BIGINT AS n_words, gone_n::BIGINT AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM x
+"""
