@@ -14,7 +14,7 @@ from tessera.llm.common import materialise, table
 from tessera.llm.queries import vocabulary
 
 #: A document stays if its language is known with this score at least.
-LEAST_LANGUAGE_SCORE = 0.35
+LEAST_LANGUAGE_SCORE = 0.3
 #: Documents scored at least this are toxic.
 TOXIC_FROM = 0.5
 #: Words of the shortest passage that is removed where it repeats.

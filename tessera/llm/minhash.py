@@ -116,6 +116,35 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
     return two.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long")
 
 
+#: How often groups of several components get a new hub before all across components are compared.
+STAR_TURNS = 2
+BITS = ("w0", "w1", "w2", "w3")
+
+
+def _bits(sigs: DataFrame) -> DataFrame:
+    """(id, w0 .. w3): the lowest bit of each register."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            r = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in b.column(1)]) & 1 if b.num_rows else np.zeros((0, BUCKETS), np.uint16)
+            w = np.ascontiguousarray(np.packbits(r.astype(np.uint8), axis=1)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(w[:, k]) for k in range(len(BITS)))], names=["id", *BITS])
+
+    return sigs.select("id", "regs").dropDuplicates(["id"]).mapInArrow(run, "id long, " + ", ".join(f"{w} long" for w in BITS))
+
+
+def most_bits(percent: int) -> int:
+    """Differing low bits that a pair at the threshold exceeds only six standard deviations off its mean."""
+    p = (1 - percent / 100) / 2
+    return int(BUCKETS * p + 6 * (BUCKETS * p * (1 - p)) ** 0.5) + 1
+
+
+def _mixed(groups: DataFrame, part: DataFrame) -> DataFrame:
+    """(g, id, n, c) of the groups that hold several components."""
+    at = groups.select("g", "id", "n").join(part, "id", "left").select("g", "id", "n", F.coalesce("c", "id").alias("c"))
+    return at.join(at.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("g"), "g")
+
+
 def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row for each row with an id: key, n_shingles, component_id (smallest id reachable), kept.
 
@@ -141,12 +170,20 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, text: str
     tested = materialise(first, "pairs")
     links = materialise(_confirmed(_estimated(tested, reps, percent), texts, width, percent), "links")
     part = components(links, "a", "b").toDF("id", "c")
+    bits = materialise(_bits(reps), "bits")
+    for turn in range(STAR_TURNS):  # other hubs, so that the comparison of all across components has little left
+        at = _mixed(groups, part)
+        hub = at.groupBy("g").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "c", "n")).alias("h")).select("g", F.col("h.id").alias("b"), F.col("h.n").alias("m"), F.col("h.c").alias("d"))
+        star = at.join(hub, "g").filter(f"c != d AND {near}").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+        more = materialise(star.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.union(more)
+        links = links.union(materialise(_confirmed(_estimated(more, reps, percent), texts, width, percent), "links"))
+        part = components(links, "a", "b").toDF("id", "c")
     # what still holds several components is compared across them
-    at = groups.select("g", "id", "n").join(part, "id", "left").select("g", "id", "n", F.coalesce("c", "id").alias("c"))
-    mixed = at.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("g")
-    at = materialise(at.join(mixed, "g"), "mixed")
-    other = at.select("g", F.col("id").alias("b"), F.col("n").alias("m"), F.col("c").alias("d"))
-    cross = at.join(other, "g").filter(f"id > b AND c != d AND {near}").select(F.col("id").alias("a"), "b").distinct()
+    at = materialise(_mixed(groups, part).join(bits, "id"), "mixed")
+    other = at.select("g", *(F.col(c).alias(f"{c}_") for c in ("id", "n", "c", *BITS)))
+    alike = " + ".join(f"bit_count({w} ^ {w}_)" for w in BITS) + f" <= {most_bits(percent)}"
+    cross = at.join(other, (at["g"] == other["g"]) & F.expr(f"id > id_ AND c != c_ AND 100 * least(n, n_) >= {percent} * greatest(n, n_) AND {alike}")).select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
     more = materialise(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
     links = links.union(materialise(_confirmed(_estimated(more, reps, percent), texts, width, percent), "links"))
     part = components(links.union(member.select("id", "rep")), "a", "b").toDF("id", "c")

@@ -12,11 +12,11 @@ def test_stages_keep_columns_and_catch_planted_rows(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     base = docs.collect()
     clean = max(base, key=lambda r: len(set(r.text.split())))
-    passage = " ".join(f"alpha{i} beta{i}" for i in range(40))
-    other = " ".join(f"delta{i}" for i in range(90))
+    own = [r.text.split() for r in base if r.lang == clean.lang and len(r.text.split()) > 250][:3]
+    passage, first, other = (" ".join(w[::-1][:n]) for w, n in zip(own, (70, 120, 120)))
     planted = [
         (900001, None, "en", "x", 0), (900002, "", "en", "x", 0), (900003, "123 456 !!", "en", "x", 10),
-        (900004, clean.text, clean.lang, "x", len(clean.text)), (900005, " ".join(f"gamma{i}" for i in range(90)) + " " + passage + " end here", "en", "x", 1), (900006, f"Other {other} two. " + passage + " last", "en", "x", 1),
+        (900004, clean.text, clean.lang, "x", len(clean.text)), (900005, first + " " + passage + " end here", "en", "x", 1), (900006, f"Other {other} two. " + passage + " last", "en", "x", 1),
     ]
     df = docs.unionByName(spark.createDataFrame(planted, docs.schema))
     got = {}
