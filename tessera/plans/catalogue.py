@@ -16,3 +16,338 @@ def register(name: str, sql: str | None = None):
         return f
 
     return add
+
+
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from tessera.functions import arrays, numbers, text  # noqa: E402
+from tessera.operators import compare, html, lookup  # noqa: E402
+from tessera.sources.tables import append_new, read_table  # noqa: E402
+from tessera.streaming import state  # noqa: E402
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+_WANT = "['1-URGENT','2-HIGH','3-MEDIUM','4-NOT SPECIFIED','5-LOW']"
+
+
+@register("coverage_missing_extra_dup", f"""
+WITH n AS (SELECT o_custkey, o_orderpriority AS p, count(*) AS n FROM orders GROUP BY ALL),
+g AS (SELECT o_custkey, list(p ORDER BY p) AS got, coalesce(list(p ORDER BY p) FILTER (n > 1), []) AS dup FROM n GROUP BY 1),
+m AS (SELECT *, list_filter({_WANT}, lambda x: NOT list_contains(got, x)) AS miss, list_filter(got, lambda x: NOT list_contains({_WANT}, x)) AS extra FROM g)
+SELECT o_custkey, array_to_string(miss, ',') AS missing, array_to_string(extra, ',') AS extra, array_to_string(dup, ',') AS duplicates,
+  CASE WHEN len(miss) > 0 THEN 'MISSING' WHEN len(extra) > 0 THEN 'EXTRA' WHEN len(dup) > 0 THEN 'DUPLICATED' ELSE 'PASS' END AS status FROM m""")
+def coverage(spark: SparkSession, sf: str) -> DataFrame:
+    return compare.coverage_check(read_table(spark, sf, "orders"), "o_custkey", "o_orderpriority", PRIORITIES)
+
+
+@register("group_distinct_rollup", """
+SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT l_returnflag)), ',') AS flags, count(*) AS n_lines, count(DISTINCT l_suppkey) AS n_suppliers,
+ count(*) FILTER (l_linestatus = 'F') AS n_final FROM lineitem GROUP BY l_orderkey""")
+def group_rollup(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    return li.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("flags"), F.count(F.lit(1)).alias("n_lines"), F.count_distinct("l_suppkey").alias("n_suppliers"), F.count_if(F.col("l_linestatus") == "F").alias("n_final"))
+
+
+def _part_lookup(order: str):
+    def f(spark, sf):
+        part = read_table(spark, sf, "part")
+        dim = part.select("p_name", F.col("p_partkey").alias("ref_key"), F.col("p_brand").alias("ref_brand"))
+        way = F.col("ref_key").desc() if order == "DESC" else F.col("ref_key").asc()
+        return lookup.lookup(part.select("p_partkey", "p_name"), dim, "p_name", [way]).select("p_partkey", "ref_key", "ref_brand")
+
+    return f
+
+
+for _name, _o in (("lookup_last_wins", "DESC"), ("lookup_first_wins", "ASC")):
+    register(_name, f"""
+WITH d AS (SELECT p_name, p_partkey AS ref_key, p_brand AS ref_brand FROM part QUALIFY row_number() OVER (PARTITION BY p_name ORDER BY p_partkey {_o}) = 1)
+SELECT p_partkey, ref_key, ref_brand FROM part LEFT JOIN d USING (p_name)""")(_part_lookup(_o))
+
+
+@register("lookup_multimap_summary", """
+SELECT p_brand, count(*) AS n_hits, count(DISTINCT p_type) AS n_types, array_to_string(list_sort(list(DISTINCT p_type)), ' | ') AS types FROM part GROUP BY p_brand""")
+def multimap(spark, sf):
+    return read_table(spark, sf, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n_hits"), F.count_distinct("p_type").alias("n_types"), F.array_join(F.array_sort(F.collect_set("p_type")), " | ").alias("types"))
+
+
+@register("lookup_cascade", """
+WITH a AS (SELECT p_name AS k, min(p_partkey) AS v FROM part WHERE p_size < 10 GROUP BY 1), b AS (SELECT p_type AS k, min(p_partkey) AS v FROM part WHERE p_size < 3 AND p_brand < 'Brand#2' GROUP BY 1),
+c AS (SELECT p_brand AS k, min(p_partkey) AS v FROM part GROUP BY 1)
+SELECT p_partkey, CASE WHEN a.k IS NOT NULL THEN a.v WHEN b.k IS NOT NULL THEN b.v ELSE c.v END AS ref, CASE WHEN a.k IS NOT NULL THEN 'name' WHEN b.k IS NOT NULL THEN 'type' WHEN c.k IS NOT NULL THEN 'brand' END AS match_source
+FROM part LEFT JOIN a ON p_name = a.k LEFT JOIN b ON p_type = b.k LEFT JOIN c ON p_brand = c.k""")
+def cascade(spark, sf):
+    part = read_table(spark, sf, "part")
+    dim = lambda k, where: part.filter(where).groupBy(F.col(k).alias("key")).agg(F.min("p_partkey").alias("v"))
+    steps = [("name", dim("p_name", "p_size < 10"), "p_name", "v"), ("type", dim("p_type", "p_size < 3 AND p_brand < 'Brand#2'"), "p_type", "v"), ("brand", dim("p_brand", "true"), "p_brand", "v")]
+    return lookup.cascade_lookup(part, steps, "ref").select("p_partkey", "ref", "match_source")
+
+
+@register("best_of_hits", """
+SELECT c_custkey, s_suppkey, (s_acctbal >= c_acctbal) AS richer FROM customer JOIN supplier ON c_nationkey = s_nationkey
+QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY (s_acctbal >= c_acctbal) DESC, s_suppkey) = 1""")
+def best_hits(spark, sf):
+    hits = read_table(spark, sf, "customer").join(read_table(spark, sf, "supplier"), F.col("c_nationkey") == F.col("s_nationkey"))
+    return lookup.best_hit(hits.withColumn("richer", F.col("s_acctbal") >= F.col("c_acctbal")), ["c_custkey"], [F.desc("richer"), F.col("s_suppkey")]).select("c_custkey", "s_suppkey", "richer")
+
+
+def _contains(both: bool):
+    def f(spark, sf):
+        part = read_table(spark, sf, "part")
+        probes = part.select(F.explode(F.split("p_name", " ")).alias("probe")).distinct()
+        return lookup.contains_join(part.select("p_name").distinct(), "p_name", probes, "probe", both).select("p_name", "probe")
+
+    return f
+
+
+for _name, _extra in (("contains_join", ""), ("bidi_contains_join", " OR contains(probe, p_name)")):
+    register(_name, f"""
+WITH n AS (SELECT DISTINCT p_name FROM part), t AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS probe FROM part)
+SELECT p_name, probe FROM n JOIN t ON probe <> '' AND (contains(p_name, probe){_extra})""")(_contains(bool(_extra)))
+
+
+@register("token_join_first", """
+WITH dim AS (SELECT word, min(p_partkey) AS ref FROM (SELECT unnest(string_split(p_name, ' ')) AS word, p_partkey FROM part WHERE p_size > 25) GROUP BY 1),
+e AS (SELECT p_partkey, w[i] AS word, i FROM (SELECT p_partkey, string_split(p_name, ' ') AS w, unnest(range(1, len(string_split(p_name, ' ')) + 1)) AS i FROM part))
+SELECT p_partkey, word, ref FROM e JOIN dim USING (word) QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY i) = 1""")
+def token_first(spark, sf):
+    part = read_table(spark, sf, "part")
+    dim = part.filter("p_size > 25").select(F.explode(F.split("p_name", " ")).alias("word"), "p_partkey").groupBy("word").agg(F.min("p_partkey").alias("ref"))
+    return lookup.token_join(part.select("p_partkey", F.split("p_name", " ").alias("tokens")), "p_partkey", "tokens", dim, "word").select("p_partkey", "word", "ref")
+
+
+@register("fuzzy_overlap_best", """
+WITH d AS (SELECT n_nationkey AS k, string_split(lower(n_name || ' ' || p.p_name), ' ') AS w FROM nation JOIN part p ON p.p_partkey = n_nationkey),
+b AS (SELECT DISTINCT k, unnest(w) AS x FROM d), a AS (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS x FROM part)
+SELECT p_partkey, k, count(*) AS n_shared FROM a JOIN b USING (x) GROUP BY p_partkey, k QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY count(*) DESC, k) = 1""")
+def overlap(spark, sf):
+    part = read_table(spark, sf, "part")
+    d = read_table(spark, sf, "nation").join(part, F.col("p_partkey") == F.col("n_nationkey")).select(F.col("n_nationkey").alias("k"), F.split(F.lower(F.concat_ws(" ", "n_name", "p_name")), " ").alias("w"))
+    return lookup.overlap_best(part.select("p_partkey", F.split("p_name", " ").alias("words")), "p_partkey", "words", d, "k", "w")
+
+
+_OLD = "SELECT p_partkey, p_name, p_size, p_retailprice FROM part WHERE p_partkey % 11 <> 3"
+_NEW = "SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN upper(p_name) ELSE p_name END AS p_name, CASE WHEN p_partkey % 5 = 0 THEN p_size + 1 ELSE p_size END AS p_size, p_retailprice FROM part WHERE p_partkey % 13 <> 4"
+
+
+def _two(spark, sf):
+    part = read_table(spark, sf, "part")
+    new = part.filter("p_partkey % 13 != 4").withColumns({"p_name": F.expr("CASE WHEN p_partkey % 7 = 0 THEN upper(p_name) ELSE p_name END"), "p_size": F.expr("CASE WHEN p_partkey % 5 = 0 THEN p_size + 1 ELSE p_size END")})
+    return part.filter("p_partkey % 11 != 3"), new
+
+
+@register("full_outer_diff_status", f"""
+WITH a AS ({_OLD}), b AS ({_NEW}), j AS (SELECT coalesce(a.p_partkey, b.p_partkey) AS p_partkey, a.p_partkey AS ka, b.p_partkey AS kb,
+ CASE WHEN a.p_partkey IS NULL OR b.p_partkey IS NULL THEN '' ELSE concat_ws(',', CASE WHEN a.p_name IS DISTINCT FROM b.p_name THEN 'p_name' END, CASE WHEN a.p_size IS DISTINCT FROM b.p_size THEN 'p_size' END) END AS changed
+ FROM a FULL JOIN b ON a.p_partkey = b.p_partkey)
+SELECT p_partkey, CASE WHEN kb IS NULL THEN 'REMOVED' WHEN ka IS NULL THEN 'ADDED' WHEN changed <> '' THEN 'CHANGED' ELSE 'SAME' END AS status, changed FROM j""")
+def full_diff(spark, sf):
+    return compare.table_diff(*_two(spark, sf), "p_partkey", ["p_name", "p_size"])
+
+
+@register("stable_volatile_diff", f"""
+WITH a AS ({_OLD}), b AS ({_NEW}) SELECT a.p_partkey, CASE WHEN a.p_name IS DISTINCT FROM b.p_name THEN 'MISMATCH' WHEN a.p_size IS DISTINCT FROM b.p_size THEN 'DRIFT' ELSE 'MATCH' END AS status FROM a JOIN b USING (p_partkey)""")
+def stable_volatile(spark, sf):
+    d = compare.table_diff(*_two(spark, sf), "p_partkey", ["p_name", "p_size"]).filter("status IN ('CHANGED', 'SAME')")
+    return d.select("p_partkey", compare.ladder((F.contains("changed", F.lit("p_name")), "MISMATCH"), (F.col("changed") != "", "DRIFT"), default="MATCH").alias("status"))
+
+
+@register("anti_both_ways", """
+SELECT 'customer' AS side, c_custkey AS k FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)
+UNION ALL SELECT DISTINCT 'orders', o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)""")
+def anti(spark, sf):
+    c, o = read_table(spark, sf, "customer").select(F.col("c_custkey").alias("k")), read_table(spark, sf, "orders").select(F.col("o_custkey").alias("k"))
+    return c.join(o, "k", "left_anti").select(F.lit("customer").alias("side"), "k").union(o.join(c, "k", "left_anti").distinct().select(F.lit("orders"), "k"))
+
+
+@register("set_compare", """
+WITH g AS (SELECT l_orderkey, list(l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey) AS got FROM lineitem GROUP BY 1)
+SELECT l_orderkey, array_to_string(list_sort(list_filter(['A','N','R'], lambda x: NOT list_contains(got, x))), ',') AS missing, (len(list_distinct(got)) = 3) AS same,
+ (len(list_distinct(got)) < 3) AS subset, array_to_string(list_sort(list_filter(list_distinct(got), lambda x: len(list_filter(got, lambda y: y = x)) > 1)), ',') AS dups,
+ round(100.0 * len(list_distinct(got)) / 3, 1) AS score FROM g""")
+def set_compare(spark, sf):
+    g = read_table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_returnflag").alias("got"))
+    want = F.array(F.lit("A"), F.lit("N"), F.lit("R"))
+    return g.select("l_orderkey", F.array_join(arrays.missing(want, F.col("got")), ",").alias("missing"), arrays.same_set(F.col("got"), want).alias("same"), arrays.strict_subset(F.col("got"), want).alias("subset"), F.array_join(arrays.duplicates(F.col("got")), ",").alias("dups"), arrays.overlap_percent(want, F.col("got")).alias("score"))
+
+
+@register("dup_flag_keep_first", "SELECT doc_id, row_number() OVER w > 1 AS is_dup, first(doc_id) OVER w AS first_row FROM documents WINDOW w AS (PARTITION BY text ORDER BY doc_id)")
+def dup_flag(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
+    return compare.flag_duplicates(d, ["h"], "doc_id").select("doc_id", "is_dup", "first_row")
+
+
+@register("streak_breaker", """
+WITH i AS (SELECT *, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM events)
+SELECT event_id, (sum((event_type = 'error')::INT) OVER (PARTITION BY user_id, g ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))::BIGINT AS streak FROM i""")
+def streak(spark, sf):
+    return compare.streaks(read_table(spark, sf, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error").select("event_id", "streak")
+
+
+@register("carry_forward", """
+SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS last_purchase FROM events""")
+def carry(spark, sf):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    return read_table(spark, sf, "events").select("event_id", F.last(F.when(F.col("event_type") == "purchase", F.col("value")), ignorenulls=True).over(w).alias("last_purchase"))
+
+
+@register("gap_islands_merge", """
+WITH i AS (SELECT *, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING) AS g FROM conversations)
+SELECT conv_id, g::BIGINT AS block, count(*) AS n_turns, min(turn) AS first_turn, sum(length(text))::BIGINT AS chars FROM i GROUP BY conv_id, g""")
+def islands(spark, sf):
+    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
+    return read_table(spark, sf, "conversations").withColumn("block", F.sum((F.col("role") == "user").cast("int")).over(w)).groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n_turns"), F.min("turn").alias("first_turn"), F.sum(F.length("text")).alias("chars"))
+
+
+@register("stalest_topn", "SELECT user_id, max(ts) AS last_seen FROM events GROUP BY 1 ORDER BY last_seen, user_id LIMIT 15")
+def stalest(spark, sf):
+    return read_table(spark, sf, "events").groupBy("user_id").agg(F.max("ts").alias("last_seen")).orderBy(F.asc_nulls_first("last_seen"), "user_id").limit(15)
+
+
+@register("status_priority_worst", """
+SELECT o_custkey, min(CASE o_orderstatus WHEN 'P' THEN '1-P' WHEN 'O' THEN '2-O' ELSE '3-F' END) AS worst, count(*) AS n FROM orders GROUP BY 1""")
+def worst(spark, sf):
+    return read_table(spark, sf, "orders").groupBy("o_custkey").agg(F.min(F.when(F.col("o_orderstatus") == "P", "1-P").when(F.col("o_orderstatus") == "O", "2-O").otherwise("3-F")).alias("worst"), F.count(F.lit(1)).alias("n"))
+
+
+@register("pass_rate_summary", """
+SELECT o_orderpriority, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS passed, round(100.0 * count(*) FILTER (o_orderstatus = 'F') / count(*), 1) AS rate FROM orders GROUP BY 1""")
+def pass_rate(spark, sf):
+    ok = F.count_if(F.col("o_orderstatus") == "F")
+    return read_table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("total"), ok.alias("passed"), numbers.percent(ok, F.count(F.lit(1))).alias("rate"))
+
+
+@register("metric_long_unpivot", """
+SELECT metric, value FROM (SELECT count(*) AS n_rows, count(DISTINCT l_orderkey) AS n_orders, count(*) FILTER (l_returnflag = 'R') AS n_returned FROM lineitem) UNPIVOT (value FOR metric IN (n_rows, n_orders, n_returned))""")
+def metrics(spark, sf):
+    one = read_table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("l_orderkey").alias("n_orders"), F.count_if(F.col("l_returnflag") == "R").alias("n_returned"))
+    return one.unpivot([], ["n_rows", "n_orders", "n_returned"], "metric", "value")
+
+
+@register("completeness_bands", """
+SELECT d.doc_id, round(100.0 * ((d.lang IS NOT NULL)::INT + (l.doc_id IS NOT NULL)::INT + (n_chars > 1000)::INT) / 3, 1) AS score,
+ CASE WHEN (d.lang IS NOT NULL)::INT + (l.doc_id IS NOT NULL)::INT + (n_chars > 1000)::INT = 3 THEN 'HIGH' WHEN (d.lang IS NOT NULL)::INT + (l.doc_id IS NOT NULL)::INT + (n_chars > 1000)::INT = 2 THEN 'MEDIUM' ELSE 'LOW' END AS band
+FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON d.doc_id = l.doc_id""")
+def completeness(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    got = d.join(read_table(spark, sf, "labels").select("doc_id", F.lit(1).alias("has")).distinct(), "doc_id", "left")
+    n = sum((c.cast("int") for c in (F.col("lang").isNotNull(), F.col("has").isNotNull(), F.col("n_chars") > 1000)), F.lit(0))
+    score = numbers.percent(n, F.lit(3))
+    return got.select("doc_id", score.alias("score"), numbers.band(score).alias("band"))
+
+
+@register("rollup_summary", "SELECT r_name, n_name, count(*) AS n, round(sum(c_acctbal), 2) AS bal FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)")
+def rollup(spark, sf):
+    c = read_table(spark, sf, "customer").join(read_table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(read_table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return c.rollup("r_name", "n_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("bal"))
+
+
+@register("clean_name_chain", r"""
+SELECT p_partkey, trim(regexp_replace(lower(p_name || ' Processors (2nd Generation) ' || p_brand), 'generation', 'gen', 'g').replace('processors', 'processor').regexp_replace('[^a-z0-9]+', ' ', 'g')) AS clean, upper(trim(regexp_replace(regexp_replace(p_brand, '[^A-Za-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))) AS brand FROM part""")
+def clean_name(spark, sf):
+    name = F.concat(F.col("p_name"), F.lit(" Processors (2nd Generation) "), F.col("p_brand"))
+    return read_table(spark, sf, "part").select("p_partkey", text.chain(name, text.PRODUCT_NAME).alias("clean"), text.alnum_upper(F.col("p_brand")).alias("brand"))
+
+
+@register("regex_first_last_all", r"""
+SELECT event_id, nullif(regexp_extract(props || ' ' || event_id, '[0-9]+'), '') AS first_number, regexp_extract_all(props || ' ' || event_id, '[0-9]+')[-1] AS last_number, array_to_string(list_distinct(list_sort(regexp_extract_all(props || ' ' || event_id, '[0-9]'))).list_sort(), '') AS digits FROM events""")
+def regexes(spark, sf):
+    t = F.concat_ws(" ", "props", "event_id")
+    return read_table(spark, sf, "events").select("event_id", text.first_match(t, "[0-9]+").alias("first_number"), text.last_match(t, "[0-9]+").alias("last_number"), F.array_join(F.array_sort(text.distinct_matches(t, "[0-9]")), "").alias("digits"))
+
+
+@register("capacity_to_mb", "SELECT p_partkey, p_size * CASE p_partkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 1024 ELSE 1048576 END::DOUBLE AS mb, p_partkey % 4 = 0 AS by_four FROM part")
+def capacity(spark, sf):
+    cell = F.concat(F.col("p_size").cast("string"), F.element_at(F.array(F.lit("MB"), F.lit(" gb"), F.lit(" TB")), (F.col("p_partkey") % 3 + 1).cast("int")))
+    return read_table(spark, sf, "part").select("p_partkey", numbers.capacity_mb(cell).alias("mb"), numbers.divides(F.col("p_partkey"), F.lit(4)).alias("by_four"))
+
+
+@register("number_words", "SELECT r_regionkey, ([21, 7, 40, 19, NULL])[r_regionkey + 1] AS n FROM region")
+def words_to_numbers(spark, sf):
+    cell = F.element_at(F.array(*map(F.lit, ("twenty-one", "Seven", "forty", " nineteen", "many"))), F.col("r_regionkey") + 1)
+    return read_table(spark, sf, "region").select("r_regionkey", text.number_words(cell).alias("n"))
+
+
+@register("literal_list_parse", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || '|' || p_type WHEN 1 THEN p_name WHEN 2 THEN p_brand || '|' || p_type ELSE '' END AS items FROM part")
+def list_parse(spark, sf):
+    q = "CASE p_partkey % 4 WHEN 0 THEN concat(\"['\", p_name, \"', '\", p_type, \"']\") WHEN 1 THEN p_name WHEN 2 THEN concat('[', p_brand, ', nan, ', p_type, ']') ELSE '  ' END"
+    return read_table(spark, sf, "part").select("p_partkey", F.array_join(text.parse_list(F.expr(q)), "|").alias("items"))
+
+
+@register("sku_synthesis", "SELECT p_partkey, upper(left(p_brand, 1)) || p_size || 'x' || left(p_type, 3) || '-' || right('0000' || p_partkey, 4) AS sku FROM part")
+def sku(spark, sf):
+    return read_table(spark, sf, "part").select("p_partkey", F.concat(F.upper(F.expr("left(p_brand, 1)")), F.col("p_size"), F.lit("x"), F.expr("left(p_type, 3)"), F.lit("-"), F.expr("right(concat('0000', p_partkey), 4)")).alias("sku"))
+
+
+@register("json_prop_extract", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, array_to_string(list_sort(json_keys(props)), ',') AS keys FROM events")
+def json_props(spark, sf):
+    return read_table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"), F.array_join(F.array_sort(F.json_object_keys("props")), ",").alias("keys"))
+
+
+@register("page_facts")
+def page_facts(spark, sf):
+    """Title, first heading and links of each page; tested against a plain parser."""
+    got = read_table(spark, sf, "pages").select("page_id", "html", html.page_facts("html").alias("f"))
+    return got.select("page_id", "f.title", "f.h1", F.size("f.links").alias("n_links"), html.looks_blocked(F.col("f.title"), F.col("html")).alias("blocked"))
+
+
+@register("url_canonical", r"SELECT page_id, regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', '') AS url FROM pages")
+def urls(spark, sf):
+    return read_table(spark, sf, "pages").select("page_id", text.strip_query(F.col("url")).alias("url"))
+
+
+@register("map_diff", """
+SELECT p_partkey, array_to_string(list_filter(['brand', 'size'], lambda k: (k = 'brand' AND p_partkey % 5 = 0) OR (k = 'size' AND p_partkey % 3 = 0)), ',') AS differ FROM part""")
+def maps(spark, sf):
+    a = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("size"), F.col("p_size").cast("string"))
+    b = F.create_map(F.lit("brand"), F.expr("CASE WHEN p_partkey % 5 = 0 THEN 'other' ELSE p_brand END"), F.lit("size"), F.expr("CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE cast(p_size AS string) END"))
+    return read_table(spark, sf, "part").select("p_partkey", F.array_join(arrays.map_diff(a, b), ",").alias("differ"))
+
+
+@register("variant_intersection", """
+WITH a AS (SELECT DISTINCT l_partkey AS k, l_suppkey AS pn FROM lineitem WHERE l_returnflag = 'A'), b AS (SELECT DISTINCT l_partkey AS k, l_suppkey AS pn FROM lineitem WHERE l_returnflag = 'N')
+SELECT k, pn FROM a JOIN b USING (k, pn)""")
+def variants(spark, sf):
+    li = read_table(spark, sf, "lineitem")
+    side = lambda f: li.filter(F.col("l_returnflag") == f).select(F.col("l_partkey").alias("k"), F.col("l_suppkey").alias("pn")).distinct()
+    return side("A").join(side("N"), ["k", "pn"])
+
+
+@register("union_by_name", "SELECT o_orderkey AS k, o_orderstatus AS status, NULL::VARCHAR AS flag FROM orders UNION ALL SELECT l_orderkey, NULL, l_returnflag FROM lineitem")
+def union_named(spark, sf):
+    o = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"))
+    return o.unionByName(read_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("flag")), allowMissingColumns=True)
+
+
+@register("append_dedup", "SELECT p_name, min(p_partkey) AS p_partkey FROM part WHERE p_partkey % 2 = 1 AND p_name NOT IN (SELECT p_name FROM part WHERE p_size = 1) GROUP BY 1")
+def appended(spark, sf):
+    part = read_table(spark, sf, "part").select("p_name", "p_partkey", "p_size")
+    return append_new(part.filter("p_size = 1"), part.filter("p_partkey % 2 = 1"), "p_name", "p_partkey").select("p_name", "p_partkey")
+
+
+@register("state_upsert_pending", """
+WITH done AS (SELECT c_custkey FROM customer WHERE c_acctbal > 5000) SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM done)""")
+def pending(spark, sf):
+    c = read_table(spark, sf, "customer")
+    return state.pending(c, c.filter("c_acctbal > 5000"), "c_custkey").select("c_custkey", "c_name")
+
+
+@register("tumbling_counts", "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def tumbling(spark, sf):
+    return state.windowed_counts(read_table(spark, sf, "events"), "ts", "event_type")
+
+
+@register("session_counts", """
+WITH g AS (SELECT user_id, ts, (ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE) IS NOT TRUE AS fresh FROM events),
+s AS (SELECT user_id, sum(fresh::INT) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, count(DISTINCT k) AS sessions, count(*) AS n FROM s GROUP BY 1""")
+def sessions(spark, sf):
+    s = read_table(spark, sf, "events").groupBy("user_id", F.session_window("ts", "30 minutes")).agg(F.count(F.lit(1)).alias("c"))
+    return s.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("c").alias("n"))
+
+
+@register("compare_ladder", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 AND o_orderkey % 4 = 0 THEN 'EMPTY' WHEN o_orderkey % 10 = 0 OR o_orderkey % 4 = 0 THEN 'MISSING' WHEN o_orderkey % 3 = 0 THEN 'MISMATCH' ELSE 'MATCH' END AS status FROM orders""")
+def ladder(spark, sf):
+    e = F.expr("CASE WHEN o_orderkey % 10 = 0 THEN ' ' ELSE o_orderstatus END")
+    a = F.expr("CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'other' ELSE concat(o_orderstatus, ' ') END")
+    return read_table(spark, sf, "orders").select("o_orderkey", compare.compare_text(e, a).alias("status"))
