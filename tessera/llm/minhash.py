@@ -7,7 +7,7 @@ gives an estimate of the Jaccard similarity that drops pairs far below the thres
 shingle sets.
 
 Equal sets form classes, and only representatives are compared. In each band group every member is first compared with
-the smallest one; then only members of groups that still hold several components are compared across components. So a
+the one that shares most bands with others, a hub; then with a hub of another component; then only members of groups that still hold several components are compared across components. So a
 large group of copies costs about one comparison a member, and no two texts that share a band stay untested and apart.
 """
 
@@ -117,31 +117,41 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 
 #: How often groups of several components get a new hub before all across components are compared.
-STAR_TURNS = 2
-BITS = ("w0", "w1", "w2", "w3")
+STAR_TURNS = 1
+#: Parity bitmaps of shingle sets, as longs w0, w1, ...
+BITS = tuple(f"w{i}" for i in range(32))
 
 
-def _bits(sigs: DataFrame) -> DataFrame:
-    """(id, w0 .. w3): the lowest bit of each register."""
+def parity(h: np.ndarray) -> np.ndarray:
+    """Of each of 2048 bins, whether an odd number of the hashes falls in it, as 32 longs.
+
+    Bins that differ between two sets hold an element that only one of them has, so their number is never more than the
+    size of the symmetric difference: a bound that loses no pair.
+    """
+    n = 64 * len(BITS)
+    odd = np.bincount((h % np.uint64(n)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _bits(texts: DataFrame, width: int) -> DataFrame:
+    """(id, w0, ...) of (id, z)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            r = np.stack([np.frombuffer(x.as_py(), np.uint16) for x in b.column(1)]) & 1 if b.num_rows else np.zeros((0, BUCKETS), np.uint16)
-            w = np.ascontiguousarray(np.packbits(r.astype(np.uint8), axis=1)).view(np.int64)
+            w = np.array([parity(shingles(unzip(z.as_py()), width)) for z in b.column(1)], np.int64).reshape(-1, len(BITS))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(w[:, k]) for k in range(len(BITS)))], names=["id", *BITS])
 
-    return sigs.select("id", "regs").dropDuplicates(["id"]).mapInArrow(run, "id long, " + ", ".join(f"{w} long" for w in BITS))
+    return texts.select("id", "z").mapInArrow(run, "id long, " + ", ".join(f"{w} long" for w in BITS))
 
 
-def most_bits(percent: int) -> int:
-    """Differing low bits that a pair at the threshold exceeds only six standard deviations off its mean."""
-    p = (1 - percent / 100) / 2
-    return int(BUCKETS * p + 6 * (BUCKETS * p * (1 - p)) ** 0.5) + 1
+def _most_linked(c):
+    """The member of a group with the greatest degree, least id on ties, as struct h."""
+    return F.max(F.struct("degree", (-F.col("id")).alias("i"), F.col("id"), F.col("n"), c.alias("c"))).alias("h")
 
 
 def _mixed(groups: DataFrame, part: DataFrame) -> DataFrame:
-    """(g, id, n, c) of the groups that hold several components."""
-    at = groups.select("g", "id", "n").join(part, "id", "left").select("g", "id", "n", F.coalesce("c", "id").alias("c"))
+    """(g, id, n, degree, c) of the groups that hold several components."""
+    at = groups.join(part, "id", "left").select("g", "id", "n", "degree", F.coalesce("c", "id").alias("c"))
     return at.join(at.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("g"), "g")
 
 
@@ -158,31 +168,36 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, text: str
     member = materialise(sigs.select("id", "fp").filter("fp IS NOT NULL AND id IS NOT NULL").join(classes, "fp").select("id", "rep"), "classes")
     reps = materialise(sigs.join(classes.select(F.col("rep").alias("id"), F.col("fp").alias("f")), "id").filter("fp = f").drop("f").dropDuplicates(["id", "fp"]), "representatives")
     bands = reps.select("id", "n", F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(regs, b * {2 * BAND} + 1, {2 * BAND})))")).alias("g"))
-    hubs = bands.groupBy("g").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("g", "hub")
-    groups = materialise(bands.join(hubs, "g"), "bands")  # only groups of two members or more
+    sizes = bands.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    groups = materialise(bands.join(sizes, "g"), "bands")  # only groups of two members or more
     release(spark)
+    # the text that copies were made from shares more bands with them than they do with each other
+    degree = groups.groupBy("id").agg(F.sum("c").alias("degree"))
+    groups = materialise(groups.select("g", "id", "n").join(degree, "id"), "groups")
     involved = groups.select("id").distinct()
     texts = materialise(zipped(df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")), ["id"], "t").join(involved, "id", "left_semi").dropDuplicates(["id"]), "texts")
     release(spark)
     near = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    sizes = reps.select(F.col("id").alias("hub"), F.col("n").alias("m")).dropDuplicates(["hub"])
-    first = groups.filter("id != hub").select("id", "hub", "n").distinct().join(sizes, "hub").filter(near).select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    tested = materialise(first, "pairs")
+    hub = groups.groupBy("g").agg(_most_linked(F.lit(0))).select("g", F.col("h.id").alias("b"), F.col("h.n").alias("m"))
+    first = groups.join(hub, "g").filter(f"id != b AND {near}").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
+    tested = materialise(first.distinct(), "pairs")
     links = materialise(_confirmed(_estimated(tested, reps, percent), texts, width, percent), "links")
     part = components(links, "a", "b").toDF("id", "c")
-    bits = materialise(_bits(reps), "bits")
-    for turn in range(STAR_TURNS):  # other hubs, so that the comparison of all across components has little left
-        at = _mixed(groups, part)
-        hub = at.groupBy("g").agg(F.min(F.struct(F.xxhash64("id", F.lit(turn)), "id", "c", "n")).alias("h")).select("g", F.col("h.id").alias("b"), F.col("h.n").alias("m"), F.col("h.c").alias("d"))
+    for _ in range(STAR_TURNS):  # a hub outside the first one's component, so that the last comparison has little left
+        at = materialise(_mixed(groups, part), "mixed")
+        top = at.groupBy("g").agg(_most_linked(F.col("c"))).select("g", F.col("h.c").alias("e"))
+        hub = at.join(top, "g").filter("c != e").groupBy("g").agg(_most_linked(F.col("c"))).select("g", F.col("h.id").alias("b"), F.col("h.n").alias("m"), F.col("h.c").alias("d"))
         star = at.join(hub, "g").filter(f"c != d AND {near}").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
         more = materialise(star.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(more)
         links = links.union(materialise(_confirmed(_estimated(more, reps, percent), texts, width, percent), "links"))
         part = components(links, "a", "b").toDF("id", "c")
     # what still holds several components is compared across them
-    at = materialise(_mixed(groups, part).join(bits, "id"), "mixed")
+    at = materialise(_mixed(groups, part), "mixed")
+    bits = materialise(_bits(texts.join(at.select("id").distinct(), "id", "left_semi"), width), "bits")
+    at = materialise(at.select("g", "id", "n", "c").join(bits, "id"), "mixed")
     other = at.select("g", *(F.col(c).alias(f"{c}_") for c in ("id", "n", "c", *BITS)))
-    alike = " + ".join(f"bit_count({w} ^ {w}_)" for w in BITS) + f" <= {most_bits(percent)}"
+    alike = f"{100 + percent} * (" + " + ".join(f"bit_count({w} ^ {w}_)" for w in BITS) + f") <= {100 - percent} * (n + n_)"
     cross = at.join(other, (at["g"] == other["g"]) & F.expr(f"id > id_ AND c != c_ AND 100 * least(n, n_) >= {percent} * greatest(n, n_) AND {alike}")).select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
     more = materialise(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
     links = links.union(materialise(_confirmed(_estimated(more, reps, percent), texts, width, percent), "links"))
