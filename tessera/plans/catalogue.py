@@ -21,8 +21,8 @@ def register(name: str, sql: str | None = None):
 from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tessera.functions import arrays, numbers, text  # noqa: E402
-from tessera.operators import compare, html, lookup  # noqa: E402
+from tessera.functions import arrays, models, numbers, text  # noqa: E402
+from tessera.operators import compare, html, lookup, specs, verdicts  # noqa: E402
 from tessera.sources.tables import append_new, read_table  # noqa: E402
 from tessera.streaming import state  # noqa: E402
 
@@ -351,3 +351,118 @@ def ladder(spark, sf):
     e = F.expr("CASE WHEN o_orderkey % 10 = 0 THEN ' ' ELSE o_orderstatus END")
     a = F.expr("CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 'other' ELSE concat(o_orderstatus, ' ') END")
     return read_table(spark, sf, "orders").select("o_orderkey", compare.compare_text(e, a).alias("status"))
+
+
+@register("key_coverage_score", """
+WITH g AS (SELECT o_custkey, round(100.0 * count(DISTINCT o_orderpriority) / 5, 1) AS score FROM orders GROUP BY 1)
+SELECT o_custkey, score, CASE WHEN score >= 75 THEN 'HIGH' WHEN score >= 50 THEN 'MEDIUM' ELSE 'LOW' END AS band FROM g""")
+def coverage_score(spark, sf):
+    g = read_table(spark, sf, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderpriority").alias("got"))
+    score = arrays.overlap_percent(F.array(*map(F.lit, PRIORITIES)), F.col("got"))
+    return g.select("o_custkey", score.alias("score"), numbers.band(score).alias("band"))
+
+
+@register("sliding_counts", """
+SELECT w AS window_start, event_type, count(*) AS n FROM (SELECT event_type, unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS w FROM events) GROUP BY ALL""")
+def sliding(spark, sf):
+    e = read_table(spark, sf, "events").groupBy(F.window("ts", "1 hour", "30 minutes").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return e.select(F.col("w.start").alias("window_start"), "event_type", "n")
+
+
+@register("rank_canonical", """
+SELECT p_partkey, (p_size % 4 + 1) || 'Rx' || (p_size % 2 * 4 + 4) AS of_text, (p_size % 4 + 1) || 'Rx8' AS of_columns, (p_size % 4 + 1) || 'Rx16' AS of_description FROM part""")
+def rank_canonical(spark, sf):
+    n, w = F.col("p_size") % 4 + 1, F.col("p_size") % 2 * 4 + 4
+    note = F.concat(F.lit("kit of 1Rx8, "), F.col("p_name"), F.lit(" "), n, F.lit("r X16 module"))
+    return read_table(spark, sf, "part").select("p_partkey", models.rank(F.concat(F.lit(" "), n, F.lit(" r x "), w)).alias("of_text"), models.rank_of_columns(F.concat(n, F.lit(".0")), F.lit("x8")).alias("of_columns"), models.last_rank(note).alias("of_description"))
+
+
+@register("rank_sort", """
+WITH d AS (SELECT DISTINCT p_brand, CASE WHEN p_partkey % 7 = 0 THEN 'none' ELSE p_size || 'Rx' || (p_partkey % 3 * 4) END AS x, CASE WHEN p_partkey % 7 = 0 THEN 999 ELSE p_size END AS r, CASE WHEN p_partkey % 7 = 0 THEN 999 ELSE p_partkey % 3 * 4 END AS w FROM part)
+SELECT p_brand, string_agg(x, ',' ORDER BY r, w, x) AS ranks FROM d GROUP BY 1""")
+def rank_sort(spark, sf):
+    x = F.expr("CASE WHEN p_partkey % 7 = 0 THEN 'none' ELSE concat(p_size, 'Rx', p_partkey % 3 * 4) END")
+    return read_table(spark, sf, "part").groupBy("p_brand").agg(F.array_join(models.sort_ranks(F.collect_set(x)), ",").alias("ranks"))
+
+
+@register("model_token_extract", r"""
+WITH t AS (SELECT p_partkey, lower(p_name || ' E' || (p_partkey + 100) || 'v 3647 and ' || (p_partkey % 900 + 100) || 'X') AS t FROM part)
+SELECT p_partkey, array_to_string(list_filter(regexp_extract_all(t, '\b[a-z]?[0-9]{3,5}[a-z]?\b'), lambda x: NOT regexp_full_match(x, '[0-9]{4}')), ',') AS models FROM t""")
+def model_tokens(spark, sf):
+    t = F.expr("concat(p_name, ' E', p_partkey + 100, 'v 3647 and ', p_partkey % 900 + 100, 'X')")
+    return read_table(spark, sf, "part").select("p_partkey", F.array_join(models.model_tokens(t), ",").alias("models"))
+
+
+@register("generation_extract", "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE (p_size % 9 + 1)::VARCHAR END AS gen FROM part")
+def generation(spark, sf):
+    t = F.expr("CASE WHEN p_partkey % 3 = 0 THEN p_name WHEN p_partkey % 3 = 1 THEN concat(p_name, ' ', p_size % 9 + 1, 'th Gen') ELSE concat(p_size % 9 + 1, 'rd generation ', p_name) END")
+    return read_table(spark, sf, "part").select("p_partkey", models.generation(t).alias("gen"))
+
+
+@register("speed_entry_parse", "SELECT p_partkey, p_name AS name, (p_size + 2000) || 'MT/S,' || (p_size + 10000) || 'MHZ' AS speeds FROM part")
+def speed_entries(spark, sf):
+    t = F.expr("concat(p_name, ' (', p_size + 2000, ' MT/s) (', p_size + 10000, 'MHz) (', p_size + 2000, 'mt/s)')")
+    return read_table(spark, sf, "part").select("p_partkey", models.before_paren(t).alias("name"), F.array_join(models.speeds(t), ",").alias("speeds"))
+
+
+@register("slash_versions", "SELECT p_partkey, unnest(CASE WHEN p_partkey % 2 = 0 THEN [p_name || ' v' || p_size || ' kit', p_name || ' v3 kit'] ELSE [p_name || '/x'] END) AS name FROM part")
+def slash_versions(spark, sf):
+    t = F.expr("CASE WHEN p_partkey % 2 = 0 THEN concat(p_name, ' v', p_size, '/v3 kit') ELSE concat(p_name, '/x') END")
+    return read_table(spark, sf, "part").select("p_partkey", F.explode(models.slash_versions(t)).alias("name"))
+
+
+@register("phrase_assembly", "SELECT p_partkey, p_name || ' ' || p_type || ' processor|' || p_brand AS phrases FROM part")
+def phrase_assembly(spark, sf):
+    tokens = F.split(F.concat_ws(" ", "p_name", "p_type", F.lit("processor"), "p_brand"), " ")
+    return read_table(spark, sf, "part").select("p_partkey", F.array_join(models.phrases(tokens), "|").alias("phrases"))
+
+
+@register("unit_max", """
+WITH t AS (SELECT p_brand, p_size || CASE p_partkey % 3 WHEN 0 THEN 'MB' WHEN 1 THEN 'GB' ELSE 'TB' END AS label, p_size * CASE p_partkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 1024 ELSE 1048576 END AS mb FROM part)
+SELECT p_brand, label FROM t QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY mb DESC, label) = 1""")
+def unit_max(spark, sf):
+    t = read_table(spark, sf, "part").select("p_brand", F.expr("concat(p_size, CASE p_partkey % 3 WHEN 0 THEN 'MB' WHEN 1 THEN 'GB' ELSE 'TB' END)").alias("label"))
+    return verdicts.largest(t, "p_brand", "label", numbers.capacity_mb(F.col("label")))
+
+
+@register("status_summary_order", "SELECT o_orderstatus, count(*) AS n, CASE o_orderstatus WHEN 'P' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS place FROM orders GROUP BY 1")
+def status_order(spark, sf):
+    return verdicts.status_summary(read_table(spark, sf, "orders"), "o_orderstatus", ["P", "O"])
+
+
+@register("head_per_status", "SELECT o_orderstatus, o_orderkey FROM orders QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) <= 2")
+def head_status(spark, sf):
+    return verdicts.head_per(read_table(spark, sf, "orders").select("o_orderstatus", "o_orderkey"), "o_orderstatus", [F.col("o_orderkey")], 2)
+
+
+@register("nested_key_search", "SELECT p_partkey, CASE WHEN p_partkey % 4 = 3 THEN NULL ELSE p_brand END AS chipset FROM part")
+def nested_search(spark, sf):
+    t = F.expr(r"""CASE p_partkey % 4 WHEN 0 THEN concat('{"board": [{"size": 1}, {"io": {"ChipSet": "', p_brand, '"}}]}') WHEN 1 THEN concat("{'a': {'chipset': '', 'b': {'chipset': 'no'}}, 'c': {'chipset': '", p_brand, "'}}")
+      WHEN 2 THEN concat('it''s not JSON: "Chipset" : "', p_brand, '"') ELSE '{"board": {}}' END""")
+    return read_table(spark, sf, "part").select("p_partkey", specs.nested_value(t, "Chipset").alias("chipset"))
+
+
+@register("range_scoped_expand", """
+SELECT p_partkey, unnest(['256GB', '512GB', '1TB', '2TB']) AS capacity, unnest(CASE WHEN p_partkey % 2 = 0 THEN ['Rated | ' || p_size, 'Rated | ' || p_brand, 'Rated | ' || p_brand, 'Rated | ' || p_type]
+  ELSE [p_name || ' | 4TB — none', p_name || ' | 4TB — none', p_name || ' | 4TB — none', p_name || ' | 4TB — none'] END) AS value FROM part""")
+def range_scoped(spark, sf):
+    caps = F.array(*map(F.lit, ("256GB", "512GB", "1TB", "2TB")))
+    lines = F.expr("CASE WHEN p_partkey % 2 = 0 THEN array('Rated', concat('256 GB — ', p_size), concat('2TB–512GB — ', p_brand), concat('2TB — ', p_type)) ELSE array(p_name, '4TB — none') END")
+    return read_table(spark, sf, "part").select("p_partkey", F.explode(specs.scoped_values(lines, caps)).alias("capacity", "value"))
+
+
+@register("speed_flags", """
+SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 AND p_size < 10 THEN 'duplicate & missing' WHEN p_partkey % 2 = 0 THEN 'duplicate' WHEN p_size < 10 THEN 'missing' ELSE 'match' END AS flags,
+  CASE WHEN p_size % 3 = 0 AND p_size % 2 = 0 THEN 'match' ELSE concat_ws(' & ', CASE p_size % 3 WHEN 1 THEN '1 family missing' WHEN 2 THEN '2 families missing' END, CASE p_size % 2 WHEN 1 THEN '1 line mismatch' END) END AS counted,
+  CASE WHEN p_size < 10 THEN 'FAIL' WHEN p_partkey % 2 = 0 THEN 'DUPLICATED' ELSE 'PASS' END AS overall FROM part""")
+def speed_flags(spark, sf):
+    even, small = F.col("p_partkey") % 2 == 0, F.col("p_size") < 10
+    overall = verdicts.worst(["FAIL", "MISSING", "DUPLICATED", "PASS"], F.when(even, "DUPLICATED").otherwise("PASS"), F.when(small, "FAIL").otherwise("PASS"))
+    return read_table(spark, sf, "part").select("p_partkey", verdicts.flags((small, "missing"), (even, "duplicate")).alias("flags"), verdicts.counted((F.col("p_size") % 3, "family", "families", "missing"), (F.col("p_size") % 2, "line", "lines", "mismatch")).alias("counted"), overall.alias("overall"))
+
+
+@register("text_similarity")
+def text_similarity(spark, sf):
+    """Folded names and the matching-blocks ratio of name and type; tested against the standard library."""
+    p = read_table(spark, sf, "part")
+    return p.select("p_partkey", specs.nfkc(F.concat("p_name", F.lit("  \uff21\ufb01"))).alias("folded"), F.round(specs.similarity(F.col("p_name"), F.lower("p_type")), 6).alias("ratio"))

@@ -21,3 +21,21 @@ def windowed_counts(events: DataFrame, ts: str, kind: str, length: str = "1 hour
     if events.isStreaming:
         events = events.withWatermark(ts, late)
     return events.groupBy(F.window(ts, length).alias("w"), kind).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), kind, "n")
+
+
+def live_failures(state: DataFrame, outcomes: DataFrame, key: str, failed) -> DataFrame:
+    """The failure set after a batch of outcomes, one for each key: failures are put in, successes taken out."""
+    return upsert(state, outcomes, key).join(outcomes.filter(~failed).select(key), key, "left_anti")
+
+
+def append_stream(stream: DataFrame, path: str, key: str, checkpoint: str):
+    """A started query that appends rows of new keys to a Parquet table; a batch that is run again adds nothing."""
+
+    def batch(rows: DataFrame, _: int) -> None:
+        spark = rows.sparkSession
+        rows = rows.filter(F.col(key).isNotNull()).dropDuplicates([key])
+        if spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
+            rows = rows.join(spark.read.parquet(path).select(key), key, "left_anti")
+        rows.write.mode("append").parquet(path)
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
