@@ -167,15 +167,17 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, text: str
     classes = sigs.filter("fp IS NOT NULL AND id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep"))
     member = materialise(sigs.select("id", "fp").filter("fp IS NOT NULL AND id IS NOT NULL").join(classes, "fp").select("id", "rep"), "classes")
     reps = materialise(sigs.join(classes.select(F.col("rep").alias("id"), F.col("fp").alias("f")), "id").filter("fp = f").drop("f").dropDuplicates(["id", "fp"]), "representatives")
-    bands = reps.select("id", "n", F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(regs, b * {2 * BAND} + 1, {2 * BAND})))")).alias("g"))
+    bands = reps.select("id", F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(regs, b * {2 * BAND} + 1, {2 * BAND})))")).alias("g"))
     sizes = bands.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     groups = materialise(bands.join(sizes, "g"), "bands")  # only groups of two members or more
     release(spark)
+    # written tables have a known size: Spark broadcasts these ids if they are few and joins by sorting if they are not
+    involved = materialise(groups.select("id").distinct(), "involved")
+    reps = materialise(reps.join(involved, "id", "left_semi").select("id", "n", "regs"), "registers")
+    texts = materialise(zipped(df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")), ["id"], "t").join(involved, "id", "left_semi").dropDuplicates(["id"]), "texts")
     # the text that copies were made from shares more bands with them than they do with each other
     degree = groups.groupBy("id").agg(F.sum("c").alias("degree"))
-    groups = materialise(groups.select("g", "id", "n").join(degree, "id"), "groups")
-    involved = groups.select("id").distinct()
-    texts = materialise(zipped(df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")), ["id"], "t").join(involved, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    groups = materialise(groups.select("g", "id").join(degree.join(reps.select("id", "n"), "id"), "id"), "groups")
     release(spark)
     near = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     hub = groups.groupBy("g").agg(_most_linked(F.lit(0))).select("g", F.col("h.id").alias("b"), F.col("h.n").alias("m"))
