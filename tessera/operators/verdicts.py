@@ -44,3 +44,21 @@ def largest(df: DataFrame, by: str, label: str, size: Column) -> DataFrame:
     """(by, label) of the largest size in each group, least label on ties; null sizes never win."""
     first = F.min(F.when(size.isNotNull(), F.struct((-size).alias("s"), F.col(label).alias("l"))))
     return df.groupBy(by).agg(first.alias("m")).filter("m IS NOT NULL").select(by, F.col("m.l").alias(label))
+
+
+def compare_numbers(document: Column, expected: Column, actual: Column) -> Column:
+    """First numbers of two cells: 'Datas are not available' for an empty document, missing, match or mismatch."""
+    number = lambda c: F.nullif(F.regexp_extract(c.cast("string"), "([0-9]+(?:\\.[0-9]+)?)", 1), F.lit("")).cast("double")
+    empty = F.trim(document) == "{}"
+    return F.when(empty, "Datas are not available").when(expected.isNull() | actual.isNull(), "missing").when(number(expected) == number(actual), "match").otherwise("mismatch")
+
+
+def triage(error: Column, described: Column, coded: Column, mentioned: Column) -> Column:
+    """What an extraction is good for, from its error and whether it holds descriptions, codes and keywords."""
+    t = F.when(F.coalesce(error, F.lit("")) != "", "EXTRACTION_ERROR").when(~described & ~mentioned, "NOT_A_COMPUTE_PRODUCT")
+    return t.when(~described, "REVIEW_NO_STRUCTURED_MATCH").when(~coded, "REVIEW_DESCRIPTION_ONLY").otherwise("OK")
+
+
+def outcome(failed: Column, parts: Column, filled: Column, enough: int = 3) -> Column:
+    """FAILED, SUCCESS with any parts or more than `enough` filled fields, else PARTIAL."""
+    return F.when(failed, "FAILED").when((parts > 0) | (filled > enough), "SUCCESS").otherwise("PARTIAL")

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tessera.functions import arrays, models, numbers, text  # noqa: E402
-from tessera.operators import compare, html, lookup, specs, verdicts  # noqa: E402
+from tessera.operators import compare, documents, html, lookup, specs, verdicts  # noqa: E402
 from tessera.sources.tables import append_new, read_table  # noqa: E402
 from tessera.streaming import state  # noqa: E402
 
@@ -466,3 +466,66 @@ def text_similarity(spark, sf):
     """Folded names and the matching-blocks ratio of name and type; tested against the standard library."""
     p = read_table(spark, sf, "part")
     return p.select("p_partkey", specs.nfkc(F.concat("p_name", F.lit("  \uff21\ufb01"))).alias("folded"), F.round(specs.similarity(F.col("p_name"), F.lower("p_type")), 6).alias("ratio"))
+
+
+@register("path_cascade", """
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_size || ' slots,up to 1.5TB,2TB' WHEN 1 THEN p_name || ',768 GB' ELSE '' END AS lines,
+  CASE p_partkey % 4 WHEN 0 THEN '2TB' WHEN 1 THEN '768GB' END AS largest FROM part""")
+def path_cascade(spark, sf):
+    t = F.expr(r"""CASE p_partkey % 4 WHEN 0 THEN concat('{"System Memory": {"Memory": {"Slot Count": "', p_size, ' slots", "Items": ["up to 1.5TB", null, "2TB"]}}}')
+      WHEN 1 THEN concat('{"Memory Capacity": ["768 GB"], "System Memory": {"Memory": ["', p_name, '"]}}') WHEN 2 THEN '{"System Memory": 5}' ELSE 'not JSON' END""")
+    lines = documents.lines_at(t, '$["System Memory"]["Memory"]["Slot Count"]', '$["System Memory"]["Memory"]["Items"]', '$["System Memory"]["Memory"]', '$["Memory Capacity"]')
+    got = read_table(spark, sf, "part").select("p_partkey", lines.alias("l"))
+    return got.select("p_partkey", F.array_join("l", ",").alias("lines"), documents.largest_capacity(F.col("l")).alias("largest"))
+
+
+@register("cell_merge", """
+SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '["' || p_brand || '", "x", "y"]' WHEN 1 THEN p_brand || '; ["y"]' WHEN 2 THEN p_name ELSE p_name || '; ' || p_brand END AS merged FROM part""")
+def cell_merge(spark, sf):
+    old = F.expr("""CASE p_partkey % 4 WHEN 0 THEN concat('["', p_brand, '", "x"]') WHEN 1 THEN p_brand WHEN 2 THEN '' ELSE p_name END""")
+    new = F.expr("""CASE p_partkey % 4 WHEN 0 THEN '["x", "y"]' WHEN 1 THEN '["y"]' WHEN 2 THEN p_name ELSE p_brand END""")
+    return read_table(spark, sf, "part").select("p_partkey", documents.merge_values(old, new).alias("merged"))
+
+
+@register("sections_flat", """
+SELECT p_partkey, unnest(['Name', 'Compatible Server', 'Status Name', 'Extra']) AS field, unnest([p_name, p_brand, p_type, p_size::VARCHAR]) AS value FROM part""")
+def sections_flat(spark, sf):
+    m = F.expr("map('More', map('Extra', string(p_size)), 'Status', map('Name', p_type), 'Compatibility', map('Server', p_brand), 'General', map('Name', p_name))")
+    flat = documents.flat_sections(m, ["General", "Compatibility", "Status"], {"Compatibility": {"Server": "Compatible Server"}})
+    return read_table(spark, sf, "part").select("p_partkey", F.explode(flat).alias("field", "value"))
+
+
+@register("embedded_catalog", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_brand END AS brand FROM part")
+def embedded_catalog(spark, sf):
+    t = F.expr(r"""CASE p_partkey % 3 WHEN 0 THEN concat('<script>start("#id", {"t": "a } \\" {", "p": {"brand": "', p_brand, '"}}); go({})</script>') WHEN 1 THEN '<p>{"p": 1}</p>' ELSE 'start({"p": {"brand": "x"}' END""")
+    found = documents.embedded_object(t, "start(")
+    return read_table(spark, sf, "part").select("p_partkey", F.get_json_object(found, "$.p.brand").alias("brand"))
+
+
+@register("spec_cards", """
+SELECT p_partkey, unnest(['Memory', 'Notes']) AS heading, unnest(['Standard: ' || p_size || ' GB; Slots: ["' || p_brand || '", "' || p_name || ' / x"]', '["' || p_type || '", "two"]']) AS attrs FROM part""")
+def spec_cards(spark, sf):
+    page = F.expr(r"""concat('<div class="card a"><h3> Memory </h3><ul class="plain"><li><h4>Standard</h4><p>', p_size, '  GB</p></li><li><h4>Slots</h4><p>', p_brand, '</p><li><h4>Slots</h4><p>', p_name, '</p><p>x</p><li><h4>Slots</h4><p>', p_brand,
+      '</p></ul></div><div class="card"><h3>Notes</h3><div class="row"><ul><li>', p_type, '<li>Show<li>two<li>two</ul></div></div><div class="card"><h3>Empty</h3></div>')""")
+    got = read_table(spark, sf, "part").select("p_partkey", F.explode(html.spec_cards(page, "card", "plain", "row", ("Show",))).alias("s"))
+    return got.select("p_partkey", "s.heading", html.attrs_text(F.col("s.attrs")).alias("attrs"))
+
+
+@register("spec_table_pairs", """
+SELECT p_partkey, p_name AS name, 'Boards' AS category, 'https://x/i.png' AS image, CASE WHEN p_partkey % 2 = 0 THEN 'https://x/copy' ELSE 'https://x/' || p_partkey END AS address, unnest(['CPU', 'Size']) AS label, unnest([p_brand || ' | ' || p_type, p_size::VARCHAR]) AS value FROM part""")
+def spec_table_pairs(spark, sf):
+    page = F.expr(r"""concat('<meta property="og:image" content="/i.png">', if(p_partkey % 2 = 0, '<input id=copyLink value="https://x/copy/">', ''), '<div class="bread"><a href="/products">All</a><a href="/products/b/">Boards</a><a href="/products/b/c">It</a></div><h1>', p_name, '</h1><table><tr><th>CPU<td>', p_brand,
+      '<tr><td><td>', p_type, '</tr><tr><td>Size</td><td> ', p_size, '</td></tr><tr><td>None</td></tr></table>')""")
+    got = read_table(spark, sf, "part").select("p_partkey", html.product_head(page, F.concat(F.lit("https://x/"), F.col("p_partkey").cast("string"), F.lit("/"))).alias("h"), F.explode(html.row_pairs(html.table_rows(page))).alias("r"))
+    return got.select("p_partkey", "h.*", "r.label", "r.value")
+
+
+@register("extraction_outcomes", """
+SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'EXTRACTION_ERROR' WHEN p_size < 10 AND p_partkey % 2 = 0 THEN 'NOT_A_COMPUTE_PRODUCT' WHEN p_size < 10 THEN 'REVIEW_NO_STRUCTURED_MATCH' WHEN p_size < 20 THEN 'REVIEW_DESCRIPTION_ONLY' ELSE 'OK' END AS triage,
+  CASE WHEN p_partkey % 7 = 0 THEN 'FAILED' WHEN p_size % 3 > 0 OR p_size > 13 THEN 'SUCCESS' ELSE 'PARTIAL' END AS outcome,
+  CASE WHEN p_partkey % 3 = 0 THEN 'Datas are not available' WHEN p_partkey % 3 = 1 AND p_size < 5 THEN 'missing' WHEN p_size % 2 = 0 THEN 'match' ELSE 'mismatch' END AS slots FROM part""")
+def extraction_outcomes(spark, sf):
+    key, size = F.col("p_partkey"), F.col("p_size")
+    doc = F.when(key % 3 == 0, " {} ").otherwise("{}x")
+    slots = verdicts.compare_numbers(doc, F.when(~((key % 3 == 1) & (size < 5)), F.concat(size.cast("string"), F.lit(".0 slots"))), size + size % 2)
+    return read_table(spark, sf, "part").select("p_partkey", verdicts.triage(F.when(key % 5 == 0, "bad"), size >= 10, size >= 20, key % 2 == 1).alias("triage"), verdicts.outcome(key % 7 == 0, size % 3, size - 10).alias("outcome"), slots.alias("slots"))
