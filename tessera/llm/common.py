@@ -64,10 +64,25 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def trimmed(run):
+    """run, a function of batches, after whose last batch the worker's free memory goes back to the system: workers outlive tasks."""
+
+    def then(batches):
+        import ctypes
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim:
+            trim(0)
+
+    return then
+
+
 class WordHashes(dict):
     """Words (bytes) to 64-bit hashes; emptied at `most` entries."""
 
-    most = 500_000
+    most = 200_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -108,7 +123,7 @@ def zipped(df: DataFrame, keys: list[str], text: str, name: str = "z") -> DataFr
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], z], names=[*keys, name])
 
     kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return df.select(*keys, F.col(text)).mapInArrow(run, f"{kinds}, {name} binary")
+    return df.select(*keys, F.col(text)).mapInArrow(trimmed(run), f"{kinds}, {name} binary")
 
 
 def unzip(z: bytes) -> bytes:

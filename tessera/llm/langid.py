@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import trimmed
+
 DIM = 1 << 13
 GRAMS = (2, 3, 4)
 BLOCK = 256
@@ -90,7 +92,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], names=["k", "lang", "bits"])
 
     kind = docs.schema[key].dataType.simpleString()
-    got = sorted(((r.k, r.lang, bytes(r.bits)) for r in sample.mapInArrow(bits, f"k {kind}, lang string, bits binary").collect()), key=lambda r: (hash_order(r[0]), r[1], r[2]))
+    got = sorted(((r.k, r.lang, bytes(r.bits)) for r in sample.mapInArrow(trimmed(bits), f"k {kind}, lang string, bits binary").collect()), key=lambda r: (hash_order(r[0]), r[1], r[2]))
     if not got:
         return None
     x = np.stack([np.unpackbits(np.frombuffer(b, np.uint8)) for _, _, b in got]).astype(np.float32)
@@ -130,9 +132,9 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", lang: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in batches:
+        for b in (whole.slice(i, BLOCK) for whole in batches for i in range(0, whole.num_rows, BLOCK)):
             texts = b.column(at).to_pylist()
             langs, scores = m.predict(texts) if m else ([UNKNOWN] * len(texts), [0.0] * len(texts))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, lang, score])
 
-    return df.select(*(f"`{c}`" for c in keep)).mapInArrow(run, schema)
+    return df.select(*(f"`{c}`" for c in keep)).mapInArrow(trimmed(run), schema)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import materialise, trimmed
 
 #: Letters that look like Latin ones, and digits and signs put for letters.
 LOOKALIKES = str.maketrans("асеорхуіјѕԁһԛԝαβεικνορτυχмткнв0134578@$€", "aceopxyijsdhqwabeiknoptuxmtkhboieastbase")
@@ -27,6 +27,8 @@ _ALIKE = re.compile("[" + "".join(map(chr, LOOKALIKES)) + "]")
 _DIGITS = bytes(LOOKALIKES.get(c, c) for c in range(256))
 _MARKS = re.compile(r"[\u0300-\u036f]+")
 _BREAKS = re.compile(r"[^a-z0-9]+")
+#: Rows handed back at a time.
+SLICE = 1024
 #: Phrases in which a stem is not an insult.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "clownfish", "trash collection")
 
@@ -113,7 +115,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
         keys = list(pos.keys() | neg.keys())
         yield pa.RecordBatch.from_arrays([pa.array([*keys, ""]), pa.array([*(pos[k] for k in keys), n[1]], pa.int64()), pa.array([*(neg[k] for k in keys), n[0]], pa.int64())], names=["stem", "pos", "neg"])
 
-    counts = sample.mapInArrow(count, "stem string, pos long, neg long").groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counts = sample.mapInArrow(trimmed(count), "stem string, pos long, neg long").groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     weight = F.log((F.col("pos") + 0.5) / (F.col("np") + 1)) - F.log((F.col("neg") + 0.5) / (F.col("nn") + 1))
     counts = materialise(counts, "toxic-stems")
     total = counts.filter("stem = ''").first()
@@ -136,7 +138,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array([lexicon.raw(a, t.as_py()) for t in b.column(0)], pa.float64()), pa.array([float(y.as_py() > 0) for y in b.column(1)], pa.float64())], names=["x", "y"])
 
-    xy = np.array([(r.x, r.y) for r in sample.mapInArrow(figures, "x double, y double").collect()]).reshape(-1, 2)
+    xy = np.array([(r.x, r.y) for r in sample.mapInArrow(trimmed(figures), "x double, y double").collect()]).reshape(-1, 2)
     slope, middle = logistic(xy[:, 0], xy[:, 1])
     return Lexicon(weights, exceptions, slope, middle)
 
@@ -169,8 +171,8 @@ def score(df: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "toxi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = lexicon.automaton()
-        for b in batches:
+        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
             s = pa.array([lexicon.score(lexicon.raw(a, t.as_py())) for t in b.column(at)], pa.float64())
             yield pa.RecordBatch.from_arrays([*b.columns, s], names=[*keep, name])
 
-    return df.select(*(f"`{c}`" for c in keep)).mapInArrow(run, schema)
+    return df.select(*(f"`{c}`" for c in keep)).mapInArrow(trimmed(run), schema)
