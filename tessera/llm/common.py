@@ -64,12 +64,19 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def trimmed(run):
-    """run, a function of batches, after whose last batch the worker's free memory goes back to the system: workers outlive tasks."""
+#: Caches of this worker by name.
+CACHES: dict[str, dict] = {}
+
+
+def trimmed(run, keeps: str = ""):
+    """run, a function of batches, for workers that outlive tasks: before it all caches but the named one are emptied, after it free memory goes back to the system."""
 
     def then(batches):
         import ctypes
 
+        for name, cache in CACHES.items():
+            if name != keeps:
+                cache.clear()
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
@@ -93,7 +100,7 @@ class WordHashes(dict):
         return h
 
 
-_HASHES = WordHashes()
+_HASHES = CACHES["words"] = WordHashes()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -123,7 +130,7 @@ def zipped(df: DataFrame, keys: list[str], text: str, name: str = "z") -> DataFr
             yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], z], names=[*keys, name])
 
     kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
-    return df.select(*keys, F.col(text)).mapInArrow(trimmed(run), f"{kinds}, {name} binary")
+    return df.select(*keys, F.col(text)).mapInArrow(trimmed(run, "words"), f"{kinds}, {name} binary")
 
 
 def unzip(z: bytes) -> bytes:

@@ -79,7 +79,7 @@ def signatures(df: DataFrame, width: int, text: str, key: str) -> DataFrame:
                 regs.append(registers(h) if len(h) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(regs, pa.binary())], names=["id", "n", "fp", "regs"])
 
-    return df.select(F.col(key).cast("long").alias("id"), text).mapInArrow(trimmed(run), "id long, n long, fp binary, regs binary")
+    return df.select(F.col(key).cast("long").alias("id"), text).mapInArrow(trimmed(run, "words"), "id long, n long, fp binary, regs binary")
 
 
 def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
@@ -94,7 +94,7 @@ def _estimated(pairs: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
 
     s = sigs.select("id", "regs")
     two = pairs.join(s.toDF("a", "ra"), "a").join(s.toDF("b", "rb"), "b")
-    return two.select("a", "b", "ra", "rb").mapInArrow(trimmed(run), "a long, b long")
+    return two.select("a", "b", "ra", "rb").mapInArrow(trimmed(run, "words"), "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -113,7 +113,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     two = pairs.join(texts.toDF("a", "za"), "a").join(texts.toDF("b", "zb"), "b")
-    return two.select("a", "b", "za", "zb").mapInArrow(trimmed(run), "a long, b long")
+    return two.select("a", "b", "za", "zb").mapInArrow(trimmed(run, "words"), "a long, b long")
 
 
 #: How often groups of several components get a new hub before all across components are compared.
@@ -141,7 +141,7 @@ def _bits(texts: DataFrame, width: int) -> DataFrame:
             w = np.array([parity(shingles(unzip(z.as_py()), width)) for z in b.column(1)], np.int64).reshape(-1, len(BITS))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(w[:, k]) for k in range(len(BITS)))], names=["id", *BITS])
 
-    return texts.select("id", "z").mapInArrow(trimmed(run), "id long, " + ", ".join(f"{w} long" for w in BITS))
+    return texts.select("id", "z").mapInArrow(trimmed(run, "words"), "id long, " + ", ".join(f"{w} long" for w in BITS))
 
 
 def _most_linked(c):

@@ -156,7 +156,7 @@ def token_pieces(df: DataFrame, vocabulary: str, end_id: int, capacity: int, tex
 
     fields = [(key, kind), ("piece", "int"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")] + [("ids", "array<int>")] * ids
     names = [n for n, _ in fields]
-    return df.select(key, text).mapInArrow(trimmed(run), ", ".join(f"{n} {t}" for n, t in fields))
+    return df.select(key, text).mapInArrow(trimmed(run, "encoders"), ", ".join(f"{n} {t}" for n, t in fields))
 
 
 def pack(pieces: DataFrame, capacity: int, length: str = "length", order: tuple[str, ...] = ("doc_id", "piece"), salts: int = 64) -> DataFrame:

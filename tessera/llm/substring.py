@@ -115,7 +115,7 @@ def _scan(df: DataFrame, width: int) -> DataFrame:
             for i, j in slices(b.num_rows, sizes):
                 yield from _block(b.column(0).to_numpy()[i:j], b.column(1).to_numpy()[i:j], b.column(2).slice(i, j - i).to_pylist(), width)
 
-    return df.select("d", "h", "t").mapInArrow(trimmed(run), _SCHEMA)
+    return df.select("d", "h", "t").mapInArrow(trimmed(run, "words"), _SCHEMA)
 
 
 def _windows(asked: DataFrame, width: int) -> DataFrame:
@@ -129,7 +129,7 @@ def _windows(asked: DataFrame, width: int) -> DataFrame:
                 key = np.repeat(np.array([q["key"] for q in runs], np.int64), [q["r"] for q in runs]).view(np.uint64)
                 yield _emit(WINDOW, wh[i], key, np.full(len(i), d, np.int64), np.full(len(i), h, np.int64), i, np.ones(len(i), np.int64))
 
-    return asked.mapInArrow(trimmed(run), _SCHEMA)
+    return asked.mapInArrow(trimmed(run, "words"), _SCHEMA)
 
 
 def find_cuts(rows: DataFrame, zips: DataFrame, width: int) -> DataFrame:
@@ -199,6 +199,6 @@ def dedup(df: DataFrame, width: int = 20, text: str = "text", key: str = "doc_id
     o = ", ".join(f"`{c}`: {df.schema[c].dataType.simpleString()}" for c in others)
     fields = [("o", f"struct<{o}>"), ("n_words", "long"), ("n_removed", "long"), ("kept_sha256", "string")] + [("t", "string")] * keep
     names = [x for x, _ in fields]
-    out = full.mapInArrow(trimmed(run), ", ".join(f"{x} {t}" for x, t in fields))
+    out = full.mapInArrow(trimmed(run, "words"), ", ".join(f"{x} {t}" for x, t in fields))
     cols = [F.col("t").alias(text) if c == text else F.col("o")[c].alias(c) for c in df.columns if c in others or keep and c == text]
     return out.select(*cols, "n_words", "n_removed", "kept_sha256")

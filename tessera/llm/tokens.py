@@ -11,6 +11,8 @@ import os
 import re
 from array import array
 
+from tessera.llm.common import CACHES
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: White space other than single spaces and line feeds: such texts are encoded whole where white space makes tokens.
@@ -117,6 +119,7 @@ class Encoder:
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
+CACHES["encoders"] = _ENCODERS
 
 
 def encoder(path: str, kind: type[Encoder] = Encoder) -> Encoder:
