@@ -29,6 +29,8 @@ _MARKS = re.compile(r"[\u0300-\u036f]+")
 _BREAKS = re.compile(r"[^a-z0-9]+")
 #: Rows handed back at a time.
 SLICE = 1024
+#: No stem counts below this log-likelihood ratio (chance 0.0025 a stem), however few the labelled rows are.
+LEAST_EVIDENCE = 12.0
 #: Phrases in which a stem is not an insult.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "clownfish", "trash collection")
 
@@ -99,7 +101,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample_rows:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id", sample_rows: int = 8000, max_stems: int = 3000, evidence: float = 30.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Learn a lexicon from the labelled rows given (hold out rows before the call).
 
-    A stem counts if the log-likelihood ratio of its label counts against chance is above evidence. The sample has
+    A stem counts if the log-likelihood ratio of its label counts against chance is above evidence, or, where the rows
+    of label 1 are few, above a third of what a stem in all of them and in no other row has. The sample has
     sample_rows rows at most. Counts are gathered on the executors; the driver gets the max_stems stems of
     highest weight and one raw figure for each row of the sample.
     """
@@ -121,12 +124,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     total = counts.filter("stem = ''").first()
     n_pos, n_neg = (total.pos, total.neg) if total else (0, 0)
     share = max(n_pos, 0.5) / max(n_pos + n_neg, 1)  # of label 1
+    least = min(evidence, max(LEAST_EVIDENCE, -2 * n_pos * math.log(share) / 3))
 
     def side(n: str, expected: float):
         of = F.col(n) / (F.col("pos") + F.col("neg"))
         return F.when(F.col(n) > 0, F.col(n) * F.log(of / expected)).otherwise(0.0)
 
-    got = counts.filter("stem != ''").withColumns({"np": F.lit(n_pos), "nn": F.lit(n_neg)}).withColumns({"w": weight, "g": 2 * (side("pos", share) + side("neg", 1 - share))}).filter((F.col("w") > 2) & (F.col("g") > evidence))
+    got = counts.filter("stem != ''").withColumns({"np": F.lit(n_pos), "nn": F.lit(n_neg)}).withColumns({"w": weight, "g": 2 * (side("pos", share) + side("neg", 1 - share))}).filter((F.col("w") > 2) & (F.col("g") > least))
     weights: dict[str, float] = {}
     for r in sorted(got.orderBy(F.desc("w"), F.length("stem"), "stem").limit(max_stems).collect(), key=lambda r: (len(r.stem), r.stem)):
         if not any(weights.get(r.stem[:k], 0) >= r.w - 1 for k in range(4, len(r.stem))):  # a shorter stem says as much
@@ -144,9 +148,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[float, float]:
-    """Slope (not negative) and middle of a logistic curve by Newton steps; labels weigh alike. With one label only, no row scores 0.5."""
+    """Slope (not negative) and middle of a logistic curve by Newton steps; labels weigh alike. With one label only, no row scores 0.5.
+
+    Figures that do not tell the labels apart give a curve on which every text scores below 0.5.
+    """
     if not len(x) or y.min() == y.max():
         return 1.0, 30.0 if not len(x) or y.max() == 0 else -30.0
+    if x.min() == x.max():
+        return 1.0, math.inf
     w = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y == 0).sum()) * len(x)
     scale = max(x.std(), 1e-9)
     a = np.stack([x / scale, np.ones_like(x)], 1)
@@ -156,7 +165,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
         grad = a.T @ (w * (p - y)) + ridge * len(x) * beta
         hess = (a * (w * p * (1 - p))[:, None]).T @ a + ridge * len(x) * np.eye(2)
         beta -= np.linalg.solve(hess, grad)
-    slope = max(beta[0] / scale, 1e-6)
+    slope = beta[0] / scale
+    if slope <= 1e-6:
+        return 1.0, math.inf
     return float(slope), float(-beta[1] / slope)
 
 

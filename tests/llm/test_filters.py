@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from tessera.llm import langid, quality, sharding, toxicity
 
 ROWS = [None, "", " ", "one word", "a b c " * 30, "x" * 3000, "line\nline\nother\nline", "## $$ || <b>", "LOUD!! " * 60, "same", "same"]
@@ -38,6 +40,23 @@ def test_toxicity_learns_stems_and_exceptions(spark):
     assert toxicity.score(empty, toxicity.fit(empty, empty.selectExpr("doc_id", "1 as toxic"))).count() == 0
 
 
+def test_toxicity_of_few_labels(spark):
+    r = random.Random(2)
+    word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(5))
+    rows = [(i, " ".join(word() for _ in range(40)) + (" vileword" if i % 8 == 0 and i < 48 else ""), int(i % 8 == 0)) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lex = toxicity.fit(docs, docs.select("doc_id", "toxic"))  # 6 of 10 toxic rows share a stem
+    assert any(s.startswith(" vile") for s in lex.weights)
+    got = {x.doc_id: x.toxicity >= 0.5 for x in toxicity.score(docs, lex).collect()}
+    assert got == {k: "vileword" in t for k, t, _ in rows}
+    none = toxicity.fit(docs, docs.filter("doc_id < 16").select("doc_id", "toxic"))  # 2 toxic rows: nothing to learn
+    assert not none.weights and all(x.toxicity < 0.5 for x in toxicity.score(docs, none).collect())
+    y = np.array([0.0, 1.0, 0.0, 1.0])
+    for x in (np.zeros(4), np.full(4, 3.0), np.array([2.0, 0.0, 2.0, 0.0])):  # equal figures, and figures that point the other way
+        curve = toxicity.Lexicon({}, (), *toxicity.logistic(x, y))
+        assert all(curve.score(v) < 0.5 for v in (0.0, 3.0, 1e6))
+
+
 def test_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     model = langid.fit(docs.filter("doc_id % 4 != 2"))
