@@ -41,3 +41,27 @@ def test_empty(spark):
     for _, f in cp.STAGES:
         docs = cp.materialise(f(spark, docs, SF), "e")
         assert docs.count() == 0
+
+
+def test_rows_go_through_the_chain(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    base = docs.collect()
+    clean = max(base, key=lambda r: len(set(r.text.split())))
+    own = [r.text.split() for r in base if r.lang == clean.lang and len(r.text.split()) > 250][:3]
+    passage, first, other = (" ".join(w[::-1][:n]) for w, n in zip(own, (70, 120, 120)))
+    planted = [(900005, first + " " + passage + " end here", "en", "x", 1), (900006, f"Other {other} two. " + passage + " last", "en", "x", 1)]
+    cur = docs.unionByName(spark.createDataFrame(planted, docs.schema))
+    got = {}
+    for name, f in cp.STAGES[:-1]:
+        cur = cp.materialise(f(spark, cur, SF), name)
+        got[name] = {r.doc_id: r.text for r in cur.collect()}
+    assert got["repeats"][900006] == f"Other {other} two. last" and passage in got["repeats"][900005]
+    label = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.doc_id in got["language"]}
+    clean_ids, toxic_ids = ({k for k, v in label.items() if v == y} for y in (0, 1))
+    assert len(clean_ids) > 50 and len(toxic_ids) > 5
+    assert len(clean_ids & got["toxicity"].keys()) >= 0.95 * len(clean_ids)
+    # three of the 11 labelled 1 hold no insult that another of them holds
+    assert toxic_ids & got["toxicity"].keys() <= {151, 164, 179}
+    assert len(got["toxicity"]) >= 0.8 * len(got["language"])
+    assert len(got["near_duplicates"]) >= 0.7 * len(got["toxicity"]) and len(got["repeats"]) >= 0.9 * len(got["near_duplicates"])
+    assert clean.doc_id in got["repeats"]
