@@ -66,6 +66,11 @@ def estimate(a: bytes, b: bytes) -> float:
     return max(0.0, (same - BY_CHANCE) / (1 - BY_CHANCE))
 
 
+def fingerprint(h: np.ndarray) -> bytes:
+    """128 bits of a set."""
+    return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
+
+
 def signatures(df: DataFrame, width: int, text: str, key: str) -> DataFrame:
     """(id, n, fp, regs): set size, 128-bit fingerprint of the set, registers; fp and regs are null for empty sets."""
 
@@ -75,7 +80,7 @@ def signatures(df: DataFrame, width: int, text: str, key: str) -> DataFrame:
             for t in b.column(1):
                 h = shingles((t.as_py() or "").encode(), width)
                 n.append(len(h))
-                fp.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
+                fp.append(fingerprint(h) if len(h) else None)
                 regs.append(registers(h) if len(h) else None)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(regs, pa.binary())], names=["id", "n", "fp", "regs"])
 
@@ -144,6 +149,26 @@ def _bits(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("id", "z").mapInArrow(trimmed(run, "words"), "id long, " + ", ".join(f"{w} long" for w in BITS))
 
 
+def _fingerprinted(texts: DataFrame, width: int) -> DataFrame:
+    """(k, fp, z) of (k, z)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = pa.array([fingerprint(shingles(unzip(z.as_py()), width)) for z in b.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), fp, b.column(1)], names=["k", "fp", "z"])
+
+    return texts.select("k", "z").mapInArrow(trimmed(run, "words"), "k long, fp binary, z binary")
+
+
+def _texts(df: DataFrame, classes: DataFrame, repeated: DataFrame, width: int, text: str, key: str) -> DataFrame:
+    """(id, z): a text of each class (id, rep, fp), which is a row of its rep; of reps that stand in several rows, one of this set."""
+    rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
+    wanted = classes.select("id", F.col("rep").alias("k"), "fp")
+    once = zipped(rows, ["k"], "t").join(wanted.join(repeated, "k", "left_anti"), "k").select("id", "z")
+    several = _fingerprinted(zipped(rows.join(repeated, "k", "left_semi"), ["k"], "t"), width)
+    return once.union(several.join(wanted, ["k", "fp"]).select("id", "z").dropDuplicates(["id"]))
+
+
 def _most_linked(c):
     """The member of a group with the greatest degree, least id on ties, as struct h."""
     return F.max(F.struct("degree", (-F.col("id")).alias("i"), F.col("id"), F.col("n"), c.alias("c"))).alias("h")
@@ -159,22 +184,26 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, text: str
     """One row for each row with an id: key, n_shingles, component_id (smallest id reachable), kept.
 
     Null and empty texts and texts without words have empty sets and link with nothing. Rows with equal ids are one
-    document if their sets are equal, and linked by their id in any case. Rows without an id are returned with a null
+    document if their sets are equal, and linked by their id in any case; each set of an id is compared with the others,
+    so what is near one of them is linked to all. Rows without an id are returned with a null
     component and kept: nothing can stand for them. An empty table gives no rows. Other columns are not read.
     """
     spark = df.sparkSession
     sigs = materialise(signatures(df, width, text, key), "signatures")
-    classes = sigs.filter("fp IS NOT NULL AND id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep"))
+    # an id may hold several sets, so classes have numbers of their own; written once, these stay the same
+    classes = materialise(sigs.filter("fp IS NOT NULL AND id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep")).withColumn("class", F.monotonically_increasing_id()), "sets")
     member = materialise(sigs.select("id", "fp").filter("fp IS NOT NULL AND id IS NOT NULL").join(classes, "fp").select("id", "rep"), "classes")
-    reps = materialise(sigs.join(classes.select(F.col("rep").alias("id"), F.col("fp").alias("f")), "id").filter("fp = f").drop("f").dropDuplicates(["id", "fp"]), "representatives")
+    of = classes.select(F.col("rep").alias("id"), F.col("fp").alias("f"), "class")
+    reps = materialise(sigs.join(of, "id").filter("fp = f").dropDuplicates(["class"]).select(F.col("class").alias("id"), F.col("id").alias("rep"), "n", "fp", "regs"), "representatives")
     bands = reps.select("id", F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(regs, b * {2 * BAND} + 1, {2 * BAND})))")).alias("g"))
     sizes = bands.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     groups = materialise(bands.join(sizes, "g"), "bands")  # only groups of two members or more
     release(spark)
     # written tables have a known size: Spark broadcasts these ids if they are few and joins by sorting if they are not
     involved = materialise(groups.select("id").distinct(), "involved")
-    reps = materialise(reps.join(involved, "id", "left_semi").select("id", "n", "regs"), "registers")
-    texts = materialise(zipped(df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("t")), ["id"], "t").join(involved, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    reps = materialise(reps.join(involved, "id", "left_semi").select("id", "rep", "n", "fp", "regs"), "registers")
+    repeated = materialise(sigs.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select(F.col("id").alias("k")), "repeated")
+    texts = materialise(_texts(df, reps, repeated, width, text, key), "texts")
     # the text that copies were made from shares more bands with them than they do with each other
     degree = groups.groupBy("id").agg(F.sum("c").alias("degree"))
     groups = materialise(groups.select("g", "id").join(degree.join(reps.select("id", "n"), "id"), "id"), "groups")
@@ -203,6 +232,8 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, text: str
     cross = at.join(other, (at["g"] == other["g"]) & F.expr(f"id > id_ AND c != c_ AND 100 * least(n, n_) >= {percent} * greatest(n, n_) AND {alike}")).select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
     more = materialise(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
     links = links.union(materialise(_confirmed(_estimated(more, reps, percent), texts, width, percent), "links"))
+    rep = reps.select("id", "rep")
+    links = links.join(rep.toDF("a", "ra"), "a").join(rep.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     part = components(links.union(member.select("id", "rep")), "a", "b").toDF("id", "c")
     out = sigs.select("id", "n").join(part, "id", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("c", "id").alias("component_id")).withColumn("kept", F.col(key).isNull() | (F.col(key) == F.col("component_id")))

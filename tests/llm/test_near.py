@@ -65,6 +65,23 @@ def test_minhash_rows_without_id_and_repeats(spark):
     assert got == [(0, None, True), (0, None, True), (3, 3, True), (3, 3, True), (4, 3, False)]
 
 
+def test_minhash_ids_with_several_texts(spark):
+    r = random.Random(5)
+    rows = []
+    for i in range(40):  # ids 0 to 39 hold two texts each, and a null one; near copies of both have ids of their own
+        for far in (100, 200):
+            w = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(80)]
+            rows += [(i, " ".join(w)), (far + i, " ".join(w[:-1] + ["end"]))]
+        rows.append((i, None))
+    rows += [(300, rows[0][1]), (300, "another text of id three hundred"), (301, "another text of id three hundred")]  # its least ids differ
+    for turn in range(2):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {(x.doc_id, x.component_id, x.kept) for x in minhash.near_duplicates(df, width=4).collect()}
+        want = {k: 0 if k >= 300 else k % 100 for k, _ in rows}
+        assert got == {(k, c, k == c) for k, c in want.items()}
+        rows = rows[::-1]
+
+
 def test_estimate_is_near_the_truth():
     r = np.random.default_rng(0)
     for j in (0.2, 0.5, 0.8, 0.95):
