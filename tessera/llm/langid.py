@@ -23,6 +23,8 @@ DIM = 1 << 13
 GRAMS = (2, 3, 4)
 BLOCK = 256
 UNKNOWN = "und"
+#: Landmarks of each language at least, where its sample has so many rows.
+LANDMARKS_A_LANGUAGE = 4
 _LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = [c if chr(c).isalpha() else 32 for c in range(128)]
@@ -102,7 +104,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc
     turn = np.zeros(len(y))
     for j in range(len(names)):
         turn[y == j] = np.arange((y == j).sum())
-    pick = np.lexsort((y, turn))[:landmarks]
+    pick = np.lexsort((y, turn))[: max(landmarks, LANDMARKS_A_LANGUAGE * len(names))]
     lm, n = x[pick], x.sum(1)
     nl = n[pick]
     values, vectors = np.linalg.eigh(kernel(lm, nl, lm.T, nl).astype(np.float64))

@@ -67,6 +67,19 @@ def test_language(spark):
     assert langid.fit(docs.limit(0)) is None and langid.identify(docs.limit(0), None).count() == 0
 
 
+def test_many_languages_have_landmarks(spark):
+    r = random.Random(4)
+    rows = []
+    for j in range(190):
+        own = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(30)]
+        rows += [(6 * j + i, " ".join(r.choice(own) for _ in range(60)), f"l{j:03}") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs.filter("doc_id % 6 != 5"))
+    assert len(model.languages) == 190 and model.landmarks.shape[1] >= 4 * 190
+    got = langid.identify(docs.filter("doc_id % 6 = 5"), model).collect()
+    assert len(got) == 190 and sum(x.lang == x.lang_pred for x in got) >= 180
+
+
 def test_shards_are_near_equal_and_gapless(spark):
     df = spark.range(5000).selectExpr("id", "xxhash64(id) as key", "if(id % 500 = 0, 20000L, 100 + id % 50) as size", "9 as shard", "8 as slot").drop("shard", "slot")
     got = sharding.shard_by_bytes(df, 24, "key", "size", order=("id",)).toPandas()
