@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see (spark.checkpoint.dir); where that is unset, as in tests, a new one of this machine."""
-    got = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors see (spark.checkpoint.dir). Where that is unset, a local session gets a folder of its machine; a cluster must name one."""
+    got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not got:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: executors need a shared folder")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
         got = spark.sparkContext.getCheckpointDir()
-        if not got:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
-            got = spark.sparkContext.getCheckpointDir()
     return f"{got.rstrip('/')}/tessera-{spark.sparkContext.applicationId}"
 
 
@@ -39,7 +40,24 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    got = spark.read.schema(df.schema).parquet(path)
+    got.written_at = path
+    return got
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing will read again: what was made of them has been written too."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.written_at)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, or name with the first number after it that no column has."""
+    have, n = {c.lower() for c in df.columns}, 0
+    while (got := f"{name}{n or ''}").lower() in have:
+        n += 1
+    return got
 
 
 def fmix64(h: np.ndarray) -> np.ndarray:
@@ -86,6 +104,16 @@ def trimmed(run, keeps: str = ""):
     return then
 
 
+def column_udf(run, kind: str, keeps: str = ""):
+    """run, a function of Arrow arrays, as a column function: rows go to Python by the argument only, and each runs once."""
+    inner = trimmed(run, keeps)
+
+    def column(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from inner(batches)
+
+    return F.arrow_udf(column, kind).asNondeterministic()
+
+
 class WordHashes(dict):
     """Words (bytes) to 64-bit hashes; emptied at `most` entries."""
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import discard, materialise
 
 
 def _both(e: DataFrame) -> DataFrame:
@@ -31,13 +31,17 @@ def _star(e: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame, u: str, v: str) -> DataFrame:
     """(id, component) of every id in links but each component's smallest; component is the smallest id reachable.
 
-    Links of an id with itself and repeated links do no harm; no links give no rows. Ids must not be null.
+    Links of an id with itself and repeated links do no harm; no links give no rows. Ids must not be null. The result
+    is a written table, which its user may discard.
     """
     e = materialise(links.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).filter("u != v").distinct(), "links")
     seen = None
     while True:
         got = e.agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")).first()
         if (got.n, got.x) == seen or not got.n:
-            return e.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        seen = (got.n, got.x)
+            out = e.select(F.col("u").alias("id"), F.col("v").alias("component"))
+            out.written_at = e.written_at
+            return out
+        seen, before = (got.n, got.x), e
         e = materialise(_star(_star(e, True), False), "links")
+        discard(before)

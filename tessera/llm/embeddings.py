@@ -1,9 +1,11 @@
 """Near duplicates among embeddings: int8 tile products with error bounds, doubtful pairs again in double precision.
 
-Equal vectors form classes. Class representatives go to blocks; each pair of blocks is one bounded group. Unit vectors
-are quantised to int8 with one scale each, and the norm of what quantisation loses bounds the error of every product:
-for u = s c + r and v = t k + q, |u v - s t c k| <= |r| + |q| + 3 |r| |q|. Only pairs whose bound reaches the
-threshold are computed again, in double precision. A group returns counts and a spanning forest, not its links.
+Equal vectors form classes. Class representatives are quantised once: unit vectors to int8 with one scale each, and the
+norm of what quantisation loses bounds the error of every product: for u = s c + r and v = t k + q,
+|u v - s t c k| <= |r| + |q| + 3 |r| |q|. Representatives go to blocks, and only codes, scales and bounds are exchanged,
+one bounded group for each pair of blocks. Pairs whose lower bound reaches the threshold are links; a group returns
+their counts and a spanning forest, not the links. Pairs whose upper bound alone reaches it are doubtful: these come out
+as pairs and are computed again from the vectors in double precision.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return c.astype(np.int8), s, np.linalg.norm(u - s[:, None] * c, axis=1) * (1 + 1e-9) + 1e-12
 
 
-def tile_links(xa, qa, xb, qb, threshold: float, same: bool):
-    """Index pairs (i, j) with cosine >= threshold in double precision; i < j if both sides are the same tile.
+def tile_links(qa, qb, threshold: float, same: bool):
+    """Index pairs (i, j) that are surely links, and those that are doubtful; i < j if both sides are the same tile.
 
     Sums of int8 products in float32 are exact up to 2**24, so long vectors are summed in parts of 1024 components.
     """
@@ -40,16 +42,14 @@ def tile_links(xa, qa, xb, qb, threshold: float, same: bool):
     dot = np.zeros((len(ca), len(cb)), np.float32 if d <= 1024 else np.float64)
     for k in range(0, d, 1024):
         dot += ca[:, k : k + 1024].astype(np.float32) @ cb[:, k : k + 1024].astype(np.float32).T
-    bound = dot * sa[:, None] * sb[None, :] + (ea[:, None] + eb[None, :] + 3 * ea[:, None] * eb[None, :] + 1e-12)
-    i, j = np.nonzero(bound >= threshold)
+    value = dot * sa[:, None] * sb[None, :]
+    slack = ea[:, None] + eb[None, :] + 3 * ea[:, None] * eb[None, :] + 1e-12
+    possible = value + slack >= threshold
     if same:
-        i, j = i[i < j], j[i < j]
-    keep = []
-    for k in range(0, len(i), 1 << 16):
-        a, b = xa[i[k : k + (1 << 16)]], xb[j[k : k + (1 << 16)]]
-        keep.append(np.einsum("ij,ij->i", a, b) / (np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)) >= threshold)
-    ok = np.concatenate(keep) if keep else np.zeros(0, bool)
-    return i[ok], j[ok]
+        possible = np.triu(possible, 1)
+    i, j = np.nonzero(possible)
+    sure = value[i, j] - slack[i, j] >= threshold
+    return (i[sure], j[sure]), (i[~sure], j[~sure])
 
 
 def hook(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
@@ -66,19 +66,55 @@ def hook(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
 
 
 def classes_of(df: DataFrame, key: str, vec: str) -> DataFrame:
-    """(id, h, v): the vector as doubles and a hash of its values; both null for vectors that link with nothing."""
+    """(id, h, v): the vector's doubles as bytes and a hash of its values; both null for vectors that link with nothing."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hs, vs = [], []
-            for x in b.column(1).to_pylist():
-                a = np.array([np.nan], float) if not x or None in x else np.array(x, float) + 0.0  # no negative zero
-                good = bool(np.isfinite(a).all() and a.any()) and np.isfinite(n := np.linalg.norm(a)) and n > 0
-                hs.append(hashlib.blake2b(a.tobytes(), digest_size=16).digest() if good else None)
-                vs.append(a if good else None)
-            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(hs, pa.binary()), pa.array(vs, pa.list_(pa.float64()))], names=["id", "h", "v"])
+            lists, hs, vs = b.column(1), [], []
+            whole = lists.values.is_valid().to_numpy(zero_copy_only=False)
+            flat = lists.values.cast(pa.float64()).fill_null(0.0).to_numpy(zero_copy_only=False) + 0.0  # no negative zero
+            at, there = lists.offsets.to_numpy(), lists.is_valid().to_numpy(zero_copy_only=False)
+            for ok, i, j in zip(there, at[:-1], at[1:]):
+                a = flat[i:j]
+                good = bool(ok and j > i and whole[i:j].all() and np.isfinite(a).all() and a.any()) and 0 < np.linalg.norm(a) < np.inf
+                v = a.tobytes() if good else None
+                hs.append(hashlib.blake2b(v, digest_size=16).digest() if good else None)
+                vs.append(v)
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(hs, pa.binary()), pa.array(vs, pa.binary())], names=["id", "h", "v"])
 
-    return df.select(key, vec).mapInArrow(run, "id long, h binary, v array<double>")
+    return df.select(key, vec).mapInArrow(run, "id long, h binary, v binary")
+
+
+def coded(reps: DataFrame) -> DataFrame:
+    """(c, n, codes, s, e) of (c, n, v): the int8 codes of each vector, its scale and its error bound."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            codes, scales, errors = [], [], []
+            for v in b.column(2):
+                q, s, e = quantise(np.frombuffer(v.as_py(), np.float64)[None, :])
+                codes.append(q.tobytes())
+                scales.append(s[0])
+                errors.append(e[0])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(codes, pa.binary()), pa.array(scales, pa.float64()), pa.array(errors, pa.float64())], names=["c", "n", "codes", "s", "e"])
+
+    return reps.select("c", "n", "v").mapInArrow(run, "c long, n long, codes binary, s double, e double")
+
+
+def confirmed(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, na, nb) of the pairs (a, b) whose cosine reaches the threshold in double precision."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = []
+            for x, y in zip(b.column(4), b.column(5)):
+                x, y = np.frombuffer(x.as_py(), np.float64), np.frombuffer(y.as_py(), np.float64)
+                ok.append(bool(x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= threshold))
+            yield pa.RecordBatch.from_arrays(b.columns[:4], names=["a", "b", "na", "nb"]).filter(pa.array(ok, pa.bool_()))
+
+    of = reps.select("c", "n", "v")
+    two = pairs.join(of.toDF("a", "na", "va"), "a").join(of.toDF("b", "nb", "vb"), "b").select("a", "b", "na", "nb", "va", "vb")
+    return two.mapInArrow(run, "a long, b long, na long, nb long")
 
 
 def near_duplicates(df: DataFrame, threshold: float = 0.9, key: str = "vec_id", vec: str = "embedding", block: int = 8192) -> DataFrame:
@@ -87,49 +123,62 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, key: str = "vec_id",
     All pairs are compared. Vectors that are null, empty, zero or hold null or non-finite components link with nothing;
     so do vectors of different lengths. Rows with equal vectors link with each other (they count as other vectors even
     with equal ids). Rows without an id have no place in a component and get none: they are returned with nulls. An
-    empty table gives no rows. block: class representatives in a block; a group holds two blocks.
+    empty table gives no rows. Other columns are not read. block: class representatives in a block at most; a group
+    holds two blocks. Small tables get up to 8 blocks, so that there are groups for all cores.
     """
     rows = materialise(classes_of(df, key, vec), "vectors")
     reps = rows.filter("h IS NOT NULL AND id IS NOT NULL").groupBy("h").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v"))
-    reps = materialise(reps, "vector-classes")
-    blocks = max(1, -(-reps.count() // block))
-    mine = F.pmod(F.xxhash64("h"), F.lit(blocks)).cast("int")
-    pairs = reps.withColumn("k", mine).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumns({"a": F.least("k", "o"), "b": F.greatest("k", "o")})
+    reps = materialise(reps.withColumn("c", F.monotonically_increasing_id()), "vector-classes")
+    count = reps.count()
+    blocks = max(1, -(-count // block), min(8, count // 1024))
+    mine = F.pmod(F.xxhash64("c"), F.lit(blocks)).cast("int")
+    codes = materialise(coded(reps).withColumn("k", mine), "vector-codes")
+    pairs = codes.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumns({"a": F.least("k", "o"), "b": F.greatest("k", "o")})
 
     def compare(t: pa.Table) -> pa.Table:
-        ids, n, k = (t.column(c).to_numpy() for c in ("id", "n", "k"))
+        ids, n, k = (t.column(x).to_numpy() for x in ("c", "n", "k"))
         a, b = t.column("a")[0].as_py(), t.column("b")[0].as_py()
-        vs = t.column("v").combine_chunks()
-        sizes = np.diff(vs.offsets.to_numpy())
+        own = t.column("codes").combine_chunks()
+        scale, error = t.column("s").to_numpy(), t.column("e").to_numpy()
+        at = np.frombuffer(own.buffers()[1], np.int32)[own.offset : own.offset + len(own) + 1]
+        sizes, starts = np.diff(at), at[:-1]
+        flat = np.frombuffer(own.buffers()[2], np.int8)
         order = np.lexsort((ids, k, sizes))
         label, links = np.arange(len(ids)), np.zeros(len(ids), np.int64)
-        flat, starts = vs.values.to_numpy(), vs.offsets.to_numpy()[:-1]
+        left, right = [], []
         for d in np.unique(sizes):
-            own = order[sizes[order] == d]
-            x = flat[starts[own][:, None] + np.arange(d)[None, :]]
-            side = k[own]
+            of = order[sizes[order] == d]
+            x = flat[starts[of][:, None] + np.arange(d)[None, :]]
             tiles = []
             for s in (a,) if a == b else (a, b):
-                at = np.nonzero(side == s)[0]
-                tiles.append([(own[p], x[p], quantise(x[p])) for p in (at[i : i + TILE] for i in range(0, len(at), TILE))])
-            for p, (ra, xa, qa) in enumerate(tiles[0]):
-                for q, (rb, xb, qb) in enumerate(tiles[-1]):
+                at = np.nonzero(k[of] == s)[0]
+                tiles.append([(of[p], (x[p], scale[of[p]], error[of[p]])) for p in (at[i : i + TILE] for i in range(0, len(at), TILE))])
+            for p, (ra, qa) in enumerate(tiles[0]):
+                for q, (rb, qb) in enumerate(tiles[-1]):
                     if a == b and q < p:
                         continue
-                    i, j = tile_links(xa, qa, xb, qb, threshold, a == b and p == q)
+                    (i, j), (doubt_i, doubt_j) = tile_links(qa, qb, threshold, a == b and p == q)
+                    left.append(ids[ra[doubt_i]])
+                    right.append(ids[rb[doubt_j]])
                     if len(i):
                         i, j = ra[i], rb[j]
                         np.add.at(links, i, n[j])
                         np.add.at(links, j, n[i])
                         hook(label, np.minimum(i, j), np.maximum(i, j))
         some = np.nonzero(links)[0]
-        return pa.table({"id": ids[some], "links": links[some], "other": ids[label[some]]})
-
-    got = materialise(pairs.select("a", "b", "id", "n", "k", "v").groupBy("a", "b").applyInArrow(compare, "id long, links long, other long"), "vector-links")
-    parts = components(got, "id", "other")
-    links = got.groupBy("id").agg(F.sum("links").alias("links"))
-    of = reps.select("h", "id", "n").join(links, "id", "left").join(parts, "id", "left")
-    of = of.select("h", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("c"))
-    out = rows.select("id", "h").join(of, "h", "left")
-    alone = F.when(F.col("id").isNotNull(), 0)
-    return out.select(F.col("id").alias(key), F.when(F.col("id").isNotNull(), F.coalesce("n_links", alone)).cast("long").alias("n_links"), F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id")).withColumn("kept", F.col(key) == F.col("component_id"))
+        left, right = (np.concatenate(x or [np.zeros(0, np.int64)]) for x in (left, right))
+        return pa.table({"c": np.append(ids[some], left), "links": np.append(links[some], np.full(len(left), -1)), "other": np.append(ids[label[some]], right)})
+
+    tasks = blocks * (blocks + 1) // 2
+    dealt = pairs.select("a", "b", "c", "n", "k", "codes", "s", "e").repartition(2 * tasks, "a", "b")  # the work is in the groups, not in their bytes
+    got = materialise(dealt.groupBy("a", "b").applyInArrow(compare, "c long, links long, other long"), "vector-links")
+    more = materialise(confirmed(got.filter("links < 0").select(F.col("c").alias("a"), F.col("other").alias("b")), reps, threshold), "vector-links")
+    got = got.filter("links >= 0").union(more.selectExpr("a", "nb", "b")).union(more.selectExpr("b", "na", "a"))
+    parts = components(got, "c", "other").toDF("c", "part")
+    links = got.groupBy("c").agg(F.sum("links").alias("links"))
+    of = reps.select("h", "c", "id", "n").join(links, "c", "left").join(parts, "c", "left").withColumn("part", F.coalesce("part", "c"))
+    of = materialise(of.select("h", "part", "id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "vector-parts")
+    low = of.groupBy("part").agg(F.min("id").alias("low"))  # classes are numbered apart from ids
+    out = rows.select("id", "h").join(of.join(low, "part").select("h", "n_links", "low"), "h", "left")
+    known = F.col("id").isNotNull()
+    return out.select(F.col("id").alias(key), F.when(known, F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), F.when(known, F.coalesce("low", "id")).alias("component_id")).withColumn("kept", F.col(key) == F.col("component_id"))

@@ -8,7 +8,6 @@ scored in blocks by two matrix products.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import trimmed
+from tessera.llm.common import column_udf, free_name, trimmed
 
 DIM = 1 << 13
 GRAMS = (2, 3, 4)
@@ -25,7 +24,6 @@ BLOCK = 256
 UNKNOWN = "und"
 #: Landmarks of each language at least, where its sample has so many rows.
 LANDMARKS_A_LANGUAGE = 4
-_LETTER = re.compile(r"[^\W\d_]")
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[:128] = [c if chr(c).isalpha() else 32 for c in range(128)]
 
@@ -61,7 +59,7 @@ class Model:
             p = np.exp(self.sharpness * (f - f.max(1, keepdims=True)))
             p /= p.sum(1, keepdims=True)
             for t, j, s in zip(part, p.argmax(1), p.max(1)):
-                known = bool(t and _LETTER.search(t))
+                known = bool(t) and any(map(str.isalpha, t))  # Unicode letters
                 langs.append(self.languages[j] if known else UNKNOWN)
                 scores.append(float(min(1.0, s)) if known else 0.0)
         return langs, scores
@@ -71,18 +69,22 @@ def kernel(x: np.ndarray, nx: np.ndarray, landmarks: np.ndarray, nl: np.ndarray)
     return (x @ landmarks) / np.sqrt(np.maximum(nx, 1)[:, None] * np.maximum(nl, 1)[None, :])
 
 
-def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc_id", per_language: int = 300, landmarks: int = 160, ridge: float = 1e-3, max_languages: int = 200) -> Model | None:
-    """Learn from the rows given (hold out rows before the call); rows without language or text do not count.
+def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc_id", per_language: int = 300, landmarks: int = 160, ridge: float = 1e-3, max_languages: int = 1000, sample_rows: int = 60_000) -> Model | None:
+    """Learn from the rows given (hold out rows before the call); rows without language, id or text do not count.
 
-    A bounded sample: per_language rows of each language (of max_languages most frequent ones), those with the least
-    hash in each of per_language parts of the rows. Executors turn the texts into presence bits; the driver gets these
-    bits (DIM / 8 bytes a row). None if there is no labelled row.
+    A bounded sample: the max_languages most frequent languages, of each per_language rows, or as many as leave
+    sample_rows in all, but 20 at least: those with the least hash in each part of the rows. Ids are picked without
+    reading texts, twice as many as wanted for those that turn out to have no text. Executors turn the texts into
+    presence bits; the driver gets these bits (DIM / 8 bytes a row) and works through them in blocks. None if there is
+    no labelled row.
     """
-    has = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull()).select(key, lang)
-    top = has.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_languages).select(lang)
+    has = docs.filter(F.col(lang).isNotNull() & F.col(key).isNotNull()).select(key, lang)
+    top = [r[0] for r in has.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(max_languages).collect()]
+    wanted = max(20, min(per_language, sample_rows // max(1, len(top))))
     h = F.xxhash64(key)
-    ids = has.join(F.broadcast(top), lang).groupBy(lang, F.pmod(h, F.lit(per_language)).alias("p")).agg(F.min(F.struct(h.alias("h"), F.col(key).alias("k"))).alias("m")).select(F.col("m.k").alias(key))
-    sample = docs.select(key, lang, text).join(F.broadcast(ids.distinct()), key).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())  # per_language * max_languages rows
+    parted = has.filter(F.col(lang).isin(top)).groupBy(lang, F.pmod(h, F.lit(2 * wanted)).alias("p"))
+    ids = parted.agg(F.min(F.struct(h.alias("h"), F.col(key).alias("k"))).alias("m")).select(F.col("m.k").alias(key))
+    sample = docs.select(key, lang, text).join(F.broadcast(ids.distinct()), key).filter(F.col(lang).isNotNull() & F.col(text).isNotNull())  # 2 * sample_rows ids at most, or 40 a language
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -95,28 +97,35 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc
 
     kind = docs.schema[key].dataType.simpleString()
     got = sorted(((r.k, r.lang, bytes(r.bits)) for r in sample.mapInArrow(trimmed(bits), f"k {kind}, lang string, bits binary").collect()), key=lambda r: (hash_order(r[0]), r[1], r[2]))
-    if not got:
+    turn_of: dict[str, int] = {}
+    rows = []  # (turn in its language, language, bits)
+    for _, name, b in got:
+        turn = turn_of[name] = turn_of.get(name, -1) + 1
+        if turn < wanted:
+            rows.append((turn, name, b))
+    if not rows:
         return None
-    x = np.stack([np.unpackbits(np.frombuffer(b, np.uint8)) for _, _, b in got]).astype(np.float32)
-    names = tuple(sorted({r[1] for r in got}))
-    y = np.array([names.index(r[1]) for r in got])
+    names = tuple(sorted({r[1] for r in rows}))
+    place = {name: j for j, name in enumerate(names)}
+    y = np.array([place[r[1]] for r in rows])
+    block = lambda part: np.stack([np.unpackbits(np.frombuffer(r[2], np.uint8)) for r in part]).astype(np.float32)
     # landmarks in turn from each language
-    turn = np.zeros(len(y))
-    for j in range(len(names)):
-        turn[y == j] = np.arange((y == j).sum())
-    pick = np.lexsort((y, turn))[: max(landmarks, LANDMARKS_A_LANGUAGE * len(names))]
-    lm, n = x[pick], x.sum(1)
-    nl = n[pick]
+    pick = np.lexsort((y, [r[0] for r in rows]))[: max(landmarks, LANDMARKS_A_LANGUAGE * len(names))]
+    lm = block([rows[i] for i in pick])
+    nl = lm.sum(1)
     values, vectors = np.linalg.eigh(kernel(lm, nl, lm.T, nl).astype(np.float64))
     good = values > 1e-6 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])
-    phi = kernel(x, n, lm.T, nl) @ root
-    phi1 = np.hstack([phi, np.ones((len(phi), 0))])
-    target = np.where(y[:, None] == np.arange(len(names)), 1.0, -1.0 / max(1, len(names) - 1))
     weight = 1.0 / np.bincount(y, minlength=len(names))[y]
     weight *= len(y) / weight.sum()
-    beta = np.linalg.solve((phi1 * weight[:, None]).T @ phi1 + ridge * len(y) * np.eye(phi1.shape[1]), (phi1 * weight[:, None]).T @ target)
-    return Model(names, np.ascontiguousarray(lm.T), nl, (root @ beta).astype(np.float32))
+    left, right = ridge * len(y) * np.eye(root.shape[1]), np.zeros((root.shape[1], len(names)))
+    for i in range(0, len(rows), 4 * BLOCK):
+        x, own = block(rows[i : i + 4 * BLOCK]), y[i : i + 4 * BLOCK]
+        phi = kernel(x, x.sum(1), lm.T, nl) @ root
+        weighted = (phi * weight[i : i + 4 * BLOCK, None]).T
+        left += weighted @ phi
+        right += weighted @ np.where(own[:, None] == np.arange(len(names)), 1.0, -1.0 / max(1, len(names) - 1))
+    return Model(names, np.ascontiguousarray(lm.T), nl, (root @ np.linalg.solve(left, right)).astype(np.float32))
 
 
 def hash_order(k) -> int:
@@ -126,17 +135,20 @@ def hash_order(k) -> int:
 
 
 def identify(df: DataFrame, model: Model | None, text: str = "text", lang: str = "lang_pred", score: str = "lang_score") -> DataFrame:
-    """All columns of df, the language and its score (0 to 1). Null texts and texts without a letter: 'und', 0. Columns of df with these names are replaced."""
-    keep = [c for c in df.columns if c not in (lang, score)]
-    at = keep.index(text)
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + f", {lang} string, {score} double"
+    """All columns of df, the language and its score (0 to 1). Null texts and texts without a Unicode letter: 'und', 0.
+
+    Columns of df with these names are replaced; no other is touched, and only the text goes to Python. Repeated rows
+    get the same language, whole texts of any length are read, an empty table gives no rows.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)  # DIM * landmarks floats
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for b in (whole.slice(i, BLOCK) for whole in batches for i in range(0, whole.num_rows, BLOCK)):
-            texts = b.column(at).to_pylist()
+        for b in (whole.slice(i, BLOCK) for whole in batches for i in range(0, len(whole), BLOCK)):
+            texts = b.to_pylist()
             langs, scores = m.predict(texts) if m else ([UNKNOWN] * len(texts), [0.0] * len(texts))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*keep, lang, score])
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"])
 
-    return df.select(*(f"`{c}`" for c in keep)).mapInArrow(trimmed(run), schema)
+    both = free_name(df, "_language")
+    got = df.withColumn(both, column_udf(run, "struct<lang string, score double>")(F.col(f"`{text}`")))
+    return got.withColumns({lang: F.col(f"{both}.lang"), score: F.col(f"{both}.score")}).drop(both)

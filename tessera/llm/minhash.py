@@ -7,8 +7,8 @@ gives an estimate of the Jaccard similarity that drops pairs far below the thres
 shingle sets.
 
 Equal sets form classes, and only representatives are compared. In each band group every member is first compared with
-the one that shares most bands with others, a hub; then with a hub of another component; then only members of groups that still hold several components are compared across components. So a
-large group of copies costs about one comparison a member, and no two texts that share a band stay untested and apart.
+the one that shares most bands with others, a hub; then with a hub of another component; then only members of groups
+that still hold several components are compared across components. So a large group of copies costs about one comparison a member, and no two texts that share a band stay untested and apart.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import linear_hash, materialise, release, trimmed, unzip, word_hashes, zipped
+from tessera.llm.common import discard, linear_hash, materialise, release, trimmed, unzip, word_hashes, zipped
 from tessera.llm.components import components
 
 BUCKET_BITS, MANTISSA = 8, 10
@@ -188,52 +188,60 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, text: str
     so what is near one of them is linked to all. Rows without an id are returned with a null
     component and kept: nothing can stand for them. An empty table gives no rows. Other columns are not read.
     """
-    spark = df.sparkSession
+    spark, written = df.sparkSession, []
+
+    def keep(t: DataFrame, tag: str) -> DataFrame:
+        written.append(materialise(t, tag))
+        return written[-1]
+
     sigs = materialise(signatures(df, width, text, key), "signatures")
     # an id may hold several sets, so classes have numbers of their own; written once, these stay the same
-    classes = materialise(sigs.filter("fp IS NOT NULL AND id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep")).withColumn("class", F.monotonically_increasing_id()), "sets")
-    member = materialise(sigs.select("id", "fp").filter("fp IS NOT NULL AND id IS NOT NULL").join(classes, "fp").select("id", "rep"), "classes")
+    classes = keep(sigs.filter("fp IS NOT NULL AND id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep")).withColumn("class", F.monotonically_increasing_id()), "sets")
+    member = keep(sigs.select("id", "fp").filter("fp IS NOT NULL AND id IS NOT NULL").join(classes, "fp").select("id", "rep"), "classes")
     of = classes.select(F.col("rep").alias("id"), F.col("fp").alias("f"), "class")
-    reps = materialise(sigs.join(of, "id").filter("fp = f").dropDuplicates(["class"]).select(F.col("class").alias("id"), F.col("id").alias("rep"), "n", "fp", "regs"), "representatives")
+    reps = keep(sigs.join(of, "id").filter("fp = f").dropDuplicates(["class"]).select(F.col("class").alias("id"), F.col("id").alias("rep"), "n", "fp", "regs"), "representatives")
     bands = reps.select("id", F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, substring(regs, b * {2 * BAND} + 1, {2 * BAND})))")).alias("g"))
     sizes = bands.groupBy("g").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    groups = materialise(bands.join(sizes, "g"), "bands")  # only groups of two members or more
+    groups = keep(bands.join(sizes, "g"), "bands")  # only groups of two members or more
     release(spark)
     # written tables have a known size: Spark broadcasts these ids if they are few and joins by sorting if they are not
-    involved = materialise(groups.select("id").distinct(), "involved")
-    reps = materialise(reps.join(involved, "id", "left_semi").select("id", "rep", "n", "fp", "regs"), "registers")
-    repeated = materialise(sigs.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select(F.col("id").alias("k")), "repeated")
-    texts = materialise(_texts(df, reps, repeated, width, text, key), "texts")
+    involved = keep(groups.select("id").distinct(), "involved")
+    reps = keep(reps.join(involved, "id", "left_semi").select("id", "rep", "n", "fp", "regs"), "registers")
+    repeated = keep(sigs.filter("id IS NOT NULL").groupBy("id").count().filter("count > 1").select(F.col("id").alias("k")), "repeated")
+    texts = keep(_texts(df, reps, repeated, width, text, key), "texts")
     # the text that copies were made from shares more bands with them than they do with each other
     degree = groups.groupBy("id").agg(F.sum("c").alias("degree"))
-    groups = materialise(groups.select("g", "id").join(degree.join(reps.select("id", "n"), "id"), "id"), "groups")
+    groups = keep(groups.select("g", "id").join(degree.join(reps.select("id", "n"), "id"), "id"), "groups")
     release(spark)
     near = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     hub = groups.groupBy("g").agg(_most_linked(F.lit(0))).select("g", F.col("h.id").alias("b"), F.col("h.n").alias("m"))
     first = groups.join(hub, "g").filter(f"id != b AND {near}").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b"))
-    tested = materialise(first.distinct(), "pairs")
-    links = materialise(_confirmed(_estimated(tested, reps, percent), texts, width, percent), "links")
-    part = components(links, "a", "b").toDF("id", "c")
+    tested = keep(first.distinct(), "pairs")
+    links = keep(_confirmed(_estimated(tested, reps, percent), texts, width, percent), "links")
+    written.append(components(links, "a", "b"))
+    part = written[-1].toDF("id", "c")
     for _ in range(STAR_TURNS):  # a hub outside the first one's component, so that the last comparison has little left
-        at = materialise(_mixed(groups, part), "mixed")
+        at = keep(_mixed(groups, part), "mixed")
         top = at.groupBy("g").agg(_most_linked(F.col("c"))).select("g", F.col("h.c").alias("e"))
         hub = at.join(top, "g").filter("c != e").groupBy("g").agg(_most_linked(F.col("c"))).select("g", F.col("h.id").alias("b"), F.col("h.n").alias("m"), F.col("h.c").alias("d"))
         star = at.join(hub, "g").filter(f"c != d AND {near}").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
-        more = materialise(star.join(tested, ["a", "b"], "left_anti"), "pairs")
+        more = keep(star.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(more)
-        links = links.union(materialise(_confirmed(_estimated(more, reps, percent), texts, width, percent), "links"))
-        part = components(links, "a", "b").toDF("id", "c")
+        links = links.union(keep(_confirmed(_estimated(more, reps, percent), texts, width, percent), "links"))
+        written.append(components(links, "a", "b"))
+        part = written[-1].toDF("id", "c")
     # what still holds several components is compared across them
-    at = materialise(_mixed(groups, part), "mixed")
-    bits = materialise(_bits(texts.join(at.select("id").distinct(), "id", "left_semi"), width), "bits")
-    at = materialise(at.select("g", "id", "n", "c").join(bits, "id"), "mixed")
+    at = keep(_mixed(groups, part), "mixed")
+    bits = keep(_bits(texts.join(at.select("id").distinct(), "id", "left_semi"), width), "bits")
+    at = keep(at.select("g", "id", "n", "c").join(bits, "id"), "mixed")
     other = at.select("g", *(F.col(c).alias(f"{c}_") for c in ("id", "n", "c", *BITS)))
     alike = f"{100 + percent} * (" + " + ".join(f"bit_count({w} ^ {w}_)" for w in BITS) + f") <= {100 - percent} * (n + n_)"
     cross = at.join(other, (at["g"] == other["g"]) & F.expr(f"id > id_ AND c != c_ AND 100 * least(n, n_) >= {percent} * greatest(n, n_) AND {alike}")).select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
-    more = materialise(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(materialise(_confirmed(_estimated(more, reps, percent), texts, width, percent), "links"))
+    more = keep(cross.join(tested, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(keep(_confirmed(_estimated(more, reps, percent), texts, width, percent), "links"))
     rep = reps.select("id", "rep")
     links = links.join(rep.toDF("a", "ra"), "a").join(rep.toDF("b", "rb"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     part = components(links.union(member.select("id", "rep")), "a", "b").toDF("id", "c")
+    discard(*written)  # what follows reads sigs and part alone
     out = sigs.select("id", "n").join(part, "id", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("c", "id").alias("component_id")).withColumn("kept", F.col(key).isNull() | (F.col(key) == F.col("component_id")))

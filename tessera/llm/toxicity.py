@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, trimmed
+from tessera.llm.common import column_udf, discard, materialise, trimmed
 
 #: Letters that look like Latin ones, and digits and signs put for letters.
 LOOKALIKES = str.maketrans("асеорхуіјѕԁһԛԝαβεικνορτυχмткнв0134578@$€", "aceopxyijsdhqwabeiknoptuxmtkhboieastbase")
@@ -144,6 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
 
     xy = np.array([(r.x, r.y) for r in sample.mapInArrow(trimmed(figures), "x double, y double").collect()]).reshape(-1, 2)
     slope, middle = logistic(xy[:, 0], xy[:, 1])
+    discard(sample, counts)
     return Lexicon(weights, exceptions, slope, middle)
 
 
@@ -174,16 +175,13 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50)
 def score(df: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "toxicity") -> DataFrame:
     """All columns of df and the score, a double from 0 to 1 (higher: toxic likelier). Null and empty texts score as no match.
 
-    A column of df with that name is replaced.
+    A column of df with that name is replaced; no other is touched, and only the text goes to Python. Repeated rows score
+    alike, whole texts of any length are read, an empty table gives no rows.
     """
-    keep = [c for c in df.columns if c != name]
-    at = keep.index(text)
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep) + f", {name} double"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         a = lexicon.automaton()
-        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
-            s = pa.array([lexicon.score(lexicon.raw(a, t.as_py())) for t in b.column(at)], pa.float64())
-            yield pa.RecordBatch.from_arrays([*b.columns, s], names=[*keep, name])
+        for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, len(whole), SLICE)):
+            yield pa.array([lexicon.score(lexicon.raw(a, t.as_py())) for t in b], pa.float64())
 
-    return df.select(*(f"`{c}`" for c in keep)).mapInArrow(trimmed(run), schema)
+    return df.withColumn(name, column_udf(run, "double")(F.col(f"`{text}`")))
