@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import langid, minhash, packing, substring, toxicity
-from tessera.llm.common import materialise, table
+from tessera.llm.common import discard, free_name, materialise, table
 from tessera.llm.queries import vocabulary
 
 #: A document stays if its language is known with this score at least.
@@ -25,26 +25,32 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; null texts and texts without letters go. Learned from the documents' own lang column."""
-    got = langid.identify(docs, langid.fit(docs))
-    return got.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("lang_score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    lang, score = free_name(docs, "_lang"), free_name(docs, "_score")
+    got = langid.identify(docs, langid.fit(docs), lang=lang, score=score)
+    return got.filter((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def nontoxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon learned from labels does not find toxic."""
-    got = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
-    return got.filter(F.col("toxicity") < TOXIC_FROM).select(*docs.columns)
+    score = free_name(docs, "_score")
+    got = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")), name=score)
+    return got.filter(F.col(score) < TOXIC_FROM).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more): the one of the smallest id.
 
-    Of rows that repeat an id one stays; rows without an id all stay.
+    Rows without an id all stay. Of rows that repeat an id and its text one stays, the least of them written as JSON;
+    an id with several texts keeps one row of each, for none of them stands for the others.
     """
     groups = minhash.near_duplicates(docs, width=5, percent=80)
-    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    once = kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return once.unionByName(kept.filter("doc_id IS NULL")).select(*docs.columns)
+    gone = materialise(groups.filter(~F.col("kept")).select("doc_id").distinct(), "gone")
+    repeated = materialise(docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    several = kept.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("k"), F.xxhash64("text").alias("h"), row.alias("r"), F.to_json(row).alias("j"))
+    several = several.groupBy("k", "h").agg(F.min_by("r", "j").alias("r")).select("r.*")
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(several)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,6 +77,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+    for i, (name, stage) in enumerate(STAGES):
+        got = materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        if i:
+            discard(docs)
+        docs = got
     return docs
