@@ -36,17 +36,22 @@ p AS (SELECT r, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w),
 g AS (SELECT r, i, a, lead(a) OVER x AS b, lead(a, 2) OVER x AS c FROM p WINDOW x AS (PARTITION BY r ORDER BY i)),
 k AS (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM g WHERE c IS NOT NULL),
 rep AS (SELECT r, count(DISTINCT j) AS n_repeat_words FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM k WHERE n > 1) GROUP BY r),
+q AS (SELECT r, i, lead(i, 7) OVER x AS far, concat_ws(' ', a, lead(a) OVER x, lead(a, 2) OVER x, lead(a, 3) OVER x, lead(a, 4) OVER x, lead(a, 5) OVER x, lead(a, 6) OVER x, lead(a, 7) OVER x) AS g FROM p WINDOW x AS (PARTITION BY r ORDER BY i)),
+k8 AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM q WHERE far IS NOT NULL),
+far AS (SELECT r, count(DISTINCT j) AS n_long_repeats FROM (SELECT r, unnest(range(i, i + 8)) AS j FROM k8 WHERE n > 1) GROUP BY r),
+top AS (SELECT r, max(n) AS n_top_pair FROM (SELECT r, count(*) AS n FROM g WHERE b IS NOT NULL GROUP BY r, a, b) GROUP BY r),
 l AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT s) AS n_dup_lines FROM (SELECT r, unnest(string_split(t, chr(10))) AS s FROM d) WHERE regexp_matches(s, '[^\x20\x09-\x0D]') GROUP BY r),
 f AS (
   SELECT d.doc_id, len(w.ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
-    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+    coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_long_repeats, 0) AS n_long_repeats, coalesce(n_top_pair, 0) AS n_top_pair,
     length(regexp_replace(t, '[^A-ZÀ-ÖØ-Þ]+', '', 'g')) AS n_upper, length(regexp_replace(t, '[^A-Za-zÀ-ÖØ-öø-ÿ]+', '', 'g')) AS n_letters,
     length(regexp_replace(t, '[^!]+', '', 'g')) AS n_bangs
-  FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN l USING (r))
+  FROM d JOIN w USING (r) LEFT JOIN rep USING (r) LEFT JOIN l USING (r) LEFT JOIN far USING (r) LEFT JOIN top USING (r))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 30 * n_words OR 100 * n_upper > 60 * n_letters OR 100 * n_bangs > 50 * n_words
-    OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+    OR 2 * n_dup_lines > n_lines OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+    OR (100 * n_top_pair > 10 * n_words AND n_top_pair > 1) OR 100 * n_long_repeats > 40 * n_words) AS kept
 FROM f
 """
 
