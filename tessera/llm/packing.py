@@ -3,12 +3,13 @@
 Whole counts of lengths decide everything: a histogram has at most `capacity` entries whatever the input is. The driver
 fixes small sets of lengths that provably dominate every alternative (Martello and Toth), packs the remainder best-fit
 decreasing, both for all pieces of a length at once, and gets a few patterns with multiplicities. Pieces then find their
-place by their rank among the pieces of their length, which is counted in salted parts.
+place by their rank among the pieces of their length, which is counted in salted parts. Pieces that fill a sequence need no rank.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tessera.llm.common import trimmed
+from tessera.llm.common import free_name, trimmed
 from tessera.llm.tokens import encoder, slices
 
 Bins = Counter  # pattern (sorted tuple of (length, times)) -> number of sequences
@@ -127,7 +128,8 @@ def token_pieces(df: DataFrame, vocabulary: str, end_id: int, capacity: int, tex
     """Rows (key, piece, start, length, ids_crc32, and ids if asked for) of each document's ids with end_id after them.
 
     Documents of at most capacity ids are one piece; longer ones are cut into pieces of capacity, only the first of
-    which may be shorter. Null and empty texts have end_id alone. Repeated rows are cut alike; an empty table gives none.
+    which may be shorter. Null and empty texts have end_id alone. Repeated rows are cut alike; an empty table gives none;
+    other columns are not read.
     """
     kind = df.schema[key].dataType.simpleString()
     end = end_id.to_bytes(4, "little")
@@ -159,21 +161,25 @@ def token_pieces(df: DataFrame, vocabulary: str, end_id: int, capacity: int, tex
     return df.select(key, text).mapInArrow(trimmed(run, "encoders"), ", ".join(f"{n} {t}" for n, t in fields))
 
 
-def pack(pieces: DataFrame, capacity: int, length: str = "length", order: tuple[str, ...] = ("doc_id", "piece"), salts: int = 64) -> DataFrame:
-    """All columns and sequence_id, offset (long). pieces is read twice: give a materialised table.
+def pack(pieces: DataFrame, capacity: int, length: str = "length", order: tuple[str, ...] = ("doc_id", "piece"), rows_a_salt: int = 200_000) -> DataFrame:
+    """All columns and sequence_id, offset (long). pieces is read several times: give a materialised table.
 
     Lengths are from 1 to capacity; a piece of null, less or more raises. order: columns that tell pieces apart; rows
-    equal in them are placed all the same, in any order among themselves. Columns sequence_id and offset are replaced.
+    equal in them are placed all the same, in any order among themselves. Columns sequence_id and offset are replaced;
+    others are kept, whatever their names. An empty table gives no rows. Pieces of full capacity are sequences of their
+    own and are not ranked; the pieces of another length are ranked in salted parts of about rows_a_salt rows, so no task
+    grows with the input. The driver sees the counts of lengths, of at most rows / rows_a_salt + capacity parts, and the
+    patterns, whose number is bounded by the lengths.
     """
     spark = pieces.sparkSession
-    salt = F.pmod(F.xxhash64(*order), F.lit(salts)).cast("int")
-    counted = pieces.groupBy(F.col(length).cast("int").alias("s"), salt.alias("p")).count().collect()  # capacity * salts rows at most
-    parts: dict[int, dict[int, int]] = defaultdict(dict)
-    for r in counted:
-        if r.s is None or not 1 <= r.s <= capacity:
-            raise ValueError(f"a piece has length {r.s}; lengths are from 1 to {capacity}")
-        parts[r.s][r.p] = r["count"]
-    bins = solve({s: sum(x.values()) for s, x in parts.items()}, capacity)
+    s_, p_, part_, rank_, at_ = (free_name(pieces, x) for x in ("_s", "_p", "_part", "_r", "_g"))
+    size = F.col(f"`{length}`").cast("int")
+    counts = {r.s: r["count"] for r in pieces.groupBy(size.alias("s")).count().collect()}  # capacity rows at most, else it raises
+    for s in counts:
+        if s is None or not 1 <= s <= capacity:
+            raise ValueError(f"a piece has length {s}; lengths are from 1 to {capacity}")
+    counts.pop(capacity, None)
+    bins = solve(counts, capacity)
     segments: dict[int, list] = defaultdict(list)  # of each length: (first rank, first sequence, times in it, first offset)
     ranks, sequence = Counter(), 0
     for p in sorted(bins):
@@ -183,22 +189,28 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", order: tuple[
             ranks[s] += bins[p] * times
             at += s * times
         sequence += bins[p]
+    salts = {s: -(-n // rows_a_salt) for s, n in counts.items()}
+    table_of = F.create_map(*(F.lit(x) for kv in salts.items() for x in kv)) if salts else F.create_map().cast("map<int,int>")
+    salt = F.pmod(F.xxhash64(*order), F.coalesce(F.try_element_at(table_of, size), F.lit(1)).cast("long")).cast("int")
+    others = pieces.drop("sequence_id", "offset").filter(size != capacity).withColumns({s_: size, p_: salt})
+    parts: dict[int, list] = defaultdict(list)
+    for r in others.groupBy(s_, p_).count().collect():
+        parts[r[0]].append((r[1], r["count"]))
     rows = []
     for s, x in parts.items():
         before = 0
-        for p in sorted(x):
-            rows.append((s, p, before))
-            before += x[p]
-    places = spark.createDataFrame([(s, [list(v) for v in x]) for s, x in segments.items()], "_s int, _segments array<array<bigint>>")
-    salted = spark.createDataFrame(rows, "_s int, _p int, _before long")
-    got = pieces.drop("sequence_id", "offset").withColumns({"_s": F.col(length).cast("int"), "_p": salt})
-    got = got.join(F.broadcast(salted), ["_s", "_p"])
-    got = got.withColumn("_r", F.col("_before") + F.row_number().over(Window.partitionBy("_s", "_p").orderBy(*order)) - 1)
-    got = got.join(F.broadcast(places), "_s")
-    got = got.withColumn("_g", F.expr("_segments[size(filter(_segments, g -> g[0] <= _r)) - 1]"))
-    inside = F.expr("_r - _g[0]")
-    got = got.withColumns({"sequence_id": F.expr("_g[1]") + F.floor(inside / F.expr("_g[2]")), "offset": F.expr("_g[3]") + (inside % F.expr("_g[2]")) * F.col(length)})
-    return got.drop("_s", "_p", "_before", "_r", "_segments", "_g")
+        firsts = [g[0] for g in segments[s]]
+        for p, n in sorted(x):  # a part gets the segments that its ranks meet
+            rows.append((s, p, (before, [list(g) for g in segments[s][bisect_right(firsts, before) - 1 : bisect_left(firsts, before + n)]])))
+            before += n
+    places = spark.createDataFrame(rows, f"`{s_}` int, `{p_}` int, `{part_}` struct<before: bigint, segments: array<array<bigint>>>")
+    got = others.join(F.broadcast(places), [s_, p_])  # as many rows as there are parts
+    got = got.withColumn(rank_, F.col(part_)["before"] + F.row_number().over(Window.partitionBy(s_, p_).orderBy(*order)) - 1)
+    got = got.withColumn(at_, F.element_at(F.filter(F.col(part_)["segments"], lambda g: g[0] <= F.col(rank_)), -1))
+    g, inside = F.col(at_), F.col(rank_) - F.col(at_)[0]
+    got = got.withColumns({"sequence_id": g[1] + F.floor(inside / g[2]), "offset": g[3] + (inside % g[2]) * size})
+    full = pieces.drop("sequence_id", "offset").filter(size == capacity).withColumns({"sequence_id": F.monotonically_increasing_id() + sequence, "offset": F.lit(0).cast("long")})
+    return full.unionByName(got.drop(s_, p_, part_, rank_, at_))
 
 
 def sequences(packed: DataFrame, ids: str = "ids") -> DataFrame:

@@ -112,3 +112,21 @@ def test_pack_places_every_piece(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, piece int, length long")
     assert packing.pack(df, 64).count() == 0
+
+
+def test_salted_parts_and_clashing_columns(spark):
+    r = random.Random(3)
+    rows = [(i // 3, i % 3, r.choice([1, 5, 5, 5, 7, 16, 16, 9, 2])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, length long").selectExpr("*", "'a' as _s", "'b' as _p", "'c' as _part", "'d' as _r", "'e' as _g", "0 as sequence_id")
+    got = packing.pack(df, 16, rows_a_salt=50).collect()
+    assert len(got) == 3000 and all((x._s, x._p, x._part, x._r, x._g) == tuple("abcde") for x in got)
+    by = {}
+    for x in got:
+        by.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    for x in by.values():
+        at = 0
+        for o, n in sorted(x):
+            assert o == at
+            at += n
+        assert at <= 16
+    assert len(by) == sum(packing.solve(dict(Counter(x[2] for x in rows)), 16).values())
