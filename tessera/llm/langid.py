@@ -61,7 +61,7 @@ class Model:
             for t, j, s in zip(part, p.argmax(1), p.max(1)):
                 known = bool(t) and any(map(str.isalpha, t))  # Unicode letters
                 langs.append(self.languages[j] if known else UNKNOWN)
-                scores.append(float(min(1.0, s)) if known else 0.0)
+                scores.append(round(float(min(1.0, s)), 9) if known else 0.0)  # sums differ in the last digits by place in a block
         return langs, scores
 
 

@@ -14,6 +14,8 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.common import free_name
+
 REFINE_BITS = 4
 
 
@@ -67,22 +69,24 @@ def shard_by_bytes(df: DataFrame, num_shards: int, key: str, size: str, order: t
     key: a long, not null, hashed so that its values are spread; size: a long, not null. order: columns that order rows
     of equal keys. Rows with the same key stay together: whole repeats of a row share a shard. The scan is repeated
     for each round of counting (one or two), so give a materialised table. tolerance: the distance of a splitter from
-    its target that is accepted, in shards; a single row or key above it is never cut. Empty input: no rows.
+    its target that is accepted, in shards; a single row or key above it is never cut. Empty input: no rows. Columns
+    shard and slot are replaced; others are kept, whatever their names.
     probe_bits: a multiple of REFINE_BITS; the first histogram has at most 2**probe_bits cells.
     """
-    splitters, first = find_splitters(df, num_shards, key, size, tolerance, probe_bits)
+    splitters, histogram = find_splitters(df, num_shards, key, size, tolerance, probe_bits)
     keys = [k for k, _ in splitters]
     starts = [0] + [n for _, n in splitters]
     rows, n0 = [], 0
-    for c, _, n in first:
+    for c, _, n in histogram:
         low, high = c << (64 - probe_bits), (c + 1) << (64 - probe_bits)
         base = sum(k <= low for k in keys)
         inner = [k for k in keys if low < k < high]
         rows.append((c, base, inner, [n0 - starts[base]] + [0] * len(inner)))
         n0 += n
-    cells = df.sparkSession.createDataFrame(rows, "_cell long, _base int, _inner array<bigint>, _first array<bigint>")
-    got = df.withColumn("_cell", F.shiftright(key, 64 - probe_bits)).join(F.broadcast(cells), "_cell")  # at most 2**probe_bits rows
-    got = got.withColumn("_k", F.size(F.filter("_inner", lambda s: s <= F.col(key)))).withColumn("shard", F.col("_base") + F.col("_k"))
-    at = F.row_number().over(Window.partitionBy("_cell", "shard").orderBy(key, *order))
-    got = got.withColumn("slot", F.expr("_first[_k]") + at - 1)
-    return got.drop("_cell", "_base", "_inner", "_first", "_k")
+    cell, base, inner, first, k, at = (free_name(df, x) for x in ("_cell", "_base", "_inner", "_first", "_k", "_at"))
+    cells = df.sparkSession.createDataFrame(rows, f"{cell} long, {base} int, {inner} array<bigint>, {first} array<bigint>")
+    got = df.drop("shard", "slot").withColumn(cell, F.shiftright(key, 64 - probe_bits)).join(F.broadcast(cells), cell)  # at most 2**probe_bits rows
+    got = got.withColumn(k, F.size(F.filter(inner, lambda s: s <= F.col(key)))).withColumn("shard", F.col(base) + F.col(k))
+    got = got.withColumn(at, F.row_number().over(Window.partitionBy(cell, "shard").orderBy(key, *order)))
+    got = got.withColumn("slot", F.get(first, F.col(k)) + F.col(at) - 1)
+    return got.drop(cell, base, inner, first, k, at)

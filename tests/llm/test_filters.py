@@ -13,11 +13,27 @@ def test_quality_figures_and_verdict(spark):
     assert len(got) == len(ROWS)
     assert (got[4].n_words, got[4].n_repeat_words) == (90, 90) and not got[4].kept
     assert got[6].n_dup_lines == 2 and got[7].n_symbols == 8 and got[0].n_words == 0
-    texts = [t for t in ROWS]
-    assert {r.name for r in quality.order_rules(texts, quality.RULES)} == {r.name for r in quality.RULES}
+    measured = quality.measure(ROWS, quality.RULES, (quality.TOO_SHORT,))
+    assert {r.name for r in quality.order_rules(measured, quality.RULES)} == {r.name for r in quality.RULES}
+    cheap, dear, idle = (quality.Rule(x, None) for x in ("cheap", "dear", "idle"))
+    assert quality.order_rules({"idle": (0.1, 0), "dear": (9.0, 9), "cheap": (0.5, 5)}, (idle, dear, cheap)) == (cheap, dear, idle)
     assert quality.cascade(df.limit(0)).count() == 0
 
 
+def test_costly_rules_and_short_circuit(spark):
+    r = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    passage = r.sample(words, 30)
+    texts = [" ".join(r.choice(words) for _ in range(100)), " ".join(passage * 3 + ["end"] * 2), "one pair " + " ".join(f"{r.choice(words)} one pair" for _ in range(60))]
+    df = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (7, texts[0])], "doc_id long, text string")
+    got = [(x.doc_id, x.kept, x.n_long_repeats, x.n_top_pair) for x in quality.cascade(df, figures=("n_long_repeats", "n_top_pair"), sample_rows=2).orderBy("doc_id").collect()]
+    assert [g[1] for g in got] == [True, True, False, False, True] and got[2][2] == 90 and got[3][3] == 61
+    seen = []
+    never = quality.Rule("never", lambda s: bool(seen.append(s)))
+    always = quality.Rule("always", lambda s: True)
+    assert not any(quality.measure(["a b"], (never,), (always,))["never"]) and not seen
+
+
 def test_toxicity_learns_stems_and_exceptions(spark):
     r = random.Random(1)
     word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(3))
@@ -81,7 +97,7 @@ def test_many_languages_have_landmarks(spark):
 
 
 def test_shards_are_near_equal_and_gapless(spark):
-    df = spark.range(5000).selectExpr("id", "xxhash64(id) as key", "if(id % 500 = 0, 20000L, 100 + id % 50) as size", "9 as shard", "8 as slot").drop("shard", "slot")
+    df = spark.range(5000).selectExpr("id", "xxhash64(id) as key", "if(id % 500 = 0, 20000L, 100 + id % 50) as size", "9 as shard", "8 as slot")
     got = sharding.shard_by_bytes(df, 24, "key", "size", order=("id",)).toPandas()
     by = got.groupby("shard")
     assert len(got) == 5000 and len(by) == 24
