@@ -4,6 +4,9 @@ Greedy-merge BPE has this property: the encoding of a prefix ends with the one t
 is encoded with a last token u such that u and t, put side by side, stay as they are. So one state, the last token,
 describes the encoding of a prefix. Distinct words, sorted, are the leaves of a trie in depth-first order; the stack of
 last tokens along the current path is kept, and only the letters below the branching point are worked out for each word.
+
+Every piece of every text takes this way, white-space runs and other scripts too; the library only splits what is not
+plain into pieces. A worker keeps the pieces it has met, so the trie of a block of texts holds the block's new pieces.
 """
 
 from __future__ import annotations
@@ -17,47 +20,75 @@ from tessera.llm.tokens import Encoder
 
 
 class TrieEncoder(Encoder):
-    """An Encoder whose new pieces are encoded by the trie; for byte-level vocabularies without word ends."""
+    """An Encoder whose new pieces are all encoded by the trie; for byte-level vocabularies without word ends."""
+
+    def _plain(self, path: str):
+        return None
 
     def __init__(self, path: str):
         super().__init__(path)
         model = json.load(open(path, encoding="utf-8"))["model"]
-        of = {c: b for b, c in enumerate(self.letters)}
-        special = {t.content for t in self.library.get_added_tokens_decoder().values()}
+        of, added = self.byte_of, self.library.get_added_tokens_decoder()
+        special = {t.content for t in added.values()}
         bytes_of = {t: bytes(of[c] for c in t) for t in model["vocab"] if t not in special}
         self.id_of = {b: model["vocab"][t] for t, b in bytes_of.items()}
-        self.token = {i: b for b, i in self.id_of.items()}
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
-        self.rank = {(bytes_of[a], bytes_of[b]): r for r, (a, b) in enumerate(pairs)}
         self.longest = max(map(len, self.id_of))
-        self.stays: dict[tuple[int, int], bool] = {}
-        self.table = [b""] * (max([*self.token, *self.library.get_added_tokens_decoder()]) + 1)
-        for i, b in self.token.items():
+        size = max([*self.id_of.values(), *added]) + 1
+        self.table = [b""] * size
+        for b, i in self.id_of.items():
             self.table[i] = b
-        for i, t in self.library.get_added_tokens_decoder().items():
+        self.made = [-1] * size  # the rank of the merge that makes a token; -1: none does
+        self.left, self.right = [-1] * size, [-1] * size
+        self.pair: dict[int, int] = {}  # rank of a merge by its two tokens
+        for r, m in enumerate(model["merges"]):
+            a, b = (model["vocab"][x] for x in (m if isinstance(m, list) else m.split(" ")))
+            t = self.id_of[self.table[a] + self.table[b]]
+            self.pair.setdefault(a << 20 | b, r)
+            if self.made[t] < 0:
+                self.made[t], self.left[t], self.right[t] = r, a, b
+        for i, t in added.items():
             self.table[i] = t.content.encode()
+        self.stays: dict[int, bool] = {}
+        self.guess: dict[int, int] = {}  # length of the last token by the one before and the next byte
 
     def merge(self, text: bytes) -> list[bytes]:
         """The definition: merge the adjacent pair of least rank, leftmost first, until none is left."""
-        parts = [text[i : i + 1] for i in range(len(text))]
-        while len(parts) > 1:
-            r, i = min((self.rank.get(p, 1 << 60), i) for i, p in enumerate(zip(parts, parts[1:])))
+        ids = [self.id_of[text[i : i + 1]] for i in range(len(text))]
+        while len(ids) > 1:
+            r, i = min((self.pair.get(a << 20 | b, 1 << 60), i) for i, (a, b) in enumerate(zip(ids, ids[1:])))
             if r == 1 << 60:
                 break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+            ids[i : i + 2] = [self.id_of[self.table[ids[i]] + self.table[ids[i + 1]]]]
+        return [self.table[i] for i in ids]
 
     def _stays(self, u: int, t: int) -> bool:
-        """Whether token t stays whole after token u (-1: at the start)."""
-        b = self.token[t]
-        got = self.merge(b) == [b] if u < 0 else self.merge(self.token[u] + b) == [self.token[u], b]
-        if len(self.stays) > 2_000_000:
+        """Whether token t stays whole after token u (-1: at the start).
+
+        Merges are undone from the latest on, on both sides of the border; the border falls if a pair across it has a
+        merge that comes before the merge that took one of its sides away (leftmost first at equal ranks).
+        """
+        if u < 0:
+            got = self.merge(self.table[t]) == [self.table[t]]
+        else:
+            pair, made, left, right = self.pair, self.made, self.left, self.right
+            x, y, until, got = u, t, 1 << 60, True
+            while True:
+                if pair.get(x << 20 | y, 1 << 60) < until:
+                    got = False
+                    break
+                if made[x] > made[y]:
+                    until, x = made[x], right[x]
+                elif made[y] >= 0:
+                    until, y = made[y] + 1, left[y]
+                else:
+                    break
+        if len(self.stays) > 300_000:
             self.stays.clear()
-        self.stays[u, t] = got
+        self.stays[u + 1 << 20 | t] = got
         return got
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        id_of, token, stays, longest = self.id_of, self.token, self.stays, self.longest
+        id_of, table, stays, guess, longest = self.id_of, self.table, self.stays, self.guess, self.longest
         words = [p.encode() for p in pieces]
         done: dict[bytes, bytes] = {}
         last = [-1]  # last[d]: the last token of the current path's prefix of d bytes
@@ -71,20 +102,31 @@ class TrieEncoder(Encoder):
                     shared += 1
             del last[shared + 1 :]
             for d in range(shared + 1, len(w) + 1):
+                # just one length fits; the one that did after the same token and byte is tried first
+                g = last[d - 1] + 1 << 8 | w[d - 1]
+                n = guess.get(g, 1)
+                if n <= d and (t := id_of.get(w[d - n : d])) is not None:
+                    ok = stays.get(last[d - n] + 1 << 20 | t)
+                    if ok or ok is None and self._stays(last[d - n], t):
+                        last.append(t)
+                        continue
                 for n in range(min(d, longest), 0, -1):
                     t = id_of.get(w[d - n : d])
                     if t is not None:
                         u = last[d - n]
-                        ok = stays.get((u, t))
+                        ok = stays.get(u + 1 << 20 | t)
                         if ok or ok is None and self._stays(u, t):
                             last.append(t)
+                            if len(guess) > 300_000:
+                                guess.clear()
+                            guess[g] = n
                             break
                 else:
                     raise ValueError(f"no token ends the prefix {w[:d]!r}")
             ids, d = [], len(w)
             while d:
                 ids.append(last[d])
-                d -= len(token[last[d]])
+                d -= len(table[last[d]])
             done[w] = array("I", ids[::-1]).tobytes()
             before = w
         return [done[w] for w in words]
