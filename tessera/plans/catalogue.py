@@ -242,7 +242,8 @@ def rollup(spark, sf):
 
 
 @register("clean_name_chain", r"""
-SELECT p_partkey, trim(regexp_replace(lower(p_name || ' Processors (2nd Generation) ' || p_brand), 'generation', 'gen', 'g').replace('processors', 'processor').regexp_replace('[^a-z0-9]+', ' ', 'g')) AS clean, upper(trim(regexp_replace(regexp_replace(p_brand, '[^A-Za-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))) AS brand FROM part""")
+SELECT p_partkey, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(p_name || ' Processors (2nd Generation) ' || p_brand), '\bgeneration\b', 'gen', 'g'), '\bprocessors\b', 'processor', 'g'), '[^\p{L}\p{N}_\s-]', ' ', 'g'), '\s+', ' ', 'g')) AS clean,
+  upper(regexp_replace(p_brand, '[^A-Za-z0-9 ]+', '', 'g')) AS brand FROM part""")
 def clean_name(spark, sf):
     name = F.concat(F.col("p_name"), F.lit(" Processors (2nd Generation) "), F.col("p_brand"))
     return read_table(spark, sf, "part").select("p_partkey", text.chain(name, text.PRODUCT_NAME).alias("clean"), text.alnum_upper(F.col("p_brand")).alias("brand"))
@@ -261,10 +262,13 @@ def capacity(spark, sf):
     return read_table(spark, sf, "part").select("p_partkey", numbers.capacity_mb(cell).alias("mb"), numbers.divides(F.col("p_partkey"), F.lit(4)).alias("by_four"))
 
 
-@register("number_words", "SELECT r_regionkey, ([21, 7, 40, 19, NULL])[r_regionkey + 1] AS n FROM region")
+_SPOKEN = "['twenty-one', 'Seven', 'forty', ' nineteen', 'many', 'one two', 'twenty thirty', 'ten one', 'zero', 'ninety nine', 'forty-ten', 'twenty one two']"
+
+
+@register("number_words", f"SELECT p_partkey, [21, 7, 40, 19, NULL, NULL, NULL, NULL, NULL, 99, NULL, NULL][p_partkey % 12 + 1] AS n, {_SPOKEN}[p_partkey % 12 + 1] AS words FROM part")
 def words_to_numbers(spark, sf):
-    cell = F.element_at(F.array(*map(F.lit, ("twenty-one", "Seven", "forty", " nineteen", "many"))), F.col("r_regionkey") + 1)
-    return read_table(spark, sf, "region").select("r_regionkey", text.number_words(cell).alias("n"))
+    cell = F.expr(f"element_at(array({_SPOKEN[1:-1]}), cast(p_partkey % 12 + 1 AS int))")
+    return read_table(spark, sf, "part").select("p_partkey", text.number_words(cell).alias("n"), cell.alias("words"))
 
 
 @register("literal_list_parse", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name || '|' || p_type WHEN 1 THEN p_name WHEN 2 THEN p_brand || '|' || p_type ELSE '' END AS items FROM part")
