@@ -37,3 +37,13 @@ def map_diff(a: Column, b: Column) -> Column:
     """Sorted keys whose values differ or that one side lacks."""
     keys = F.array_union(F.map_keys(a), F.map_keys(b))
     return F.array_sort(F.filter(keys, lambda k: ~F.try_element_at(a, k).eqNullSafe(F.try_element_at(b, k))))
+
+
+def clean(items: Column) -> Column:
+    """Sorted distinct items that are not null."""
+    return F.array_sort(F.array_distinct(F.array_compact(items)))
+
+
+def same_bag(a: Column, b: Column) -> Column:
+    """Whether both hold the same items as often."""
+    return F.array_sort(a).eqNullSafe(F.array_sort(b))

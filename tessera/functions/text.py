@@ -245,3 +245,7 @@ def parse_list(col: Column) -> Column:
 
 def strip_query(url: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(url, "[?#].*$", ""), "/+$", "")
+
+
+def no_space(col: Column) -> Column:
+    return F.regexp_replace(col, r"\s+", "")

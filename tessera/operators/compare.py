@@ -56,3 +56,18 @@ def streaks(df: DataFrame, by: str, order: list[str], bad: Column) -> DataFrame:
     df = df.withColumn("_bad", bad).withColumn("_i", island)
     inside = Window.partitionBy(by, "_i").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn("streak", F.sum(F.col("_bad").cast("int")).over(inside)).drop("_bad", "_i")
+
+
+def with_reset(streak: Column, most: int) -> list[Column]:
+    """streak counted anew after every `most` bad rows, and whether this row trips the breaker."""
+    return [F.when(streak > 0, (streak - 1) % most + 1).otherwise(0).alias("streak"), ((streak > 0) & (streak % most == 0)).alias("trips")]
+
+
+def merge_continuations(df: DataFrame, by: str, order: list[str], line: str, alone: str, ends: str) -> DataFrame:
+    """(by, island, line): lines that match `alone` joined to the line before, unless that one matches `ends` already. A record's lines are bounded."""
+    w = Window.partitionBy(by).orderBy(*order)
+    previous = F.lag(line).over(w)
+    joins = F.col(line).rlike(alone) & previous.isNotNull() & ~F.coalesce(previous.rlike(ends), F.lit(False))
+    got = df.withColumn("_starts", F.when(joins, 0).otherwise(1)).withColumn("island", F.sum("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = F.transform(F.array_sort(F.collect_list(F.struct(*order, line))), lambda s: s[line])
+    return got.groupBy(by, "island").agg(F.array_join(parts, " ").alias("line"))

@@ -62,3 +62,23 @@ def triage(error: Column, described: Column, coded: Column, mentioned: Column) -
 def outcome(failed: Column, parts: Column, filled: Column, enough: int = 3) -> Column:
     """FAILED, SUCCESS with any parts or more than `enough` filled fields, else PARTIAL."""
     return F.when(failed, "FAILED").when((parts > 0) | (filled > enough), "SUCCESS").otherwise("PARTIAL")
+
+
+def speed_flags(entries: Column, processors: Column, known: Column, clean) -> Column:
+    """All flags that hold for a row's entries 'name processor (speed)', sorted, joined by ' & ': duplicate, empty_speed, invalid_format, match, mismatch, missing, processor_mismatch.
+
+    processors: cleaned names of the row; known: the speeds that the reference has for them. match: some entry names a
+    processor of the row, and speeds agree both ways without an empty one.
+    """
+    from tessera.functions import models
+
+    entries = F.coalesce(entries, F.array().cast("array<string>"))
+    own = F.array_distinct(F.flatten(F.transform(entries, lambda x: models.speeds(x))))
+    wanted = F.array_distinct(F.flatten(F.transform(known, lambda x: models.speeds(x))))
+    named = lambda x: F.array_contains(processors, clean(models.before_paren(x)))
+    missing, extra = F.size(F.array_except(wanted, own)) > 0, F.size(F.array_except(own, wanted)) > 0
+    empty = F.exists(entries, lambda x: x.rlike(r"(?i)processor\s*\(\s*\)"))
+    invalid = (F.size(entries) == 0) | F.exists(entries, lambda x: ~x.rlike(r"(?i)processor\s*\(\s*[0-9]{4,5}\s*(?:MT/s|MHz)\s*\)$"))
+    repeated = F.size(entries) != F.size(F.array_distinct(entries))
+    steps = [(repeated, "duplicate"), (empty, "empty_speed"), (invalid, "invalid_format"), (F.exists(entries, lambda x: ~F.coalesce(named(x), F.lit(False))), "processor_mismatch"), (missing, "missing"), (extra, "mismatch"), (F.exists(entries, lambda x: F.coalesce(named(x), F.lit(False))) & ~missing & ~extra & ~empty, "match")]
+    return flags(*steps, default="")
