@@ -14,9 +14,32 @@ from pyspark.sql import types as T
 FACTS = T.StructType([T.StructField("title", T.StringType()), T.StructField("h1", T.StringType()), T.StructField("links", T.ArrayType(T.StringType()))])
 
 
-def looks_blocked(title: Column, html: Column) -> Column:
-    """A page that refuses: telling titles, or a short body with strong markers."""
-    return F.lower(F.coalesce(title, F.lit(""))).rlike("access denied|just a moment|forbidden") | ((F.length(html) <= 20000) & F.lower(html).rlike("captcha|request blocked"))
+#: Texts by which pages are told apart. Fixed values. The word captcha alone stands on real pages too.
+BLOCK_TITLES = ("just a moment", "attention required", "access denied", "are you a human")
+BLOCK_TEXTS = ("performing security verification", "cf-chl-widget", "cf-turnstile-response", "enable javascript and cookies to continue")
+CONTENT_MARKS = ("c-configuratorresultscard", "product-gallery-card", "s-productdetails")
+
+
+def _holds(text: Column, marks: tuple[str, ...]) -> Column:
+    t = F.lower(F.coalesce(text, F.lit("")))
+    out = F.contains(t, F.lit(marks[0]))
+    for m in marks[1:]:
+        out = out | F.contains(t, F.lit(m))
+    return out
+
+
+def looks_blocked(title: Column, html: Column, most: int = 20000) -> Column:
+    """A page that refuses: a telling title, or a body of at most `most` characters with a strong marker."""
+    return _holds(title, BLOCK_TITLES) | ((F.length(F.coalesce(html, F.lit(""))) <= most) & _holds(html, BLOCK_TEXTS))
+
+
+def has_content(html: Column) -> Column:
+    return _holds(html, CONTENT_MARKS)
+
+
+def page_state(title: Column, html: Column, least: int = 500) -> Column:
+    """CONTENT, BLOCKED, STRUCTURE_ERROR (under `least` characters) or UNKNOWN."""
+    return F.when(has_content(html), "CONTENT").when(looks_blocked(title, html), "BLOCKED").when(F.length(F.coalesce(html, F.lit(""))) < least, "STRUCTURE_ERROR").otherwise("UNKNOWN")
 
 
 class _Page(HTMLParser):

@@ -29,13 +29,61 @@ def live_failures(state: DataFrame, outcomes: DataFrame, key: str, failed) -> Da
 
 
 def append_stream(stream: DataFrame, path: str, key: str, checkpoint: str):
-    """A started query that appends rows of new keys to a Parquet table; a batch that is run again adds nothing."""
+    """A started query that appends the first row of each new key to a Parquet table.
 
-    def batch(rows: DataFrame, _: int) -> None:
-        spark = rows.sparkSession
-        rows = rows.filter(F.col(key).isNotNull()).dropDuplicates([key])
-        if spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).exists(spark._jvm.org.apache.hadoop.fs.Path(path)):
-            rows = rows.join(spark.read.parquet(path).select(key), key, "left_anti")
-        rows.write.mode("append").parquet(path)
+    The keys met so far are the query's own state, dealt out by key and kept in its checkpoint, so a batch costs what it
+    brings and the table is never read again; the file sink lists a batch's files once, so a batch that is run again
+    adds nothing. The table belongs to this query.
+    """
+    fresh = stream.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    return fresh.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+def latest(events: DataFrame, key: str, ts: str) -> DataFrame:
+    """The last event of each key: a status store made from its history. Equal instants: the greater row counts."""
+    row = F.struct(ts, *[c for c in events.columns if c not in (key, ts)])
+    return events.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(row).alias("r")).select(key, "r.*")
+
+
+def retry_rounds(tasks: DataFrame, key: str, attempt, rounds: int, keep) -> tuple[DataFrame, DataFrame]:
+    """(history, failed) after a first pass and `rounds` more over what failed. attempt: (tasks, number) to (key, ok, ...).
+
+    keep writes a table and reads it back, so that a round is run once; the number of rounds bounds the loop. history has
+    every attempt with its number, failed the tasks that no attempt brought through.
+    """
+    history, left = None, tasks
+    for n in range(1, rounds + 2):
+        got = keep(attempt(left, n).withColumn("attempt", F.lit(n)))
+        history = got if history is None else history.unionByName(got)
+        left = keep(left.join(got.filter("ok").select(key), key, "left_anti"))
+        if left.isEmpty():
+            break
+    return history, left
+
+
+def rotate(inputs: DataFrame, seen: DataFrame, key: str, at: str, n: int) -> DataFrame:
+    """The n inputs not looked at for longest, never seen ones first, then by key: a rotating sample, n is its feature."""
+    return inputs.join(seen.select(key, at), key, "left").orderBy(F.col(at).asc_nulls_first(), key).limit(n).select(inputs.columns)
+
+
+def mark_seen(seen: DataFrame, sample: DataFrame, key: str, at: str, now) -> DataFrame:
+    """The state after a sample has been looked at."""
+    return upsert(seen, sample.select(key, now.alias(at)), key)
+
+
+def streak_stream(events: DataFrame, key: str, ok: str, most: int) -> DataFrame:
+    """(key, n_events, streak, trips) after each batch of a stream: failures in a row of each key, counted anew after `most`, with the trips so far; events of a batch count in their order by ts."""
+    import pandas as pd
+
+    def step(k, batches, state):
+        streak, trips = state.get if state.exists else (0, 0)
+        rows = pd.concat(list(batches)).sort_values("ts")
+        for good in rows[ok]:
+            streak = 0 if good else streak + 1
+            if streak == most:
+                streak, trips = 0, trips + 1
+        state.update((streak, trips))
+        yield pd.DataFrame({key: [k[0]], "n_events": [len(rows)], "streak": [streak], "trips": [trips]})
+
+    kind = events.schema[key].dataType.simpleString()
+    return events.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, n_events long, streak long, trips long", "streak long, trips long", "update", "NoTimeout")
