@@ -44,9 +44,19 @@ def table_diff(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> D
 
 
 def flag_duplicates(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """is_dup: not the first of its keys by order; first_row: the first one's order value."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumns({"is_dup": F.row_number().over(w) > 1, "first_row": F.first(order).over(w)})
+    """first_row: the least order value among rows of the same keys (nulls are alike); is_dup: not that row. order tells rows apart.
+
+    The least value comes from one aggregation, combined before its exchange, and only of keys that repeat is it joined
+    back: a common content is not sorted in one task.
+    """
+    first = df.groupBy(*keys).agg(F.min(order).alias("first_row"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    other = first.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), "first_row")
+    same = None
+    for i, k in enumerate(keys):
+        one = F.col(k).eqNullSafe(F.col(f"_k{i}"))
+        same = one if same is None else same & one
+    got = df.join(other, same, "left").drop(*(f"_k{i}" for i in range(len(keys))))
+    return got.withColumn("first_row", F.coalesce("first_row", order)).withColumn("is_dup", F.col(order) != F.col("first_row"))
 
 
 def streaks(df: DataFrame, by: str, order: list[str], bad: Column) -> DataFrame:

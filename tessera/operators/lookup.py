@@ -44,16 +44,53 @@ def token_join(facts: DataFrame, fact_id: str, tokens: str, dim: DataFrame, dim_
 
 
 def overlap_best(facts: DataFrame, fact_id: str, words: str, dim: DataFrame, dim_id: str, dim_words: str) -> DataFrame:
-    """Dimension entry that shares most distinct words with each fact, least id on ties; entries that share none are never paired."""
-    a = facts.select(fact_id, F.explode(F.array_distinct(words)).alias("_w"))
-    b = dim.select(dim_id, F.explode(F.array_distinct(dim_words)).alias("_w"))
-    shared = a.join(b, "_w").groupBy(fact_id, dim_id).agg(F.count(F.lit(1)).alias("n_shared"))
-    return best_hit(shared, [fact_id], [F.desc("n_shared"), F.col(dim_id)])
+    """Dimension entry that shares most distinct words with each fact, least id on ties; entries that share none are never paired.
+
+    Facts of the same words are one, and so are entries (their least id stands for them), so equal names never multiply.
+    """
+    of = lambda c: F.array_sort(F.array_distinct(c))
+    sets = facts.select(fact_id, of(words).alias("_set"))
+    kinds = dim.select(dim_id, of(dim_words).alias("_words")).groupBy("_words").agg(F.min(dim_id).alias(dim_id))
+    a = sets.select("_set").distinct().withColumn("_w", F.explode("_set"))
+    shared = a.join(kinds.select(dim_id, F.explode("_words").alias("_w")), "_w").groupBy("_set", dim_id).agg(F.count(F.lit(1)).alias("n_shared"))
+    best = shared.groupBy("_set").agg(F.min(F.struct((-F.col("n_shared")).alias("n"), F.col(dim_id).alias("k"))).alias("m"))
+    return sets.join(best, "_set").select(fact_id, F.col("m.k").alias(dim_id), (-F.col("m.n")).alias("n_shared"))
+
+
+def _grams(c: Column, sizes) -> Column:
+    part = lambda n: F.when(F.length(c) >= n, F.transform(F.sequence(F.lit(1), F.length(c) - (n - 1)), lambda i: F.substr(c, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.flatten(F.array(*[part(n) for n in sizes])))
+
+
+def _parts_of(names: DataFrame, name: str, probes: DataFrame, probe: str) -> DataFrame:
+    in_names = names.select(name, F.explode(_grams(F.col(name), (1, 2, 3))).alias("_g"))
+    size = F.least(F.length(probe), F.lit(3))
+    own = F.filter(_grams(F.col(probe), (1, 2, 3)), lambda g: F.length(g) == size)
+    counts = in_names.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
+    rare = probes.select(probe, F.explode(own).alias("_g")).join(counts, "_g").groupBy(probe).agg(F.min(F.struct("_n", "_g")).alias("_m")).select(probe, F.col("_m._g").alias("_g"))
+    return in_names.join(rare, "_g").filter(F.contains(F.col(name), F.col(probe))).select(name, probe)
 
 
 def contains_join(names: DataFrame, name: str, probes: DataFrame, probe: str, both_ways: bool = False) -> DataFrame:
-    """Pairs in which the probe is part of the name, or either of the other; blank probes match nothing. For distinct, short lists."""
-    hit = F.contains(F.col(name), F.col(probe))
-    if both_ways:
-        hit = hit | F.contains(F.col(probe), F.col(name))
-    return names.join(probes.filter(F.col(probe) != ""), hit)
+    """Distinct pairs in which the probe is part of the name, or either of the other; blank probes match nothing, blank names only the other way.
+
+    Candidates meet by the probe's rarest three letters (all letters of shorter ones); contains() then decides, so no
+    name is compared with a probe that shares no such letters with it.
+    """
+    n, p = names.select(name).filter(F.col(name).isNotNull()).distinct(), probes.select(probe).filter(F.col(probe) != "").distinct()
+    got = _parts_of(n, name, p, probe)
+    return got.union(_parts_of(p, probe, n.filter(F.col(name) != ""), name).select(name, probe)).distinct() if both_ways else got
+
+
+def best_above(facts: DataFrame, group: str, bound: str, dim: DataFrame, dim_group: str, value: str, dim_id: str) -> DataFrame:
+    """For each fact of a group with entries: the least entry id among those of value >= bound, else the least of all; adds dim_id and above.
+
+    A group's entries are reduced to the steps at which the least id changes as the bound falls, a few in expectation, so
+    facts and entries of a common group are never paired.
+    """
+    w = Window.partitionBy(dim_group).orderBy(F.desc(value), dim_id).rowsBetween(Window.unboundedPreceding, 0)
+    least = dim.groupBy(dim_group, value).agg(F.min(dim_id).alias(dim_id)).withColumn("_least", F.min(dim_id).over(w))
+    steps = least.filter(F.col("_least") == F.col(dim_id)).groupBy(F.col(dim_group).alias("_g")).agg(F.collect_list(F.struct(F.col(value).alias("v"), F.col(dim_id).alias("k"))).alias("_steps"), F.min(dim_id).alias("_any"))
+    got = facts.join(steps, F.col(group) == F.col("_g"))
+    found = F.array_min(F.transform(F.filter("_steps", lambda s: s["v"] >= F.col(bound)), lambda s: s["k"]))
+    return got.withColumns({dim_id: F.coalesce(found, "_any"), "above": found.isNotNull()}).drop("_g", "_steps", "_any")

@@ -45,7 +45,7 @@ SELECT l_orderkey, array_to_string(list_sort(list(DISTINCT l_returnflag)), ',')
  count(*) FILTER (l_linestatus = 'F') AS n_final FROM lineitem GROUP BY l_orderkey""")
 def group_rollup(spark, sf):
     li = read_table(spark, sf, "lineitem")
-    return li.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("flags"), F.count(F.lit(1)).alias("n_lines"), F.count_distinct("l_suppkey").alias("n_suppliers"), F.count_if(F.col("l_linestatus") == "F").alias("n_final"))
+    return li.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("flags"), F.count(F.lit(1)).alias("n_lines"), F.size(F.collect_set("l_suppkey")).cast("long").alias("n_suppliers"), F.count_if(F.col("l_linestatus") == "F").alias("n_final"))
 
 
 def _part_lookup(order: str):
@@ -86,8 +86,8 @@ def cascade(spark, sf):
 SELECT c_custkey, s_suppkey, (s_acctbal >= c_acctbal) AS richer FROM customer JOIN supplier ON c_nationkey = s_nationkey
 QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY (s_acctbal >= c_acctbal) DESC, s_suppkey) = 1""")
 def best_hits(spark, sf):
-    hits = read_table(spark, sf, "customer").join(read_table(spark, sf, "supplier"), F.col("c_nationkey") == F.col("s_nationkey"))
-    return lookup.best_hit(hits.withColumn("richer", F.col("s_acctbal") >= F.col("c_acctbal")), ["c_custkey"], [F.desc("richer"), F.col("s_suppkey")]).select("c_custkey", "s_suppkey", "richer")
+    got = lookup.best_above(read_table(spark, sf, "customer"), "c_nationkey", "c_acctbal", read_table(spark, sf, "supplier"), "s_nationkey", "s_acctbal", "s_suppkey")
+    return got.select("c_custkey", "s_suppkey", F.col("above").alias("richer"))
 
 
 def _contains(both: bool):
@@ -116,13 +116,15 @@ def token_first(spark, sf):
 
 
 @register("fuzzy_overlap_best", """
-WITH d AS (SELECT n_nationkey AS k, string_split(lower(n_name || ' ' || p.p_name), ' ') AS w FROM nation JOIN part p ON p.p_partkey = n_nationkey),
-b AS (SELECT DISTINCT k, unnest(w) AS x FROM d), a AS (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS x FROM part)
-SELECT p_partkey, k, count(*) AS n_shared FROM a JOIN b USING (x) GROUP BY p_partkey, k QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY count(*) DESC, k) = 1""")
+WITH d AS (SELECT p_partkey AS k, string_split(lower(p_brand || ' ' || p_name || ' ' || p_type), ' ') AS w FROM part),
+b AS (SELECT DISTINCT k, unnest(w) AS x FROM d), a AS (SELECT DISTINCT o_orderkey, unnest(string_split(lower(p_name || ' brand#' || (o_custkey % 30)), ' ')) AS x FROM orders JOIN part ON o_orderkey = p_partkey)
+SELECT o_orderkey, k, count(*) AS n_shared FROM a JOIN b USING (x) GROUP BY o_orderkey, k QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY count(*) DESC, k) = 1""")
 def overlap(spark, sf):
+    """Every part is an entry, so the dimension grows with the data and its words are common ones."""
     part = read_table(spark, sf, "part")
-    d = read_table(spark, sf, "nation").join(part, F.col("p_partkey") == F.col("n_nationkey")).select(F.col("n_nationkey").alias("k"), F.split(F.lower(F.concat_ws(" ", "n_name", "p_name")), " ").alias("w"))
-    return lookup.overlap_best(part.select("p_partkey", F.split("p_name", " ").alias("words")), "p_partkey", "words", d, "k", "w")
+    facts = read_table(spark, sf, "orders").join(part, F.col("o_orderkey") == F.col("p_partkey")).select("o_orderkey", F.split(F.lower(F.concat("p_name", F.lit(" brand#"), F.col("o_custkey") % 30)), " ").alias("words"))
+    d = part.select(F.col("p_partkey").alias("k"), F.split(F.lower(F.concat_ws(" ", "p_brand", "p_name", "p_type")), " ").alias("w"))
+    return lookup.overlap_best(facts, "o_orderkey", "words", d, "k", "w")
 
 
 _OLD = "SELECT p_partkey, p_name, p_size, p_retailprice FROM part WHERE p_partkey % 11 <> 3"
@@ -322,10 +324,10 @@ def union_named(spark, sf):
     return o.unionByName(read_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("flag")), allowMissingColumns=True)
 
 
-@register("append_dedup", "SELECT p_name, min(p_partkey) AS p_partkey FROM part WHERE p_partkey % 2 = 1 AND p_name NOT IN (SELECT p_name FROM part WHERE p_size = 1) GROUP BY 1")
+@register("append_dedup", "SELECT p_name, min(p_partkey) AS p_partkey FROM part WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_size = 1) GROUP BY 1")
 def appended(spark, sf):
     part = read_table(spark, sf, "part").select("p_name", "p_partkey", "p_size")
-    return append_new(part.filter("p_size = 1"), part.filter("p_partkey % 2 = 1"), "p_name", "p_partkey").select("p_name", "p_partkey")
+    return append_new(part.filter("p_size = 1"), part, "p_name", "p_partkey").select("p_name", "p_partkey")
 
 
 @register("state_upsert_pending", """
