@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from tessera.llm.common import bounded_batches
 from tessera.llm.tokens import encoder, slices
 from tessera.llm.trie_bpe import TrieEncoder
 
@@ -20,6 +21,7 @@ def encode(df: DataFrame, path: str, text: str = "text", key: str = "doc_id", id
     Null and empty texts have no ids. Repeated rows are encoded alike; an empty table gives no rows; other columns are
     not read. Whole texts are encoded, in blocks that bound a worker's memory.
     """
+    bounded_batches(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -104,6 +104,18 @@ def trimmed(run, keeps: str = ""):
     return then
 
 
+#: Arrow batches end at about this many bytes, whatever the rows' sizes are.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by BATCH_BYTES, where they are not bounded lower: rows of text have no usual size."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def column_udf(run, kind: str, keeps: str = ""):
     """run, a function of Arrow arrays, as a column function: rows go to Python by the argument only, and each runs once."""
     inner = trimmed(run, keeps)
@@ -117,7 +129,7 @@ def column_udf(run, kind: str, keeps: str = ""):
 class WordHashes(dict):
     """Words (bytes) to 64-bit hashes; emptied at `most` entries."""
 
-    most = 200_000
+    most = 100_000
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -132,7 +144,7 @@ _HASHES = CACHES["words"] = WordHashes()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.array([_HASHES[w] for w in words], np.uint64)
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def linear_hash(x: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -149,6 +161,8 @@ def linear_hash(x: np.ndarray, width: int, seed: int) -> np.ndarray:
 def zipped(df: DataFrame, keys: list[str], text: str, name: str = "z") -> DataFrame:
     """keys and the text compressed with zstandard: what a shuffle of texts should carry. A null text is empty."""
 
+    bounded_batches(df.sparkSession)
+
     def run(batches):
         import zstandard
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import column_udf, free_name, trimmed
+from tessera.llm.common import bounded_batches, column_udf, free_name, trimmed
 
 DIM = 1 << 13
 GRAMS = (2, 3, 4)
@@ -140,6 +140,7 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", lang: str =
     Columns of df with these names are replaced; no other is touched, and only the text goes to Python. Repeated rows
     get the same language, whole texts of any length are read, an empty table gives no rows.
     """
+    bounded_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)  # DIM * landmarks floats
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

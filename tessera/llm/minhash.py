@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import discard, linear_hash, materialise, release, trimmed, unzip, word_hashes, zipped
+from tessera.llm.common import bounded_batches, discard, linear_hash, materialise, release, trimmed, unzip, word_hashes, zipped
 from tessera.llm.components import components
 
 BUCKET_BITS, MANTISSA = 8, 10
@@ -188,6 +188,7 @@ def near_duplicates(df: DataFrame, width: int = 5, percent: int = 80, text: str
     so what is near one of them is linked to all. Rows without an id are returned with a null
     component and kept: nothing can stand for them. An empty table gives no rows. Other columns are not read.
     """
+    bounded_batches(df.sparkSession)
     spark, written = df.sparkSession, []
 
     def keep(t: DataFrame, tag: str) -> DataFrame:

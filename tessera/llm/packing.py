@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tessera.llm.common import free_name, trimmed
+from tessera.llm.common import bounded_batches, free_name, trimmed
 from tessera.llm.tokens import encoder, slices
 
 Bins = Counter  # pattern (sorted tuple of (length, times)) -> number of sequences
@@ -131,6 +131,7 @@ def token_pieces(df: DataFrame, vocabulary: str, end_id: int, capacity: int, tex
     which may be shorter. Null and empty texts have end_id alone. Repeated rows are cut alike; an empty table gives none;
     other columns are not read.
     """
+    bounded_batches(df.sparkSession)
     kind = df.schema[key].dataType.simpleString()
     end = end_id.to_bytes(4, "little")
 

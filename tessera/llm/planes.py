@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import bounded_batches
 from tessera.llm.tokens import encoder, slices
 
 MAGIC = b"IDPLANE1"
@@ -148,6 +149,7 @@ def write(df: DataFrame, folder: str, vocabulary: str, end_id: int, text: str =
     repeated rows are all written. key: an integer. A file appears whole, by a rename, under a name its partition alone
     has: a task that runs again writes the same file.
     """
+    bounded_batches(df.sparkSession)
     tie = F.xxhash64(F.coalesce(text, F.lit("")))
     rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange("k", tie.alias("h").asc()).sortWithinPartitions(F.col("k").asc_nulls_first(), F.xxhash64(F.coalesce("t", F.lit(""))), "t")
 
@@ -182,7 +184,7 @@ def write(df: DataFrame, folder: str, vocabulary: str, end_id: int, text: str =
 def read(spark, files: list[tuple[int, str, int, int]], key: str = "doc_id", ids: bool = False) -> DataFrame:
     """One row for each document of the files: key, start (ids of all documents before it), n_tokens, ids_crc32, and its ids if asked for; a task for each file."""
     source = spark.createDataFrame([(s, p) for s, p, _, _ in files], "start long, path string")
-    source = source.repartition(len(files), "path") if len(files) > 1 else source
+    source = source.repartitionByRange(len(files), "start") if len(files) > 1 else source
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORDS
+from tessera.llm.common import WORDS, bounded_batches
 
 SYMBOLS = "#*$%&|<>"
 _UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
@@ -157,6 +157,7 @@ def cascade(df: DataFrame, rules: tuple[Rule, ...] = (TOO_SHORT, REPETITIVE, *RU
     rejections are estimated. Null and empty texts have no words: every figure is 0. Repeated rows are judged alike,
     whole texts of any length are read; an empty table gives no rows; other columns are not read.
     """
+    bounded_batches(df.sparkSession)
     ordered = sampled_order(df, rules, first, text, key, sample_rows)
     kind = df.schema[key].dataType.simpleString()
 

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORDS, fmix64, linear_hash, materialise, release, trimmed, unzip, word_hashes, zipped
+from tessera.llm.common import WORDS, bounded_batches, fmix64, linear_hash, materialise, release, trimmed, unzip, word_hashes, zipped
 from tessera.llm.tokens import slices
 
 RUN, MARK, CUT, WINDOW = 0, 1, 2, 3
@@ -112,7 +112,7 @@ def _scan(df: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes = [n or 0 for n in pc.binary_length(b.column(2)).to_pylist()]
-            for i, j in slices(b.num_rows, sizes):
+            for i, j in slices(b.num_rows, sizes, 2_000_000):
                 yield from _block(b.column(0).to_numpy()[i:j], b.column(1).to_numpy()[i:j], b.column(2).slice(i, j - i).to_pylist(), width)
 
     return df.select("d", "h", "t").mapInArrow(trimmed(run, "words"), _SCHEMA)
@@ -169,6 +169,7 @@ def dedup(df: DataFrame, width: int = 20, text: str = "text", key: str = "doc_id
     low = F.lit(-(1 << 63)).cast("long")
     others = [c for c in df.columns if c not in (text, "n_words", "n_removed", "kept_sha256")]
     d, h = F.coalesce(F.col(key).cast("long"), low).alias("d"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h")
+    bounded_batches(df.sparkSession)
     base = df.select(d, h, F.col(text).alias("t"))
     zips = zipped(base, ["d", "h"], "t")
     cuts = find_cuts(base, zips, width)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import column_udf, discard, materialise, trimmed
+from tessera.llm.common import bounded_batches, column_udf, discard, materialise, trimmed
 
 #: Letters that look like Latin ones, and digits and signs put for letters.
 LOOKALIKES = str.maketrans("асеорхуіјѕԁһԛԝαβεικνορτυχмткнв0134578@$€", "aceopxyijsdhqwabeiknoptuxmtkhboieastbase")
@@ -106,6 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     sample_rows rows at most. Counts are gathered on the executors; the driver gets the max_stems stems of
     highest weight and one raw figure for each row of the sample.
     """
+    bounded_batches(docs.sparkSession)
     sample = materialise(labelled_sample(docs, labels, label, sample_rows, text, key), "toxic-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,4 +185,5 @@ def score(df: DataFrame, lexicon: Lexicon, text: str = "text", name: str = "toxi
         for b in (whole.slice(i, SLICE) for whole in batches for i in range(0, len(whole), SLICE)):
             yield pa.array([lexicon.score(lexicon.raw(a, t.as_py())) for t in b], pa.float64())
 
+    bounded_batches(df.sparkSession)
     return df.withColumn(name, column_udf(run, "double")(F.col(f"`{text}`")))
