@@ -1,17 +1,17 @@
 """Exact substring deduplication by seed and extend.
 
 Seeds: of each window of `width` words, the k-gram with the least hash is its anchor, so equal windows have equal anchors
-at equal places, and only about one word in seven is an anchor. The windows of one anchor occurrence, a run, are its
-seed's extension both ways as far as that anchor decides.
+at equal places, and only about one word in seven is an anchor. The windows of one anchor occurrence are a run.
 
-1. Each block of documents is combined before the exchange: of runs that are equal the first is kept and the others are
-   cut at once; an anchor with different runs in the block sends its windows on and one mark.
+1. Each block of documents is combined before the exchange. Of runs that are equal the first is kept; every other one is
+   a seed that is compared with it word by word and extended both ways to a maximal match, which is cut at once. An
+   anchor with different runs in the block sends its windows on and one mark.
 2. Runs meet by anchor. Equal runs: all but the first are cut. An anchor with different runs: each first run is asked
    for its windows, where matches end inside a run.
 3. Those windows, read from the texts, meet by their hash; all but the first are cut.
 
-A cut run is a maximal stretch of windows that start earlier; a document's cuts join to its maximal repeats. The order
-of occurrences is (document, start). Hashes are 64 bits for a key inside an anchor of 64 bits.
+A document's cuts join to its maximal repeats. The order of occurrences is (document, start). Between blocks words are
+not compared: equality there is that of 64-bit hashes of runs or windows inside an anchor of 64 bits.
 """
 
 from __future__ import annotations
@@ -72,14 +72,39 @@ def _emit(kind, key, sub, d, h, s, r) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "key", "sub", "d", "h", "s", "r"])
 
 
+def extend(words: list[bytes], start: list[int], seeds, width: int):
+    """(document, first window, windows) of the matches that seeds grow to: maximal, but for what an earlier match of the document covers.
+
+    words: of all documents in turn; start: where each begins, and the end; seeds: (document, place, document of the
+    earlier occurrence, its place, words), in order of document and place. A seed inside what has been found is passed
+    by and growth to the left ends where found windows begin, so a document costs its length, however often it repeats.
+    """
+    now, reach = -1, 0
+    for d, b, e, a, n in seeds:
+        if d != now:
+            now, reach = d, 0
+        if b + n <= reach:
+            continue
+        if words[a : a + n] != words[b : b + n]:
+            continue  # equal hashes of other words
+        low = max(start[d], reach - width + 1)
+        while a > start[e] and b > low and words[a - 1] == words[b - 1]:
+            a, b, n = a - 1, b - 1, n + 1
+        while a + n < start[e + 1] and b + n < start[d + 1] and words[a + n] == words[b + n]:
+            n += 1
+        reach = b + n
+        yield d, b - start[d], n - width + 1
+
+
 def _block(d: np.ndarray, h: np.ndarray, texts: list[str], width: int) -> Iterator[pa.RecordBatch]:
     order = np.lexsort((h, d))
     keep = np.append(True, (d[order][1:] != d[order][:-1]) | (h[order][1:] != h[order][:-1])) if len(order) else order
     order = order[keep]
-    words = [(texts[i] or "").encode().split() for i in order]
-    start = np.append(0, np.cumsum([len(w) for w in words])).astype(np.int64)
-    x = word_hashes([w for ws in words for w in ws])
-    del words
+    own = [(texts[i] or "").encode().split() for i in order]
+    start = np.append(0, np.cumsum([len(w) for w in own])).astype(np.int64)
+    words = [w for ws in own for w in ws]
+    del own
+    x = word_hashes(words)
     s, r, anchor, run, wh, _ = runs_of(x, start, width)
     if not len(s):
         return
@@ -89,13 +114,18 @@ def _block(d: np.ndarray, h: np.ndarray, texts: list[str], width: int) -> Iterat
     o = np.lexsort((np.arange(len(s)), run, anchor))
     new_run = np.append(True, (run[o][1:] != run[o][:-1]) | (anchor[o][1:] != anchor[o][:-1]))
     new_anchor = np.append(True, anchor[o][1:] != anchor[o][:-1])
-    cut = o[~new_run]
     kept = o[new_run]
+    first = np.empty(len(s), np.int64)
+    first[o] = kept[np.cumsum(new_run) - 1]
+    cut = np.sort(o[~new_run])
     which = np.cumsum(new_anchor)[new_run] - 1
     several = np.bincount(which)[which] > 1
     zero = np.zeros
     if len(cut):
-        yield _emit(CUT, dd[cut].view(np.uint64), hh[cut].view(np.uint64), dd[cut], hh[cut], at[cut], r[cut])
+        seeds = zip(*(v.tolist() for v in (doc[cut], s[cut], doc[first[cut]], s[first[cut]], r[cut] + width - 1)))
+        found = np.array(list(extend(words, start.tolist(), seeds, width)), np.int64).reshape(-1, 3)
+        fd, fh = d[order][found[:, 0]], h[order][found[:, 0]]
+        yield _emit(CUT, fd.view(np.uint64), fh.view(np.uint64), fd, fh, found[:, 1], found[:, 2])
     one = kept[~several]
     yield _emit(RUN, anchor[one], run[one], dd[one], hh[one], at[one], r[one])
     many = kept[several]

@@ -55,3 +55,18 @@ def test_repeated_rows_and_empty(spark):
     got = sorted((g.doc_id or 0, g.n_words, g.n_removed) for g in substring.dedup(df, 20).collect())
     assert got == [(0, 1, 0), (1, 30, 0), (1, 30, 0), (2, 1, 0), (2, 30, 30)]
     assert substring.dedup(df.limit(0), 20).count() == 0
+
+
+def test_seeds_grow_to_maximal_matches():
+    r = random.Random(4)
+    pool = [b"a", b"b", b"c"]
+    for _ in range(200):
+        docs = [[r.choice(pool) for _ in range(r.randrange(2, 12))] for _ in range(3)]
+        words, start = [w for x in docs for w in x], [0]
+        for x in docs:
+            start.append(start[-1] + len(x))
+        seeds = sorted((d, b, e, a, 2) for d in range(3) for b in range(start[d], start[d + 1] - 1) for e in range(d + 1) for a in range(start[e], start[e + 1] - 1) if a < b and words[a : a + 2] == words[b : b + 2])
+        got = list(substring.extend(words, start, seeds, 2))
+        covered = {(d, p + i) for d, p, n in got for i in range(n)}
+        assert covered == {(d, b - start[d]) for d, b, *_ in seeds} and len(set(got)) <= len(seeds)
+    assert list(substring.extend([b"a", b"b", b"c", b"d"], [0, 2, 4], [(1, 2, 0, 0, 2)], 2)) == []  # other words
