@@ -42,37 +42,48 @@ def _one_card(li: Node, label: str) -> dict:
     }
 
 
+def page_cards(page: str | None) -> list[dict]:
+    """Part cards of one page in order, one for each part number (or name, where it has none)."""
+    root, found, seen = tree(page), [], set()
+    labels = {x.attrs["data-tab"]: _attr(x, "data-pgtab") or x.text() for x in root.below() if isinstance(x, Node) and x.attrs.get("data-tab") and "data-pgtab" in x.attrs}
+
+    def walk(node: Node, label: str) -> None:
+        for k in node.kids:
+            if not isinstance(k, Node):
+                continue
+            own = labels.get(k.attrs.get("id") or "", label) if (k.attrs.get("id") or "").startswith("tabContent") else label
+            if k.tag == "li" and k.has(CARD) and _by_class(k, "c-productCard4"):
+                card = _one_card(k, own)
+                key = card["part_number"] or card["name"]
+                if not key or key not in seen:
+                    seen.add(key)
+                    found.append(card)
+            else:
+                walk(k, own)
+
+    walk(root, "")
+    return found
+
+
 def cards(html: Column) -> Column:
-    """Part cards of a page, one for each part number (or name, where it has none). The category of a card without one is the label of its tab. Null pages have none."""
+    """Part cards of a page as an array. The category of a card without one is the label of its tab. Null pages have none."""
 
     @F.pandas_udf(f"array<{CARD_TYPE}>")
     def parse(pages: pd.Series) -> pd.Series:
-        out = []
-        for page in pages:
-            root, found, seen = tree(page), [], set()
-            labels = {x.attrs["data-tab"]: _attr(x, "data-pgtab") or x.text() for x in root.below() if isinstance(x, Node) and x.attrs.get("data-tab") and "data-pgtab" in x.attrs}
-
-            def walk(node: Node, label: str) -> None:
-                for k in node.kids:
-                    if not isinstance(k, Node):
-                        continue
-                    own = labels.get(k.attrs.get("id") or "", label) if (k.attrs.get("id") or "").startswith("tabContent") else label
-                    if k.tag == "li" and k.has(CARD) and _by_class(k, "c-productCard4"):
-                        card = _one_card(k, own)
-                        key = card["part_number"] or card["name"]
-                        if not key or key not in seen:
-                            seen.add(key)
-                            found.append(card)
-                    else:
-                        walk(k, own)
-
-            walk(root, "")
-            out.append(found)
-        return pd.Series(out, dtype=object)
+        return pd.Series([page_cards(page) for page in pages], dtype=object)
 
     return parse(html)
 
 
+@F.udtf(returnType="part_number string, name string, component_type string, status string")
+class CardRows:
+    """A page's part cards as rows, for lateral joins in SQL: spark.udtf.register("card_rows", CardRows)."""
+
+    def eval(self, html: str):
+        for c in page_cards(html):
+            yield c["part_number"], c["name"], c["component_type"], c["status"]
+
+
 def is_storage(component_type: Column) -> Column:
     return F.lower(component_type).rlike(_STORAGE)
 

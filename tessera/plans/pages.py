@@ -26,6 +26,14 @@ def part_cards(spark, sf):
     return _cards(spark, sf).select("p_partkey", "part_number", "name", "model", "component_type", "description", "status", parts.is_storage(F.col("component_type")).alias("storage"))
 
 
+@register("card_rows", """
+SELECT p_partkey, p_name || '/' || p_partkey AS part_number, 'Memory' AS component_type FROM part UNION ALL SELECT p_partkey, 'S' || p_partkey, 'Storage' FROM part""")
+def card_rows(spark, sf):
+    """The same cards by a table function in a lateral join."""
+    page = read_table(spark, sf, "part").select("p_partkey", F.expr(_CARDS).alias("html"))
+    return page.lateralJoin(parts.CardRows(F.col("html").outer())).select("p_partkey", "part_number", "component_type")
+
+
 @register("memory_parts", """
 SELECT p_partkey, p_name || '/' || p_partkey AS part_number, p_size || 'GB' AS capacity, 'DIMM' AS form_factor, 'Capacity: ' || p_size || 'GB; Capacity (GB): ' || p_size || '; Category: Memory; ECC: ECC; Memory Type: DDR4; Module Type: DIMM; Speed: ' || (2000 + p_size) || 'MT/s' AS specifications, p_name || '/' || p_partkey AS in_sections FROM part""")
 def memory_parts(spark, sf):
