@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import html, parts
+from tessera.operators import html, parts, processors
 from tessera.plans.catalogue import read_table, register
 
 _CARDS = """concat('<button data-pgtab="Storage" data-tab="tabContent0_1">x</button><ul>',
@@ -93,6 +93,23 @@ def chipset_search(spark, sf):
     return got.select("p_partkey", F.array_join("c", "|").alias("chipsets"), parts.chipset_status(original, F.col("c")).alias("status"), F.array_join(parts.w_series(lines), "|").alias("w_series"))
 
 
+_PROCESSOR_CELLS = """CASE p_partkey % 8 WHEN 0 THEN concat('{"Superchip": ["- NVIDIA® Grace CPU ', p_size, '", "nvidia hopper gpu", "Nvidia Grace CPU"]}')
+  WHEN 1 THEN concat('{"CPU": "Intel® Xeon® w-', 2000 + p_size, '/W-', 3000 + p_size, '"}') WHEN 2 THEN concat('{"CPU": ["AMD ryzen™ threadripper™ pro ', p_partkey, 'WX"]}')
+  WHEN 3 THEN concat('{"CPU": ["AMD EPYC™ ', p_partkey, ' Series Processors", "AMD Ryzen™ ', p_size, ' Series Processors"], "APU": ["TDP up to ', p_size, 'W", "[Note] x"]}')
+  WHEN 4 THEN concat('{"CPU": {"a": "Support for ', p_size, 'th and ', p_size + 1, 'th Generation: Intel® A', p_partkey, ' Processors / Intel B Processor in the LGA package"}}')
+  WHEN 5 THEN concat('{"CPU": ["AmpereOne®", "Family Processors", "TDP up to ', p_size, 'W"]}') WHEN 6 THEN concat('{"CPU": ["Ampere", "Altra", "Max or Altra", "', p_size, ' nm technology"]}')
+  ELSE concat('{"CPU": ["', p_name, '"') END"""
+
+
+@register("processor_lists", """
+SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'NVIDIA Grace CPU|NVIDIA Hopper GPU' WHEN 1 THEN 'Intel Xeon W-' || (2000 + p_size) || ' series processor|Intel Xeon W-' || (3000 + p_size) || ' series processor'
+  WHEN 2 THEN 'Ryzen Threadripper PRO ' || p_partkey || 'WX' WHEN 3 THEN 'AMD EPYC ' || p_partkey || ' Series processors|AMD Ryzen ' || p_size || ' Series processors'
+  WHEN 4 THEN concat_ws('|', p_size || 'th Generation Intel A' || p_partkey || ' processors', p_size || 'th Generation Intel B processors', (p_size + 1) || 'th Generation Intel A' || p_partkey || ' processors', (p_size + 1) || 'th Generation Intel B processors')
+  WHEN 5 THEN 'AmpereOne  Family processor' WHEN 6 THEN 'Ampere  Altra  Max or Ampere Altra  processor' END AS processors FROM part""")
+def processor_lists(spark, sf):
+    return read_table(spark, sf, "part").select("p_partkey", F.array_join(processors.processor_list(F.expr(_PROCESSOR_CELLS)), "|").alias("processors"))
+
+
 @register("heading_columns", """
 SELECT p_partkey, 'Max: ' || p_size || ' GB' AS memory, '' AS storage, '' AS expansion, '["' || p_name || '"]' AS processor, CASE WHEN p_partkey % 2 = 0 THEN 'Port: ' || p_type ELSE '' END AS networking, '' AS compatibility, '' AS important_configuration_notes FROM part""")
 def heading_columns(spark, sf):
