@@ -16,13 +16,20 @@ _MARKS = "[®™©]"
 _NTH = "[0-9]+(?:st|nd|rd|th)?"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often body names it."""
+    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
+
+
 def cell_lines(spec: Column, key: str) -> Column:
     """The lines under a key of a JSON text: of a text itself, of a list its items, of an object its values; none without the key or where the JSON is bad."""
-    raw = F.get_json_object(spec, f"$.{key}")
-    items = F.from_json(F.when(raw.startswith("["), raw), "array<string>")
-    values = F.map_values(F.from_json(F.when(raw.startswith("{"), raw), "map<string,string>"))
-    got = F.coalesce(items, values, F.when(raw.isNotNull(), F.array(raw)), F.array().cast("array<string>"))
-    return F.filter(got, lambda x: x.isNotNull())
+
+    def lines(raw: Column) -> Column:
+        items = F.from_json(F.when(raw.startswith("["), raw), "array<string>")
+        values = F.map_values(F.from_json(F.when(raw.startswith("{"), raw), "map<string,string>"))
+        return F.coalesce(items, values, F.when(raw.isNotNull(), F.array(raw)), F.array().cast("array<string>"))
+
+    return F.filter(_let(F.get_json_object(spec, f"$.{key}"), lines), lambda x: x.isNotNull())
 
 
 def unmarked(lines: Column) -> Column:
@@ -45,7 +52,10 @@ def superchips(lines: Column) -> Column:
 
 def threadripper(lines: Column) -> Column:
     """The one Threadripper PRO of a cell of one line: with its maker and 'processor' where the maker is written plainly, else from 'Ryzen' on."""
-    line = F.when(F.size(lines) == 1, F.try_element_at(lines, F.lit(1)))
+    return _let(F.when(F.size(lines) == 1, F.try_element_at(lines, F.lit(1))), _one_threadripper)
+
+
+def _one_threadripper(line: Column) -> Column:
     clean = F.regexp_replace(line, _MARKS, "")
     full, short = r"(?i)(AMD\s+Ryzen\s+Threadripper\s+PRO\s+[0-9]+WX)", r"(?i)(ryzen\s+threadripper\s+pro\s+[0-9]+wx)"
     return F.when(line.rlike(full), F.array(F.concat(F.regexp_extract(clean, full, 1), F.lit(" processor")))).when(clean.rlike(short), F.array(_recased(F.regexp_extract(clean, short, 1), "Ryzen", "Threadripper", "PRO")))
@@ -53,7 +63,10 @@ def threadripper(lines: Column) -> Column:
 
 def epyc_and_ryzen(lines: Column) -> Column:
     """The series of a cell of four lines or more that names EPYC and Ryzen series and has a note."""
-    plain = unmarked(lines)
+    return _let(unmarked(lines), _series)
+
+
+def _series(plain: Column) -> Column:
     has = lambda shape: F.exists(plain, lambda x: x.rlike(f"(?i){shape}"))
     series = lambda maker: rf"amd\s+{maker}\s+[0-9]+\s+series\s+processors?"
     aside = "(?i)(tdp|watt|single processor|note|recommend|installing|liquid cooling)"
@@ -64,27 +77,33 @@ def epyc_and_ryzen(lines: Column) -> Column:
 
 def paired_generations(lines: Column) -> Column:
     """'4th and 5th Generation Intel A processors/Intel B processors' as each generation of each kind; sought in a line, then in all lines together."""
-    plain = unmarked(lines)
+    return _let(unmarked(lines), _paired)
+
+
+def _paired(plain: Column) -> Column:
     shape = rf"(?is)({_NTH}\s+and\s+{_NTH})\s+Generation:?\s*((?:Intel|AMD).*%sprocessors?)"
 
     def crossed(line: Column, shape: str, kinds: Callable[[Column], Column]) -> Column:
         numbers = F.regexp_extract_all(F.regexp_extract(line, shape, 1), F.lit(f"(?i)({_NTH})"), 1)
         rest = F.regexp_replace(F.regexp_extract(line, shape, 2), r"(?i)\s+in\s+the\s+[^/]+", "")
         types = kinds(F.regexp_replace(rest, r"(?i)\bprocessors?\b", "processors"))
-        each = F.flatten(F.transform(numbers, lambda n: F.transform(types, lambda t: generation_words(F.concat_ws(" ", n, F.lit("Generation"), t)))))
+        each = _let(types, lambda ts: F.flatten(F.transform(numbers, lambda n: F.transform(ts, lambda t: generation_words(F.concat_ws(" ", n, F.lit("Generation"), t))))))
         return F.when(line.rlike(shape), each)
 
     trimmed = lambda a: F.filter(F.transform(a, lambda t: F.regexp_replace(F.trim(t), r"(?i)^\s*Generation\s+", "")), lambda t: t != "")
     one, all_lines = shape % "", shape % "?"
-    alone = crossed(F.try_element_at(F.filter(plain, lambda x: x.rlike(one)), F.lit(1)), one, lambda t: trimmed(F.split(t, "/")))
-    together = crossed(F.array_join(plain, "\n"), all_lines, lambda t: F.filter(trimmed(F.split(t, "[/\n]")), lambda x: x.rlike("(?i)intel.*processors?")))
+    alone = _let(F.try_element_at(F.filter(plain, lambda x: x.rlike(one)), F.lit(1)), lambda x: crossed(x, one, lambda t: trimmed(F.split(t, "/"))))
+    together = _let(F.array_join(plain, "\n"), lambda x: crossed(x, all_lines, lambda t: F.filter(trimmed(F.split(t, "[/\n]")), lambda x: x.rlike("(?i)intel.*processors?"))))
     return F.coalesce(alone, together)
 
 
 def ampere_one(lines: Column) -> Column:
     """The AmpereOne family's name joined from its lines, two spaces before 'Family'."""
-    marked = unmarked(lines)
-    has = lambda word: F.exists(lines, lambda x: F.lower(x).contains(word))
+    return _let(unmarked(lines), _one)
+
+
+def _one(marked: Column) -> Column:
+    has = lambda word: F.exists(marked, lambda x: F.lower(x).contains(word))
     kept = F.filter(marked, lambda x: x.rlike("(?i)(ampereone|family|processors?)") & ~x.rlike("(?i)(tdp|up to|custom cores|single processor)"))
     name = F.regexp_replace(F.regexp_replace(F.array_join(kept, " "), r"(?i)\bprocessors\b", "processor"), r"\s+", " ")
     return F.when(has("ampereone") & has("family") & (F.size(kept) > 0), F.array(generation_words(F.regexp_replace(F.trim(name), r"(?i)\b(AmpereOne)\s+(Family)", "$1  $2"))))
@@ -92,8 +111,11 @@ def ampere_one(lines: Column) -> Column:
 
 def ampere_altra(lines: Column) -> Column:
     """Altra and Altra Max names, words two spaces apart: those written out, else one name joined from the lines that are not technical."""
-    marked = unmarked(lines)
-    has = lambda word: F.exists(lines, lambda x: F.lower(x).contains(word))
+    return _let(unmarked(lines), _altra)
+
+
+def _altra(marked: Column) -> Column:
+    has = lambda word: F.exists(marked, lambda x: F.lower(x).contains(word))
     written = F.regexp_extract_all(F.array_join(marked, " "), F.lit(r"(?i)(Ampere\s+Altra(?:\s+Max)?\s+Processors?)"), 1)
     named = F.transform(written, lambda x: F.regexp_replace(F.regexp_replace(x, r"(?i)\bProcessors\b", "processor"), r"\s+", "  "))
     aside = r"(?i)(tdp|core|technology|watt|note|pci|memory|installed|function|[0-9]+\s*x|dual\s+processor|up\s+to|only\s+1\s+cpu|single\s+processor|nm\s+technology)"
@@ -113,7 +135,11 @@ def processor_list(spec: Column) -> Column:
     A superchip cell (a text or a list) counts before the rules. Built in for W-series, Threadripper PRO, EPYC with Ryzen,
     paired generations, AmpereOne and Altra; other families give null.
     """
-    lines = F.concat(*(cell_lines(spec, k) for k in KEYS))
-    chips = superchips(F.when(~F.get_json_object(spec, "$.Superchip").startswith("{"), cell_lines(spec, "Superchip")))
-    found = (chips, *(rule(lines) for rule in RULES))
-    return F.coalesce(*(F.when(F.size(x) > 0, x) for x in found))
+    fits = lambda found: F.try_element_at(F.filter(found, lambda x: F.size(x) > 0), F.lit(1))
+
+    def found(text: Column) -> Column:
+        chips = superchips(F.when(~F.get_json_object(text, "$.Superchip").startswith("{"), cell_lines(text, "Superchip")))
+        rules = _let(F.concat(*(cell_lines(text, k) for k in KEYS)), lambda lines: fits(F.array(*(rule(lines) for rule in RULES))))
+        return F.array(chips, rules)
+
+    return fits(_let(spec, found))
