@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import codec, embeddings, langid, minhash, packing, planes, quality, sharding, substring, toxicity
+from tessera.llm import codec, conversations, counts, embeddings, fim, langid, minhash, packing, planes, quality, sharding, substring, toxicity
 from tessera.llm.common import materialise, new_path, table
 
 QUERIES: dict = {}
@@ -130,3 +130,37 @@ f AS (SELECT w.doc_id, len(ws) AS n, coalesce(gone, []) AS gone, ws FROM w LEFT
 x AS (SELECT doc_id, n, len(gone) AS gone_n, CASE WHEN len(gone) = 0 THEN ws ELSE list_transform(list_filter(list_zip(ws, range(1, n + 1)), lambda z: NOT list_contains(gone, z[2])), lambda z: z[1]) END AS k FROM f)
 SELECT doc_id, n::BIGINT AS n_words, gone_n::BIGINT AS n_removed, sha256(array_to_string(k, ' ')) AS kept_sha256 FROM x
 """
+
+
+@register
+def op11_array_merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = counts.count_tokens(docs, vocabulary("piece_bpe_32k.model"))
+    n_bytes = F.octet_length(F.coalesce("text", F.lit(""))).cast("long")
+    return got.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@register
+def op12_viterbi_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(conversations.damage(rows), rows)
+
+
+@register
+def op13_event_scan_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = fim.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    output, restored = digest(F.col("fim.output")), digest(fim.restore(F.col("fim.output"), F.col("fim.form")))
+    return got.select("doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars", output.alias("output_sha256"), restored.alias("restored_sha256"))
+
+
+ORACLE["op13_event_scan_fim"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS x, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),
+h AS (SELECT *, len(u) AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS z,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:z], '') AS mid, array_to_string(u[z + 1:], '') AS suf FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END AS out FROM p)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(out) AS output_sha256, sha256(t) AS restored_sha256 FROM o
+"""

@@ -5,7 +5,9 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 
 from tessera.llm import langid, minhash, queries, sharding, toxicity
 
@@ -20,6 +22,9 @@ TYPES = {
     "op7_embedding_tiles": {"vec_id": "bigint", "n_links": "bigint", "component_id": "bigint", "kept": "boolean"},
     "op8_histogram_sharding": {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint", "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"},
     "op9_best_fit_packing": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"},
+    "op11_array_merge_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
+    "op12_viterbi_repair": {"conv_id": "bigint", **{c: "bigint" for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}, "audit": "string", "repaired_sha256": "string"},
+    "op13_event_scan_fim": {"doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint", "middle_chars": "bigint", "output_sha256": "string", "restored_sha256": "string"},
     "op10_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
 }
 
@@ -38,7 +43,7 @@ def test_columns_and_rows(results, texts):
     assert results.keys() == TYPES.keys()
     for name, types in TYPES.items():
         assert results[name][0] == types, name
-        if name not in ("op7_embedding_tiles", "op9_best_fit_packing"):
+        if name not in ("op7_embedding_tiles", "op9_best_fit_packing", "op12_viterbi_repair"):
             assert sorted(r["doc_id"] for r in results[name][1]) == sorted(texts), name
 
 
@@ -48,7 +53,8 @@ def test_matches_sql(results, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({queries.ORACLE[name]})").fetchall()
-    assert sorted(tuple(r[c] for c in cols) for r in results[name][1]) == sorted(want)
+    ordered = lambda rows: sorted(rows, key=str)
+    assert ordered(tuple(r[c] for c in cols) for r in results[name][1]) == ordered(want)
 
 
 def test_held_out_rows_and_learning(spark, results):
@@ -181,3 +187,19 @@ def test_very_long_texts(spark):
     got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in minhash.near_duplicates(df).collect()}
     assert got == {1: (59_996, 1, True), 2: (59_896, 1, False), 3: (1, 3, True), None: (59_996, None, True)}
     assert Counter(minhash.near_duplicates(df.limit(0)).columns) == Counter(["doc_id", "n_shingles", "component_id", "kept"])
+
+
+def test_counts_are_those_of_the_library(results, texts):
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for r in results["op11_array_merge_counts"][1]:
+        n = len(library.encode(texts[r["doc_id"]] or ""))
+        assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len((texts[r["doc_id"]] or "").encode()), n, n > 4096)
+
+
+def test_conversations_by_a_plain_pass(spark, results):
+    from tests.llm.test_conversations import plain_damage, plain_repair
+
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    want = plain_repair(plain_damage(rows), {r[0] for r in rows})
+    cols = list(TYPES["op12_viterbi_repair"])
+    assert sorted(tuple(r[c] for c in cols) for r in results["op12_viterbi_repair"][1]) == sorted(want)
