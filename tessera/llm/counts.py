@@ -122,7 +122,9 @@ class PieceCounter:
             stays[take + 1] = False
             now = np.cumsum(stays)[take] - 1
             sym, weight, seq, rank, to = (x[stays] for x in (sym, weight, seq, rank, to))
-            self._renew(sym, seq, rank, to, np.unique(np.concatenate([now, now[now > 0] - 1])))
+            changed = np.zeros(len(sym) + 1, bool)
+            changed[now] = changed[now - 1] = True  # the last place stands for the one before the first
+            self._renew(sym, seq, rank, to, np.flatnonzero(changed[:-1]))
         return total
 
     def _chosen(self, sym: np.ndarray, seq: np.ndarray, rank: np.ndarray, to: np.ndarray, hits: np.ndarray) -> np.ndarray:
@@ -154,10 +156,10 @@ class PieceCounter:
     def _block(self, texts: list[str]) -> list[int]:
         """The tokens of some marked texts, whose new pre-tokens are merged together."""
         known, cut = self.known, [self.cut.findall(t) for t in texts]
-        if new := {t for tokens in cut for t in tokens if t not in known}:
+        if new := set().union(*cut).difference(known):
             if len(known) + len(new) > CACHE_ENTRIES:
                 known.clear()
-                new = {t for tokens in cut for t in tokens}
+                new = set().union(*cut)
             ordered = list(new)
             known.update(zip(ordered, self._merge(ordered).tolist()))
         out = [sum(map(known.__getitem__, tokens)) for tokens in cut]

@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from tessera.plans import audits, catalogue, pages, reconcile, texts  # noqa: F401
+from tessera.plans import audits, catalogue, pages, processors, reconcile, texts  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents pages labels conversations".split()

@@ -41,3 +41,48 @@ def test_empty_table_and_long_text(spark):
     df = spark.createDataFrame([(json.dumps({"CPU": ["x" * 100_000] * 20 + ["Ampere Altra Processors"]}),)], "t string")
     assert df.select(processors.processor_list(F.col("t"))).collect()[0][0] == ["Ampere  Altra  processor"]
     assert df.limit(0).select(processors.processor_list(F.col("t"))).collect() == []
+
+
+# One rule at a time: lines of a cell, the rule, its names (None: it does not fit).
+RULE_CASES = [
+    (processors.several_generations, ["5th Generation Intel", "®", "Xeon", "®", "Scalable Processors", "4th Generation Intel", "®", "Xeon", "®", "Scalable Processors"], ["5th Generation Intel  Xeon  Scalable processor", "4th Generation Intel  Xeon  Scalable processor"]),
+    (processors.several_generations, ["5th Generation Intel", "Xeon", "4th Generation Intel", "Xeon", "Intel", "Xeon", "CPU Max Series", "TDP 350W"], ["5th Generation Intel  Xeon  processor", "4th Generation Intel  Xeon  processor", "Intel  Xeon  CPU Max Series"]),
+    (processors.several_generations, ["14th Gen Intel", "Core Desktop Processor", "13th Gen Intel", "Core Desktop Processor", "Single Processor"], ["14th Generation Intel  Core Desktop processor", "13th Generation Intel  Core Desktop processor"]),
+    (processors.several_generations, ["5th Generation Intel", "not a part", "4th Generation Intel", "Xeon"], ["5th Generation Intel", "not a part", "4th Generation Intel  Xeon  processor"]),
+    (processors.several_generations, ["5th Generation Intel Xeon Scalable Processors", "4th Generation Intel Xeon Scalable Processors"], None),
+    (processors.several_generations, ["Support for 5th Generation Intel", "Xeon", "4th Generation Intel", "Xeon"], None),
+    (processors.several_generations, ["5th Generation Intel", "Xeon"], None),
+    (processors.several_generations, ["5th Generation Intel", "a", "b", "c", "d", "Xeon", "4th Generation Intel", "Xeon"], ["5th Generation Intel", "a", "b", "c", "d", "4th Generation Intel  Xeon  processor"]),
+    (processors.one_generation, ["5th Generation Intel", "®", "Xeon", "Scalable Processors", "TDP up to 350W"], ["5th Generation  Intel Xeon Scalable processor"]),
+    (processors.one_generation, ["Intel", "Xeon", "W-3500", "* Please select carriers"], ["Intel  Xeon  W-3500  processors"]),
+    (processors.one_generation, ["Intel", "Xeon", "CPU Max Series", "Intel", "Xeon", "W-2500"], ["Intel  Xeon  CPU Max Series", "Intel  Xeon  W-2500  processors"]),
+    (processors.one_generation, ["plain words"], None),
+    (processors.workstation_series, ["Intel", "Xeon", "W-3500", "Processors", "Intel®", "Xeon", "W-2500"], ["Intel Xeon W-3500 Processors", "Intel Xeon W-2500 Processors"]),
+    (processors.workstation_series, ["Intel", "Xeon", "Processors"], None),
+    (processors.complete_names, ["Intel® Xeon® Gold 6400 Processor", "AMD EPYC 9004 Series processors", "Intel Core i7 Processor Socket 1700"], ["Intel Xeon Gold 6400 Processor", "AMD EPYC 9004 Series processors"]),
+    (processors.complete_names, ["Intel Xeon Gold 6400 Processor", "Intel"], None),
+    (processors.mixed_tokens, ["Intel®", "Xeon®", "Processor E-2100/E-2200 series", "8th Gen. Intel Core™ i3/ Pentium®", "/ Celeron®", "TDP", "x", "y"], ["Intel Xeon Processor E-2200 series", "8th Generation  Intel Core i3 processors", "8th Generation Intel Pentium  processors", "8th Generation Intel Celeron  processors", "Intel  Xeon  Processor E-2100 series"]),
+    (processors.mixed_tokens, ["Intel Xeon", "E-2200 Processors", "E-2100 processors", "9th Gen. Intel Core i3/ Pentium", "/ Celeron", "a", "b", "c"], ["Intel Xeon E-2200 Processors", "Intel Xeon E-2100 Processors", "9th Generation Intel Core i3 Processors", "9th Generation Intel Pentium Processors", "9th Generation Intel Celeron Processors"]),
+    (processors.mixed_tokens, ["Intel Xeon", "E-2200 Processors", "9th Gen. Intel Core i3/ Pentium", "/ Celeron"], None),
+    (processors.assembled_tokens, ["Intel®", "Xeon®", "Gold", "processor", "TDP 100W"], ["Intel Xeon processor"]),
+    (processors.assembled_tokens, ["Intel Xeon", "D-1700", "processor families", "AMD", "EPYC", "processor"], ["Intel Xeon processor families AMD EPYC processor"]),
+    (processors.assembled_tokens, ["Intel Xeon processor D-1700", "processor family", "x"], ["Intel Xeon processor D-1700 processor family"]),
+    (processors.assembled_tokens, ["AMD EPYC 4004 Series Processors", "other"], None),
+    (processors.assembled_tokens, ["x" * 60, "Intel", "processor"], None),
+    (processors.lga_socket, ["LGA1700 socket: Support for the 14th, 13th and 12th Generation Intel® Core™, Pentium® Gold and\nCeleron® Processors*"], [f"{n} Generation Intel {b} processor" for n in ("14th", "13th", "12th") for b in ("Core", "Pentium Gold", "Celeron")]),
+    (processors.lga_socket, ["LGA1700 socket"], None),
+    (processors.lga_package, ["LGA1700 package:\n- 14th generation Intel Core processors / Intel Pentium processor\nIntel Celeron processors*\nother\n- 13th Generation Intel Core processors"], ["14th Generation Intel Core processors", "14th Generation Intel Pentium processors", "14th Generation Intel Celeron processors", "13th Generation Intel Core processors"]),
+    (processors.lga_package, ["LGA1200 package: Support Intel Pentium processors\nIntel Core processors\nand 10th Generation"], ["10th Generation Intel Pentium processors", "Intel Core processors"]),
+    (processors.lga_package, ["no socket", None], None),
+    (processors.amd_socket, ["AMD Socket AM4, support for:\nAMD Ryzen 5000 / 3rd Gen Ryzen and Athlon processors\nfoot note"], ["AMD Ryzen 5000 Series", "3rd Generation AMD Ryzen", "AMD Athlon processor"]),
+    (processors.amd_socket, ["AMD Socket AM4"], None),
+]
+
+
+def test_rules_one_by_one(spark):
+    row = spark.range(1)
+    texts = lambda xs: F.array(*(F.lit(x).cast("string") for x in xs))
+    got = row.select(*(rule(F.filter(texts(xs), lambda x: x.isNotNull())).alias(f"c{i}") for i, (rule, xs, _) in enumerate(RULE_CASES[:14]))).collect()[0]
+    got = [*got, *row.select(*(rule(F.filter(texts(xs), lambda x: x.isNotNull())).alias(f"c{i}") for i, (rule, xs, _) in enumerate(RULE_CASES[14:]))).collect()[0]]
+    for (rule, xs, want), have in zip(RULE_CASES, got):
+        assert (have or None) == want, (rule.__name__, xs)
