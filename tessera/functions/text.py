@@ -41,9 +41,27 @@ def squeeze(col: Column) -> Column:
     return F.trim(F.regexp_replace(col, "\\s+", " "))
 
 
+#: A written-out escape, a backslash with what it stands before, or a run without one.
+_ESCAPES = r"(?s)\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2}|\\[0-7]{1,3}|\\.|\\$|[^\\]+"
+
+
+def unescaped(col: Column) -> Column:
+    """Text with written-out escapes (®, \x41, \101, \n) as the letters, digits and blanks they stand for; other signs of them go.
+    Where an escape is cut short all stay as they are written."""
+
+    def one(t: Column) -> Column:
+        code = F.when(t.rlike(r"^\\[uUx]"), F.conv(F.substr(t, F.lit(3)), 16, 10)).when(t.rlike(r"^\\[0-7]"), F.conv(F.substr(t, F.lit(2)), 8, 10)).cast("long")
+        said = F.when(code == 160, " ").when((code < 128) & F.chr(code).rlike("[A-Za-z0-9 ]"), F.chr(code)).otherwise("")
+        return F.when(code.isNotNull(), said).when(t.rlike("""(?s)^\\\\[\\\\'"abfnrtv\n]"""), "").otherwise(t)
+
+    parts = F.regexp_extract_all(col, F.lit(_ESCAPES), F.lit(0))
+    cut = F.exists(parts, lambda t: t.rlike(r"^\\[uUxN]?$"))
+    return F.when(~col.contains("\\") | cut, col).otherwise(F.array_join(F.transform(parts, one), ""))
+
+
 def alnum_upper(col: Column) -> Column:
-    """Upper-case letters, digits and spaces: written-out escapes and all other signs go, as do leading dashes; null if nothing or 'nan' is left."""
-    c = F.regexp_replace(F.regexp_replace(F.trim(col), r"\\\\u[0-9a-fA-F]{4}", ""), " ", " ")
+    """Upper-case letters, digits and spaces: escapes are read first, then all other signs go, as do leading dashes; null if nothing or 'nan' is left."""
+    c = F.regexp_replace(unescaped(F.trim(col)), "\u00a0", " ")
     c = F.regexp_replace(F.regexp_replace(c, r"^-+\s*", ""), "[^A-Za-z0-9 ]+", "")
     c = F.upper(F.trim(F.regexp_replace(c, r"\s+", " ")))
     return F.when(~c.isin("", "NAN"), c)
@@ -60,14 +78,23 @@ def web_text(col: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, "[™®°’‘]", ""), r"\s+", " "))
 
 
-#: UTF-8 read as cp1252, and what it was.
-MOJIBAKE = {"â„¢": "™", "Â®": "®", "Â©": "©", "Â°": "°", "â€™": "’", "â€˜": "‘", "â€“": "–", "Ã©": "é", "Ã¨": "è", "Ã¼": "ü"}
+#: The characters of code page 1252 at bytes 0x80 to 0x9f; five bytes have none and stay control characters. Fixed values.
+CP1252 = "€\x81‚ƒ„…†‡ˆ‰Š‹Œ\x8dŽ\x8f\x90‘’“”•–—˜™š›œ\x9džŸ"
+_HIGH = "".join(map(chr, range(0x80, 0xA0)))
+_FOLLOW = f"[{CP1252}\xa0-\xbf]"
+#: Characters that, written as bytes of the code page, are one character of UTF-8 of two to four bytes.
+MISREAD = f"[\xc2-\xdf]{_FOLLOW}|[\xe0-\xef]{_FOLLOW}{{2}}|[\xf0-\xf4]{_FOLLOW}{{3}}"
 
 
 def fix_mojibake(col: Column) -> Column:
-    for wrong, right in MOJIBAKE.items():
-        col = F.replace(col, F.lit(wrong), F.lit(right))
-    return col
+    """UTF-8 that was read as code page 1252, read again: each run of characters that spells one character of UTF-8 becomes it; all else stays."""
+
+    def read_again(run: Column) -> Column:
+        raw = F.encode(F.translate(run, CP1252, _HIGH), "ISO-8859-1")
+        return F.coalesce(F.try_validate_utf8(raw.cast("string")), run)
+
+    runs = F.array_distinct(F.regexp_extract_all(col, F.lit(MISREAD), F.lit(0)))
+    return F.when(col.rlike(MISREAD), F.aggregate(runs, col, lambda text, run: F.replace(text, run, read_again(run)))).otherwise(col)
 
 
 def nfkc(col: Column) -> Column:

@@ -82,15 +82,21 @@ def contains_join(names: DataFrame, name: str, probes: DataFrame, probe: str, bo
     return got.union(_parts_of(p, probe, n.filter(F.col(name) != ""), name).select(name, probe)).distinct() if both_ways else got
 
 
-def best_above(facts: DataFrame, group: str, bound: str, dim: DataFrame, dim_group: str, value: str, dim_id: str) -> DataFrame:
+def best_above(facts: DataFrame, group: str, bound: str, dim: DataFrame, dim_group: str, value: str, dim_id: str, salts: int = 64) -> DataFrame:
     """For each fact of a group with entries: the least entry id among those of value >= bound, else the least of all; adds dim_id and above.
 
     A group's entries are reduced to the steps at which the least id changes as the bound falls, a few in expectation, so
-    facts and entries of a common group are never paired.
+    facts and entries of a common group are never paired. Steps are found in salted parts of a group first, so that a
+    common group is spread, and then among the few steps of its parts.
     """
-    w = Window.partitionBy(dim_group).orderBy(F.desc(value), dim_id).rowsBetween(Window.unboundedPreceding, 0)
-    least = dim.groupBy(dim_group, value).agg(F.min(dim_id).alias(dim_id)).withColumn("_least", F.min(dim_id).over(w))
-    steps = least.filter(F.col("_least") == F.col(dim_id)).groupBy(F.col(dim_group).alias("_g")).agg(F.collect_list(F.struct(F.col(value).alias("v"), F.col(dim_id).alias("k"))).alias("_steps"), F.min(dim_id).alias("_any"))
+    least = dim.groupBy(dim_group, value).agg(F.min(dim_id).alias(dim_id)).withColumn("_salt", F.abs(F.xxhash64(dim_id) % salts))
+    w = Window.partitionBy(dim_group, "_salt").orderBy(F.desc(value), dim_id).rowsBetween(Window.unboundedPreceding, 0)
+    parts = least.withColumn("_least", F.min(dim_id).over(w)).filter(F.col("_least") == F.col(dim_id))
+    entry = F.struct((-F.col(value)).alias("n"), F.col(dim_id).alias("k"), F.col(value).alias("v"))
+    sorted_ = parts.groupBy(F.col(dim_group).alias("_g")).agg(F.array_sort(F.collect_list(entry)).alias("_e"), F.min(dim_id).alias("_any"))
+    none = F.filter("_e", lambda e: F.lit(False))
+    fall = lambda done, e: F.when(F.coalesce(e["k"] < F.try_element_at(done, F.lit(-1))["k"], F.lit(True)), F.array_append(done, e)).otherwise(done)
+    steps = sorted_.select("_g", "_any", F.aggregate("_e", none, fall).alias("_steps"))
     got = facts.join(steps, F.col(group) == F.col("_g"))
     found = F.array_min(F.transform(F.filter("_steps", lambda s: s["v"] >= F.col(bound)), lambda s: s["k"]))
     return got.withColumns({dim_id: F.coalesce(found, "_any"), "above": found.isNotNull()}).drop("_g", "_steps", "_any")

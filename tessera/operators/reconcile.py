@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import arrays
 from tessera.operators.lookup import best_hit, dedup_dim
+from tessera.sources.shared import written
 
 #: The worst status of a row wins.
 PRIORITY = ("FAIL", "MISSING", "DUPLICATED", "PASS")
@@ -82,11 +83,16 @@ def worst(*statuses: Column) -> Column:
 
 
 def numbered(df: DataFrame, order: list[Column], name: str = "row_no", shards: int = 64) -> DataFrame:
-    """Rows numbered as in a spreadsheet (the first is 2), in two steps: positions inside ranges of the order, then the rows before each range. No task gets the whole table."""
+    """Rows numbered as in a spreadsheet (the first is 2), in two steps: positions inside ranges of the order, then the rows before each range.
+
+    The ranges are written once and both steps read that table: two range exchanges of unlike columns draw bounds of their
+    own. No task gets the whole table. Rows that tie in the order are numbered in any order; an empty table stays empty.
+    """
     parted = df.repartitionByRange(shards, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    inside = parted.withColumn("_at", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("long"), 33))
-    sizes = parted.groupBy("_part").count()
-    before = sizes.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")  # one row a range
+    inside = written(parted.withColumn("_at", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("long"), 33)), "numbered")
+    sizes = inside.groupBy("_part").count()
+    before = sizes.withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
+    # `shards` rows at most, whatever the table's size
     return inside.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_at") + 2).drop("_part", "_at", "_before")
 
 

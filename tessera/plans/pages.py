@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import html, parts, processors
+from tessera.operators import crawl, hierarchy, html, nodes, parts, processors
 from tessera.plans.catalogue import read_table, register
+from tessera.sources.shared import written
 
 _CARDS = """concat('<button data-pgtab="Storage" data-tab="tabContent0_1">x</button><ul>',
   '<li class="product-gallery-card" data-partnumber="', p_name, '/', p_partkey, '" data-name="DDR4 ', 2000 + p_size, 'MT/s" data-group="ALL" data-capacity="', p_size, '" data-category="Memory"><div class="c-productCard4"><div class="c-productCard4__details__content__longDesc"><ul><li>', p_size, 'GB ECC DIMM</li><li>Part Number: x</li><li><a href="#">sheet</a></li></ul></div></div></li>',
   '<li class="product-gallery-card" data-partnumber="', p_name, '/', p_partkey, '"><div class="c-productCard4">again</div></li></ul>',
-  '<div id="tabContent0_1"><ul><li class="product-gallery-card" data-partnumber="S', p_partkey, '" data-name="', p_brand, '"><div class="c-productCard4"><a class="learn-more" href="', CASE p_partkey % 5 WHEN 0 THEN '#' ELSE concat('http://x.example/p', p_partkey % 7, '?q=', p_partkey) END, '">more</a><span class="c-productCard4__footer__string">Gone <b>soon</b></span></div></li></ul></div>')"""
+  '<div id="tabContent0_1"><ul><li class="product-gallery-card" data-partnumber="S', p_partkey, '" data-name="', p_brand, '"><div class="c-productCard4"><a class="learn-more" href="', CASE p_partkey % 5 WHEN 0 THEN '#' ELSE concat('http://x.example/p', p_partkey, '?q=', p_partkey) END, '">more</a><span class="c-productCard4__footer__string">Gone <b>soon</b></span></div></li></ul></div>')"""
 
 
 def _cards(spark, sf):
@@ -47,12 +49,13 @@ _TABLES = """concat('<div class="s-productDetails__additional__specificationPane
 
 
 def _products(spark, sf):
-    p = read_table(spark, sf, "part").filter("p_partkey < 6").select(F.col("p_partkey").alias("k"))
-    return p.select("k", F.concat(F.lit("http://x.example/p"), "k").alias("url"), parts.variants(F.expr(_CATALOG)).alias("variants"), F.when(F.col("k") == 4, F.array().cast("array<struct<form_factor:string,rows:array<struct<label:string,lines:array<string>>>>>")).otherwise(parts.spec_tables(F.expr(_TABLES))).alias("tables"))
+    """A product page for each part; some could not be fetched, some have no tables."""
+    p = read_table(spark, sf, "part").select(F.col("p_partkey").alias("k"))
+    return p.select("k", F.concat(F.lit("http://x.example/p"), "k").alias("url"), F.when(F.col("k") % 7 != 6, parts.variants(F.expr(_CATALOG))).alias("variants"), F.when(F.col("k") % 7 == 4, F.array().cast("array<struct<form_factor:string,rows:array<struct<label:string,lines:array<string>>>>>")).otherwise(parts.spec_tables(F.expr(_TABLES))).alias("tables"))
 
 
-_VARIANTS = """v AS (SELECT k, unnest(CASE WHEN k % 2 = 0 THEN [{'c': '256GB', 'f': 'mSATA', 'p': 'A' || k}, {'c': '256GB', 'f': 'M.2', 'p': 'B' || k}, {'c': '512 GB', 'f': 'mSATA', 'p': 'C' || k}, {'c': '512 GB', 'f': 'M.2', 'p': 'C' || k}] ELSE [{'c': '512 GB', 'f': '', 'p': 'C' || k}, {'c': '1TB', 'f': '', 'p': 'D' || k}] END) AS x FROM (SELECT p_partkey AS k FROM part WHERE p_partkey < 6)),
-s AS (SELECT k, x.c AS capacity, x.f AS form_factor, x.p AS part_number, CASE WHEN k = 4 THEN '' WHEN x.f = 'mSATA' AND x.c = '256GB' THEN 'Capacities: 256GB, 512 GB; Endurance: about | ' || k || 'TB' WHEN x.f = 'mSATA' THEN 'Capacities: 256GB, 512 GB; Endurance: about | 9TB' WHEN x.f = 'M.2' THEN 'Capacities: 256GB, 512 GB, 1TB; Speed: ' || (100 + k) ELSE '' END AS specs FROM v)"""
+_VARIANTS = """v AS (SELECT k, unnest(CASE WHEN k % 2 = 0 THEN [{'c': '256GB', 'f': 'mSATA', 'p': 'A' || k}, {'c': '256GB', 'f': 'M.2', 'p': 'B' || k}, {'c': '512 GB', 'f': 'mSATA', 'p': 'C' || k}, {'c': '512 GB', 'f': 'M.2', 'p': 'C' || k}] ELSE [{'c': '512 GB', 'f': '', 'p': 'C' || k}, {'c': '1TB', 'f': '', 'p': 'D' || k}] END) AS x FROM (SELECT p_partkey AS k FROM part WHERE p_partkey % 7 <> 6)),
+s AS (SELECT k, x.c AS capacity, x.f AS form_factor, x.p AS part_number, CASE WHEN k % 7 = 4 THEN '' WHEN x.f = 'mSATA' AND x.c = '256GB' THEN 'Capacities: 256GB, 512 GB; Endurance: about | ' || k || 'TB' WHEN x.f = 'mSATA' THEN 'Capacities: 256GB, 512 GB; Endurance: about | 9TB' WHEN x.f = 'M.2' THEN 'Capacities: 256GB, 512 GB, 1TB; Speed: ' || (100 + k) ELSE '' END AS specs FROM v)"""
 _SHOWN = "array_join(transform(array_sort(map_entries(specs)), e -> concat(e.key, ': ', e.value)), '; ')"
 
 
@@ -63,9 +66,9 @@ def product_variants(spark, sf):
 
 
 @register("storage_parts", f"""
-WITH {_VARIANTS}, c AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_partkey % 7 END AS k FROM part)
+WITH {_VARIANTS}, c AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_partkey END AS k FROM part)
 SELECT p_partkey, CASE WHEN s.part_number IS NOT NULL THEN s.part_number ELSE 'S' || p_partkey END AS part_number, coalesce(s.capacity, '') AS capacity, coalesce(s.form_factor, '') AS form_factor, coalesce(s.specs, '') AS specs,
-  CASE WHEN c.k IS NULL THEN 'COMPONENT_URL_FAILED' WHEN c.k > 5 THEN 'PRODUCT_PAGE_FAILED' WHEN c.k = 4 THEN 'SPECIFICATION_EXTRACTION_FAILED' ELSE 'SUCCESS' END AS extraction FROM c LEFT JOIN s ON c.k = s.k""")
+  CASE WHEN c.k IS NULL THEN 'COMPONENT_URL_FAILED' WHEN c.k % 7 = 6 THEN 'PRODUCT_PAGE_FAILED' WHEN c.k % 7 = 4 THEN 'SPECIFICATION_EXTRACTION_FAILED' ELSE 'SUCCESS' END AS extraction FROM c LEFT JOIN s ON c.k = s.k""")
 def storage_parts(spark, sf):
     cards = _cards(spark, sf).filter(parts.is_storage(F.col("component_type")))
     return parts.storage_parts(cards, _products(spark, sf)).withColumn("specs", F.expr(_SHOWN)).select("p_partkey", "part_number", "capacity", "form_factor", "specs", "extraction")
@@ -133,3 +136,67 @@ def crawl_links(spark, sf):
     """A listing's pages to distinct product addresses."""
     links = read_table(spark, sf, "pages").select("url", F.explode(html.page_facts("html")["links"]).alias("x")).filter("x != '' AND contains(x, 'e')")
     return links.select(text.resolve_url(F.col("url"), F.col("x")).alias("url")).distinct()
+
+
+_TABS = """concat('<main><nav>', array_join(transform(sequence(1, 1 + p_size % 4), i -> concat('<button data-tab="tabContent0_', i, '" data-pgtab="', CASE WHEN i % 2 = 0 THEN concat('Tab ', i) ELSE '' END, '"><i>', p_brand, '</i> no <b>', i, '</b></button>')), ''), '</nav>',
+  array_join(transform(sequence(1, 1 + p_size % 4), i -> concat('<div id="tabContent0_', i, '"><section><ul>', array_join(transform(sequence(1, 1 + (p_size + i) % 3), j -> concat('<li class="x product-gallery-card" data-partnumber="', p_partkey, '-', i, '-', j, '"', CASE WHEN j = 2 THEN ' data-category="Memory"' ELSE '' END, '><p>card')), ''), '</ul></section></div>')), ''),
+  '<li class="product-gallery-card" data-partnumber="', p_partkey, '-0-0"></li></main>')"""
+
+
+@register("tab_cards", """
+WITH t AS (SELECT p_partkey, p_size, p_brand, unnest(range(1, 2 + p_size % 4)) AS i FROM part), c AS (SELECT *, unnest(range(1, 2 + (p_size + i) % 3)) AS j FROM t)
+SELECT p_partkey, concat(p_partkey, '-', i, '-', j) AS part_number, CASE WHEN j = 2 THEN 'Memory' WHEN i % 2 = 0 THEN 'Tab ' || i ELSE p_brand || ' no ' || i END AS component_type FROM c
+UNION ALL SELECT p_partkey, concat(p_partkey, '-0-0'), 'Component' FROM part""")
+def tab_cards(spark, sf):
+    """Cards with the labels of the tab panels around them: the page as a relation of elements, containment as a join."""
+    found = written(nodes.page_nodes(read_table(spark, sf, "part"), F.expr(_TABS), "p_partkey"), "nodes")
+    return nodes.labelled_cards(found, "p_partkey").select("p_partkey", F.col("attrs")["data-partnumber"].alias("part_number"), "component_type")
+
+
+_BLOCKS = ("nav", "article", "footer")
+
+
+@register("page_blocks", f"""
+WITH b AS (SELECT page_id, b.block, regexp_extract(html, '(?s)<' || b.block || '>(.*)</' || b.block || '>', 1) AS part FROM pages, (VALUES {", ".join(f"('{b}')" for b in _BLOCKS)}) AS b(block)), t AS (SELECT *, unnest(['a', 'p', 'li']) AS tag FROM b),
+n AS (SELECT page_id, block, tag, len(regexp_extract_all(part, '<' || tag || '[ >]')) AS n, CASE WHEN tag = 'a' THEN array_to_string(regexp_extract_all(part, '<a href="([^"]*)"', 1), ' ') END AS links FROM t)
+SELECT page_id, block, tag, n, links FROM n WHERE n > 0""")
+def page_blocks(spark, sf):
+    """Links, paragraphs and list items of captured pages by the block around them."""
+    pages = read_table(spark, sf, "pages")
+    found = written(nodes.page_nodes(pages, F.col("html"), "page_id"), "nodes")
+    blocks = found.filter(F.col("tag").isin(*_BLOCKS)).withColumn("label", F.col("tag"))
+    held = nodes.inside(found.filter(F.col("tag").isin("a", "p", "li")), blocks, "page_id").filter("label IS NOT NULL")
+    links = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pre", F.col("attrs")["href"].alias("href")))), lambda x: x["href"]), " ")
+    return held.groupBy("page_id", F.col("label").alias("block"), "tag").agg(F.count("*").alias("n"), links.alias("links")).withColumn("links", F.when(F.col("tag") == "a", F.col("links")))
+
+
+_LISTING = """l AS (SELECT regexp_extract(url, '^[a-z]+://([^/]+)', 1) AS site, page_id, html FROM pages), n AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY page_id) AS page, count(*) OVER (PARTITION BY site) AS total FROM l)"""
+
+
+@register("listing_crawl", rf"""
+WITH RECURSIVE {_LISTING}, s AS (SELECT site, page, least(total + 1, 4 * page) AS said, CASE WHEN page_id % 11 = 3 THEN [] ELSE regexp_extract_all(html, '<a href="([^"]*)"', 1) END AS items FROM n),
+w(site, page, last) AS (SELECT site, page, said FROM s WHERE page = 1 UNION ALL SELECT w.site, s.page, greatest(w.last, s.said) FROM w JOIN s ON s.site = w.site AND s.page = w.page + 1 WHERE w.page < w.last AND len(s.items) > 0)
+SELECT w.site, count(*) AS pages, count(DISTINCT u.url) AS links, min(u.url) AS first_link FROM w JOIN s USING (site, page) LEFT JOIN LATERAL (SELECT unnest(s.items) AS url) u ON true GROUP BY w.site""".replace("count(*) AS pages", "count(DISTINCT page) AS pages"))
+def listing_crawl(spark, sf):
+    """Listings of each host, a captured page each, walked by pagers that show some pages ahead, to the last page or an empty one."""
+    facts = read_table(spark, sf, "pages").select(F.regexp_extract("url", "^[a-z]+://([^/]+)", 1).alias("site"), "page_id", F.when(F.col("page_id") % 11 == 3, F.array().cast("array<string>")).otherwise(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).alias("items"))
+    w = Window.partitionBy("site")
+    listed = facts.withColumns({"page": F.row_number().over(w.orderBy("page_id")), "total": F.count("*").over(w)})
+    visited, links = crawl.crawl(listed.withColumn("last_page", F.least(F.col("total") + 1, 4 * F.col("page"))), pager="every")
+    found = links.groupBy("site").agg(F.count("*").alias("links"), F.min("url").alias("first_link"))
+    got = visited.groupBy("site").agg(F.count("*").alias("pages")).join(found, "site", "left")
+    return got.withColumn("links", F.coalesce("links", F.lit(0).cast("long")))
+
+
+@register("section_documents", """
+WITH o AS (SELECT o_orderkey, o_orderpriority FROM orders), l AS (SELECT l_orderkey, l_returnflag, list(l_partkey::VARCHAR ORDER BY l_linenumber, l_partkey) AS vs, min(l_linenumber * 1000000 + l_partkey) AS pos FROM lineitem GROUP BY ALL),
+m AS (SELECT l_orderkey, string_agg(to_json(l_returnflag) || ':{"Part":' || CASE WHEN len(vs) = 1 THEN to_json(vs[1]) ELSE to_json(vs) END || '}', ',' ORDER BY pos, l_returnflag) AS j FROM l GROUP BY l_orderkey)
+SELECT o_orderkey, '{"Order":{"Priority":' || to_json(o_orderpriority) || ',"Details":["#' || o_orderkey || '"]' || CASE WHEN j IS NULL THEN '' ELSE ',"Items":{' || j || '}' END || '}}' AS document FROM o LEFT JOIN m ON o_orderkey = l_orderkey""")
+def section_documents(spark, sf):
+    """Orders as documents: sections two to four names deep in the order of their rows, repeated values as lists."""
+    o, l = read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem")
+    row = lambda df, key, names, value, at: df.select(F.col(key).alias("o_orderkey"), F.array(*names).alias("path"), value.cast("string").alias("value"), at.cast("long").alias("place"))
+    name = F.lit
+    rows = row(o, "o_orderkey", [name("Order"), name("Priority")], F.col("o_orderpriority"), F.lit(-2)).unionByName(row(o, "o_orderkey", [name("Order"), name("Details")], F.concat(F.lit("#"), "o_orderkey"), F.lit(-1)))
+    rows = rows.unionByName(row(l, "l_orderkey", [name("Order"), name("Items"), F.col("l_returnflag"), name("Part")], F.col("l_partkey"), F.col("l_linenumber") * 1000000 + F.col("l_partkey")))
+    return hierarchy.nested_json(rows, "o_orderkey", "path", "value", "place", listed=("Details",)).select("o_orderkey", "document")

@@ -184,11 +184,13 @@ SELECT p_partkey, name, p.g = d.gen AS same_generation FROM p JOIN d ON len(list
 
 
 @register("numbered_rows", """
-WITH n AS (SELECT p_partkey, p_name, p_type, row_number() OVER (ORDER BY p_partkey) + 1 AS row_no FROM part)
-SELECT p_partkey, row_no, min(row_no) OVER (PARTITION BY p_name, p_type) AS first_row FROM n""")
+WITH n AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate, l_discount, l_tax) + 1 AS row_no FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, row_no, min(row_no) OVER (PARTITION BY l_partkey, l_returnflag, l_linestatus) AS first_row FROM n""")
 def numbered_rows(spark, sf):
-    n = reconcile.numbered(read_table(spark, sf, "part").select("p_partkey", "p_name", "p_type"), [F.col("p_partkey")], shards=8)
-    return reconcile.same_rows(n, ["p_name", "p_type"], "row_no").select("p_partkey", "row_no", "first_row")
+    """Line items as numbered rows of one sheet, each with the first row of the same part and flags."""
+    rows = read_table(spark, sf, "lineitem")
+    n = reconcile.numbered(rows, [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_discount", "l_tax")])
+    return reconcile.same_rows(n, ["l_partkey", "l_returnflag", "l_linestatus"], "row_no").select("l_orderkey", "l_linenumber", "l_partkey", "row_no", "first_row")
 
 
 # memory rows: a server is an order, a row a line of it

@@ -28,7 +28,7 @@ def name_normalisers(spark, sf):
     return part.select("p_partkey", *(text.chain(F.expr(_NAME), r).alias(n) for n, r in _FORMS.items()))
 
 
-_CHIP = r"concat(CASE p_partkey % 3 WHEN 0 THEN '--' WHEN 1 THEN '- ' ELSE ' ' END, p_brand, CASE p_partkey % 4 WHEN 0 THEN '/X  (rev. ' WHEN 1 THEN ' C-' ELSE ' ' END, p_size)"
+_CHIP = r"concat(CASE p_partkey % 3 WHEN 0 THEN '--' WHEN 1 THEN '- ' ELSE ' ' END, p_brand, CASE p_partkey % 4 WHEN 0 THEN '/X  (rev. ' WHEN 1 THEN ' C-' ELSE ' ' END, p_size, CASE p_partkey % 5 WHEN 1 THEN concat(chr(92), 'u00ae ', chr(92), 'x41') WHEN 2 THEN concat(' ', chr(92), 'u12') ELSE '' END)"
 _URLISH = "concat('https://host.example/Image/', lower(p_type), '/V', p_size, '/', p_partkey, CASE WHEN p_partkey % 2 = 0 THEN '/png?w=1' ELSE '' END)"
 _PAGE = "concat('https://shop.example/en/', p_size, '/', CASE WHEN p_partkey % 2 = 0 THEN '?q=1' ELSE '#top' END)"
 _LINK = "CASE p_partkey % 3 WHEN 0 THEN concat('/part/', p_partkey, '/') WHEN 1 THEN concat('http://other.example/', p_partkey) ELSE concat('p', p_partkey) END"
@@ -39,7 +39,7 @@ _FILE = "concat('s3://in/', p_size, '/20-', lower(p_type), '_', p_partkey, '.csv
 
 @register("label_texts", rf"""
 WITH c AS (SELECT *, {_CHIP} AS chip, {_BOARD} AS board, {_PAGE} AS page, {_LINK} AS link FROM part)
-SELECT p_partkey, nullif(upper(trim(regexp_replace(regexp_replace(regexp_replace(trim(chip), '^-+\s*', ''), '[^A-Za-z0-9 ]+', '', 'g'), '\s+', ' ', 'g'))), '') AS chip,
+SELECT p_partkey, nullif(upper(trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(trim(chip), chr(92) || 'u00ae', ''), chr(92) || 'x41', 'A'), '^-+\s*', ''), '[^A-Za-z0-9 ]+', '', 'g'), '\s+', ' ', 'g'))), '') AS chip,
   upper(trim(chip)) AS upper_chip, CASE WHEN p_partkey % 3 < 2 THEN trim(split_part(board, '-', 1)) ELSE '' END AS brand, CASE WHEN p_partkey % 3 < 2 THEN trim(split_part(board, '-', 2)) ELSE board END AS model,
   CASE p_partkey % 4 WHEN 0 THEN 'Motherboard' WHEN 1 THEN 'Server' WHEN 2 THEN 'Mini PC' ELSE '' END AS machine,
   CASE p_partkey % 3 WHEN 0 THEN 'https://shop.example/part/' || p_partkey WHEN 1 THEN link ELSE 'https://shop.example/en/' || p_size || '/' || link END AS url,
@@ -89,13 +89,12 @@ def list_cells(spark, sf):
     return read_table(spark, sf, "part").select("p_partkey", F.array_join(items, "|").alias("flat"), F.array_join(text.split_items(F.expr(_CUT)), "|").alias("cut"), text.list_text(items).alias("shown"), F.array_join(again, "|").alias("retokenised"))
 
 
-@register("literal_dicts", """SELECT p_partkey, p_brand AS brand, CASE WHEN p_partkey % 2 = 0 THEN '["' || p_type || '"]' ELSE '["' || p_type || '","z"]' END AS kinds, p_partkey % 5 <> 0 AS parsed FROM part""")
+@register("literal_dicts", """SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 THEN p_brand END AS brand, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 2 = 0 THEN '["' || p_type || '"]' ELSE '["' || p_type || '","z"]' END AS kinds, p_partkey % 5 <> 0 AS parsed FROM part""")
 def literal_dicts(spark, sf):
     cell = F.expr("CASE WHEN p_partkey % 5 = 0 THEN concat('{', p_brand) ELSE concat('{''brand'': ''', p_brand, ''', ''kinds'': {''', p_type, '''', CASE WHEN p_partkey % 2 = 0 THEN '' ELSE ', ''z''' END, '}, ''none'': None}') END")
     got = read_table(spark, sf, "part").withColumn("j", text.literal_json(cell))
     kinds = F.to_json(F.from_json(F.get_json_object("j", "$.kinds"), "array<string>"))
-    plain = F.expr("CASE WHEN p_partkey % 2 = 0 THEN concat('[\"', p_type, '\"]') ELSE concat('[\"', p_type, '\",\"z\"]') END")
-    return got.select("p_partkey", F.coalesce(F.get_json_object("j", "$.brand"), "p_brand").alias("brand"), F.coalesce(kinds, plain).alias("kinds"), F.col("j").isNotNull().alias("parsed"))
+    return got.select("p_partkey", F.get_json_object("j", "$.brand").alias("brand"), kinds.alias("kinds"), F.col("j").isNotNull().alias("parsed"))
 
 
 _CPU = "concat(p_name, CASE p_partkey % 8 WHEN 0 THEN ' Intel Core i7-' WHEN 1 THEN ' Xeon Gold ' WHEN 2 THEN ' Xeon W-' WHEN 3 THEN ' E5-' WHEN 4 THEN ' Ryzen 7 ' WHEN 5 THEN ' EPYC ' WHEN 6 THEN ' Threadripper PRO ' ELSE ' chip ' END, 3000 + p_size, CASE p_partkey % 8 WHEN 2 THEN 'M' WHEN 3 THEN ' v4' ELSE '' END)"

@@ -122,15 +122,26 @@ def write_split(df: DataFrame, path: str, problem) -> None:
     write_csv(df.filter(problem), f"{path}/problems")
 
 
-def dynamic_columns(df: DataFrame, fixed: list[str], bag: str, known: tuple[str, ...] = ()) -> DataFrame:
-    """fixed columns and one for each key of a map column: known ones first, then new ones by name. The header is as wide as the distinct keys."""
-    keys = [r[0] for r in df.select(F.explode(F.map_keys(bag))).distinct().collect()]
-    header = [*known, *sorted(k for k in keys if k not in known)]
-    return df.select(*fixed, *(F.coalesce(F.try_element_at(bag, F.lit(k)), F.lit("")).alias(k) for k in header))
+def dynamic_columns(df: DataFrame, fixed: list[str], bag: str, known: tuple[str, ...] = (), most: int = 1000) -> DataFrame:
+    """fixed columns and one for each key of a map column: known ones first, then new ones by name.
+
+    At most `most` new keys get columns, those of the most rows; where there are more, a map column `others` holds the
+    rest, so that the header's width and what the driver reads of it are bounded and nothing is lost.
+    """
+    counts = df.select(F.explode(F.map_keys(bag)).alias("k")).filter(~F.col("k").isin(*known)).groupBy("k").count()
+    keys = [r[0] for r in counts.orderBy(F.desc("count"), "k").limit(most + 1).collect()]
+    header = [*known, *sorted(keys[:most])]
+    got = df.select(*fixed, *(F.coalesce(F.try_element_at(bag, F.lit(k)), F.lit("")).alias(k) for k in header), F.col(bag).alias("_bag"))
+    rest = F.map_filter("_bag", lambda k, v: ~F.array_contains(F.array(*map(F.lit, header)), k))
+    return got.withColumn("others", rest).drop("_bag") if len(keys) > most else got.drop("_bag")
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Write beside the path, then swap: readers see the old or the new table, and a table can be rewritten from itself."""
+    """Write beside the path, then swap, so that a table can be rewritten from itself.
+
+    Between the two renames the path has no table, and if the second fails the old one is moved back; where readers must
+    never miss the table, publish() of the shared module gives versions behind a pointer.
+    """
     import uuid
 
     spark = df.sparkSession
@@ -141,6 +152,7 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     if fs.exists(to(path)) and not fs.rename(to(path), to(old)):
         raise OSError(f"cannot move {path}")
     if not fs.rename(to(own), to(path)):
+        fs.rename(to(old), to(path))
         raise OSError(f"cannot move {own}")
     fs.delete(to(old), True)
 

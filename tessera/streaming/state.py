@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.shared import get_text, put_text
+
 
 def pending(inputs: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Inputs that are not done yet."""
@@ -87,3 +89,74 @@ def streak_stream(events: DataFrame, key: str, ok: str, most: int) -> DataFrame:
 
     kind = events.schema[key].dataType.simpleString()
     return events.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, n_events long, streak long, trips long", "streak long, trips long", "update", "NoTimeout")
+
+
+#: The name of the state variable of failure_store(), as the state source reads it.
+FAILURES = "failures"
+
+
+def failure_store(outcomes: DataFrame, key: str, ok: str, ts: str, reason: str, keep_hours: float | None = None) -> DataFrame:
+    """The live failure set of a stream of outcomes: (key, failed, attempts, reason, at) for each key of a batch.
+
+    A failure puts its key in or counts one more attempt, a success takes it out and sets the count to none; outcomes of a
+    batch count in order of ts, on equal ts failures after successes, then by reason. A key not heard of for keep_hours is
+    dropped. The state lives in the query's RocksDB store and can be read back by failures(); null keys are left out.
+    """
+    from pyspark.sql.streaming import StatefulProcessor
+
+    kind, at = outcomes.schema[key].dataType.simpleString(), outcomes.schema[ts].dataType.simpleString()
+
+    class Failures(StatefulProcessor):
+        def init(self, handle):
+            ttl = {"ttlDurationMs": int(keep_hours * 3_600_000)} if keep_hours else {}
+            self.state = handle.getValueState(FAILURES, f"attempts long, reason string, at {at}", **ttl)
+
+        def handleInputRows(self, k, rows, timers):
+            held = tuple(self.state.get()) if self.state.exists() else (0, None, None)
+            good, newest, number = None, None, held[0]
+            for r in sorted(rows, key=lambda r: (r[ts], not r[ok], r[reason] or "")):
+                if r[ok]:
+                    good, newest, number = r[ts], None, 0
+                else:
+                    newest, number = (r[ts], r[reason]), number + 1
+            if newest:
+                self.state.update((number, newest[1], newest[0]))
+                yield Row(**{key: k[0], "failed": True, "attempts": number, "reason": newest[1], "at": newest[0]})
+            else:
+                self.state.clear()
+                yield Row(**{key: k[0], "failed": False, "attempts": 0, "reason": None, "at": good})
+
+        def close(self):
+            pass
+
+    schema = f"{key} {kind}, failed boolean, attempts long, reason string, at {at}"
+    rows = outcomes.filter(F.col(key).isNotNull()).groupBy(key)
+    return rows.transformWithState(Failures(), schema, "update", "ProcessingTime" if keep_hours else "None")
+
+
+def failures(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The failure set that a query of failure_store() holds: (key..., attempts, reason, at)."""
+    got = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", FAILURES).load()
+    value = "value.value" if "value" in got.schema["value"].dataType.fieldNames() else "value"
+    return got.select("key.*", f"{value}.*")
+
+
+def append_history(batch: DataFrame, batch_id: int, root: str) -> bool:
+    """Add a micro-batch of attempts to the history at root, once: False where the log has its number already.
+
+    Rows go to a folder of the batch, which a run again replaces, then the number goes to the log; readers take logged
+    batches only, so neither a replayed batch nor one that broke off adds anything. For foreachBatch.
+    """
+    spark = batch.sparkSession
+    if get_text(spark, f"{root}/_log/{batch_id}") is not None:
+        return False
+    batch.write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
+    put_text(spark, f"{root}/_log/{batch_id}", str(batch_id))
+    return True
+
+
+def history(spark: SparkSession, root: str) -> DataFrame:
+    """All attempts of logged batches, with their batch."""
+    log = spark.read.text(f"{root}/_log/[0-9]*").select(F.col("value").cast("long").alias("batch")).filter("batch IS NOT NULL").distinct()
+    rows = spark.read.option("mergeSchema", "true").option("basePath", f"{root}/rows").parquet(f"{root}/rows")
+    return rows.withColumn("batch", F.col("batch").cast("long")).join(log, "batch", "left_semi")
