@@ -192,7 +192,7 @@ def list_text(items: Column) -> Column:
     return F.when(F.size(items) > 0, F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))).otherwise("")
 
 
-#: Words whose spelling in a name is fixed, matched in any case.
+# Words whose spelling in a name is fixed, matched in any case.
 SPELLINGS = ("AMD", "Intel", "NVIDIA", "Xeon", "Core", "Ryzen", "EPYC", "Threadripper", "Pentium", "Celeron", "Athlon", "Grace", "Hopper", "PRO", "APU", "CPU", "GPU", "Scalable", "Desktop", "Graphics", "Radeon", "Vega", "AmpereOne", "Altra", "Family", "series", "Generation")
 
 
@@ -253,6 +253,34 @@ def field_label(field: Column) -> Column:
     return F.when(field.rlike(r"(?s)^specifications\[.*\]$"), F.concat(F.lit("Specification: "), squeeze(inner))).otherwise(F.coalesce(F.try_element_at(known, field), field))
 
 
+def shown_lines(value: Column) -> Column:
+    """A text's lines, or a list's items, each as a page's text for display, joined by line feeds; blank for null."""
+    one = lambda x: F.trim(F.regexp_replace(fix_mojibake(F.coalesce(x, F.lit(""))), r"[\t\x0b\f\r \u00a0]+", " "))
+    return F.coalesce(F.array_join(F.transform(value, one), "\n"), F.lit(""))
+
+
+def shown_map(groups: Column, none: str = "(none found)") -> Column:
+    """A map of lists for display: '[key]' and '  - item' lines, keys sorted; `none` for null or empty."""
+    entry = lambda e: F.concat(F.array(F.concat(F.lit("["), e["key"], F.lit("]"))), F.transform(e["value"], lambda x: F.concat(F.lit("  - "), x)))
+    lines = F.flatten(F.transform(F.array_sort(F.map_entries(groups)), entry))
+    return F.when(F.size(lines) > 0, F.array_join(lines, "\n")).otherwise(none)
+
+
+#: What stands in a report's cell for a value that is not there. Fixed values.
+ABSENT = ("(not found on live page)", "(not present in CSV)")
+
+
+def value_lines(shown: Column) -> Column:
+    """The lines of a displayed value that are not blank; none for ABSENT texts and null."""
+    return F.when(shown.isin(*ABSENT) | shown.isNull(), F.array().cast("array<string>")).otherwise(F.filter(F.split(shown, "\n"), lambda x: F.trim(x) != ""))
+
+
+def same_but_lines(a: Column, b: Column) -> Column:
+    """Whether two displayed values differ in their line breaks and white space only."""
+    flat = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", "")
+    return (flat(a) == flat(b)) & ~a.eqNullSafe(b)
+
+
 def file_label(path: Column) -> Column:
     """The first name of a file, without digits, dashes and underscores at its ends, in upper case."""
     return F.upper(F.regexp_replace(F.regexp_extract(path, r"([^/\\]*?)(?:\.[^./\\]*)?$", 1), "^[-_0-9]+|[-_0-9]+$", ""))

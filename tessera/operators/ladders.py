@@ -54,6 +54,17 @@ def vendor_status(total: Column, matched: Column, actual: Column, families: Colu
     return steps.when((F.coalesce(actual, F.lit("")) != "") & (F.size(families) > 0) & ~F.array_contains(families, actual), "mismatch").otherwise("match")
 
 
+def partly_missing_status(total: Column, matched: Column, families: Column) -> Column:
+    """missing without items, Family is not found without hits, mismatch for hits without a family, else how many of all have none, or match."""
+    steps = F.when(total == 0, "missing").when(matched == 0, "Family is not found").when(F.size(families) == 0, "mismatch")
+    return steps.when(matched < total, F.concat((total - matched).cast("string"), F.lit(" of "), total.cast("string"), F.lit(" family missing"))).otherwise("match")
+
+
+def duplicate_or(first_row: Column, row: Column, status: Column) -> Column:
+    """'DUPLICATE (same as row N)' for a row with an equal one before it, else its own status."""
+    return F.when(first_row < row, F.concat(F.lit("DUPLICATE (same as row "), first_row.cast("string"), F.lit(")"))).otherwise(status)
+
+
 #: Orders in which statuses of a row are written.
 SPEED_ORDER = ("Match", "Missing", "Mismatch", "Duplicate", "NoFamily")
 SPEED_COMMENTS = ("match max memory speed", "missing max memory speed", "mismatch max memory speed", "duplicate processor max memory speed", "no family mapped in main CSV")
@@ -82,7 +93,7 @@ def row_of_reasons(statuses: Column, order: tuple[str, ...] = SPEED_ORDER, comme
 
 
 #: The counters of a row, in the order of their reasons: (name, words for one, words for more).
-COUNTERS = (
+COUNTERS = (  # Fixed values.
     ("missing", "{} missing from the references", "{} missing from the references"), ("family_match", "{} processor family matched", "{} processor family matched"), ("family_mismatch", "{} processor family mismatches", "{} processor family mismatches"),
     ("line_match", "{} processor line matched", "{} processor line matched"), ("line_mismatch", "{} processor line mismatches", "{} processor line mismatches"), ("no_family", "{} have no processor_family mapping", "{} have no processor_family mapping"),
     ("dup_processors", "{} duplicate processor values", "{} duplicate processor values"), ("dup_families", "one duplicate in processor family", "{} duplicates in processor family"), ("dup_lines", "one duplicate in processor line", "{} duplicates in processor line"),

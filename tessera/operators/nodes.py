@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import squeeze
+from tessera.functions.text import resolve_url, squeeze
 from tessera.operators.html import Node, tree
 
 NODE = "struct<pre:int,last:int,depth:int,tag:string,id:string,css:array<string>,attrs:map<string,string>,text:string>"
@@ -92,3 +92,14 @@ def labelled_cards(nodes: DataFrame, *keys: str, css: str = "product-gallery-car
     cards = inside(nodes.filter((F.col("tag") == "li") & F.array_contains("css", css)), panels, *keys)
     blank = lambda c: F.nullif(F.trim(c), F.lit(""))
     return cards.select(*keys, "pre", "attrs", F.coalesce(blank(F.col("attrs")["data-category"]), blank(F.col("label")), F.lit("Component")).alias("component_type"))
+
+
+def product_links(nodes: DataFrame, *keys: str, base: str = "", sheets: tuple[str, ...] = ("datasheet-link", "downLoadPdf"), name: str = "data-track-product-name") -> DataFrame:
+    """(keys, datasheet, product_name) of product pages: the first link of the first class that has one, made absolute by base, and
+    the first name that an element carries. Links that are empty or '#' do not count; both are null where a page has none."""
+    href = F.trim(F.col("attrs")["href"])
+    rank = F.coalesce(*(F.when(F.array_contains("css", c), i) for i, c in enumerate(sheets)))
+    link = F.when((F.col("tag") == "a") & rank.isNotNull() & ~href.isin("", "#"), F.struct(rank.alias("rank"), F.col("pre"), href.alias("href")))
+    said = F.when(F.map_contains_key("attrs", name), F.struct("pre", squeeze(F.col("attrs")[name]).alias("name")))
+    got = nodes.groupBy(*keys).agg(F.min(link)["href"].alias("href"), F.nullif(F.min(said)["name"], F.lit("")).alias("product_name"))
+    return got.select(*keys, F.when(F.col("href").isNotNull(), resolve_url(F.lit(base), F.col("href"))).alias("datasheet"), "product_name")

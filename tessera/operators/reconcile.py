@@ -115,6 +115,18 @@ def routed_lookup(items: DataFrame, token: str, first: DataFrame, second: DataFr
     return got.withColumn("vendor", vendor).withColumn("family", F.when(F.col("vendor") == "first", F.col("_fa")).when(F.col("vendor") == "second", F.col("_fb"))).drop("_ka", "_fa", "_kb", "_fb")
 
 
+def vendor_summary(routed: DataFrame, row: str, names: dict[str, str]) -> DataFrame:
+    """(row, vendors, families, missing, total, matched) of items routed by routed_lookup(): names of vendors, sorted and joined by ', ',
+    sorted distinct families, and the items of a vendor that no dimension knows, in order of `pos`; items of no vendor do not count."""
+    named = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    of = F.col("vendor").isNotNull()
+    missed = F.array_sort(F.collect_list(F.when(of & F.col("family").isNull(), F.struct("pos", "token"))))
+    return routed.groupBy(row).agg(
+        F.array_join(F.array_sort(F.collect_set(F.try_element_at(named, F.col("vendor")))), ", ").alias("vendors"), F.array_sort(F.collect_set(F.when(of, F.col("family")))).alias("families"),
+        F.transform(missed, lambda x: x["token"]).alias("missing"), F.count("vendor").alias("total"), F.count(F.when(of, F.col("family"))).alias("matched"),
+    )
+
+
 def generation_join(probes: DataFrame, probe_id: str, text: str, generation: Column, dim: DataFrame, name: str, dim_generation: str, require: bool = False) -> DataFrame:
     """The dimension name whose words are all in the probe: of the same generation if there is one (or only such, if required), least name on ties.
 

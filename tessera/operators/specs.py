@@ -20,7 +20,7 @@ def _first(node, key: str):
         k, at = next(frames[-1], (None, end))
         if at is end:
             frames.pop()
-        elif k is not None and k.lower() == key:
+        elif k is not None and k.strip().lower() == key:
             if at:
                 return at
             frames.pop()
@@ -31,10 +31,17 @@ def _first(node, key: str):
     return None
 
 
-def nested_value(col: Column, key: str) -> Column:
+def first_value(col: Column, key: str) -> Column:
+    """The value under a key at any depth of a JSON text, of a list its first element; null for broken JSON, other types and no hit."""
+    value = nested_value(col, key, loose=False)
+    listed = F.from_json(F.when(value.startswith("["), value), "array<string>")
+    return F.when(listed.isNotNull(), F.get(listed, F.lit(0))).when(~value.startswith("{"), value)
+
+
+def nested_value(col: Column, key: str, loose: bool = True) -> Column:
     """The first value that is not empty under a key at any depth of a JSON text; other types than text as JSON.
 
-    Single quotes are tried as double ones where the text does not parse. A text without a hit is searched for
+    loose: single quotes are tried as double ones where the text does not parse, and a text without a hit is searched for
     "key": "value" as it stands, in this case. Null and no hit give null.
     """
     plain = re.compile(rf'"{re.escape(key)}"\s*:\s*"([^"]+)"')
@@ -45,13 +52,13 @@ def nested_value(col: Column, key: str) -> Column:
         for t in texts:
             found = None
             if t is not None:
-                for attempt in (t, t.replace("'", '"')):
+                for attempt in (t, t.replace("'", '"')) if loose else (t,):
                     try:
                         found = _first(json.loads(attempt), key.lower())
                         break
                     except (ValueError, RecursionError):
                         continue
-                if found is None and (m := plain.search(t)):
+                if loose and found is None and (m := plain.search(t)):
                     found = m.group(1)
             out.append(found if found is None or isinstance(found, str) else json.dumps(found))
         return pd.Series(out, dtype=object)

@@ -200,3 +200,16 @@ def section_documents(spark, sf):
     rows = row(o, "o_orderkey", [name("Order"), name("Priority")], F.col("o_orderpriority"), F.lit(-2)).unionByName(row(o, "o_orderkey", [name("Order"), name("Details")], F.concat(F.lit("#"), "o_orderkey"), F.lit(-1)))
     rows = rows.unionByName(row(l, "l_orderkey", [name("Order"), name("Items"), F.col("l_returnflag"), name("Part")], F.col("l_partkey"), F.col("l_linenumber") * 1000000 + F.col("l_partkey")))
     return hierarchy.nested_json(rows, "o_orderkey", "path", "value", "place", listed=("Details",)).select("o_orderkey", "document")
+
+
+_SHEETS = """concat('<html><a class="downLoadPdf" href="', CASE WHEN p_partkey % 3 = 0 THEN '#' ELSE concat('/low/', p_partkey, '.pdf') END, '">x</a>', CASE WHEN p_partkey % 2 = 0 THEN concat('<p><a class="b datasheet-link" href=" ', CASE WHEN p_partkey % 5 = 0 THEN concat('https://cdn.example/', p_size, '.pdf') ELSE concat('/high/', p_size) END, ' ">sheet</a>') ELSE '' END,
+  CASE WHEN p_partkey % 4 <> 1 THEN concat('<span data-track-product-name="', p_name, '   ', p_brand, '"></span><b data-track-product-name="other">') ELSE '' END)"""
+
+
+@register("product_links", """
+SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 AND p_partkey % 5 = 0 THEN 'https://cdn.example/' || p_size || '.pdf' WHEN p_partkey % 2 = 0 THEN 'https://shop.example/high/' || p_size WHEN p_partkey % 3 <> 0 THEN 'https://shop.example/low/' || p_partkey || '.pdf' END AS datasheet,
+  CASE WHEN p_partkey % 4 <> 1 THEN p_name || ' ' || p_brand END AS product_name FROM part""")
+def product_links(spark, sf):
+    """Data sheet addresses and names of product pages."""
+    found = nodes.page_nodes(read_table(spark, sf, "part"), F.expr(_SHEETS), "p_partkey")
+    return nodes.product_links(found, "p_partkey", base="https://shop.example")

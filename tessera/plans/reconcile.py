@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import text
-from tessera.operators import ladders, ranks, reconcile
+from tessera.operators import compare, ladders, ranks, reconcile
 from tessera.plans.catalogue import read_table, register
 
 # A catalogue row is an order; its items are the parts of its lines. Two references share part: names of size 30 at most,
@@ -166,6 +166,36 @@ def vendor_routing(spark, sf):
     return reconcile.routed_lookup(items, "token", a, b, "E[0-9]-[0-9]{4}", "^[0-9]{4,5}[A-Z]?$").select("p_partkey", "vendor", "family")
 
 
+_TOKEN = "CASE l_suppkey % 4 WHEN 0 THEN concat('E5-', 2000 + l_suppkey % 500) WHEN 1 THEN concat(7000 + l_partkey % 30, 'P') WHEN 2 THEN concat('E5-', 9000 + l_suppkey % 500) ELSE 'board' END"
+
+
+@register("vendor_sets", f"""
+WITH i AS (SELECT l_orderkey, l_linenumber * 1000000 + l_partkey AS pos, {_TOKEN} AS token FROM lineitem), a AS (SELECT 'E5-' || (2000 + s_suppkey) AS key, s_name AS family FROM supplier), b AS (SELECT (7000 + n_nationkey) || 'P' AS key, n_name AS family FROM nation),
+r AS (SELECT l_orderkey, pos, token, CASE WHEN starts_with(token, 'E5') THEN 'Intel' WHEN token <> 'board' THEN 'AMD' END AS vendor, coalesce(a.family, b.family) AS family FROM i LEFT JOIN a ON token = a.key LEFT JOIN b ON token = b.key),
+g AS (SELECT l_orderkey, coalesce(string_agg(DISTINCT vendor, ', ' ORDER BY vendor), '') AS vendors, count(vendor) AS total, count(family) AS matched, coalesce(string_agg(token, ' ' ORDER BY pos, token) FILTER (vendor IS NOT NULL AND family IS NULL), '') AS missing FROM r GROUP BY l_orderkey)
+SELECT l_orderkey, vendors, missing, CASE WHEN total = 0 THEN 'missing' WHEN matched = 0 THEN 'Family is not found' WHEN matched < total THEN 'partial_match' ELSE 'match' END AS status,
+  CASE WHEN total = 0 THEN 'missing' WHEN matched = 0 THEN 'Family is not found' WHEN matched < total THEN (total - matched) || ' of ' || total || ' family missing' ELSE 'match' END AS counted FROM g""")
+def vendor_sets(spark, sf):
+    """The vendors of an order's models, the models that no catalogue knows, and two ladders over both."""
+    items = read_table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_linenumber") * 1000000 + F.col("l_partkey")).alias("pos"), F.expr(_TOKEN).alias("token"))
+    a = read_table(spark, sf, "supplier").selectExpr("concat('E5-', 2000 + s_suppkey) AS key", "s_name AS family")
+    b = read_table(spark, sf, "nation").selectExpr("concat(7000 + n_nationkey, 'P') AS key", "n_name AS family")
+    got = reconcile.vendor_summary(reconcile.routed_lookup(items, "token", a, b, "E[0-9]-[0-9]{4}", "^[0-9]{4,5}[A-Z]?$"), "l_orderkey", {"first": "Intel", "second": "AMD"})
+    status = ladders.vendor_status(F.col("total"), F.col("matched"), F.lit(None).cast("string"), F.col("families"))
+    return got.select("l_orderkey", "vendors", F.array_join("missing", " ").alias("missing"), status.alias("status"), ladders.partly_missing_status(F.col("total"), F.col("matched"), F.col("families")).alias("counted"))
+
+
+@register("duplicates_first", """
+WITH n AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate, l_discount, l_tax) + 1 AS row_no FROM lineitem), f AS (SELECT *, min(row_no) OVER (PARTITION BY l_partkey, l_returnflag) AS first_row FROM n)
+SELECT l_orderkey, l_linenumber, row_no, CASE WHEN first_row < row_no THEN 'DUPLICATE (same as row ' || first_row || ')' WHEN l_suppkey % 5 = 0 THEN 'MISSING' WHEN l_suppkey % 3 = 0 THEN 'MISMATCH' ELSE 'MATCH' END AS status FROM f""")
+def duplicates_first(spark, sf):
+    """Rows compared as expected and found texts, unless an earlier row has the same part and flag."""
+    rows = reconcile.numbered(read_table(spark, sf, "lineitem"), [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_discount", "l_tax")])
+    found = F.expr("CASE WHEN l_suppkey % 5 = 0 THEN NULL WHEN l_suppkey % 3 = 0 THEN 'other' ELSE concat(l_returnflag, ' ') END")
+    rows = reconcile.same_rows(rows, ["l_partkey", "l_returnflag"], "row_no")
+    return rows.select("l_orderkey", "l_linenumber", "row_no", ladders.duplicate_or(F.col("first_row"), F.col("row_no"), compare.compare_text(F.col("l_returnflag"), found)).alias("status"))
+
+
 def _generation(require: bool):
     def f(spark, sf):
         part = read_table(spark, sf, "part")

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import extract, numbers, text
+from tessera.operators import specs
 from tessera.plans.catalogue import read_table, register
 
 
@@ -195,3 +196,24 @@ def capacity_check(spark, sf):
     part = read_table(spark, sf, "part")
     cell, got = F.expr("concat(p_size, CASE p_partkey % 3 WHEN 0 THEN 'GB' WHEN 1 THEN ' TB' ELSE ' pins' END)"), F.expr("CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN 1 ELSE p_size * CASE p_partkey % 3 WHEN 1 THEN 1048576 ELSE 1024 END END")
     return part.select("p_partkey", *ladders.capacity_status(numbers.capacity_mb(cell), got))
+
+
+@register("model_lists", """
+SELECT p_partkey, array_to_string(list_sort([lower(p_brand[7:]) || 'x', 'a_1', lower(replace(p_type, ' ', ''))]), ' ') AS models, p_partkey % 3 = 0 AS repeats, CASE WHEN p_partkey % 4 = 0 THEN 'C' || p_size WHEN p_partkey % 4 = 1 THEN p_name END AS chipset FROM part""")
+def model_lists(spark, sf):
+    """Models of a cell, whether its items repeat, and the chipset of a document, a list's first item."""
+    cell = F.expr("concat(' ', p_type, '/ , A_1!,', substring(p_brand, 7), '(X)')")
+    items = F.expr("concat('Server ', p_name, ', ', CASE WHEN p_partkey % 3 = 0 THEN concat(upper(p_name), '  system') ELSE concat(p_name, ' 2') END)")
+    spec = F.expr("""CASE p_partkey % 4 WHEN 0 THEN concat('{"a": [1, {" Chipset": ["C', p_size, '", "other"]}]}') WHEN 1 THEN concat('{"chipset": "', p_name, '"}') WHEN 2 THEN '{"chip": "x"}' ELSE concat('{"chipset": "', p_name) END""")
+    return read_table(spark, sf, "part").select("p_partkey", F.array_join(extract.models_key(cell), " ").alias("models"), extract.has_repeats(items).alias("repeats"), specs.first_value(spec, "chipset").alias("chipset"))
+
+
+@register("shown_values", """
+SELECT p_partkey, p_name || chr(10) || 'ö — ' || p_brand AS shown, '[A]' || chr(10) || '  - ' || p_type || chr(10) || '[B]' || chr(10) || '  - ' || p_size || chr(10) || '  - z' AS specs, CASE WHEN p_partkey % 3 = 0 THEN 0 ELSE 2 END AS lines, p_partkey % 2 = 0 AS broken_only FROM part""")
+def shown_values(spark, sf):
+    """Values of a report as they are displayed: lines, maps of lists, and whether two differ in line breaks only."""
+    value = F.array(F.expr("concat('  ', p_name, '  ')"), F.expr("concat('Ã¶   â€” ', p_brand)"))
+    groups = F.create_map(F.lit("B"), F.array(F.col("p_size").cast("string"), F.lit("z")), F.lit("A"), F.array("p_type"))
+    shown = F.expr("CASE WHEN p_partkey % 3 = 0 THEN '(not present in CSV)' ELSE concat(p_name, '\n \n', p_type) END")
+    a, b = F.concat("p_name", F.lit("\n"), "p_type"), F.expr("CASE WHEN p_partkey % 2 = 0 THEN concat(p_name, ' ', p_type) ELSE concat(p_name, '\n', p_type) END")
+    return read_table(spark, sf, "part").select("p_partkey", text.shown_lines(value).alias("shown"), text.shown_map(groups).alias("specs"), F.size(text.value_lines(shown)).alias("lines"), text.same_but_lines(a, b).alias("broken_only"))
