@@ -101,7 +101,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample_rows:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id", sample_rows: int = 8000, max_stems: int = 3000, evidence: float = 30.0, exceptions: tuple[str, ...] = EXCEPTIONS) -> Lexicon:
     """Learn a lexicon from the labelled rows given (hold out rows before the call).
 
-    A stem counts if the log-likelihood ratio of its label counts against chance is above evidence, or, where the rows
+    Stems are whole words, and beginnings of four letters or more that two words or more share; a beginning that says no
+    more than a longer stem gives way to it, so that ordinary words that begin alike do not match. Exception phrases are
+    learned beside those given. A stem counts if the log-likelihood ratio of its label counts against chance is above evidence, or, where the rows
     of label 1 are few, above a third of what a stem in all of them and in no other row has. The sample has
     sample_rows rows at most. Counts are gathered on the executors; the driver gets the max_stems stems of
     highest weight and one raw figure for each row of the sample.
@@ -131,11 +133,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
         of = F.col(n) / (F.col("pos") + F.col("neg"))
         return F.when(F.col(n) > 0, F.col(n) * F.log(of / expected)).otherwise(0.0)
 
-    got = counts.filter("stem != ''").withColumns({"np": F.lit(n_pos), "nn": F.lit(n_neg)}).withColumns({"w": weight, "g": 2 * (side("pos", share) + side("neg", 1 - share))}).filter((F.col("w") > 2) & (F.col("g") > least))
-    weights: dict[str, float] = {}
-    for r in sorted(got.orderBy(F.desc("w"), F.length("stem"), "stem").limit(max_stems).collect(), key=lambda r: (len(r.stem), r.stem)):
-        if not any(weights.get(r.stem[:k], 0) >= r.w - 1 for k in range(4, len(r.stem))):  # a shorter stem says as much
-            weights[r.stem] = r.w
+    weighed = counts.filter("stem != ''").withColumns({"np": F.lit(n_pos), "nn": F.lit(n_neg)}).withColumns({"w": weight, "g": 2 * (side("pos", share) + side("neg", 1 - share))})
+    # A beginning counts only where two words or more that speak for label 1 end differently behind it.
+    heads = F.transform(F.sequence(F.lit(5), F.least(F.lit(10), F.length("stem") - 1)), lambda n: F.substr("stem", F.lit(1), n))
+    words = weighed.filter(F.endswith("stem", F.lit(" ")) & (F.length("stem") >= 6) & (F.col("w") > 1) & (F.col("pos") > 1)).select(F.explode(heads).alias("stem"))
+    shared = words.groupBy("stem").count().filter("count > 1").select("stem")
+    got = weighed.filter((F.col("w") > 2) & (F.col("g") > least))
+    got = got.filter(F.endswith("stem", F.lit(" "))).unionByName(got.filter(~F.endswith("stem", F.lit(" "))).join(shared, "stem", "left_semi"))
+    weights = chosen([(r.stem, r.w, r.pos) for r in got.orderBy(F.desc("w"), F.length("stem"), "stem").limit(max_stems).collect()])
+    exceptions = (*exceptions, *learned_exceptions(sample, Lexicon(weights, (), 1.0, 0.0), n_pos, n_neg))
     lexicon = Lexicon(weights, exceptions, 1.0, 0.0)
 
     def figures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,6 +155,45 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
     return Lexicon(weights, exceptions, slope, middle)
 
 
+def chosen(stems_: list[tuple[str, float, int]]) -> dict[str, float]:
+    """Weights of the stems that stay, of (stem, weight, rows of label 1): of stems in the same rows the longest, the whole word
+    last of all; of the others those of which no shorter one that stays says as much."""
+    rows: dict[str, int] = {}
+    for stem, _, pos in stems_:
+        for k in range(5, len(stem)):
+            rows[stem[:k]] = max(rows.get(stem[:k], 0), pos)
+    weights: dict[str, float] = {}
+    for stem, w, _ in sorted((x for x in stems_ if rows.get(x[0], 0) < x[2]), key=lambda x: (len(x[0]), x[0])):
+        if not any(weights.get(stem[:k], 0) >= w - 1 for k in range(4, len(stem))):
+            weights[stem] = w
+    return weights
+
+
+def learned_exceptions(sample: DataFrame, lexicon: Lexicon, n_pos: int, n_neg: int, rows: int = 3) -> tuple[str, ...]:
+    """Phrases of a matched word and a neighbour that speak for label 0: in `rows` rows of label 0 or more and, by its share of
+    rows, rarer in those of label 1. Of a word's phrases only those on one side count, so that none is taken off twice."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, found = lexicon.automaton(), Counter()
+        for b in batches:
+            for t, y in zip(b.column(0), b.column(1)):
+                seen, words = set(), fold(t.as_py()).split()
+                hit = [len(a) > 0 and any(True for _ in a.iter(f" {w} ")) for w in words]
+                for i, h in enumerate(hit):
+                    if h:
+                        seen.update([(words[i], "next", f"{words[i]} {x}") for x in words[i + 1 : i + 2]] + [(words[i], "before", f"{x} {words[i]}") for x in words[max(i - 1, 0) : i]])
+                found.update((*s, int(y.as_py() > 0)) for s in seen)
+        keys = list(found)
+        cols = [[k[i] for k in keys] for i in range(4)]
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols[:3]), pa.array(cols[3], pa.int32()), pa.array([found[k] for k in keys], pa.int64())], names=["word", "side", "phrase", "y", "n"])
+
+    counts = sample.mapInArrow(trimmed(count), "word string, side string, phrase string, y int, n long")
+    both = counts.groupBy("word", "side", "phrase").agg(F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("neg"), F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("pos"))
+    kept = both.filter((F.col("neg") >= rows) & (F.col("neg") / max(n_neg, 1) > F.col("pos") / max(n_pos, 1)))
+    side = kept.groupBy("word", "side").agg(F.sum("neg").alias("n")).groupBy("word").agg(F.max(F.struct("n", "side"))["side"].alias("side"))
+    return tuple(sorted(f"{r.phrase} " for r in kept.join(side, ["word", "side"]).collect()))
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> tuple[float, float]:
     """Slope (not negative) and middle of a logistic curve by Newton steps; labels weigh alike. With one label only, no row scores 0.5.
 

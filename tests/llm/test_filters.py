@@ -106,3 +106,32 @@ def test_shards_are_near_equal_and_gapless(spark):
     assert sharding.shard_by_bytes(df.limit(0), 24, "key", "size").count() == 0
     same = spark.range(100).selectExpr("1L as key", "10L as size")
     assert sharding.shard_by_bytes(same, 4, "key", "size").select("shard").distinct().count() == 1
+
+
+def test_toxicity_leaves_ordinary_words(spark):
+    """Words that begin like a lexicon word do not match; beginnings that several toxic words share do; phrases of label 0 are taken off."""
+    r = random.Random(7)
+    word = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(3))
+    rows = []
+    for i in range(900):
+        w = [word() for _ in range(30)]
+        if i % 6 == 0:
+            w[r.randrange(30)] = r.choice(["pathetic", "moron", "worthless", "disgusting", "grotesk", "groteskly", "groteske"])
+        elif i % 120 == 1:
+            w[:2] = ["moron", "mountain"]
+        elif i % 6 == 2:
+            w[3] = r.choice(["path", "worth", "more", "discover"])
+        rows.append((i, " ".join(w), int(i % 6 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    lex = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), evidence=20.0)
+    assert {" pathetic ", " worthless ", " disgusting "} <= lex.weights.keys() and not any(s in (" path", " wort", " worth", " disg", " moro") for s in lex.weights)
+    assert any(" grotesk".startswith(s) for s in lex.weights) and "moron mountain " in lex.exceptions
+    a = lex.automaton()
+    tame = ["The path to the garden is worth a walk, a bright pathway worth discovering.", "Morocco is a country and the Moroccan coast is lovely", "up the moron mountain"]
+    assert all(lex.score(lex.raw(a, t)) < 0.5 for t in tame)
+    assert all(lex.score(lex.raw(a, t)) >= 0.5 for t in ("so pathetic", "you w0rthless thing", "groteskly put"))
+
+
+def test_chosen_stems():
+    got = toxicity.chosen([(" path", 5.0, 9), (" pathetic ", 5.1, 9), (" vile", 4.0, 9), (" vilewo", 4.2, 6), (" vileword ", 4.0, 3), (" vilest ", 9.0, 3)])
+    assert got == {" pathetic ": 5.1, " vile": 4.0, " vilest ": 9.0}
