@@ -65,8 +65,15 @@ def hook(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             label[:] = label[label]
 
 
+#: Pairs of blocks are dealt over this many partitions at most; a partition takes its pairs one by one.
+MOST_PARTITIONS = 10_000
+
+
 def classes_of(df: DataFrame, key: str, vec: str) -> DataFrame:
-    """(id, h, v): the vector's doubles as bytes and a hash of its values; both null for vectors that link with nothing."""
+    """(id, h, v): the vector's doubles as bytes, brought near 1 by a power of two, and a hash of its values; both null for vectors that link with nothing.
+
+    The power changes no cosine, and no norm overflows or vanishes, whatever the components' size is.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -76,10 +83,9 @@ def classes_of(df: DataFrame, key: str, vec: str) -> DataFrame:
             at, there = lists.offsets.to_numpy(), lists.is_valid().to_numpy(zero_copy_only=False)
             for ok, i, j in zip(there, at[:-1], at[1:]):
                 a = flat[i:j]
-                good = bool(ok and j > i and whole[i:j].all() and np.isfinite(a).all() and a.any()) and 0 < np.linalg.norm(a) < np.inf
-                v = a.tobytes() if good else None
-                hs.append(hashlib.blake2b(v, digest_size=16).digest() if good else None)
-                vs.append(v)
+                good = bool(ok and j > i and whole[i:j].all() and np.isfinite(a).all() and a.any())
+                hs.append(hashlib.blake2b(a.tobytes(), digest_size=16).digest() if good else None)
+                vs.append(np.ldexp(a, -np.frexp(np.abs(a).max())[1]).tobytes() if good else None)
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array(hs, pa.binary()), pa.array(vs, pa.binary())], names=["id", "h", "v"])
 
     return df.select(key, vec).mapInArrow(run, "id long, h binary, v binary")
@@ -170,7 +176,8 @@ def near_duplicates(df: DataFrame, threshold: float = 0.9, key: str = "vec_id",
         return pa.table({"c": np.append(ids[some], left), "links": np.append(links[some], np.full(len(left), -1)), "other": np.append(ids[label[some]], right)})
 
     tasks = blocks * (blocks + 1) // 2
-    dealt = pairs.select("a", "b", "c", "n", "k", "codes", "s", "e").repartition(2 * tasks, "a", "b")  # the work is in the groups, not in their bytes
+    # The work is in the groups, not in their bytes: they are spread over more partitions than their bytes ask for.
+    dealt = pairs.select("a", "b", "c", "n", "k", "codes", "s", "e").repartition(min(2 * tasks, MOST_PARTITIONS), "a", "b")
     got = materialise(dealt.groupBy("a", "b").applyInArrow(compare, "c long, links long, other long"), "vector-links")
     more = materialise(confirmed(got.filter("links < 0").select(F.col("c").alias("a"), F.col("other").alias("b")), reps, threshold), "vector-links")
     got = got.filter("links >= 0").union(more.selectExpr("a", "nb", "b")).union(more.selectExpr("b", "na", "a"))

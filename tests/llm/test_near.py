@@ -125,3 +125,10 @@ def test_error_bound_is_never_too_small():
         true = (x / np.linalg.norm(x, axis=1)[:, None]) @ (y / np.linalg.norm(y, axis=1)[:, None]).T
         got = (ca.astype(int) @ cb.astype(int).T) * sa[:, None] * sb
         assert (np.abs(true - got) <= ea[:, None] + eb + 3 * ea[:, None] * eb + 1e-12).all()
+
+
+def test_vectors_at_the_ends_of_the_double_range(spark):
+    rows = [(1, [1e308, 1e308]), (2, [1.0, 1.0]), (3, [1e-200, 0.0]), (4, [5e-324, 0.0]), (5, [1.7e308, -1.7e308]), (6, [0.0, -0.0]), (7, [1e308, 1e308]), (8, [2e-308, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df, 0.9).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 7: (2, 1), 3: (1, 3), 4: (1, 3), 5: (0, 5), 6: (0, 6), 8: (0, 8)}
