@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text
 from tessera.operators import crawl, hierarchy, html, nodes, parts, processors
 from tessera.plans.catalogue import read_table, register
-from tessera.sources.shared import written
+from tessera.sources.shared import shared_dir, written
+from tessera.streaming import runs
 
 _CARDS = """concat('<button data-pgtab="Storage" data-tab="tabContent0_1">x</button><ul>',
   '<li class="product-gallery-card" data-partnumber="', p_name, '/', p_partkey, '" data-name="DDR4 ', 2000 + p_size, 'MT/s" data-group="ALL" data-capacity="', p_size, '" data-category="Memory"><div class="c-productCard4"><div class="c-productCard4__details__content__longDesc"><ul><li>', p_size, 'GB ECC DIMM</li><li>Part Number: x</li><li><a href="#">sheet</a></li></ul></div></div></li>',
@@ -213,3 +216,30 @@ def product_links(spark, sf):
     """Data sheet addresses and names of product pages."""
     found = nodes.page_nodes(read_table(spark, sf, "part"), F.expr(_SHEETS), "p_partkey")
     return nodes.product_links(found, "p_partkey", base="https://shop.example")
+
+
+_OUTCOME = "(page_id * 7 + {0} * {0} * page_id) % 5 > 1 AND page_id % 13 <> 4"
+_TRIED = f"t AS (SELECT page_id, page_id % 4 AS worker, n, {_OUTCOME.format('n')} AS ok FROM pages, generate_series(0, 2) AS s(n)), a AS (SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM t e WHERE e.page_id = t.page_id AND e.n < t.n AND e.ok))"
+
+
+def _page_run(spark, sf):
+    """Three passes over captured pages whose outcomes follow from their numbers; returns (outcomes, history)."""
+    tasks = read_table(spark, sf, "pages").select("page_id", (F.col("page_id") % 4).alias("worker"))
+    outcome = lambda pending, n: pending.withColumn("ok", F.expr(_OUTCOME.format(n))).withColumn("reason", F.when(~F.col("ok"), F.lit(f"pass {n}")))
+    root = f"{shared_dir(spark)}/page-run-{uuid.uuid4().hex[:12]}"
+    return runs.run_rounds(tasks, outcome, root, "page_id", "worker"), runs.attempts(spark, root)
+
+
+@register("page_run", f"""
+WITH {_TRIED} SELECT page_id, max_by(ok, n) AS ok, CASE WHEN NOT max_by(ok, n) THEN 'pass 2' END AS reason, count(*) AS tries FROM a GROUP BY page_id""")
+def page_run(spark, sf):
+    """Each page's last outcome after a pass and two more over what failed, from the history in the shared folder."""
+    return _page_run(spark, sf)[0]
+
+
+@register("page_run_pauses", f"""
+WITH {_TRIED}, s AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY n, worker ORDER BY page_id) AS island FROM a), r AS (SELECT n, worker, island, count(*) FILTER (NOT ok) // 2 AS trips FROM s GROUP BY ALL)
+SELECT n AS round, worker, sum(trips)::BIGINT AS pauses FROM r GROUP BY n, worker""")
+def page_run_pauses(spark, sf):
+    """How often each worker of a run paused: after every second failure in a row."""
+    return runs.pauses(_page_run(spark, sf)[1], "page_id", 2, "worker")

@@ -1,8 +1,9 @@
 """State stores, retries and streaks."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.streaming import state
+from tessera.streaming import runs, state
 
 
 def test_upsert_and_latest(spark):
@@ -41,3 +42,29 @@ def test_streaks_across_batches(spark, tmp_path):
         q.writeStream.foreachBatch(lambda df, _, out=out: df.write.mode("append").parquet(out)).outputMode("update").option("checkpointLocation", at).trigger(availableNow=True).start().awaitTermination()
     got = {r.k: (r.n_events, r.streak, r.trips) for r in spark.read.parquet(str(tmp_path / "out1")).collect()}
     assert got == {1: (2, 0, 1), 2: (1, 1, 0)}
+
+
+def test_a_run_goes_on_where_it_was_cut_off(spark, tmp_path):
+    tasks = spark.createDataFrame([(u, i) for i, u in enumerate("abcdef")] + [(None, 9)], "url string, place int")
+    good = {0: "ab", 1: "c", 2: "d"}
+    seen = []
+
+    def attempt(pending, n, broken=None):
+        seen.append((n, sorted(r.url for r in pending.collect())))
+        if n == broken:
+            raise OSError("cut off")
+        ok = F.col("url").isin(*good[n])
+        return pending.withColumn("ok", ok).withColumn("reason", F.when(~ok, F.lit(f"t{n}")))
+
+    root, whole = str(tmp_path / "cut"), str(tmp_path / "whole")
+    with pytest.raises(OSError):
+        runs.run_rounds(tasks, lambda p, n: attempt(p, n, broken=1), root, "url", "place")
+    assert sorted(r.url for r in runs.failures(spark, root).collect()) == ["c", "d", "e", "f"]
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    got = runs.run_rounds(tasks, attempt, root, "url", "place")
+    assert seen == [(0, list("abcdef")), (1, list("cdef")), (1, list("cdef")), (2, list("def"))]
+    want = [("a", True, None, 1), ("b", True, None, 1), ("c", True, None, 2), ("d", True, None, 3), ("e", False, "t2", 3), ("f", False, "t2", 3)]
+    assert rows(got) == want == rows(runs.run_rounds(tasks, attempt, whole, "url", "place"))
+    assert rows(runs.run_rounds(tasks, attempt, root, "url", "place")) == want and len(seen) == 7  # a finished run is not run again
+    assert rows(runs.failures(spark, root)) == [w for w in want if not w[1]]
+    assert rows(runs.pauses(runs.attempts(spark, root), "place", 2)) == [(0, 2), (1, 1), (2, 1)]
