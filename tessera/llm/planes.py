@@ -9,6 +9,7 @@ ids and plane sizes, and the ids and lengths of the documents in order.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,6 +37,15 @@ def filesystem(path: str):
     return (fs.LocalFileSystem(), path) if not urlparse(path).scheme else fs.FileSystem.from_uri(path)
 
 
+def qualified(spark, path: str) -> str:
+    """A path without a scheme as a URI of Spark's own default file system, which all executors share."""
+    if urlparse(path).scheme:
+        return path
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return re.sub("^file:/+", "file:///", full)
+
+
 def split_planes(ids: np.ndarray, mode: str) -> list[bytes]:
     """Planes of unsigned 32-bit ids, lowest first; b'' for zeros only."""
     b = np.ascontiguousarray(ids.astype("<u4")).view(np.uint8).reshape(-1, 4)
@@ -141,15 +151,21 @@ def read_file(path: str) -> Iterator[tuple[object, list[bytes]]]:
             yield key, parts
 
 
-def write(df: DataFrame, folder: str, vocabulary: str, end_id: int, text: str = "text", key: str = "doc_id", mode: str = "byte", level: int = 3) -> list[tuple[int, str, int, int]]:
-    """Encode whole texts, append end_id to each, and write one file for each range of the key, in ascending key order.
+def file_name(part: int, number: int) -> str:
+    return f"ids-{part:08d}-{number:06d}.planes"
+
 
-    Returns (start, path, documents, ids) of each file in order, start being the ids in files before it: one small row
-    a file. Null texts are empty; null keys come first; rows with equal keys are ordered by their texts' hashes, so
-    repeated rows are all written. key: an integer. A file appears whole, by a rename, under a name its partition alone
+def write(df: DataFrame, folder: str, vocabulary: str, end_id: int, text: str = "text", key: str = "doc_id", mode: str = "byte", level: int = 3, file_ids: int = 1 << 26, file_docs: int = 1 << 18) -> list[tuple[int, str, int, int]]:
+    """Encode whole texts, append end_id to each, and write files in ascending key order, one or more for each range of the key.
+
+    A file ends with the document that brings it to file_ids ids or file_docs documents, which bounds what a writer and
+    its index hold, whatever a range's size is. Returns (start, path, documents, ids) of each file in order, start being
+    the ids in files before it: one small row a file. Null texts are empty; null keys come first; rows with equal keys are ordered by their texts' hashes, so
+    repeated rows are all written; other columns are not read. key: an integer. A file appears whole, by a rename, under a name its partition alone
     has: a task that runs again writes the same file.
     """
     bounded_batches(df.sparkSession)
+    folder = qualified(df.sparkSession, folder)
     tie = F.xxhash64(F.coalesce(text, F.lit("")))
     rows = df.select(F.col(key).cast("long").alias("k"), F.col(text).alias("t")).repartitionByRange("k", tie.alias("h").asc()).sortWithinPartitions(F.col("k").asc_nulls_first(), F.xxhash64(F.coalesce("t", F.lit(""))), "t")
 
@@ -158,25 +174,35 @@ def write(df: DataFrame, folder: str, vocabulary: str, end_id: int, text: str =
         task = TaskContext.get()
         part = task.partitionId()
         fs, base = filesystem(folder)
-        final, own = f"{base}/ids-{part:08d}.planes", f"{base}/.ids-{part:08d}-{task.taskAttemptId()}"
+        number = 0
+
+        def ended() -> pa.RecordBatch:
+            w.close()
+            w.out.close()
+            fs.move(own(), f"{base}/{file_name(part, number)}")
+            return pa.RecordBatch.from_pydict({"part": [part], "number": [number], "docs": [len(w.keys)], "ids": [w.n_ids]})
+
+        def own() -> str:
+            return f"{base}/.ids-{part:08d}-{number:06d}-{task.taskAttemptId()}"
+
         for b in batches:
             sizes = [n or 0 for n in pc.binary_length(b.column(1)).to_pylist()]
             for i, j in slices(b.num_rows, sizes):
-                if w is None:
-                    fs.create_dir(base, recursive=True)
-                    w = Writer(fs.open_output_stream(own), mode, level)
                 for k, ids in zip(b.column(0).slice(i, j - i).to_pylist(), e.ids(b.column(1).slice(i, j - i).to_pylist())):
+                    if w is None:
+                        fs.create_dir(base, recursive=True)
+                        w = Writer(fs.open_output_stream(own()), mode, level)
                     w.add(k, ids + end)
+                    if w.n_ids >= file_ids or len(w.keys) >= file_docs:
+                        yield ended()
+                        w, number = None, number + 1
         if w is not None:
-            w.close()
-            w.out.close()
-            fs.move(own, final)
-            yield pa.RecordBatch.from_pydict({"part": [part], "docs": [len(w.keys)], "ids": [w.n_ids]})
+            yield ended()
 
-    got = sorted((r.part, r.docs, r.ids) for r in rows.mapInArrow(run, "part long, docs long, ids long").collect())
+    got = sorted(tuple(r) for r in rows.mapInArrow(run, "part long, number long, docs long, ids long").collect())
     out, start = [], 0
-    for part, docs, ids in got:
-        out.append((start, f"{folder}/ids-{part:08d}.planes", docs, ids))
+    for part, number, docs, ids in got:
+        out.append((start, f"{folder}/{file_name(part, number)}", docs, ids))
         start += ids
     return out
 

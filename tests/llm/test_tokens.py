@@ -61,6 +61,21 @@ def test_files_give_back_all_ids(spark, tmp_path, mode):
         at += r.n_tokens
 
 
+def test_files_end_at_their_limits(spark, tmp_path):
+    """Several files a partition, a document over the limit, equal ids with different texts, a path without a scheme."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t = Tokenizer.from_file(path)
+    rows = [(i // 2, f"text number {i} " * (1 + i % 5)) for i in range(200)] + [(50, "long " * 3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    files = planes.write(df, f"{tmp_path}/small", path, 1, file_ids=100, file_docs=7)
+    assert len(files) >= 29 and max(d for _, _, d, _ in files) == 7 and sum(d for _, _, d, _ in files) == 201 and all(p.startswith("file:///") for _, p, _, _ in files)
+    got = planes.read(spark, files, ids=True).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted(k for k, _ in rows)
+    assert sorted((r.doc_id, list(r.ids)) for r in got) == sorted((k, t.encode(x, add_special_tokens=False).ids + [1]) for k, x in rows)
+    starts = np.cumsum([0] + [r.n_tokens for r in got])
+    assert [r.start for r in got] == starts[:-1].tolist()
+
+
 def test_empty_table(spark, tmp_path):
     path = public_tokenizers.path("word_bpe_49k.json")
     df = spark.createDataFrame([], "doc_id long, text string")
