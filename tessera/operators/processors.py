@@ -20,6 +20,8 @@ from tessera.operators.parts import w_series
 KEYS = ("CPU", "APU", "Superchip")
 _MARKS = "[®™©]"
 
+_NTH = "[0-9]+(?:st|nd|rd|th)?"
+
 # Kinds of words, technical words and output forms that names and lists are compared by.
 #: Kinds of words: ordinal, generation, maker, brand, tier, code, suffix.
 WORDS = {
@@ -476,10 +478,64 @@ def amd_socket(lines: Column) -> Column:
     return _line_fits(lines, r"(?i)amd\s+socket\s+\w+,\s+support\s+for\s*:", names)
 
 
+def support_for(lines: Column) -> Column:
+    """'Support for' with one generation and its brands, with generations between slashes crossed with names between slashes, or
+    with names alone; what a name says about its package goes. A maker is written before names without one."""
+    support = r"(?is)support\s+for\s+"
+    one, several, bare = rf"{support}({_NTH})\s+generation\s+(intel|amd)\s+(.*)$", rf"{support}({_NTH}\s*/\s*{_NTH})\s+generation(.*)$", rf"{support}(intel|amd)\s+([^\n]*)"
+    package = lambda c: F.regexp_replace(F.regexp_replace(c, r"(?is)\s+in\s+the\s.*$", ""), r"\s*\([^)]*\)\s*$", "")
+    tidy = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, _MARKS, ""), r"\s+", " "), r"(?i)\bprocessors\b", "processors"))
+    led = lambda maker: lambda x: F.when(x.rlike(r"(?i)^(intel|amd)\s"), x).otherwise(F.concat(F.initcap(maker), F.lit(" "), x))
+
+    def names(item: Column) -> Column:
+        said = package(F.regexp_extract(item, one, 3))
+        brands = F.regexp_extract_all(said, F.lit(r"(?i)(?:intel\s+)?(?:core\s+)?(?:i[0-9]+|pentium|celeron)\s+processors?"), F.lit(0))
+        parts = F.filter(F.split(said, "/"), lambda x: x.rlike("(?i)core|pentium|celeron"))
+        single = F.transform(trimmed(F.transform(F.when(F.size(brands) > 0, brands).otherwise(parts), tidy)), led(F.regexp_extract(item, one, 2)))
+        single = F.transform(single, lambda x: F.concat(F.regexp_extract(item, one, 1), F.lit(" Generation "), x))
+        kinds = F.regexp_extract_all(F.regexp_extract(item, several, 2), F.lit(r"(?i)((?:intel|amd)[^/]+processors?)"), F.lit(1))
+        kinds = trimmed(F.transform(kinds, lambda x: tidy(F.regexp_replace(package(x), r"(?s)\n.*$", ""))))
+        numbers = F.regexp_extract_all(F.regexp_extract(item, several, 1), F.lit(f"({_NTH})"), F.lit(1))
+        alone = F.transform(trimmed(F.transform(F.split(package(F.regexp_extract(item, bare, 2)), "/"), tidy)), led(F.regexp_extract(item, bare, 1)))
+        return F.when(item.rlike(one), single).when(item.rlike(several), crossed(numbers, kinds, lambda n, k: F.concat(n, F.lit(" Generation "), k))).when(item.rlike(bare), F.transform(alone, generation_words))
+
+    return _line_fits(lines, f"{one}|{several}|{bare}", names)
+
+
+def d_series(lines: Column) -> Column:
+    """Xeon D names in pieces, of five lines or more: a code takes the nearest Xeon of the four lines before it, the Intel of the two
+    before that, and the next line where it says processor; pieces with marks do not count."""
+    code, mark = r"(?i)d-[0-9]+", "[®™©]"
+    suffix = lambda x: x.rlike("(?i)processor") & ~x.rlike("(?i)(setting|frequency|cores|cache|tdp)")
+
+    def before(plain: Column, i: Column, most: int) -> Column:
+        n = F.least(i, F.lit(most))
+        return F.reverse(F.slice(plain, i - n + 1, n))
+
+    def name(plain: Column):
+        def one(x: Column, i: Column) -> Column:
+            back = before(plain, i, 6)
+            xeon = F.array_position(F.transform(F.slice(back, 1, 4), lambda b: b.rlike("(?i)xeon") & ~b.rlike(mark)), True).cast("int")
+            maker = F.get(F.filter(F.slice(back, F.greatest(xeon, F.lit(1)) + 1, 2), lambda b: b.rlike("(?i)intel") & ~b.rlike(mark)), F.lit(0))
+            after = F.get(plain, i + 1)
+            text = F.concat_ws(" ", maker, F.get(back, xeon - 1), x, F.when(suffix(after), after))
+            text = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, mark, ""), r"(?i)^Default CPU setting:\s*", ""), r"\s+", " ")
+            used = (i > 0) & F.coalesce(F.get(plain, i - 1).rlike(code), F.lit(False)) & suffix(x)
+            return F.when(x.rlike(code) & (xeon > 0) & maker.isNotNull() & ~used, F.trim(text))
+
+        return F.filter(F.transform(plain, one), lambda x: x.isNotNull())
+
+    def fits(plain: Column) -> Column:
+        has = lambda word: F.exists(plain, lambda x: x.rlike(f"(?i){word}"))
+        return F.when((F.size(plain) >= 5) & has("d-[0-9]") & has("intel") & has("xeon") & has("processor"), name(plain))
+
+    return let(F.transform(lines, lambda x: F.trim(x)), fits)
+
+
 #: Rules in their order: each takes the lines of all cells and gives names, or none or null where it does not fit.
 RULES: tuple[Callable[[Column], Column], ...] = (
-    w_series, mixed_tokens, threadripper, epyc_and_ryzen, complete_names, paired_generations, several_generations, workstation_series, ampere_one, ampere_altra, lga_socket,
-    lga_package, amd_socket, assembled_tokens,
+    w_series, mixed_tokens, threadripper, d_series, epyc_and_ryzen, complete_names, paired_generations, several_generations, workstation_series, ampere_one, ampere_altra, lga_socket,
+    lga_package, amd_socket, support_for, assembled_tokens,
 )
 
 

@@ -66,3 +66,22 @@ def socket_generations(spark, sf):
     item = F.concat(F.lit("LGA1700 package:\n"), F.array_join(F.from_json(F.get_json_object("spec", "$.CPU"), "array<string>"), "\n"))
     got = listed(got.withColumn("spec", F.to_json(F.struct(F.array(item).alias("CPU")))))
     return got.withColumn("processors", F.coalesce("processors", F.lit("")))
+
+
+_SUPPORTED = "array(CASE l_suppkey % 3 WHEN 0 THEN concat('Core i', l_partkey % 9, ' Processors') WHEN 1 THEN 'Pentium processor' ELSE 'Intel Celeron processors' END)"
+
+
+@register("supported_generations", """
+WITH n AS (SELECT *, CASE l_suppkey % 3 WHEN 0 THEN 'Intel Core i' || (l_partkey % 9) || ' processors' WHEN 1 THEN 'Intel Pentium processor' ELSE 'Intel Celeron processors' END AS x FROM lineitem),
+g AS (SELECT l_orderkey, CASE l_orderkey % 3 WHEN 0 THEN [(4 + l_orderkey % 9) || 'th Generation '] WHEN 1 THEN [''] ELSE [(5 + l_orderkey % 9) || 'th Generation ', (4 + l_orderkey % 9) || 'th Generation '] END AS gs FROM (SELECT DISTINCT l_orderkey FROM lineitem)),
+e AS (SELECT l_orderkey, unnest(gs) AS g, generate_subscripts(gs, 1) AS i FROM g)
+SELECT l_orderkey, string_agg(g || x, '|' ORDER BY i, l_linenumber, l_partkey, l_suppkey, l_linestatus, l_returnflag) AS processors FROM e JOIN n USING (l_orderkey) GROUP BY l_orderkey""")
+def supported_generations(spark, sf):
+    """'Support for' one generation, none, or two between slashes, and the names between slashes behind it."""
+    got = cells(spark, sf, _SUPPORTED)
+    kinds = F.from_json(F.get_json_object("spec", "$.CPU"), "array<string>")
+    two = F.transform(kinds, lambda x: F.when(x.startswith("Intel"), x).otherwise(F.concat(F.lit("Intel "), x)))
+    n = F.col("l_orderkey") % 9 + 4
+    head = F.when(F.col("l_orderkey") % 3 == 0, F.concat(F.lit("Support for "), n.cast("string"), F.lit("th Generation Intel "), F.array_join(kinds, " / "))).when(F.col("l_orderkey") % 3 == 1, F.concat(F.lit("Support for Intel "), F.array_join(kinds, "/")))
+    item = head.otherwise(F.concat(F.lit("Support for "), (n + 1).cast("string"), F.lit("th/"), n.cast("string"), F.lit("th Generation "), F.array_join(two, "/"), F.lit(" in the LGA1151 package")))
+    return listed(got.withColumn("spec", F.to_json(F.struct(F.array(item).alias("CPU")))))

@@ -76,6 +76,15 @@ RULE_CASES = [
     (processors.lga_package, ["no socket", None], None),
     (processors.amd_socket, ["AMD Socket AM4, support for:\nAMD Ryzen 5000 / 3rd Gen Ryzen and Athlon processors\nfoot note"], ["AMD Ryzen 5000 Series", "3rd Generation AMD Ryzen", "AMD Athlon processor"]),
     (processors.amd_socket, ["AMD Socket AM4"], None),
+    (processors.support_for, ["x", "Support for 10th Generation Intel Core i5 processors/Intel Core i3 Processors/ Pentium processor\nCeleron processors in the LGA1200 package (note)"], ["10th Generation Intel Core i5 processors", "10th Generation Intel Core i3 processors", "10th Generation Intel Pentium processor", "10th Generation Intel Celeron processors"]),
+    (processors.support_for, ["Support for 10th Generation AMD Core X/other"], ["10th Generation Amd Core X"]),
+    (processors.support_for, ["Support for 7th / 6th Generation Intel® Core™ i7 processors/Intel Core i5 processors in the LGA1151 package"], [f"{n} Generation Intel Core {k} processors" for n in ("7th", "6th") for k in ("i7", "i5")]),
+    (processors.support_for, ["Support for Intel® Core™ 14th gen Processors/ Pentium Processor (a)\nmore"], ["Intel Core 14th Generation processors", "Intel Pentium Processor"]),
+    (processors.support_for, ["Supports Intel", None], None),
+    (processors.d_series, ["Default CPU setting: Intel", "®", "Xeon", "®", "D-1700", "processor family", "Cache"], ["Intel Xeon D-1700 processor family"]),
+    (processors.d_series, ["Intel", "Xeon", "D-1500", "Intel", "Xeon", "D-2100", "processors"], ["Intel Xeon D-1500", "Intel Xeon D-2100 processors"]),
+    (processors.d_series, ["Intel", "Xeon", "D-1500", "processor"], None),
+    (processors.d_series, ["D-1500", "Intel", "Xeon", "a processor", "b"], None),
 ]
 
 
@@ -83,6 +92,8 @@ def test_rules_one_by_one(spark):
     row = spark.range(1)
     texts = lambda xs: F.array(*(F.lit(x).cast("string") for x in xs))
     got = row.select(*(rule(F.filter(texts(xs), lambda x: x.isNotNull())).alias(f"c{i}") for i, (rule, xs, _) in enumerate(RULE_CASES[:14]))).collect()[0]
-    got = [*got, *row.select(*(rule(F.filter(texts(xs), lambda x: x.isNotNull())).alias(f"c{i}") for i, (rule, xs, _) in enumerate(RULE_CASES[14:]))).collect()[0]]
+    got = [*got, *row.select(*(rule(F.filter(texts(xs), lambda x: x.isNotNull())).alias(f"c{i}") for i, (rule, xs, _) in enumerate(RULE_CASES[14:28]))).collect()[0]]
+    got += row.select(*(rule(F.filter(texts(xs), lambda x: x.isNotNull())).alias(f"c{i}") for i, (rule, xs, _) in enumerate(RULE_CASES[28:]))).collect()[0]
+    assert len(got) == len(RULE_CASES)
     for (rule, xs, want), have in zip(RULE_CASES, got):
         assert (have or None) == want, (rule.__name__, xs)
