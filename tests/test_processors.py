@@ -79,7 +79,7 @@ RULE_CASES = [
     (processors.support_for, ["x", "Support for 10th Generation Intel Core i5 processors/Intel Core i3 Processors/ Pentium processor\nCeleron processors in the LGA1200 package (note)"], ["10th Generation Intel Core i5 processors", "10th Generation Intel Core i3 processors", "10th Generation Intel Pentium processor", "10th Generation Intel Celeron processors"]),
     (processors.support_for, ["Support for 10th Generation AMD Core X/other"], ["10th Generation Amd Core X"]),
     (processors.support_for, ["Support for 7th / 6th Generation Intel® Core™ i7 processors/Intel Core i5 processors in the LGA1151 package"], [f"{n} Generation Intel Core {k} processors" for n in ("7th", "6th") for k in ("i7", "i5")]),
-    (processors.support_for, ["Support for Intel® Core™ 14th gen Processors/ Pentium Processor (a)\nmore"], ["Intel Core 14th Generation processors", "Intel Pentium Processor"]),
+    (processors.support_for, ["Support for Intel Core™ 14th gen Processors/ Pentium Processor (a)\nmore"], ["Intel Core 14th Generation processors", "Intel Pentium Processor"]),
     (processors.support_for, ["Supports Intel", None], None),
     (processors.d_series, ["Default CPU setting: Intel", "®", "Xeon", "®", "D-1700", "processor family", "Cache"], ["Intel Xeon D-1700 processor family"]),
     (processors.d_series, ["Intel", "Xeon", "D-1500", "Intel", "Xeon", "D-2100", "processors"], ["Intel Xeon D-1500", "Intel Xeon D-2100 processors"]),
