@@ -134,9 +134,9 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "t
         return F.when(F.col(n) > 0, F.col(n) * F.log(of / expected)).otherwise(0.0)
 
     weighed = counts.filter("stem != ''").withColumns({"np": F.lit(n_pos), "nn": F.lit(n_neg)}).withColumns({"w": weight, "g": 2 * (side("pos", share) + side("neg", 1 - share))})
-    # A beginning counts only where two words or more that speak for label 1 end differently behind it.
+    # A beginning counts only where two words or more end differently behind it, each with a quarter of the evidence.
     heads = F.transform(F.sequence(F.lit(5), F.least(F.lit(10), F.length("stem") - 1)), lambda n: F.substr("stem", F.lit(1), n))
-    words = weighed.filter(F.endswith("stem", F.lit(" ")) & (F.length("stem") >= 6) & (F.col("w") > 1) & (F.col("pos") > 1)).select(F.explode(heads).alias("stem"))
+    words = weighed.filter(F.endswith("stem", F.lit(" ")) & (F.length("stem") >= 6) & (F.col("w") > 1) & (F.col("g") > least / 4)).select(F.explode(heads).alias("stem"))
     shared = words.groupBy("stem").count().filter("count > 1").select("stem")
     got = weighed.filter((F.col("w") > 2) & (F.col("g") > least))
     got = got.filter(F.endswith("stem", F.lit(" "))).unionByName(got.filter(~F.endswith("stem", F.lit(" "))).join(shared, "stem", "left_semi"))
