@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,11 +47,19 @@ def page_nodes(pages: DataFrame, html: Column, *keys: str) -> DataFrame:
     or broken page gives the rows that can be read, maybe none; scripts and styles have no texts.
     """
 
-    def run(x: pa.Array) -> pa.Array:
-        return pa.array([_rows(t) for t in x.to_pylist()], pa.list_(_NODE))
+    own = pages.select(*keys, html.alias("_html"))
+    names = [f.name for f in _NODE]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(b.num_rows):  # a page's rows at a time
+                rows = pa.array(_rows(b.column(len(keys))[at].as_py()), _NODE)
+                if len(rows):
+                    of = [pa.repeat(b.column(i)[at], len(rows)) for i in range(len(keys))]
+                    yield pa.RecordBatch.from_arrays([*of, *rows.flatten()], names=[*keys, *names])
 
-    got = pages.select(*keys, F.arrow_udf(run, f"array<{NODE}>")(html).alias("_nodes"))
-    return got.select(*keys, F.inline("_nodes"))
+    kinds = [f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keys]
+    return own.mapInArrow(run, ", ".join([*kinds, NODE.removeprefix("struct<").removesuffix(">").replace(":", " ")]))
 
 
 def inside(inner: DataFrame, outer: DataFrame, *keys: str, label: str = "label") -> DataFrame:
