@@ -6,8 +6,9 @@ at equal places, and only about one word in seven is an anchor. The windows of o
 1. Each block of documents is combined before the exchange. Of runs that are equal the first is kept; every other one is
    a seed that is compared with it word by word and extended both ways to a maximal match, which is cut at once. An
    anchor with different runs in the block sends its windows on and one mark.
-2. Runs meet by anchor. Equal runs: all but the first are cut. An anchor with different runs: each first run is asked
-   for its windows, where matches end inside a run.
+2. Runs meet by anchor, in aggregates that are joined back: what they keep of an anchor is one row, however common it is.
+   Equal runs: all but the first are cut. An anchor with different runs: each first run is asked for its windows, where
+   matches end inside a run.
 3. Those windows, read from the texts, meet by their hash; all but the first are cut.
 
 A document's cuts join to its maximal repeats. The order of occurrences is (document, start). Between blocks words are
@@ -22,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WORDS, bounded_batches, fmix64, linear_hash, materialise, release, trimmed, unzip, word_hashes, zipped
+from tessera.llm.common import WORDS, bounded_batches, discard, fmix64, linear_hash, materialise, release, trimmed, unzip, word_hashes, zipped
 from tessera.llm.tokens import slices
 
 RUN, MARK, CUT, WINDOW = 0, 1, 2, 3
@@ -165,17 +166,22 @@ def _windows(asked: DataFrame, width: int) -> DataFrame:
 def find_cuts(rows: DataFrame, zips: DataFrame, width: int) -> DataFrame:
     """(d, h, s, r): runs of windows of document (d, h) whose words also start earlier. rows: (d, h, t); zips: (d, h, z)."""
     spark = rows.sparkSession
-    me = F.struct("d", "h", "s")
-    scan = _scan(rows, width)
-    # one exchange by key; a block sent one row of an anchor at most. Cuts and windows pass through.
-    meets = F.when(F.col("kind") <= MARK, F.lit(0)).otherwise(F.col("s") + 1)  # spreads what only passes
-    w = Window.partitionBy("key", "meet")
-    scan = scan.withColumn("meet", meets)
-    of_run = Window.partitionBy("key", "meet", "sub").orderBy("d", "h", "s").rowsBetween(Window.unboundedPreceding, 0)
-    seen = scan.withColumns({"first": F.first(me).over(of_run), "lo": F.min("sub").over(w), "hi": F.max("sub").over(w), "mark": F.min(F.col("kind") == RUN).over(w), "c": F.count(F.lit(1)).over(w)})
+    me, mark = F.struct("d", "h", "s"), F.col("kind") == MARK
+    low, high = F.lit(-(1 << 63)).cast("long"), F.lit((1 << 63) - 1).cast("long")
+    scan = materialise(_scan(rows, width), "scan")
+    # counted before the exchange, so an anchor that stands in every block sends a row a task; a mark stands for different runs
+    meet = scan.filter(f"kind <= {MARK}").groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min(F.when(mark, low).otherwise(F.col("sub"))).alias("lo"), F.max(F.when(mark, high).otherwise(F.col("sub"))).alias("hi"))
+    shared = materialise(meet.filter("c > 1").select("key", F.expr("lo != hi").alias("several")), "anchors")
+    release(spark)
+    met = materialise(scan.filter(f"kind = {RUN}").join(shared, "key"), "met")
+    release(spark)
     later = me > F.col("first")
-    kind = F.when(F.col("kind") != RUN, F.col("kind")).when(later, CUT).when((F.col("lo") != F.col("hi")) | ~F.col("mark"), RUN)
-    some = materialise(seen.filter("kind > 1 OR (kind = 0 AND c > 1)").withColumn("kind", kind).filter("kind IS NOT NULL").select("kind", "key", "sub", "d", "h", "s", "r"), "runs")
+    kind = F.when(later, CUT).when(F.col("several"), RUN)
+    firsts = met.groupBy("key", "sub").agg(F.min(me).alias("first"))
+    judged = met.join(firsts, ["key", "sub"]).withColumn("kind", kind).filter("kind IS NOT NULL")
+    columns = ("kind", "key", "sub", "d", "h", "s", "r")
+    some = materialise(judged.select(*columns).unionByName(scan.filter(f"kind > {MARK}").select(*columns)), "runs")
+    discard(scan, shared, met)
     release(spark)
     asked = some.filter(f"kind = {RUN}").groupBy("d", "h").agg(F.collect_list(F.struct("key", "s", "r")).alias("runs"))  # bounded by the document
     read = zips.join(asked, ["d", "h"]).select("d", "h", "z", "runs")

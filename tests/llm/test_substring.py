@@ -70,3 +70,28 @@ def test_seeds_grow_to_maximal_matches():
         covered = {(d, p + i) for d, p, n in got for i in range(n)}
         assert covered == {(d, b - start[d]) for d, b, *_ in seeds} and len(set(got)) <= len(seeds)
     assert list(substring.extend([b"a", b"b", b"c", b"d"], [0, 2, 4], [(1, 2, 0, 0, 2)], 2)) == []  # other words
+
+
+def test_a_passage_in_every_block(spark, monkeypatch):
+    r = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    plans, write = [], substring.materialise
+
+    def written(df, tag):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, tag)
+
+    monkeypatch.setattr(substring, "materialise", written)
+    rows = []
+    for i in range(300):
+        own = [f"o{r.randrange(10**6)}" for _ in range(r.randrange(50))]
+        a = r.randrange(30)
+        cut = passage if i % 3 else passage[a : a + 20 + r.randrange(20)]
+        at = r.randrange(len(own) + 1)
+        rows.append((i, " ".join(own[:at] + cut + own[at:])))
+    rows += [(400 + i, " ".join(passage)) for i in range(30)]
+    out = substring.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(60), 20)
+    got = {g.doc_id: (g.n_words, g.n_removed, g.kept_sha256) for g in out.collect()}
+    assert got == brute(rows, 20)
+    plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+    assert len(plans) >= 5 and not any("Window [" in p for p in plans)
