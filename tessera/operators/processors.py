@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.text import generation_words
+from tessera.functions.text import generation_words, respelled
 from tessera.operators.parts import w_series
 
 #: The keys of processor cells, in the order of their lines.
@@ -127,6 +127,23 @@ def superchips(lines: Column) -> Column:
     return F.array_distinct(F.transform(names, lambda x: spelled(x, "NVIDIA", "Grace", "Hopper", "CPU", "GPU")))
 
 
+def text_rows(cell: Column) -> Column:
+    """Names in the lines of one text of several lines, each once: what is built in, up to its first bracket or its kind, and Threadripper series."""
+    chip = "<m:amd> <b:ryzen> <b:threadripper>(?: <t:pro>)? <c:[0-9]+>(?: <s:series>)? <s:processors?>"
+    kind = r"(?:apu|cpu|processor|graphics\s+core|soc)"
+
+    def name(row: Column) -> Column:
+        inside = F.regexp_extract(row, r"(?i)built\s+in\s+(?:with\s+)?an?\s+((?:amd|intel)\b.*)$", 1)
+        before = F.regexp_extract(inside, r"^(.*?)\s+\([^)]*\)", 1)
+        whole = F.when(before != "", before).otherwise(F.regexp_extract(inside, rf"(?i)^(.*?{kind}(?:\s+[0-9]+)?(?:.*?soc)?)", 1))
+        series = respelled(F.get(found(tagged(row), chip), F.lit(0)))
+        series = F.regexp_replace(F.regexp_replace(series, r"(?<!series)\s+processor$", " Series Processors"), r"\s+processor$", " Processors")
+        return F.when(inside != "", spelled(whole, "AMD", "Intel", "APU", "CPU", "processor")).otherwise(series)
+
+    rows = F.split(F.when(cell.contains("\n") & ~cell.rlike(r"^[\[{]"), cell), "\n")
+    return F.array_distinct(F.filter(F.transform(unmarked(rows), name), lambda x: x != ""))
+
+
 def threadripper(lines: Column) -> Column:
     """The one Threadripper PRO of a cell of one line: with its maker and 'processor' where no mark parts the words, else from 'Ryzen' on."""
     chip = "<b:ryzen> <b:threadripper> <t:pro> <c:[0-9]+wx>"
@@ -542,13 +559,13 @@ RULES: tuple[Callable[[Column], Column], ...] = (
 def processor_list(spec: Column, rules: tuple[Callable[[Column], Column], ...] = RULES) -> Column:
     """Processor names of a specification document in JSON, as the first fitting rule finds them; null where none fits, the text is null or its JSON is bad.
 
-    A superchip cell (a text or a list) counts before the rules.
+    A superchip cell (a text or a list) counts before the rules, then the rows of a CPU cell that is one text of several lines.
     """
     fits = lambda names: F.try_element_at(F.filter(names, lambda x: F.size(x) > 0), F.lit(1))
 
     def read(text: Column) -> Column:
         chips = superchips(F.when(~F.get_json_object(text, "$.Superchip").startswith("{"), cell_lines(text, "Superchip")))
         listed = let(F.concat(*(cell_lines(text, k) for k in KEYS)), lambda lines: fits(F.array(*(rule(lines) for rule in rules))))
-        return F.array(chips, listed)
+        return F.array(chips, text_rows(F.get_json_object(text, "$.CPU")), listed)
 
     return fits(let(spec, read))

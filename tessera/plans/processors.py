@@ -85,3 +85,16 @@ def supported_generations(spark, sf):
     head = F.when(F.col("l_orderkey") % 3 == 0, F.concat(F.lit("Support for "), n.cast("string"), F.lit("th Generation Intel "), F.array_join(kinds, " / "))).when(F.col("l_orderkey") % 3 == 1, F.concat(F.lit("Support for Intel "), F.array_join(kinds, "/")))
     item = head.otherwise(F.concat(F.lit("Support for "), (n + 1).cast("string"), F.lit("th/"), n.cast("string"), F.lit("th Generation "), F.array_join(two, "/"), F.lit(" in the LGA1151 package")))
     return listed(got.withColumn("spec", F.to_json(F.struct(F.array(item).alias("CPU")))))
+
+
+@register("text_rows", """
+WITH n AS (SELECT l_orderkey, CASE WHEN l_suppkey % 2 = 0 THEN 'AMD Ryzen Threadripper PRO ' || (1000 + l_suppkey) || ' series Processors' ELSE 'Intel Celeron N' || l_partkey || ' CPU' END AS x, l_linenumber, l_partkey, l_suppkey, l_linestatus, l_returnflag FROM lineitem),
+f AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, x ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus, l_returnflag) AS again FROM n)
+SELECT l_orderkey, string_agg(x, '|' ORDER BY l_linenumber, l_partkey, l_suppkey, l_linestatus, l_returnflag) AS processors FROM f WHERE again = 1 GROUP BY l_orderkey""")
+def text_rows(spark, sf):
+    """Cells of one text of several lines: what is built in and Threadripper series, each name once, between lines that name nothing."""
+    row = """array(CASE WHEN l_suppkey % 2 = 0 THEN concat('amd Ryzen™ threadripper™ pro ', 1000 + l_suppkey, ' Series processors /')
+      ELSE concat('- Built in with an intel® Celeron N', l_partkey, ' cpu (', l_linenumber, ' GHz)') END, concat('TDP up to ', l_linenumber, 'W'))"""
+    got = cells(spark, sf, row)
+    text = F.array_join(F.from_json(F.get_json_object("spec", "$.CPU"), "array<string>"), "\n")
+    return listed(got.withColumn("spec", F.to_json(F.struct(text.alias("CPU")))))

@@ -27,6 +27,9 @@ CASES = [
     (json.dumps({"CPU": ["Ampere® Altra® Max Processors", "Ampere Altra processor"]}), ["Ampere  Altra  Max  processor", "Ampere  Altra  processor"]),
     (json.dumps({"CPU": ["Ampere", "Altra", "Max or Altra", "7nm technology"]}), ["Ampere  Altra  Max or Ampere Altra  processor"]),
     (json.dumps({"CPU": "[note] x"}), None),
+    (json.dumps({"CPU": "amd ryzen™ threadripper™ pro 7000 series processors /\nAMD Ryzen Threadripper 7000 Processors\n\nx\nAMD Ryzen Threadripper 7000 processor"}), ["AMD Ryzen Threadripper PRO 7000 series Processors", "AMD Ryzen Threadripper 7000 Series Processors"]),
+    (json.dumps({"CPU": "- Built in with an Intel® Celeron N3350 Cpu (1.1 GHz) (2M cache)\nbuilt in an amd embedded apu 200 board"}), ["Intel Celeron N3350 CPU", "AMD embedded APU 200"]),
+    (json.dumps({"CPU": ["AMD Ryzen Threadripper PRO 7000 series processors\nx"]}), None),
 ]
 
 
