@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import extract
+from tessera.functions.arrays import let
 from tessera.operators.audit import merged
 from tessera.operators.html import Node, tree
 from tessera.operators.specs import nested_value, scoped_values
@@ -108,14 +109,16 @@ def variants(catalog: Column) -> Column:
     Part numbers that a capacity and a form factor share; a combination that shares none does not exist. Without a form
     factor axis only capacities of one part number count, with a blank form factor. Order: capacities, form factors, part numbers.
     """
-    axes = F.from_json(catalog, _FILTERS)["Filters"]
-    axis = lambda name: F.try_element_at(F.filter(axes, lambda f: F.lower(F.trim(f["Name"])) == name), F.lit(1))["Items"]
-    caps, forms = axis("capacity"), axis("form factor")
+    axis = lambda axes, name: F.try_element_at(F.filter(axes, lambda f: F.lower(F.trim(f["Name"])) == name), F.lit(1))["Items"]
     none = F.array().cast("array<struct<capacity:string,form_factor:string,part_number:string>>")
     row = lambda c, f, pn: F.struct(c.alias("capacity"), f.alias("form_factor"), pn.alias("part_number"))
-    both = F.flatten(F.transform(caps, lambda c: F.flatten(F.transform(forms, lambda f: F.transform(F.array_sort(F.array_intersect(c["PartNumbers"], f["PartNumbers"])), lambda pn: row(c["Name"], f["Name"], pn))))))
-    alone = F.transform(F.filter(caps, lambda c: F.size(c["PartNumbers"]) == 1), lambda c: row(c["Name"], F.lit(""), c["PartNumbers"][0]))
-    return F.coalesce(F.when(caps.isNull(), none).when(forms.isNull(), alone).otherwise(both), none)
+
+    def of(caps: Column, forms: Column) -> Column:
+        both = F.flatten(F.transform(caps, lambda c: F.flatten(F.transform(forms, lambda f: F.transform(F.array_sort(F.array_intersect(c["PartNumbers"], f["PartNumbers"])), lambda pn: row(c["Name"], f["Name"], pn))))))
+        alone = F.transform(F.filter(caps, lambda c: F.size(c["PartNumbers"]) == 1), lambda c: row(c["Name"], F.lit(""), c["PartNumbers"][0]))
+        return F.coalesce(F.when(caps.isNull(), none).when(forms.isNull(), alone).otherwise(both), none)
+
+    return let(F.from_json(catalog, _FILTERS)["Filters"], lambda axes: let(axis(axes, "capacity"), lambda caps: let(axis(axes, "form factor"), lambda forms: of(caps, forms))))
 
 
 def spec_tables(html: Column, panel: str = "s-productDetails__additional__specificationPanel", tab: str = "l-tabView__tabs__tab") -> Column:
@@ -175,16 +178,24 @@ def spec_tables(html: Column, panel: str = "s-productDetails__additional__specif
 def specs_of(tables: Column, form_factor: Column, capacity: Column) -> Column:
     """Map of label to value for one variant: its form factor's table, or the only table; of each row the value for its capacity, rows that name capacities but not this one left out."""
     hit = F.try_element_at(F.filter(tables, lambda t: t["form_factor"] == form_factor), F.lit(1))
-    rows = F.coalesce(hit, F.when(F.size(tables) == 1, tables[0]))["rows"]
-    named = F.flatten(F.transform(F.filter(rows, lambda r: F.startswith(F.lower(r["label"]), F.lit("capacities"))), lambda r: F.transform(F.split(F.array_join(r["lines"], ","), ","), lambda c: F.trim(c))))
-    capacities = F.filter(F.coalesce(named, F.array().cast("array<string>")), lambda c: c != "")
     plain = lambda c: F.upper(F.regexp_replace(c, r"\s", ""))
-    own = F.coalesce(F.try_element_at(F.filter(capacities, lambda c: plain(c) == plain(capacity)), F.lit(1)), capacity)
-    every = F.array_union(capacities, F.array(own))
-    value = lambda r: F.try_element_at(scoped_values(r["lines"], every), own)
-    entries = F.filter(F.transform(rows, lambda r: F.struct(r["label"].alias("key"), value(r).alias("value"))), lambda e: e["value"].isNotNull())
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))), lambda o: o["key"] == e["key"]))
-    return F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,string>"))
+
+    def named(rows: Column) -> Column:
+        said = F.flatten(F.transform(F.filter(rows, lambda r: F.startswith(F.lower(r["label"]), F.lit("capacities"))), lambda r: F.transform(F.split(F.array_join(r["lines"], ","), ","), lambda c: F.trim(c))))
+        return F.filter(F.coalesce(said, F.array().cast("array<string>")), lambda c: c != "")
+
+    def spelled(capacities: Column) -> Column:
+        return F.coalesce(let(plain(capacity), lambda p: F.try_element_at(F.filter(capacities, lambda c: plain(c) == p), F.lit(1))), capacity)
+
+    def entries(rows: Column, every: Column, own: Column) -> Column:
+        value = lambda r: F.try_element_at(scoped_values(r["lines"], every), own)
+        return F.filter(F.transform(rows, lambda r: F.struct(r["label"].alias("key"), value(r).alias("value"))), lambda e: e["value"].isNotNull())
+
+    # Each step is bound once: lambdas would work out what they name anew for each item.
+    last = lambda es: F.filter(es, lambda e, i: ~F.exists(F.slice(es, i + 2, F.greatest(F.size(es), F.lit(1))), lambda o: o["key"] == e["key"]))
+    of = lambda rows, caps: let(spelled(caps), lambda own: let(F.array_union(caps, F.array(own)), lambda every: let(entries(rows, every, own), last)))
+    got = let(F.coalesce(hit, F.when(F.size(tables) == 1, tables[0]))["rows"], lambda rows: let(named(rows), lambda caps: of(rows, caps)))
+    return F.coalesce(F.map_from_entries(got), F.create_map().cast("map<string,string>"))
 
 
 def storage_parts(cards_: DataFrame, products: DataFrame, url: str = "url") -> DataFrame:

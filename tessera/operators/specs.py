@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.arrays import let
+
 
 def _first(node, key: str):
     """The first value that is not empty under `key` in any case, depth first; an empty one ends the search of its object."""
@@ -79,26 +81,31 @@ def scoped_values(lines: Column, capacities: Column) -> Column:
     cell holds for every one.
     """
     plain = lambda c: F.upper(F.regexp_replace(c, "\\s", ""))
-    known = F.transform(capacities, plain)
     zero = F.struct(F.array().cast("array<string>").alias("before"), F.array().cast("array<struct<cap:string,value:string>>").alias("got"))
 
-    def step(a: Column, line: Column) -> Column:
-        low = F.array_position(known, plain(F.regexp_extract(line, SCOPED, 1)))
-        second = F.regexp_extract(line, SCOPED, 2)
-        high = F.when(second == "", low).otherwise(F.array_position(known, plain(second)))
+    def stepped(a: Column, line: Column, capacities: Column, low: Column, high: Column) -> Column:
         hit = (low > 0) & (high > 0)
         value = F.array_join(F.concat(a["before"], F.array(F.regexp_extract(line, SCOPED, 3))), " | ")
         at = F.slice(capacities, F.greatest(F.least(low, high), F.lit(1)).cast("int"), (F.abs(high - low) + 1).cast("int"))
-        new = F.transform(at, lambda c: F.struct(c.alias("cap"), value.alias("value")))
+        new = let(value, lambda v: F.transform(at, lambda c: F.struct(c.alias("cap"), v.alias("value"))))
         return F.struct(F.when(hit, a["before"]).otherwise(F.concat(a["before"], F.array(line))).alias("before"), F.when(hit, F.concat(a["got"], new)).otherwise(a["got"]).alias("got"))
 
-    def finish(a: Column) -> Column:
+    def step(capacities: Column, known: Column):
+        def one(a: Column, line: Column) -> Column:
+            place = lambda c: F.array_position(known, plain(c))
+            second = lambda low: let(F.regexp_extract(line, SCOPED, 2), lambda s: F.when(s == "", low).otherwise(place(s)))
+            return let(place(F.regexp_extract(line, SCOPED, 1)), lambda low: let(second(low), lambda high: stepped(a, line, capacities, low, high)))
+
+        return one
+
+    def finish(a: Column, lines: Column, capacities: Column) -> Column:
         last = lambda c: F.try_element_at(F.filter(a["got"], lambda g: g["cap"] == c), F.lit(-1))["value"]
         scoped = F.filter(F.transform(F.array_distinct(capacities), lambda c: F.struct(c.alias("cap"), last(c).alias("value"))), lambda s: s["value"].isNotNull())
-        whole = F.transform(F.array_distinct(capacities), lambda c: F.struct(c.alias("cap"), F.array_join(lines, " | ").alias("value")))
+        whole = let(F.array_join(lines, " | "), lambda v: F.transform(F.array_distinct(capacities), lambda c: F.struct(c.alias("cap"), v.alias("value"))))
         return F.map_from_entries(F.when(F.size(a["got"]) > 0, scoped).otherwise(whole))
 
-    return F.aggregate(lines, zero, step, finish)
+    got = lambda ls, caps: let(F.transform(caps, plain), lambda known: F.aggregate(ls, zero, step(caps, known), lambda a: finish(a, ls, caps)))
+    return let(lines, lambda ls: let(capacities, lambda caps: got(ls, caps)))
 
 
 @F.pandas_udf(T.StringType())

@@ -26,6 +26,13 @@ from tessera.operators import compare, documents, html, lookup, specs, verdicts
 from tessera.sources.tables import append_new, read_table  # noqa: E402
 from tessera.streaming import state  # noqa: E402
 
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows that cost far more than their bytes, dealt evenly over all cores: a small file gives few splits, and their number does not grow with the work."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 _WANT = "['1-URGENT','2-HIGH','3-MEDIUM','4-NOT SPECIFIED','5-LOW']"
 
@@ -513,7 +520,7 @@ SELECT p_partkey, unnest(['Memory', 'Notes']) AS heading, unnest(['Standard: ' |
 def spec_cards(spark, sf):
     page = F.expr(r"""concat('<div class="card a"><h3> Memory </h3><ul class="plain"><li><h4>Standard</h4><p>', p_size, '  GB</p></li><li><h4>Slots</h4><p>', p_brand, '</p><li><h4>Slots</h4><p>', p_name, '</p><p>x</p><li><h4>Slots</h4><p>', p_brand,
       '</p></ul></div><div class="card"><h3>Notes</h3><div class="row"><ul><li>', p_type, '<li>Show<li>two<li>two</ul></div></div><div class="card"><h3>Empty</h3></div>')""")
-    got = read_table(spark, sf, "part").select("p_partkey", F.explode(html.spec_cards(page, "card", "plain", "row", ("Show",))).alias("s"))
+    got = spread(read_table(spark, sf, "part")).select("p_partkey", F.explode(html.spec_cards(page, "card", "plain", "row", ("Show",))).alias("s"))
     return got.select("p_partkey", "s.heading", html.attrs_text(F.col("s.attrs")).alias("attrs"))
 
 
@@ -522,7 +529,7 @@ SELECT p_partkey, p_name AS name, 'Boards' AS category, 'https://x/i.png' AS ima
 def spec_table_pairs(spark, sf):
     page = F.expr(r"""concat('<meta property="og:image" content="/i.png">', if(p_partkey % 2 = 0, '<input id=copyLink value="https://x/copy/">', ''), '<div class="bread"><a href="/products">All</a><a href="/products/b/">Boards</a><a href="/products/b/c">It</a></div><h1>', p_name, '</h1><table><tr><th>CPU<td>', p_brand,
       '<tr><td><td>', p_type, '</tr><tr><td>Size</td><td> ', p_size, '</td></tr><tr><td>None</td></tr></table>')""")
-    got = read_table(spark, sf, "part").select("p_partkey", html.product_head(page, F.concat(F.lit("https://x/"), F.col("p_partkey").cast("string"), F.lit("/"))).alias("h"), F.explode(html.row_pairs(html.table_rows(page))).alias("r"))
+    got = spread(read_table(spark, sf, "part")).select("p_partkey", html.product_head(page, F.concat(F.lit("https://x/"), F.col("p_partkey").cast("string"), F.lit("/"))).alias("h"), F.explode(html.row_pairs(html.table_rows(page))).alias("r"))
     return got.select("p_partkey", "h.*", "r.label", "r.value")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text
 from tessera.operators import crawl, hierarchy, html, nodes, parts, processors
-from tessera.plans.catalogue import read_table, register
+from tessera.plans.catalogue import read_table, register, spread
 from tessera.sources.shared import shared_dir, written
 from tessera.streaming import runs
 
@@ -20,7 +20,7 @@ _CARDS = """concat('<button data-pgtab="Storage" data-tab="tabContent0_1">x</but
 
 
 def _cards(spark, sf):
-    page = read_table(spark, sf, "part").select("p_partkey", F.explode(parts.cards(F.expr(_CARDS))).alias("c"))
+    page = spread(read_table(spark, sf, "part")).select("p_partkey", F.explode(parts.cards(F.expr(_CARDS))).alias("c"))
     return page.select("p_partkey", "c.*")
 
 
@@ -35,7 +35,7 @@ def part_cards(spark, sf):
 SELECT p_partkey, p_name || '/' || p_partkey AS part_number, 'Memory' AS component_type FROM part UNION ALL SELECT p_partkey, 'S' || p_partkey, 'Storage' FROM part""")
 def card_rows(spark, sf):
     """The same cards by a table function in a lateral join."""
-    page = read_table(spark, sf, "part").select("p_partkey", F.expr(_CARDS).alias("html"))
+    page = spread(read_table(spark, sf, "part")).select("p_partkey", F.expr(_CARDS).alias("html"))
     return page.lateralJoin(parts.CardRows(F.col("html").outer())).select("p_partkey", "part_number", "component_type")
 
 
@@ -53,7 +53,7 @@ _TABLES = """concat('<div class="s-productDetails__additional__specificationPane
 
 def _products(spark, sf):
     """A product page for each part; some could not be fetched, some have no tables."""
-    p = read_table(spark, sf, "part").select(F.col("p_partkey").alias("k"))
+    p = spread(read_table(spark, sf, "part")).select(F.col("p_partkey").alias("k"))
     return p.select("k", F.concat(F.lit("http://x.example/p"), "k").alias("url"), F.when(F.col("k") % 7 != 6, parts.variants(F.expr(_CATALOG))).alias("variants"), F.when(F.col("k") % 7 == 4, F.array().cast("array<struct<form_factor:string,rows:array<struct<label:string,lines:array<string>>>>>")).otherwise(parts.spec_tables(F.expr(_TABLES))).alias("tables"))
 
 
@@ -84,7 +84,7 @@ _TEMPLATES = """CASE p_partkey % 3 WHEN 0 THEN concat('<div id="Specifications">
 @register("product_templates", """
 SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name || '=' || p_type || ' x|' || p_size || '|' || p_brand WHEN 1 THEN p_brand || ' - ' || p_name || '=' || p_type ELSE p_name || '=' || p_size || '|' || p_type END AS specs FROM part""")
 def product_templates(spark, sf):
-    got = read_table(spark, sf, "part").select("p_partkey", parts.product_specs(F.expr(_TEMPLATES)).alias("m"))
+    got = spread(read_table(spark, sf, "part")).select("p_partkey", parts.product_specs(F.expr(_TEMPLATES)).alias("m"))
     return got.select("p_partkey", F.expr("array_join(transform(array_sort(map_entries(m)), e -> concat(e.key, '=', array_join(e.value, '|'))), ';')").alias("specs"))
 
 
@@ -93,7 +93,7 @@ SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Z' || p_size WHEN 1 THEN 'Inte
   'Intel Xeon W-' || (2000 + p_size) || ' series processor|Intel Xeon W-' || (3000 + p_size) || ' series processor' AS w_series FROM part""")
 def chipset_search(spark, sf):
     spec = F.expr("""CASE p_partkey % 4 WHEN 0 THEN concat('{"a": [{"b": {"Chipset ": "Z ', p_size, ' Express Chipset"}}]}') WHEN 1 THEN concat('{"chipset": "Intel® X', p_size, '\\\\n North Bridge: C621 chipset"}') WHEN 2 THEN concat('[{"CHIPSET": ["', p_brand, '", "®", "A 1"]}]') ELSE concat('{"chip": "', p_name) END""")
-    got = read_table(spark, sf, "part").withColumn("c", parts.chipsets(spec))
+    got = spread(read_table(spark, sf, "part")).withColumn("c", parts.chipsets(spec))
     lines = F.array(F.expr("concat('INTEL xeon® w-', 2000 + p_size, '/W-', 3000 + p_size)"), F.expr("concat('Intel Xeon W-', 2000 + p_size, '/w-', 3000 + p_size, ' ')"), F.col("p_name"))
     original = F.array(F.expr("CASE WHEN p_partkey % 3 = 0 THEN concat('z ', p_size) ELSE p_name END"))
     return got.select("p_partkey", F.array_join("c", "|").alias("chipsets"), parts.chipset_status(original, F.col("c")).alias("status"), F.array_join(parts.w_series(lines), "|").alias("w_series"))
@@ -113,14 +113,14 @@ SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'NVIDIA Grace CPU|NVIDIA Hopper
   WHEN 4 THEN concat_ws('|', p_size || 'th Generation Intel A' || p_partkey || ' processors', p_size || 'th Generation Intel B processors', (p_size + 1) || 'th Generation Intel A' || p_partkey || ' processors', (p_size + 1) || 'th Generation Intel B processors')
   WHEN 5 THEN 'AmpereOne  Family processor' WHEN 6 THEN 'Ampere  Altra  Max or Ampere Altra  processor' END AS processors FROM part""")
 def processor_lists(spark, sf):
-    return read_table(spark, sf, "part").select("p_partkey", F.array_join(processors.processor_list(F.expr(_PROCESSOR_CELLS)), "|").alias("processors"))
+    return spread(read_table(spark, sf, "part")).select("p_partkey", F.array_join(processors.processor_list(F.expr(_PROCESSOR_CELLS)), "|").alias("processors"))
 
 
 @register("heading_columns", """
 SELECT p_partkey, 'Max: ' || p_size || ' GB' AS memory, '' AS storage, '' AS expansion, '["' || p_name || '"]' AS processor, CASE WHEN p_partkey % 2 = 0 THEN 'Port: ' || p_type ELSE '' END AS networking, '' AS compatibility, '' AS important_configuration_notes FROM part""")
 def heading_columns(spark, sf):
     page = """concat('<div class="card"><h3>Memory</h3><ul class="l"><li><h4>Max</h4><p>', p_size, ' GB</p></li></ul></div><div class="card"><h3>CPU / Chipsets</h3><ul class="l"><li><p>', p_name, '</p></li></ul></div>', CASE WHEN p_partkey % 2 = 0 THEN concat('<div class="card"><h3>Network</h3><ul class="l"><li><h4>Port</h4><p>', p_type, '</p></li></ul></div>') ELSE '' END)"""
-    got = read_table(spark, sf, "part").withColumn("s", html.spec_cards(F.expr(page), "card", "l", "row"))
+    got = spread(read_table(spark, sf, "part")).withColumn("s", html.spec_cards(F.expr(page), "card", "l", "row"))
     return got.select("p_partkey", *parts.heading_columns(F.col("s")))
 
 
@@ -152,7 +152,7 @@ SELECT p_partkey, concat(p_partkey, '-', i, '-', j) AS part_number, CASE WHEN j
 UNION ALL SELECT p_partkey, concat(p_partkey, '-0-0'), 'Component' FROM part""")
 def tab_cards(spark, sf):
     """Cards with the labels of the tab panels around them: the page as a relation of elements, containment as a join."""
-    found = written(nodes.page_nodes(read_table(spark, sf, "part"), F.expr(_TABS), "p_partkey"), "nodes")
+    found = written(nodes.page_nodes(spread(read_table(spark, sf, "part")), F.expr(_TABS), "p_partkey"), "nodes")
     return nodes.labelled_cards(found, "p_partkey").select("p_partkey", F.col("attrs")["data-partnumber"].alias("part_number"), "component_type")
 
 
@@ -214,7 +214,7 @@ SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 AND p_partkey % 5 = 0 THEN 'https:
   CASE WHEN p_partkey % 4 <> 1 THEN p_name || ' ' || p_brand END AS product_name FROM part""")
 def product_links(spark, sf):
     """Data sheet addresses and names of product pages."""
-    found = nodes.page_nodes(read_table(spark, sf, "part"), F.expr(_SHEETS), "p_partkey")
+    found = nodes.page_nodes(spread(read_table(spark, sf, "part")), F.expr(_SHEETS), "p_partkey")
     return nodes.product_links(found, "p_partkey", base="https://shop.example")
 
 
