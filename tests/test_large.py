@@ -41,3 +41,8 @@ def test_variants_with_many_rows(spark):
     df = spark.createDataFrame([("M.2", "1 tb", [("M.2", lines)]), ("M.2", "256GB", None)], table).coalesce(1)
     got = [r[0] for r in df.select(parts.specs_of(F.col("t"), F.col("f"), F.col("c"))).collect()]
     assert got == [{"Capacities": "256GB, 512 GB, 1TB"} | {f"Row {i}": f"about | {i} TB" for i in range(12)}, {}]
+
+
+def test_storage_parts_deals_pages_over_cores(spark):
+    said = plan(catalogue.QUERIES["storage_parts"](spark, SF))
+    assert said.count("RoundRobinPartitioning") >= 2
