@@ -150,7 +150,7 @@ def merged_lines(spark, sf):
     """A line that is a part number alone goes to the line before it, unless that one ends in a part number itself."""
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
     c = read_table(spark, sf, "lineitem").withColumn("line", F.expr("CASE WHEN l_returnflag = 'R' THEN concat('P', 10000 + l_partkey, '-B21') ELSE concat('line ', l_partkey) END"))
-    return compare.merge_continuations(c, "l_orderkey", order, "line", r"^[A-Z]{0,2}[0-9]{5,6}-[A-Z][0-9]{2}(#\w+)?$", r"\b[A-Z]{0,2}[0-9]{5,6}-[A-Z][0-9]{2}\b")
+    return compare.merge_continuations(c, "l_orderkey", order, "line", r"^[A-Z]{0,2}[0-9]{5,}-[A-Z][0-9]{2}(#\w+)?$", r"\b[A-Z]{0,2}[0-9]{5,}-[A-Z][0-9]{2}\b")
 
 
 @register("breaker_trips", """

@@ -46,3 +46,13 @@ def test_variants_with_many_rows(spark):
 def test_storage_parts_deals_pages_over_cores(spark):
     said = plan(catalogue.QUERIES["storage_parts"](spark, SF))
     assert said.count("RoundRobinPartitioning") >= 2
+
+
+def large_keys(folder) -> str:
+    """Line items whose part keys lie on both sides of a million."""
+    duckdb.sql(f"COPY (SELECT * REPLACE (l_partkey + 999900 AS l_partkey) FROM '{SF}/lineitem.parquet') TO '{folder}/lineitem.parquet'")
+    return str(folder)
+
+
+def test_merged_lines_with_large_part_keys(spark, tmp_path):
+    against_sql(spark, "merged_lines", large_keys(tmp_path))
