@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from tessera.sources.shared import written
 
 
-def nested_json(rows: DataFrame, key: str, path: str, value: str, place: str, listed: tuple[str, ...] = (), name: str = "document") -> DataFrame:
+def nested_json(rows: DataFrame, key: str, path: str, value: str, place: str, listed: tuple[str, ...] = (), name: str = "document", within: str | None = None) -> DataFrame:
     """One JSON object for each key, of rows (key, path: array of names, value: text, place: order in the document).
 
-    Names keep the order of their first place. Values that share a path are a list, a single one is a text, unless its
+    Names keep the order of their first place. Values of one path are ordered by place, or by `within` where it is given. Values that share a path are a list, a single one is a text, unless its
     last name is in `listed`: such are always lists. A name that has both values and names below it keeps the names, with
     the values under the empty name. Rows with a null value, an empty path or a null name are left out. Levels are folded
     from the deepest up, one aggregation a level; the depth, not the number of rows, is what the loop grows with.
     """
     ok = F.col(value).isNotNull() & (F.size(path) > 0) & ~F.exists(path, lambda x: x.isNull())
-    leaf = rows.filter(ok).groupBy(key, F.col(path).alias("p")).agg(F.array_sort(F.collect_list(F.struct(F.col(place).alias("at"), F.col(value).alias("v")))).alias("vs"))
+    leaf = rows.filter(ok).groupBy(key, F.col(path).alias("p")).agg(F.array_sort(F.collect_list(F.struct(F.col(within or place).alias("within"), F.col(place).alias("at"), F.col(value).alias("v")))).alias("vs"))
     one = (F.size("vs") == 1) & ~F.element_at("p", -1).isin(*listed) if listed else F.size("vs") == 1
     texts = F.transform("vs", lambda x: x["v"])
     # A list of one is cut out of its brackets: the text of a string in JSON.

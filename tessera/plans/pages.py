@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text
@@ -198,11 +198,11 @@ SELECT o_orderkey, '{"Order":{"Priority":' || to_json(o_orderpriority) || ',"Det
 def section_documents(spark, sf):
     """Orders as documents: sections two to four names deep in the order of their rows, repeated values as lists."""
     o, l = read_table(spark, sf, "orders"), read_table(spark, sf, "lineitem")
-    row = lambda df, key, names, value, at: df.select(F.col(key).alias("o_orderkey"), F.array(*names).alias("path"), value.cast("string").alias("value"), at.cast("long").alias("place"))
+    row = lambda df, key, names, value, at, within=(0, 0): df.select(F.col(key).alias("o_orderkey"), F.array(*names).alias("path"), value.cast("string").alias("value"), at.cast("long").alias("place"), F.struct(*(x if isinstance(x, Column) else F.lit(x) for x in within)).cast("struct<a:long,b:long>").alias("within"))
     name = F.lit
     rows = row(o, "o_orderkey", [name("Order"), name("Priority")], F.col("o_orderpriority"), F.lit(-2)).unionByName(row(o, "o_orderkey", [name("Order"), name("Details")], F.concat(F.lit("#"), "o_orderkey"), F.lit(-1)))
-    rows = rows.unionByName(row(l, "l_orderkey", [name("Order"), name("Items"), F.col("l_returnflag"), name("Part")], F.col("l_partkey"), F.col("l_linenumber") * 1000000 + F.col("l_partkey")))
-    return hierarchy.nested_json(rows, "o_orderkey", "path", "value", "place", listed=("Details",)).select("o_orderkey", "document")
+    rows = rows.unionByName(row(l, "l_orderkey", [name("Order"), name("Items"), F.col("l_returnflag"), name("Part")], F.col("l_partkey"), F.col("l_linenumber").cast("long") * 1000000 + F.col("l_partkey"), (F.col("l_linenumber"), F.col("l_partkey"))))
+    return hierarchy.nested_json(rows, "o_orderkey", "path", "value", "place", listed=("Details",), within="within").select("o_orderkey", "document")
 
 
 _SHEETS = """concat('<html><a class="downLoadPdf" href="', CASE WHEN p_partkey % 3 = 0 THEN '#' ELSE concat('/low/', p_partkey, '.pdf') END, '">x</a>', CASE WHEN p_partkey % 2 = 0 THEN concat('<p><a class="b datasheet-link" href=" ', CASE WHEN p_partkey % 5 = 0 THEN concat('https://cdn.example/', p_size, '.pdf') ELSE concat('/high/', p_size) END, ' ">sheet</a>') ELSE '' END,

@@ -50,9 +50,13 @@ def test_storage_parts_deals_pages_over_cores(spark):
 
 def large_keys(folder) -> str:
     """Line items whose part keys lie on both sides of a million."""
-    duckdb.sql(f"COPY (SELECT * REPLACE (l_partkey + 999900 AS l_partkey) FROM '{SF}/lineitem.parquet') TO '{folder}/lineitem.parquet'")
+    duckdb.sql(f"COPY (SELECT * REPLACE (l_partkey * 6000 AS l_partkey) FROM '{SF}/lineitem.parquet') TO '{folder}/lineitem.parquet'")
     return str(folder)
 
 
 def test_merged_lines_with_large_part_keys(spark, tmp_path):
     against_sql(spark, "merged_lines", large_keys(tmp_path))
+
+
+def test_section_documents_with_large_part_keys(spark, tmp_path):
+    against_sql(spark, "section_documents", large_keys(tmp_path))
