@@ -130,14 +130,19 @@ def vendor_summary(routed: DataFrame, row: str, names: dict[str, str]) -> DataFr
 def generation_join(probes: DataFrame, probe_id: str, text: str, generation: Column, dim: DataFrame, name: str, dim_generation: str, require: bool = False) -> DataFrame:
     """The dimension name whose words are all in the probe: of the same generation if there is one (or only such, if required), least name on ties.
 
-    Candidates meet by words, never all with all: a name's rarest word is looked up among the probes' words.
+    Candidates meet by words, never all with all: a name's rarest word is looked up among the probes' words, once for
+    all probes of the same words and generation. Spark judges a side by the bytes of its files, of which the words of its
+    rows are many times more, so the joins say that neither side is to be broadcast.
     """
     words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), r"\s+"), lambda x: x != ""))
-    p = probes.select(probe_id, F.col(text).alias("_text"), generation.alias("_gen"), words(F.col(text)).alias("_words"))
+    p = probes.select(probe_id, generation.alias("_gen"), F.array_sort(words(F.col(text))).alias("_words"))
     d = dim.select(name, dim_generation, words(F.col(name)).alias("_need"))
     rare = d.select(F.explode("_need").alias("_w")).groupBy("_w").agg(F.count(F.lit(1)).alias("_c"))
-    key = d.select(name, F.explode("_need").alias("_w")).join(rare, "_w").groupBy(name).agg(F.min(F.struct("_c", "_w")).alias("_m")).select(name, F.col("_m._w").alias("_w"))
-    hits = p.withColumn("_w", F.explode("_words")).join(d.join(key, name), "_w").filter(F.size(F.array_except("_need", "_words")) == 0)
+    key = d.select(name, F.explode("_need").alias("_w")).join(rare.hint("merge"), "_w").groupBy(name).agg(F.min(F.struct("_c", "_w")).alias("_m")).select(name, F.col("_m._w").alias("_w"))
+    kinds = p.select("_words", "_gen").distinct()
+    hits = kinds.withColumn("_w", F.explode("_words")).join(d.join(key.hint("merge"), name).hint("merge"), "_w").filter(F.size(F.array_except("_need", "_words")) == 0)
     same = F.col(dim_generation).eqNullSafe(F.col("_gen"))
     hits = hits.filter(same) if require else hits
-    return best_hit(hits.withColumn("same_generation", same), [probe_id], [F.desc("same_generation"), F.col(name)]).select(probe_id, name, "same_generation")
+    best = hits.groupBy(F.col("_words").alias("_of"), F.col("_gen").alias("_at")).agg(F.min(F.struct((~same).alias("other"), F.col(name).alias("n"))).alias("_m"))
+    got = p.join(best.hint("merge"), (F.col("_words") == F.col("_of")) & F.col("_gen").eqNullSafe(F.col("_at"))).select(probe_id, F.col("_m.n").alias(name), (~F.col("_m.other")).alias("same_generation"))
+    return best_hit(got, [probe_id], [F.desc("same_generation"), F.col(name)])

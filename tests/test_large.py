@@ -3,9 +3,10 @@
 import os
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import parts
+from tessera.operators import parts, processors, reconcile
 from tessera.plans import catalogue
 from tests.test_catalogue import SF, TABLES, plain, rows
 
@@ -60,3 +61,22 @@ def test_merged_lines_with_large_part_keys(spark, tmp_path):
 
 def test_section_documents_with_large_part_keys(spark, tmp_path):
     against_sql(spark, "section_documents", large_keys(tmp_path))
+
+
+@pytest.mark.parametrize("name", ["generation_preferred", "generation_required"])
+def test_generation_join_broadcasts_no_side(spark, name):
+    assert "Broadcast" not in plan(catalogue.QUERIES[name](spark, SF))
+
+
+def test_generation_join_with_repeated_probes_and_no_generation(spark):
+    probes = spark.createDataFrame([(1, "b a g1", 1), (2, "a g1 B", 1), (3, "a b g1", None), (4, None, 1), (1, "a", 2)], "id int, t string, g int")
+    dim = spark.createDataFrame([("a", 2), ("A b", 1), ("b g1", None), ("c", 1)], "name string, gen int")
+    got = {r["id"]: (r["name"], r["same_generation"]) for r in reconcile.generation_join(probes, "id", "t", F.col("g"), dim, "name", "gen").collect()}
+    assert got == {1: ("A b", True), 2: ("A b", True), 3: ("b g1", True)}
+
+
+def test_rules_after_the_first_that_fits_are_not_worked_out(spark):
+    fit = lambda lines: lines
+    fail = lambda lines: F.when(F.size(lines) > 0, F.array(F.raise_error(F.lit("worked out")).cast("string")))
+    df = spark.createDataFrame([('{"CPU": ["a", "b"]}',)], "t string").coalesce(1)
+    assert [r[0] for r in df.select(processors.processor_list(F.col("t"), (fit, fail))).collect()] == [["a", "b"]]
