@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import let
 from tessera.functions.text import generation_words, respelled
 from tessera.operators.parts import w_series
 
@@ -71,11 +72,6 @@ def untagged(text: Column) -> Column:
     return F.regexp_replace(text, f"{_TAG}[a-z]", "")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is worked out once, however often body names it."""
-    return F.try_element_at(F.transform(F.array(value), body), F.lit(1))
-
-
 def found(text: Column, grammar: str) -> Column:
     """All matches of a grammar in tagged text, without tags."""
     return F.transform(F.regexp_extract_all(text, F.lit(shape(grammar)), F.lit(0)), untagged)
@@ -118,6 +114,11 @@ def unmarked(lines: Column) -> Column:
     return F.transform(lines, lambda x: F.regexp_replace(F.regexp_replace(x, _MARKS, ""), r"^\s+|\s+$", ""))
 
 
+def says(lines: Column, word: str) -> Column:
+    """Whether any line holds a text in lower case: a cheap look before lines are tagged."""
+    return F.exists(lines, lambda x: F.lower(x).contains(word))
+
+
 # --- Rules over one line or all lines together --------------------------------------------------------------------
 
 
@@ -164,7 +165,7 @@ def epyc_and_ryzen(lines: Column) -> Column:
         series = lambda brand: F.filter(plain, lambda x: tagged(x).rlike(shape(f"<m:amd> <b:{brand}> <c> <s:series> <s:processors?>")))
         both = (F.size(series("epyc")) > 0) & (F.size(series("ryzen")) > 0) & F.exists(plain, lambda x: F.lower(x).contains("[note]"))
         kept = F.filter(series("epyc|ryzen"), lambda x: ~x.rlike(aside))
-        return F.when((F.size(plain) >= 4) & both, F.transform(kept, lambda x: spelled(x, "processors")))
+        return F.when((F.size(plain) >= 4) & says(plain, "[note]") & both, F.transform(kept, lambda x: spelled(x, "processors")))
 
     return let(unmarked(lines), named)
 
@@ -186,7 +187,7 @@ def paired_generations(lines: Column) -> Column:
         alone = let(one, lambda x: names(x, "/", lambda k: F.lit(True)))
         return F.coalesce(alone, let(F.when(every.rlike(shape(head)), every), lambda x: F.when(x.rlike(shape(head + "(?:<m:intel|amd>.*<s:processors?>)")), names(x, "[/\n]", both))))
 
-    return let(F.transform(lines, tagged), paired)
+    return let(F.transform(F.when(says(unmarked(lines), "and"), lines), tagged), paired)
 
 
 def ampere_one(lines: Column) -> Column:
@@ -198,7 +199,7 @@ def ampere_one(lines: Column) -> Column:
         name = F.regexp_replace(name, shape("(<b:ampereone>) (?=<s:family>)"), "$1  ")
         return F.when(name.rlike(shape("<b:ampereone>.*<s:family>")), F.array(generation_words(F.trim(untagged(name)))))
 
-    return let(F.transform(unmarked(lines), lambda x: tagged(F.regexp_replace(x, r"\s+", " "))), named)
+    return let(unmarked(lines), lambda plain: let(F.transform(F.when(says(plain, "ampereone"), plain), lambda x: tagged(F.regexp_replace(x, r"\s+", " "))), named))
 
 
 def ampere_altra(lines: Column) -> Column:
@@ -213,7 +214,7 @@ def ampere_altra(lines: Column) -> Column:
         both = every.rlike(shape("<m:ampere>.*<b:altra>"))
         return F.when(both, F.when(F.size(written) > 0, written).otherwise(F.array(F.concat(F.trim(joined), F.lit("  processor")))))
 
-    return let(F.transform(unmarked(lines), tagged), named)
+    return let(unmarked(lines), lambda plain: let(F.transform(F.when(says(plain, "altra"), plain), tagged), named))
 
 
 # --- Rules over runs of lines -------------------------------------------------------------------------------------
@@ -372,7 +373,7 @@ def mixed_tokens(lines: Column) -> Column:
             ok = ok & k
         return F.when(ok, put(text))
 
-    return let(F.transform(lines, tagged), fits)
+    return let(F.transform(F.when((F.size(lines) >= 8) & says(unmarked(lines), "celeron"), lines), tagged), fits)
 
 
 def assembled_tokens(lines: Column) -> Column:
@@ -561,11 +562,12 @@ def processor_list(spec: Column, rules: tuple[Callable[[Column], Column], ...] =
 
     A superchip cell (a text or a list) counts before the rules, then the rows of a CPU cell that is one text of several lines.
     """
-    fits = lambda names: F.try_element_at(F.filter(names, lambda x: F.size(x) > 0), F.lit(1))
+    # coalesce() ends at the first rule that fits: later ones are not worked out.
+    fits = lambda names: F.coalesce(*(let(n, lambda x: F.when(F.size(x) > 0, x)) for n in names))
 
     def read(text: Column) -> Column:
         chips = superchips(F.when(~F.get_json_object(text, "$.Superchip").startswith("{"), cell_lines(text, "Superchip")))
-        listed = let(F.concat(*(cell_lines(text, k) for k in KEYS)), lambda lines: fits(F.array(*(rule(lines) for rule in rules))))
-        return F.array(chips, text_rows(F.get_json_object(text, "$.CPU")), listed)
+        listed = let(F.concat(*(cell_lines(text, k) for k in KEYS)), lambda lines: fits([rule(lines) for rule in rules]))
+        return fits([chips, let(F.get_json_object(text, "$.CPU"), text_rows), listed])
 
-    return fits(let(spec, read))
+    return let(spec, read)
