@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
@@ -11,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions.arrays import let
+
 FACTS = T.StructType([T.StructField("title", T.StringType()), T.StructField("h1", T.StringType()), T.StructField("links", T.ArrayType(T.StringType()))])
 
 
@@ -138,9 +141,41 @@ class _Tree(HTMLParser):
             self.open[-1].kids.append(data)
 
 
+#: Plain tags and texts, which mean the same to any parser; pages of nothing else are cut by one pattern.
+_PLAIN = re.compile(r'<(?:/([a-zA-Z][a-zA-Z0-9]*)|([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\n]+[a-zA-Z][a-zA-Z0-9_-]*(?:="[^"<>&]*")?)*)[ \t\n]*(/?))>|([^<&]+)')
+_ATTR = re.compile(r'([a-zA-Z][a-zA-Z0-9_-]*)(="([^"]*)")?')
+#: Elements whose content is no markup.
+_RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
+
+
+def _plain_tree(html: str) -> Node | None:
+    """The tree of a page of plain tags and texts, None of any other."""
+    t, at = _Tree(), 0
+    for m in _PLAIN.finditer(html):
+        if m.start() != at:
+            return None
+        at = m.end()
+        end, tag, attrs, closed, text = m.groups()
+        if text is not None:
+            t.open[-1].kids.append(text)
+        elif end is not None:
+            t.handle_endtag(end.lower())
+        else:
+            tag = tag.lower()
+            if tag in _RAW:
+                return None
+            found = [(k.lower(), v if eq else None) for k, eq, v in _ATTR.findall(attrs)] if attrs else []
+            (t.handle_startendtag if closed else t.handle_starttag)(tag, found)
+    return t.open[0] if at == len(html) else None
+
+
 def tree(html: str | None) -> Node:
+    html = html or ""
+    plain = _plain_tree(html)
+    if plain is not None:
+        return plain
     t = _Tree()
-    t.feed(html or "")
+    t.feed(html)
     t.close()
     return t.open[0]
 
@@ -213,6 +248,9 @@ def row_pairs(rows: Column) -> Column:
     def step(done: Column, r: Column) -> Column:
         value = F.array_join(F.filter(F.slice(r, F.lit(2), F.greatest(F.size(r) - 1, F.lit(0))), lambda v: v != ""), " | ")
         label = F.coalesce(F.nullif(r[0], F.lit("")), F.try_element_at(done, F.lit(-1))["label"])
+        return let(value, lambda v: let(label, lambda name: grow(done, name, v)))
+
+    def grow(done: Column, label: Column, value: Column) -> Column:
         grown = F.transform(done, lambda d: F.struct(d["label"].alias("label"), F.when(d["label"] == label, F.concat_ws(" | ", d["value"], value)).otherwise(d["value"]).alias("value")))
         new = F.when(F.exists(done, lambda d: d["label"] == label), grown).otherwise(F.concat(done, F.array(F.struct(label.alias("label"), value.alias("value")))))
         return F.when(label.isNull() | (value == ""), done).otherwise(new)

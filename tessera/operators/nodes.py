@@ -12,6 +12,8 @@ from tessera.functions.text import resolve_url, squeeze
 from tessera.operators.html import Node, tree
 
 NODE = "struct<pre:int,last:int,depth:int,tag:string,id:string,css:array<string>,attrs:map<string,string>,text:string>"
+#: Rows from which a batch of elements is handed on.
+ROWS = 4096
 #: The tag of texts.
 TEXT = "#text"
 _NODE = pa.struct([("pre", pa.int32()), ("last", pa.int32()), ("depth", pa.int32()), ("tag", pa.string()), ("id", pa.string()), ("css", pa.list_(pa.string())), ("attrs", pa.map_(pa.string(), pa.string())), ("text", pa.string())])
@@ -52,11 +54,16 @@ def page_nodes(pages: DataFrame, html: Column, *keys: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(b.num_rows):  # a page's rows at a time
-                rows = pa.array(_rows(b.column(len(keys))[at].as_py()), _NODE)
-                if len(rows):
-                    of = [pa.repeat(b.column(i)[at], len(rows)) for i in range(len(keys))]
-                    yield pa.RecordBatch.from_arrays([*of, *rows.flatten()], names=[*keys, *names])
+            rows: list[dict] = []
+            of: list[int] = []
+            for at in range(b.num_rows):  # a batch holds ROWS rows and those of one page more at most
+                found = _rows(b.column(len(keys))[at].as_py())
+                rows += found
+                of += [at] * len(found)
+                if rows and (len(rows) >= ROWS or at == b.num_rows - 1):
+                    own_keys = [b.column(i).take(pa.array(of)) for i in range(len(keys))]
+                    yield pa.RecordBatch.from_arrays([*own_keys, *pa.array(rows, _NODE).flatten()], names=[*keys, *names])
+                    rows, of = [], []
 
     kinds = [f"`{k}` {own.schema[k].dataType.simpleString()}" for k in keys]
     return own.mapInArrow(run, ", ".join([*kinds, NODE.removeprefix("struct<").removesuffix(">").replace(":", " ")]))

@@ -1,12 +1,13 @@
 """Faults that showed on large tables: work done again and again, sides that must not be broadcast, large keys."""
 
 import os
+import random
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import parts, processors, reconcile
+from tessera.operators import html, parts, processors, reconcile
 from tessera.plans import catalogue
 from tests.test_catalogue import SF, TABLES, plain, rows
 
@@ -80,3 +81,19 @@ def test_rules_after_the_first_that_fits_are_not_worked_out(spark):
     fail = lambda lines: F.when(F.size(lines) > 0, F.array(F.raise_error(F.lit("worked out")).cast("string")))
     df = spark.createDataFrame([('{"CPU": ["a", "b"]}',)], "t string").coalesce(1)
     assert [r[0] for r in df.select(processors.processor_list(F.col("t"), (fit, fail))).collect()] == [["a", "b"]]
+
+
+def test_plain_pages_have_the_trees_of_the_parser():
+    def shown(n):
+        return n if isinstance(n, str) else (n.tag, n.attrs, [shown(k) for k in n.kids])
+
+    pieces = ["<ul>", "</ul>", "<li class=\"a b\">", "</LI>", "<P>", "</p>", "<br>", "<br/>", "<div ID=\"x\"\n data-y hidden=\"\">", "</div>", "<p />", "text ", " \n", "<table><tr><td>", "</td >", "<th>", "</table>", "a > b", "&amp;", "< b", "<!-- c -->", "<a href=x>", "</a>", "<a b=\"<\">", "<script>1 < 2</script>", "<title>a<b></title>", "<img alt=\"\" alt=\"z\"/>", "<", "</", "<x:y>", "\"", "<a b = \"c\">"]
+    rng, plainly = random.Random(3), 0
+    for i in range(3000):
+        page = "".join(rng.choices(pieces[:18] if i % 2 else pieces, k=rng.randrange(12)))
+        t = html._Tree()
+        t.feed(page)
+        t.close()
+        assert shown(html.tree(page)) == shown(t.open[0]), page
+        plainly += html._plain_tree(page) is not None
+    assert plainly > 1000
