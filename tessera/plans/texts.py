@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import extract, numbers, text
 from tessera.operators import specs
-from tessera.plans.catalogue import read_table, register
+from tessera.plans.catalogue import read_table, register, spread
 
 
 def sql_chain(cell: str, rules, lower: bool = True) -> str:
@@ -166,7 +166,7 @@ SELECT p_partkey, family, model, CASE WHEN b = '' OR m = '' THEN 'MISSING' WHEN
 def split_descriptions(spark, sf):
     from tessera.operators import ladders
 
-    part = read_table(spark, sf, "part").withColumns({"d": extract.split_description(F.expr(_DESC)), "f": extract.split_fixed(F.concat_ws("  ", "p_name", "p_brand", "p_size")), "s": extract.split_at_model(F.expr("concat('Super  Server X', 1000 + p_size, ' - T4 (old)')"))})
+    part = spread(read_table(spark, sf, "part")).withColumns({"d": extract.split_description(F.expr(_DESC)), "f": extract.split_fixed(F.concat_ws("  ", "p_name", "p_brand", "p_size")), "s": extract.split_at_model(F.expr("concat('Super  Server X', 1000 + p_size, ' - T4 (old)')"))})
     b = F.expr(f"CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 5 = 0 THEN 'other' ELSE upper({_DESC_FAMILY.replace('||', '||')}) END")
     return part.select("p_partkey", "d.family", "d.model", ladders.split_status((b, F.col("d.family")), (F.expr(_DESC_MODEL), F.col("d.model"))).alias("status"), F.col("f.a").alias("a"), F.col("f.b").alias("second"), F.col("f.c").alias("rest"), F.col("s.family").alias("at_family"), F.col("s.model").alias("at_model"))
 
