@@ -26,7 +26,11 @@ def rank_row(first: Column, ranks: Column, width: Column, dimm: Column, descript
     a row with a blank cell is Missing; then its own cells, the description and the server's list must agree. status
     shows Missing as Matched, as reports do.
     """
-    combined, canonical, expected = models.rank_of_columns(ranks, width), models.rank(dimm), models.last_rank(description)
+    read = F.struct(models.rank_of_columns(ranks, width).alias("combined"), models.rank(dimm).alias("canonical"), models.last_rank(description).alias("expected"))
+    return arrays.let(read, lambda r: _checked_row(first, ranks, width, dimm, server, r["combined"], r["canonical"], r["expected"]))
+
+
+def _checked_row(first: Column, ranks: Column, width: Column, dimm: Column, server: Column, combined: Column, canonical: Column, expected: Column) -> Column:
     gaps = [(blank(ranks), "Rank"), (blank(width), "Rank Width"), (blank(dimm), "DIMM Rank"), (expected.isNull(), "DIMM Rank in Part Description")]
     missing = F.concat_ws(", ", *[F.when(c, F.lit(x)) for c, x in gaps])
     differ = [
