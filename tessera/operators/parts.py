@@ -202,13 +202,16 @@ def storage_parts(cards_: DataFrame, products: DataFrame, url: str = "url") -> D
     """One row for each variant of a storage card's product, or one basic row with the reason in `extraction`.
 
     products: (url, variants, tables), one row of each canonical address. The address is made canonical and each product
-    is looked up once: a left join, however many cards name it. extraction: SUCCESS, COMPONENT_URL_FAILED (no link),
+    is looked up once: a left join, however many cards name it. Spark judges the products by the bytes of their files, of
+    which pages are many times more, so the join says that they are not to be broadcast; cards without a link are dealt
+    by their part number, not all to one task. extraction: SUCCESS, COMPONENT_URL_FAILED (no link),
     PRODUCT_PAGE_FAILED (no such page), VARIANT_EXTRACTION_FAILED, SPECIFICATION_EXTRACTION_FAILED.
     """
     from tessera.functions.text import strip_query
 
     canonical = F.nullif(strip_query(F.col(url)), F.lit(""))
-    got = cards_.withColumn("_url", canonical).join(products.select(F.col("url").alias("_url"), "variants", "tables"), "_url", "left")
+    named = products.select(F.col("url").alias("_url"), F.xxhash64("url").alias("_deal"), "variants", "tables").hint("merge")
+    got = cards_.withColumn("_url", canonical).withColumn("_deal", F.xxhash64(F.coalesce("_url", "part_number"))).join(named, ["_url", "_deal"], "left")
     reason = F.when(F.col("_url").isNull(), "COMPONENT_URL_FAILED").when(F.col("variants").isNull(), "PRODUCT_PAGE_FAILED").when(F.size("variants") == 0, "VARIANT_EXTRACTION_FAILED").when(F.size("tables") == 0, "SPECIFICATION_EXTRACTION_FAILED").otherwise("SUCCESS")
     one = got.withColumn("extraction", reason).withColumn("v", F.explode_outer(F.when(F.size("variants") > 0, F.col("variants"))))
     some = F.col("v").isNotNull()
@@ -216,7 +219,7 @@ def storage_parts(cards_: DataFrame, products: DataFrame, url: str = "url") -> D
         "part_number": F.when(some, F.col("v.part_number")).otherwise(F.col("part_number")), "capacity": F.when(some, F.col("v.capacity")).otherwise(F.coalesce(F.try_element_at("attrs", F.lit("Capacity (GB)")), F.lit(""))),
         "form_factor": F.coalesce(F.col("v.form_factor"), F.lit("")), "specs": F.when(some & (F.size("tables") > 0), specs_of(F.col("tables"), F.col("v.form_factor"), F.col("v.capacity"))).when(some, F.create_map().cast("map<string,string>")).otherwise(F.col("attrs")),
     })
-    return out.drop("_url", "variants", "tables", "v")
+    return out.drop("_url", "_deal", "variants", "tables", "v")
 
 
 # Headings of a system page and the columns they fill.

@@ -50,6 +50,21 @@ def test_storage_parts_deals_pages_over_cores(spark):
     assert said.count("RoundRobinPartitioning") >= 2
 
 
+def test_storage_parts_broadcasts_no_products(spark):
+    assert "Broadcast" not in plan(catalogue.QUERIES["storage_parts"](spark, SF))
+
+
+def test_cards_without_a_link_are_dealt_over_tasks(spark):
+    cards = spark.range(400).select(F.concat(F.lit("S"), "id").alias("part_number"), F.lit("").alias("url"), F.create_map().cast("map<string,string>").alias("attrs"))
+    products = spark.createDataFrame([], "url string, variants array<struct<capacity:string,form_factor:string,part_number:string>>, tables array<struct<form_factor:string,rows:array<struct<label:string,lines:array<string>>>>>")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["n"] for r in parts.storage_parts(cards, products).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("extraction").alias("x")).collect() if r["x"] == "COMPONENT_URL_FAILED"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 400 and max(sizes) < 200
+
+
 def large_keys(folder) -> str:
     """Line items whose part keys lie on both sides of a million."""
     duckdb.sql(f"COPY (SELECT * REPLACE (l_partkey * 6000 AS l_partkey) FROM '{SF}/lineitem.parquet') TO '{folder}/lineitem.parquet'")
