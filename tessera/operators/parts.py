@@ -308,12 +308,11 @@ CHIPSET_WORDS = r"(?i)®|\b(?:express\s+)?chipset\b|(?:north|south)\s+bridge\s*:
 
 def chipsets(spec: Column) -> Column:
     """Cleaned chipset lines under the key 'chipset' at any depth of a JSON text: words of CHIPSET_WORDS go, 'Z 790' becomes 'Z790'; a list is one line. Null without any."""
-    value = nested_value(spec, "chipset", loose=False)
     clean = lambda x: F.trim(F.regexp_replace(F.regexp_replace(F.trim(F.regexp_replace(x, CHIPSET_WORDS, "")), r"\b([A-Z])\s+([0-9]+)\b", "$1$2"), r"\s{2,}", " "))
     said = lambda lines: F.filter(F.transform(lines, clean), lambda x: x != "")
-    listed = F.from_json(F.when(value.startswith("["), value), "array<string>")
-    lines = F.when(listed.isNotNull(), F.filter(F.array(F.array_join(said(listed), " ")), lambda x: x != "")).otherwise(said(F.split(value, r"\R")))
-    return F.when(F.size(lines) > 0, lines)
+    of = lambda value, listed: F.when(listed.isNotNull(), F.filter(F.array(F.array_join(said(listed), " ")), lambda x: x != "")).otherwise(said(F.split(value, r"\R")))
+    lines = let(nested_value(spec, "chipset", loose=False), lambda v: let(F.from_json(F.when(v.startswith("["), v), "array<string>"), lambda ls: of(v, ls)))
+    return let(lines, lambda ls: F.when(F.size(ls) > 0, ls))
 
 
 def chipset_status(original: Column, found: Column) -> Column:
@@ -328,5 +327,7 @@ def w_series(lines: Column) -> Column:
 
     plain = F.transform(lines, lambda x: F.trim(F.regexp_replace(x, "[®™©]", "")))
     shape = r"(?i)(intel\s+xeon)\s+(w-[0-9]+(?:/w-[0-9]+)+)"
-    each = F.transform(F.filter(plain, lambda x: x.rlike(shape)), lambda x: F.transform(F.split(F.regexp_extract(x, shape, 2), "/"), lambda w: respelled(F.concat_ws(" ", F.regexp_extract(x, shape, 1), w, F.lit("Series Processors")))))
+    # Words are respelled one by one, so the brand is respelled once for all of a line's models and the ends are constant.
+    named = lambda x: F.struct(respelled(F.regexp_extract(x, shape, 1)).alias("brand"), F.split(F.upper(F.regexp_extract(x, shape, 2)), "/").alias("models"))
+    each = F.transform(F.filter(plain, lambda x: x.rlike(shape)), lambda x: let(named(x), lambda n: F.transform(n["models"], lambda w: F.concat_ws(" ", n["brand"], w, respelled(F.lit("Series Processors"))))))
     return F.array_distinct(F.flatten(each))

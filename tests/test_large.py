@@ -112,3 +112,17 @@ def test_plain_pages_have_the_trees_of_the_parser():
         assert shown(html.tree(page)) == shown(t.open[0]), page
         plainly += html._plain_tree(page) is not None
     assert plainly > 1000
+
+
+def test_w_series_respells_a_line_once(spark):
+    df = spark.createDataFrame([(["INTEL® \t xeon™ w-3500/W-3400/w-1", "x Intel Xeon w-22/w-33/b", "Intel Xeon W-5", "intel xeon W-3400/w-9"],), ([],), (None,)], "l array<string>").coalesce(1)
+    got = [r[0] for r in df.select(parts.w_series(F.col("l"))).collect()]
+    spelled = lambda brand, *ws: [f"{brand} W-{w} series processor" for w in ws]
+    assert got == [spelled("Intel \t Xeon", 3500, 3400, 1) + spelled("Intel Xeon", 22, 33, 3400, 9), [], None]
+    said = df.select(parts.w_series(F.col("l")).alias("w"))._jdf.queryExecution().optimizedPlan().toString()
+    assert said.count("Threadripper") == 2 and "Series Processors" not in said
+
+
+def test_chipset_lines_are_worked_out_once(spark):
+    said = spark.createDataFrame([("{}",)], "t string").select(parts.chipsets(F.col("t")).alias("c"))._jdf.queryExecution().analyzed().toString()
+    assert said.count("from_json") == 1
