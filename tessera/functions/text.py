@@ -24,9 +24,12 @@ GENERATION_NAME = ((r"\b([0-9]+)(?:st|nd|rd|th)?\s*-?\s*generation\b", "$1 gen")
 #: Words that name no model go.
 SPEED_NAME = (("[®™]", ""), _SQUEEZE, ("processor", ""), ("with radeon graphics", ""), ("series", ""))
 FAMILY = (_MARKS, ("[()]", ""), ("-", " "), _GEN, ("processors", "processor"), (r"[^\p{L}\p{N}_\s]", " "), _SQUEEZE)
+#: Keys are made of every item: marks begin with one class of letters, and single spaces are no match.
+_KEY_MARKS = (r"[™®©�(](?:(?<=[™®©�])|(?<=\()(?:r|tm)\))", "")
+_KEY_SPACES = (r"\s(?:(?<! )|\s)\s*", " ")
 #: A comparison key, and one for processors.
-KEY = ((r"[™®©�]|\(r\)|\(tm\)", ""), _SQUEEZE)
-PROCESSOR_KEY = (*KEY, (r"\bprocessor\b", " "), _SQUEEZE)
+KEY = (_KEY_MARKS, _KEY_SPACES)
+PROCESSOR_KEY = (_KEY_MARKS, (r"\bprocessor\b", " "), _KEY_SPACES)
 
 
 def chain(col: Column, rules, lower: bool = True) -> Column:

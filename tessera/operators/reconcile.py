@@ -22,26 +22,34 @@ def prioritised(dims: list[tuple[str, DataFrame]], key: str, order: list[Column]
     return dedup_dim(every.filter(F.col(key) != ""), key, [F.col("_prio"), *order]).drop("_prio")
 
 
-def expected_values(rows: DataFrame, row: str, items: str, key, dim: DataFrame, dim_key: str, values: list[str]) -> DataFrame:
+def expected_values(rows: DataFrame, row: str, items: str, key, dim: DataFrame, dim_key: str, values: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """For each row: n_items, n_matched, unmatched (items without a hit, in order), expected_<value> (sorted distinct values of the hits), sources.
 
     key: from an item to its lookup key. Items are looked up one by one, in a join that Spark broadcasts or sorts by the
-    dimension's size, and put together again by row. Rows without items stay.
+    dimension's size, and put together again by row. Rows without items stay. keep: other columns of a row, which ride with
+    its first item, so that rows need not be worked out again and joined back.
     """
-    each = rows.select(row, F.posexplode_outer(items).alias("_pos", "_item")).withColumn(dim_key, key(F.col("_item")))
+    kept = F.when(F.coalesce(F.col("_pos"), F.lit(0)) == 0, F.struct(*keep)) if keep else F.lit(None)
+    each = rows.select(row, *keep, F.posexplode_outer(items).alias("_pos", "_item")).select(row, kept.alias("_kept"), "_pos", "_item", key(F.col("_item")).alias(dim_key))
     hit = each.join(dim.withColumn("_hit", F.lit(True)), dim_key, "left")
-    missed = F.transform(F.array_sort(F.collect_list(F.when(F.col("_hit").isNull() & F.col("_item").isNotNull(), F.struct("_pos", "_item")))), lambda s: s["_item"])
-    sets = [F.array_sort(F.filter(F.collect_set(v), lambda x: x != "")).alias(f"expected_{v}") for v in values]
-    return hit.groupBy(row).agg(F.count("_item").alias("n_items"), F.count("_hit").alias("n_matched"), missed.alias("unmatched"), F.array_sort(F.collect_set("source")).alias("sources"), *sets)
+    of = lambda name: F.array_sort(F.array_distinct(F.filter(F.col("_all")[name], lambda x: x.isNotNull())))
+    missed = F.transform(F.array_sort(F.transform(F.filter("_all", lambda s: s["_hit"].isNull() & s["_item"].isNotNull()), lambda s: F.struct(s["_pos"].alias("_pos"), s["_item"].alias("_item")))), lambda s: s["_item"])
+    count = lambda name: F.size(F.array_compact(F.col("_all")[name])).cast("long")
+    # One list of a row's hits, from which all else is read: an aggregate for each figure would be stored and sorted on its own.
+    got = hit.groupBy(row).agg(F.collect_list(F.struct("_pos", "_item", "_hit", "source", *values, "_kept")).alias("_all"))
+    got = got.withColumn("_kept", F.array_compact(F.col("_all")["_kept"])[0]) if keep else got
+    sets = [F.filter(of(v), lambda x: x != "").alias(f"expected_{v}") for v in values]
+    return got.select(row, *(F.col("_kept")[c].alias(c) for c in keep), count("_item").alias("n_items"), count("_hit").alias("n_matched"), missed.alias("unmatched"), of("source").alias("sources"), *sets)
 
 
 def second_spellings(items: Column, key) -> Column:
     """Items whose key stands twice or more in the list: of each such key the second spelling, once."""
-    marked = F.transform(items, lambda x, i: F.struct(i.alias("i"), x.alias("x"), key(x).alias("k")))
-    def nth(m: Column) -> Column:
-        return F.size(F.filter(marked, lambda o: (o["k"] == m["k"]) & (o["i"] < m["i"])))
+    def of(marked: Column) -> Column:
+        nth = lambda m: F.size(F.filter(marked, lambda o: (o["k"] == m["k"]) & (o["i"] < m["i"])))
+        return F.transform(F.filter(marked, lambda m: nth(m) == 1), lambda m: m["x"])
 
-    return F.transform(F.filter(marked, lambda m: nth(m) == 1), lambda m: m["x"])
+    # Bound once: lambdas would work out every key anew for each item.
+    return arrays.let(F.transform(items, lambda x, i: F.struct(i.alias("i"), x.alias("x"), key(x).alias("k"))), of)
 
 
 def first_spellings(items: Column, key) -> Column:
@@ -64,17 +72,21 @@ def unique_join(items: Column, sign: str = "; ") -> Column:
 
 def compare_sets(expected: Column, actual: Column, duplicates: Column) -> Column:
     """struct(status, missing, extra, reason). Agreeing values are PASS, or DUPLICATED if one is written twice; only missing ones are MISSING; any wrong one is FAIL."""
-    missing, extra = arrays.missing(expected, actual), arrays.missing(actual, expected)
-    dup = F.size(duplicates) > 0
-    agree = (F.size(missing) == 0) & (F.size(extra) == 0)
-    status = F.when(agree & dup, "DUPLICATED").when(agree, "PASS").when(F.size(extra) > 0, "FAIL").otherwise("MISSING")
     some = lambda words, items: F.concat(F.lit(words), F.array_join(items, ", "))
-    parts = [
-        F.when(dup, some("Duplicated: ", duplicates)),
-        F.when(F.size(missing) > 0, F.when(F.size(actual) == 0, some("Empty; expected: ", missing)).otherwise(some("Missing: ", missing))),
-        F.when(F.size(extra) > 0, some("Not supported by any matched processor: ", extra)),
-    ]
-    return F.struct(status.alias("status"), missing.alias("missing"), extra.alias("extra"), F.concat_ws(" | ", *parts).alias("reason"))
+
+    def of(missing: Column, extra: Column, duplicates: Column) -> Column:
+        dup = F.size(duplicates) > 0
+        agree = (F.size(missing) == 0) & (F.size(extra) == 0)
+        status = F.when(agree & dup, "DUPLICATED").when(agree, "PASS").when(F.size(extra) > 0, "FAIL").otherwise("MISSING")
+        parts = [
+            F.when(dup, some("Duplicated: ", duplicates)),
+            F.when(F.size(missing) > 0, F.when(F.size(actual) == 0, some("Empty; expected: ", missing)).otherwise(some("Missing: ", missing))),
+            F.when(F.size(extra) > 0, some("Not supported by any matched processor: ", extra)),
+        ]
+        return F.struct(status.alias("status"), missing.alias("missing"), extra.alias("extra"), F.concat_ws(" | ", *parts).alias("reason"))
+
+    three = F.struct(arrays.missing(expected, actual).alias("m"), arrays.missing(actual, expected).alias("x"), duplicates.alias("d"))
+    return arrays.let(three, lambda t: of(t["m"], t["x"], t["d"]))
 
 
 def worst(*statuses: Column) -> Column:

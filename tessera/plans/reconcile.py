@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text
 from tessera.operators import compare, ladders, ranks, reconcile
-from tessera.plans.catalogue import read_table, register
+from tessera.plans.catalogue import read_table, register, spread
+from tessera.sources.shared import written
 
 # A catalogue row is an order; its items are the parts of its lines. Two references share part: names of size 30 at most,
 # and of more than 20, so some names are in both with other families.
@@ -26,8 +27,15 @@ def cells(spark, sf):
 
 def catalogue_rows(spark, sf):
     """row_id and its ordered lists of items, families and lines."""
-    ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.when(F.col(c).isNotNull(), F.struct("pos", "part", c)))), lambda s: s[c]).alias(c)
-    return cells(spark, sf).groupBy("row_id").agg(*(ordered(c) for c in ("item", "fam", "line")))
+    ordered = lambda c: F.transform(F.sort_array(F.transform(F.filter("_all", lambda s: s[c].isNotNull()), lambda s: F.struct(s["pos"].alias("pos"), s["part"].alias("part"), s[c].alias(c)))), lambda s: s[c]).alias(c)
+    got = cells(spark, sf).groupBy("row_id").agg(F.collect_list(F.struct("pos", "part", "item", "fam", "line")).alias("_all"))
+    return got.select("row_id", *(ordered(c) for c in ("item", "fam", "line")))
+
+
+def expected_rows(spark, sf):
+    """Catalogue rows with what the references say of their items."""
+    got = reconcile.expected_values(catalogue_rows(spark, sf), "row_id", "item", key_of, references(spark, sf), "key", ["ref_fam", "ref_line"], keep=("item", "fam", "line"))
+    return got.filter("row_id IS NOT NULL")
 
 
 def key_of(c):
@@ -35,11 +43,12 @@ def key_of(c):
 
 
 def references(spark, sf):
-    part = read_table(spark, sf, "part")
+    """One row of each key, written so that Spark knows how few they are: a few names of many parts."""
+    part = spread(read_table(spark, sf, "part"))
     first = part.filter("p_size <= 30").selectExpr("p_partkey AS k", "concat('INTEL ', p_name) AS name", "p_type AS fam", "p_brand AS ref_line")
     second = part.filter("p_size > 20").selectExpr("p_partkey AS k", "concat('Intel ', p_name) AS name", "concat(p_type, '-B') AS fam", "'' AS ref_line")
     dims = [(n, d.withColumn("key", key_of(F.col("name"))).drop("name").withColumnRenamed("fam", "ref_fam")) for n, d in (("first", first), ("second", second))]
-    return reconcile.prioritised(dims, "key", [F.col("k")])
+    return written(reconcile.prioritised(dims, "key", [F.col("k")]), "references")
 
 
 _EXPECTED = f"""{_CELLS}, {_REFS},
@@ -64,8 +73,7 @@ SELECT row_id, n_items, n_matched, unmatched, sources, fam_status, fam_reason, l
   CASE WHEN 'FAIL' IN (fam_status, line_status) THEN 'FAIL' WHEN 'MISSING' IN (fam_status, line_status) THEN 'MISSING' WHEN 'DUPLICATED' IN (fam_status, line_status) OR len(dup) > 0 THEN 'DUPLICATED' ELSE 'PASS' END AS overall FROM s""")
 def family_line_validation(spark, sf):
     """Explode, look up by priority, put together again, compare both fields, and let the worst status win."""
-    rows = catalogue_rows(spark, sf)
-    got = rows.join(reconcile.expected_values(rows, "row_id", "item", key_of, references(spark, sf), "key", ["ref_fam", "ref_line"]), "row_id")
+    got = expected_rows(spark, sf)
     low = lambda x: text.chain(x, text.KEY)
     dups = lambda c: reconcile.second_spellings(F.col(c), low)
     got = got.withColumns({"f": reconcile.compare_sets(F.col("expected_ref_fam"), F.col("fam"), dups("fam")), "l": reconcile.compare_sets(F.col("expected_ref_line"), F.col("line"), dups("line")), "d": dups("item")})
@@ -89,8 +97,7 @@ SELECT row_id, CASE WHEN n_items = 0 THEN 'missing' WHEN n_matched = 0 THEN 'Fam
   CASE WHEN n_items = 0 THEN 'missing' WHEN n_matched = 0 THEN 'Family is not found' WHEN n_matched < n_items THEN 'partial_match' WHEN len(af) > 0 AND len(ef) > 0 AND NOT list_contains(ef, af[1]) THEN 'mismatch' ELSE 'match' END AS vendor,
   len(fams) - len(af) AS repeats, array_to_string(list_sort(list_distinct(list_concat(ef, af))), '; ') AS either FROM m""")
 def processor_ladders(spark, sf):
-    rows = catalogue_rows(spark, sf)
-    got = rows.join(reconcile.expected_values(rows, "row_id", "item", key_of, references(spark, sf), "key", ["ref_fam", "ref_line"]), "row_id")
+    got = expected_rows(spark, sf)
     distinct = lambda c: F.array_sort(F.array_distinct(F.col(c)))
     n, m, ef, el, af, al = F.col("n_items"), F.col("n_matched"), F.col("expected_ref_fam"), F.col("expected_ref_line"), distinct("fam"), distinct("line")
     gone, gone_lines = F.array_except(ef, af), F.array_except(el, al)

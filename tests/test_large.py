@@ -7,6 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions import text
 from tessera.operators import html, parts, processors, reconcile
 from tessera.plans import catalogue
 from tests.test_catalogue import SF, TABLES, plain, rows
@@ -126,3 +127,40 @@ def test_w_series_respells_a_line_once(spark):
 def test_chipset_lines_are_worked_out_once(spark):
     said = spark.createDataFrame([("{}",)], "t string").select(parts.chipsets(F.col("t")).alias("c"))._jdf.queryExecution().analyzed().toString()
     assert said.count("from_json") == 1
+
+
+def said_once(df, column, word: str) -> int:
+    return df.select(column.alias("c"))._jdf.queryExecution().analyzed().toString().count(word)
+
+
+def test_second_spellings_and_compared_sets_work_each_part_out_once(spark):
+    df = spark.createDataFrame([(["a", "B", "b", "A ", "a"], ["x"]), ([], None)], "l array<string>, e array<string>").coalesce(1)
+    key = lambda x: F.regexp_replace(F.lower(x), "[ ]", "")
+    dup = reconcile.second_spellings(F.col("l"), key)
+    assert [r[0] for r in df.select(dup).collect()] == [["b", "A "], []]
+    assert said_once(df, dup, "regexp_replace") == 1
+    compared = reconcile.compare_sets(F.col("e"), F.col("l"), dup)
+    assert said_once(df, compared, "regexp_replace") == 1 and said_once(df, compared, "array_except") == 2
+    assert df.select(compared["reason"]).first()[0] == "Duplicated: b, A  | Missing: x | Not supported by any matched processor: A , B, a, b"
+
+
+def test_expected_values_keep_columns_of_rows(spark):
+    rows_ = spark.createDataFrame([(1, ["b", "z", None, "a"], "k"), (2, [], "m"), (3, None, None), (4, ["y", "b"], "o")], "id int, l array<string>, kept string")
+    dim = spark.createDataFrame([("a", "2", "s"), ("b", "", "t")], "key string, v string, source string")
+    got = {r["id"]: tuple(r)[1:] for r in reconcile.expected_values(rows_, "id", "l", lambda c: c, dim, "key", ["v"], keep=("l", "kept")).collect()}
+    assert got == {1: (["b", "z", None, "a"], "k", 3, 2, ["z"], ["s", "t"], ["2"]), 2: ([], "m", 0, 0, [], [], []), 3: (None, None, 0, 0, [], [], []), 4: (["y", "b"], "o", 2, 1, ["y"], ["t"], [])}
+
+
+@pytest.mark.parametrize("name", ["family_line_validation", "processor_ladders"])
+def test_catalogue_rows_are_worked_out_once(spark, name):
+    assert plan(catalogue.QUERIES[name](spark, SF)).count("lineitem.parquet") == 1
+
+
+def test_keys_of_odd_texts(spark):
+    plainly = ((r"[™®©�]|\(r\)|\(tm\)", ""), (r"\s+", " "))
+    for_processors = (*plainly, (r"\bprocessor\b", " "), (r"\s+", " "))
+    rng = random.Random(5)
+    pieces = ["(", "r", "tm", ")", "(R)", "(TM)", "®", "™", "�", " ", "  ", "\t", "\n", "\x0b", " ", "processor", "Processor", "processors", "_", "x", "-"]
+    df = spark.createDataFrame([("".join(rng.choices(pieces, k=rng.randrange(14))),) for _ in range(3000)], "t string")
+    odd = df.filter((text.chain(F.col("t"), text.KEY) != text.chain(F.col("t"), plainly)) | (text.chain(F.col("t"), text.PROCESSOR_KEY) != text.chain(F.col("t"), for_processors)))
+    assert odd.count() == 0
