@@ -90,12 +90,14 @@ def list_cells(spark, sf):
     return read_table(spark, sf, "part").select("p_partkey", F.array_join(items, "|").alias("flat"), F.array_join(text.split_items(F.expr(_CUT)), "|").alias("cut"), text.list_text(items).alias("shown"), F.array_join(again, "|").alias("retokenised"))
 
 
-@register("literal_dicts", """SELECT p_partkey, CASE WHEN p_partkey % 5 <> 0 THEN p_brand END AS brand, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 2 = 0 THEN '["' || p_type || '"]' ELSE '["' || p_type || '","z"]' END AS kinds, p_partkey % 5 <> 0 AS parsed FROM part""")
+@register("literal_dicts", """SELECT p_partkey, p_brand AS brand, CASE WHEN p_partkey % 2 = 0 THEN '["' || p_type || '"]' ELSE '["' || p_type || '","z"]' END AS kinds, p_partkey % 5 <> 0 AS parsed FROM part""")
 def literal_dicts(spark, sf):
     cell = F.expr("CASE WHEN p_partkey % 5 = 0 THEN concat('{', p_brand) ELSE concat('{''brand'': ''', p_brand, ''', ''kinds'': {''', p_type, '''', CASE WHEN p_partkey % 2 = 0 THEN '' ELSE ', ''z''' END, '}, ''none'': None}') END")
     got = read_table(spark, sf, "part").withColumn("j", text.literal_json(cell))
     kinds = F.to_json(F.from_json(F.get_json_object("j", "$.kinds"), "array<string>"))
-    return got.select("p_partkey", F.get_json_object("j", "$.brand").alias("brand"), kinds.alias("kinds"), F.col("j").isNotNull().alias("parsed"))
+    parsed = F.col("j").isNotNull()  # a cell that is no literal falls back on the record's columns, one that lacks a key does not
+    plain = F.expr("CASE WHEN p_partkey % 2 = 0 THEN concat('[\"', p_type, '\"]') ELSE concat('[\"', p_type, '\",\"z\"]') END")
+    return got.select("p_partkey", F.when(parsed, F.get_json_object("j", "$.brand")).otherwise(F.col("p_brand")).alias("brand"), F.when(parsed, kinds).otherwise(plain).alias("kinds"), parsed.alias("parsed"))
 
 
 _CPU = "concat(p_name, CASE p_partkey % 8 WHEN 0 THEN ' Intel Core i7-' WHEN 1 THEN ' Xeon Gold ' WHEN 2 THEN ' Xeon W-' WHEN 3 THEN ' E5-' WHEN 4 THEN ' Ryzen 7 ' WHEN 5 THEN ' EPYC ' WHEN 6 THEN ' Threadripper PRO ' ELSE ' chip ' END, 3000 + p_size, CASE p_partkey % 8 WHEN 2 THEN 'M' WHEN 3 THEN ' v4' ELSE '' END)"

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text
 from tessera.operators import reconcile
+from tessera.plans import texts
 from tessera.sources import growing, shared, tables
 from tessera.streaming import state
+from tests.test_catalogue import SF
 
 
 def test_readers_see_the_old_or_the_new_version(spark, tmp_path, monkeypatch):
@@ -100,6 +102,17 @@ def test_escapes_and_misread_text(spark):
     assert [r[0] for r in spark.createDataFrame([("Â",), ("Ã¶ â€” ok",), ("naïve Â",)], "s string").select(text.fix_mojibake(F.col("s"))).collect()] == ["Â", "ö — ok", "naïve Â"]
 
 
+def test_broken_literals_fall_back_on_the_record(spark, monkeypatch):
+    part = {r.p_partkey: r for r in tables.read_table(spark, SF, "part").collect()}
+    shown = {k: (r.p_brand, f'["{r.p_type}"]' if k % 2 == 0 else f'["{r.p_type}","z"]') for k, r in part.items()}
+    said = lambda: {r.p_partkey: (r.brand, r.kinds, r.parsed) for r in texts.literal_dicts(spark, SF).collect()}
+    assert said() == {k: (*v, k % 5 != 0) for k, v in shown.items()}
+    monkeypatch.setattr(text, "literal_json", lambda cell: F.when(cell.isNull(), "").otherwise("{}"))
+    assert set(said().values()) == {(None, None, True)}  # read, but without the keys: nothing stands in for them
+    monkeypatch.setattr(text, "literal_json", lambda cell: F.nullif(cell, cell))
+    assert said() == {k: (*v, False) for k, v in shown.items()}
+
+
 def test_failures_over_two_runs(spark, tmp_path):
     src, at = str(tmp_path / "src"), str(tmp_path / "at")
     kind = "url string, ts int, ok boolean, reason string"
